@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from tidemark.llm import bitplane as _ids
 from tidemark.llm import decontaminate as _leaks
 from tidemark.llm import linededup as _lines
 from tidemark.llm import sharding as _sharding
+from tidemark.llm import triebpe as _bpe
 from tidemark.llm.sql import ORACLES
+from tidemark.session import staging_path
 
 #: Names of the shards of a run with 32 writers.
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
@@ -20,6 +25,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+#: The tokenizer file of the queries and the id that ends a document in the id files.
+VOCABULARY, END_ID = "word_bpe_49k.json", 2
+
+
+def op1_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "ids")
+    _ids.write_ids(_table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.path(VOCABULARY), END_ID)
+    return _ids.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _lines.dedup_lines(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -34,6 +49,11 @@ def op6_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return _bpe.encode_documents(documents, public_tokenizers.path(VOCABULARY), with_ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op10_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sharding.place(_table(spark, sf_dir, "documents", "doc_id"), "doc_id", SHARDS).select("doc_id", "slot", "shard")
 
