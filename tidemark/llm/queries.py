@@ -12,6 +12,7 @@ import public_tokenizers
 from tidemark.llm import bitplane as _ids
 from tidemark.llm import decontaminate as _leaks
 from tidemark.llm import linededup as _lines
+from tidemark.llm import secrets as _secrets
 from tidemark.llm import sharding as _sharding
 from tidemark.llm import triebpe as _bpe
 from tidemark.llm.sql import ORACLES
@@ -49,6 +50,20 @@ def op6_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _secrets.find_secrets(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = [r.kind for r in _secrets.RULES if r.base]
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    count = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in base}
+    return out.select(
+        "doc_id", *[c.alias(n) for n, c in count.items()],
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return _bpe.encode_documents(documents, public_tokenizers.path(VOCABULARY), with_ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
