@@ -12,6 +12,7 @@ import public_tokenizers
 from tidemark.llm import bitplane as _ids
 from tidemark.llm import decontaminate as _leaks
 from tidemark.llm import linededup as _lines
+from tidemark.llm import resample as _resample
 from tidemark.llm import secrets as _secrets
 from tidemark.llm import sharding as _sharding
 from tidemark.llm import triebpe as _bpe
@@ -36,6 +37,12 @@ def op1_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ids.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled documents: one row for each that is kept."""
+    out = _resample.importance_resample(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    return out.select("doc_id", "log_weight", "log_weight_noisy")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _lines.dedup_lines(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
