@@ -14,6 +14,7 @@ from tidemark.llm import decontaminate as _leaks
 from tidemark.llm import linededup as _lines
 from tidemark.llm import resample as _resample
 from tidemark.llm import secrets as _secrets
+from tidemark.llm import setjoin as _near
 from tidemark.llm import sharding as _sharding
 from tidemark.llm import triebpe as _bpe
 from tidemark.llm.sql import ORACLES
@@ -57,6 +58,10 @@ def op6_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near.jaccard_classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _secrets.find_secrets(_table(spark, sf_dir, "documents", "doc_id", "text"))
     base = [r.kind for r in _secrets.RULES if r.base]

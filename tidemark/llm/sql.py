@@ -31,6 +31,19 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+OP7 = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + least(len(w), 4) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS p FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT x.a, x.b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM shingles p JOIN shingles q USING (s) WHERE p.doc_id <> q.doc_id GROUP BY ALL) x
+  JOIN sizes m ON m.doc_id = a JOIN sizes o ON o.doc_id = b WHERE 100 * k >= 85 * (m.n + o.n - k)
+), reach AS (SELECT doc_id AS v, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.v WHERE r.c < l.b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(c) FROM reach WHERE v = d.doc_id) AS component_id FROM documents d LEFT JOIN sizes USING (doc_id)
+"""
+
 #: Shards take turns; a row of `fill` is one claim. 32 shards, 3,203 slots.
 OP10 = """
 WITH RECURSIVE prefs AS (
@@ -46,4 +59,4 @@ SELECT doc_id, slot::INTEGER AS slot, 'shard-' || lpad(shard_no::VARCHAR, 2, '0'
 FROM (SELECT doc_id, ('0x' || substr(md5('key:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % 3203 AS slot FROM documents) JOIN slots USING (slot)
 """
 
-ORACLES = {"op4_line_dedup": OP4, "op6_benchmark_winnowing": OP6, "op10_shard_placement": OP10}
+ORACLES = {"op4_line_dedup": OP4, "op6_benchmark_winnowing": OP6, "op7_partition_jaccard": OP7, "op10_shard_placement": OP10}
