@@ -82,9 +82,11 @@ def op8_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    count = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in base}
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return out.select(
-        "doc_id", *[c.alias(n) for n, c in count.items()],
+        "doc_id", *[count(k) for k in base],
         F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
     )
 
