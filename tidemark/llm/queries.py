@@ -12,6 +12,7 @@ import public_tokenizers
 from tidemark.llm import bitplane as _ids
 from tidemark.llm import decontaminate as _leaks
 from tidemark.llm import digest as _digest
+from tidemark.llm import langid as _langid
 from tidemark.llm import linededup as _lines
 from tidemark.llm import order as _order
 from tidemark.llm import resample as _resample
@@ -62,6 +63,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _langid.identify(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _leaks.find_leaks(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "item_id", "text"))
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
