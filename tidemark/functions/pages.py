@@ -162,6 +162,12 @@ def attributed_rows(pages: DataFrame, id_col: str, html_col: str, names: list[st
 
 
 _DESIGNATION, _KIND = re.compile(R.DESIGNATION), re.compile(R.KIND)
+# What stands where a name should but is none.
+NO_NAME = re.compile(
+    r"^(?:名称|種別|種類|区分|指定|所在地|所有者|員数|時代|年月日|備考|一覧|合計|その他|ページ|関連|詳細|リンク|お問い合わせ)$|[。、！？]|^\d+$|^[〇○◯×]+$|"
+    r"(?:について|ください|します|ました|しています)$|^(?:[国県都道府市町村]?指定)?(?:重要)?(?:有形|無形)?(?:民俗)?文化財[】）)]?$|"
+    r"^(?:史跡|名勝|天然記念物|建造物|絵画|彫刻|工芸品|書跡|典籍|古文書|考古資料|歴史資料|登録有形文化財)$"
+)
 _FLAT = re.compile(rf"({R.DESIGNATION})\s*[・：:]?\s*({R.KIND})\s*[「『（(]?\s*({R.NAME_CHARS})")
 _FLAT_REVERSED = re.compile(rf"({R.NAME_CHARS})\s*[（(]\s*({R.DESIGNATION})\s*({R.KIND})\s*[）)]")
 
@@ -194,13 +200,13 @@ def designations(page: str) -> list[tuple[str, str, str]]:
         elif from_head and not kind and (m := _KIND.search(heading)):
             kind = m[0]
         names = [designation_name(c) for c in cells if c not in (level, kind)]
-        name = next((n for n in names if 2 <= len(n) <= 20 and re.search(R.JAPANESE, n) and not re.search("[。、！？]", n)), "")
+        name = next((n for n in names if 2 <= len(n) <= 20 and re.search(R.JAPANESE, n) and not NO_NAME.search(n)), "")
         if level and kind and name:
             found.append((level, kind, name))
     flat = text_of(re.sub(r"<table\b.*?</table>", " ", page, flags=re.S | re.I))
     found += [(m[1], m[2], designation_name(m[3])) for m in _FLAT.finditer(flat)]
     found += [(m[2], m[3], designation_name(m[1])) for m in _FLAT_REVERSED.finditer(flat)]
-    return [x for x in dict.fromkeys(found) if len(x[2]) >= 2]
+    return [x for x in dict.fromkeys(found) if len(x[2]) >= 2 and not NO_NAME.search(x[2])]
 
 
 def designation_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
