@@ -1,0 +1,332 @@
+"""Operators with one right result, against brute force."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import public_tokenizers
+from common import empty, frame, rows, texts
+from tidemark.llm import bitplane, decontaminate, linededup, secrets, setjoin, sharding, triebpe
+from tidemark.llm import textwork as T
+from tidemark.llm.components import components
+from tidemark.llm.pretokens import LibraryEncoder
+
+VOCAB = public_tokenizers.path("word_bpe_49k.json")
+STRIP = " \t\n\x0b\x0c\r"
+lower = lambda s: s.translate({c: c + 32 for c in range(65, 91)})
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(VOCAB)
+
+
+def encode(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("kind", ["byte", "bit"])
+def test_planes_round_trip(kind):
+    for dtype in ("<u2", "<u4"):
+        for n in (1, 7, 8, 1000):
+            ids = np.random.default_rng(n).integers(0, 49408, n).astype(dtype)
+            planes = bitplane.to_planes(ids, kind)
+            assert len(planes) == ids.dtype.itemsize * (8 if kind == "bit" else 1)
+            assert (bitplane.from_planes(planes, n, ids.dtype.itemsize, kind) == ids).all()
+
+
+@pytest.mark.parametrize("kind", ["byte", "bit"])
+def test_id_files(spark, library, tmp_path, kind):
+    data = [*rows(), (None, "a null id", None, None, None), (9, "a repeated id", None, None, None)]
+    path = f"file://{tmp_path}/ids"
+    bitplane.write_ids(frame(spark, data, clash=True), path, VOCAB, 2, planes=kind, block_ids=64, shard_docs=16)
+    got = sorted(bitplane.read_ids(spark, path).collect(), key=lambda r: r["start"])
+    at = 0
+    for r in got:
+        assert r["start"] == at and r["n_tokens"] == len(r["ids"]) // 4
+        at += r["n_tokens"]
+    order = [r["doc_id"] for r in got]
+    assert order[0] is None and order[1:] == sorted(order[1:])
+    want = sorted(np.array([*encode(library, t), 2], "<u4").tobytes() for _, t, *_ in data)
+    assert sorted(bytes(r["ids"]) for r in got) == want
+    assert spark.read.parquet(f"{path}/shards").agg(F.sum("n_ids")).first()[0] == at
+    bitplane.write_ids(empty(spark), f"file://{tmp_path}/none", VOCAB, 2)
+    assert bitplane.read_ids(spark, f"file://{tmp_path}/none").count() == 0
+
+
+ODD = ["", "  ", "a\x1cb !\x1f! x", "Σίσυφος ΟΔΟΣ", "İstanbul ı ÀÉ", "<|endoftext|>a <|startoftext|><x <|endoftext|", "日本語 한국어 ﬁ ½ ²", "é ä̀ ̈́", "don't I'LL we've 'S x's", "\x13 \x7f", "😀👍🏽 abc😀", "a　b\x85c\xa0d e", "ab" * 3000]
+
+
+def test_encoders_equal_the_library(library):
+    trie, cached = triebpe.TrieTokenizer(VOCAB), LibraryEncoder(VOCAB)
+    every = ODD + [t or "" for t in texts(200, 8)]
+    for text, packed in zip(every, trie.encode(every), strict=True):
+        ids = encode(library, text)
+        assert trie.unpack(packed) == ids and np.frombuffer(cached.encode(text), cached.split.width).tolist() == ids
+        assert trie.decode(ids).decode() == library.decode(ids, skip_special_tokens=False)
+
+
+def test_bounded_caches_change_nothing(library):
+    trie, cached = triebpe.TrieTokenizer(VOCAB, most_words=5), LibraryEncoder(VOCAB, most_words=5)
+    trie.cache.most = cached.cache.most = 4
+    for text in ODD + ["alpha beta gamma delta epsilon zeta eta theta"]:
+        ids = encode(library, text)
+        assert trie.unpack(trie.encode([text])[0]) == ids and np.frombuffer(cached.encode(text), cached.split.width).tolist() == ids
+
+
+def test_encode_documents(spark, library):
+    out = triebpe.encode_documents(frame(spark, clash=True), VOCAB).collect()
+    assert len(out) == len(rows())
+    by_id = {r["doc_id"]: r for r in out}
+    for i, text, *_ in rows():
+        ids = encode(library, text)
+        r = by_id[i]
+        assert np.frombuffer(r["ids"], "<u4").tolist() == ids and r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert triebpe.encode_documents(empty(spark), VOCAB).count() == 0
+
+
+def brute_lines(data, least=2):
+    holders = {}
+    for i, text, *_ in data:
+        for line in (text or "").split("\n"):
+            k = lower(line.strip(STRIP))
+            if len(k) >= 10 and i is not None:
+                holders.setdefault(k, set()).add(i)
+    out = {}
+    for i, text, *_ in data:
+        lines = (text or "").split("\n")
+        keep = [x for x in lines if i is None or len(holders.get(lower(x.strip(STRIP)), ())) < least or min(holders[lower(x.strip(STRIP))]) == i]
+        out[i, text] = (len(lines), len(lines) - len(keep), "\n".join(keep))
+    return out
+
+
+@pytest.mark.parametrize("shard_keys", [7, 250_000])
+def test_line_dedup(spark, shard_keys):
+    data = [*rows(), *rows()[:4], (None, rows()[5][1], None, None, None), (2, "ÄÖÜäöüßé ñ", None, None, None), (4, " ÄÖÜäöüßé ñ\t", None, None, None), (5, "Ünï short", None, None, None), (7, "Ünï short", None, None, None)]
+    out = linededup.dedup_lines(frame(spark, data, clash=True), shard_keys=shard_keys).collect()
+    assert len(out) == len(data)
+    want = brute_lines(data)
+    for r in out:
+        assert (r["n_lines"], r["n_dropped"], r["kept_text"]) == want[r["doc_id"], r["text"]]
+    assert linededup.dedup_lines(empty(spark)).count() == 0
+
+
+def test_perfect_hash_is_minimal():
+    for n in (0, 1, 2, 1000, 30_000):
+        a, b = (np.random.default_rng(s).integers(0, 2**63, n).astype(np.uint64) for s in (1, 2))
+        a[: n // 2] = 7  # equal in one half of the key
+        index = linededup.PerfectHash.build(a, b)
+        assert sorted(index.find(a, b).tolist()) == list(range(n))
+
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_leaks(data, items):
+    out = {}
+    windows = {}
+    for item, text in items:
+        w = WORD.findall(lower(text or ""))
+        n = min(10, len(w))
+        for p in range(len(w) - n + 1) if n else ():
+            windows.setdefault(tuple(w[p : p + n]), set()).add("" if item is None else str(item))
+    sizes = {len(w) for w in windows}
+    for i, text, *_ in data:
+        w = WORD.findall(lower(text or ""))
+        hit, found = set(), set()
+        for n in sizes:
+            for p in range(len(w) - n + 1):
+                if (key := tuple(w[p : p + n])) in windows:
+                    hit.update(range(p, p + n))
+                    found |= windows[key]
+        out[i] = (len(w), len(hit), sorted(found))
+    return out
+
+
+@pytest.mark.parametrize("block_words", [5, 2_000_000])
+def test_leaks(spark, block_words):
+    data = rows()
+    long = [WORD.findall(lower(t)) for _, t, *_ in data if t and len(t) > 200][:12]
+    items = [(k, " ".join(w[3 : 3 + n])) for k, (w, n) in enumerate(zip(long, [10, 11, 9, 3, 14, 30, 1, 10, 2, 12, 25, 10], strict=False))]
+    items += [(100, None), (101, ""), (102, "nowhere to be found at all in any of these texts"), (3, "A repeated item, ÜNÏ"), (None, " ".join(long[0][3:13]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.find_leaks(frame(spark, data, clash=True), bench, block_words=block_words).collect()
+    want = brute_leaks(data, items)
+    assert sum(v[1] > 0 for v in want.values()) > 5
+    for r in out:
+        assert (r["n_words"], sum(s["end"] - s["start"] for s in r["hit_spans"]), r["items"]) == want[r["doc_id"]]
+    assert len(out) == len(data)
+    assert decontaminate.find_leaks(empty(spark), bench).count() == 0
+    assert decontaminate.decontaminate(frame(spark), bench.limit(0)).count() == len(data)
+    kept = {r["doc_id"] for r in decontaminate.decontaminate(frame(spark, data), bench).collect()}
+    assert kept == {i for i, v in want.items() if not v[1]}
+
+
+def test_winnowing_guarantee():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        shared = rng.integers(0, 50, 10).astype(np.uint64)
+        sides = [np.concatenate([rng.integers(0, 50, rng.integers(0, 30)), shared, rng.integers(0, 50, rng.integers(0, 30))]).astype(np.uint64) for _ in (1, 2)]
+        a, b = (set(decontaminate.winnow(T.mix(s), np.array([0, len(s)]))[1].tolist()) for s in sides)
+        assert a & b
+
+
+def brute_classes(data, k, num, den):
+    sets = {}
+    for i, text, *_ in data:
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", lower(text or "")) if x]
+        sets[i] = {tuple(w[p : p + k]) for p in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i: (len(s), root(i)) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("k,num,den,seed", [(4, 85, 100, 3), (5, 80, 100, 4), (2, 60, 100, 5)])
+def test_jaccard_classes(spark, k, num, den, seed):
+    data = rows(seed, 160)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in setjoin.jaccard_classes(frame(spark, data, clash=True), k=k, num=num, den=den).collect()}
+    assert got == brute_classes(data, k, num, den)
+
+
+def test_jaccard_edges_and_copies(spark):
+    import random
+
+    rnd = random.Random(1)
+    base = [f"w{i}" for i in range(120)]
+    data = []
+    for i in range(150):  # a large group of near copies, chained
+        w = list(base)
+        for _ in range(rnd.randint(0, 4)):
+            w[rnd.randrange(120)] = f"x{rnd.randrange(10**6)}"
+        data.append((i, " ".join(w), None, None, None))
+    data += [(1000 + i, " ".join(base), None, None, None) for i in range(30)] + [(2000 + i, "same few words here", None, None, None) for i in range(5)]
+    data += [(3000, None, None, None, None), (3001, "", None, None, None), (3002, " \t", None, None, None), (3003, "a b", None, None, None), (3004, "a b", None, None, None), (3005, "b a", None, None, None)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in setjoin.jaccard_classes(frame(spark, data)).collect()}
+    assert got == brute_classes(data, 4, 85, 100)
+    again = setjoin.jaccard_classes(frame(spark, [*data, data[0], (None, "null id", None, None, None)])).collect()
+    assert len(again) == len(data) + 1 and {(r["doc_id"], r["component_id"]) for r in again} == {(i, c) for i, (_, c) in got.items()}
+    first = {r["doc_id"] for r in setjoin.first_of_class(frame(spark, [*data, data[0]]), k=4, num=85, den=100).collect()}
+    assert first == {c for _, c in got.values()}
+    assert setjoin.jaccard_classes(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("size,seed", [(6, 1), (11, 2), (30, 3), (100, 4), (400, 5)])
+def test_signatures_miss_no_similar_pair(size, seed):
+    """Pigeonhole: every pair of sets at or above the threshold shares a signature in fitting roles."""
+    rng = np.random.default_rng(seed)
+    for trial in range(60):
+        tokens = rng.integers(0, 2**62, size * 2).astype(np.uint64)
+        shared = int(size * rng.uniform(0.8, 1))
+        a, b = tokens[:size], np.concatenate([tokens[:shared], tokens[size : size + rng.integers(0, size - shared + 2)]])
+        inter, union = len(set(a.tolist()) & set(b.tolist())), len(set(a.tolist()) | set(b.tolist()))
+        if 100 * inter < 85 * union:
+            continue
+        sets = setjoin.Sets.__new__(setjoin.Sets)
+        sets.tokens = np.concatenate([np.sort(a), np.sort(b)])
+        sets.owner = np.repeat([0, 1], [len(a), len(b)])
+        sets.offsets = np.array([0, len(a), len(a) + len(b)])
+        sets.sizes = np.diff(sets.offsets)
+        met = {}
+        for sig, owner, role in setjoin.signatures(sets, np.ones(2, bool), 85, 100):
+            for s, o, r in zip(sig.tolist(), owner.tolist(), role.tolist(), strict=True):
+                met.setdefault(s, [0, 0])[o] |= r
+        assert any((x & 1 and y & 2) or (x & 2 and y & 1) for x, y in met.values()), (trial, size)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (200, 200), (300, 50_000)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, 300: 300, 50_000: 300}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
+
+
+def test_secrets(spark):
+    import random
+
+    rnd = random.Random(3)
+    bits = ["password", "API_KEY", "apikey", "toKen", "ſecret", " ", ":", "=", "'", '"', "AKIA", "ABCDEF0123456789", "0123456789abcdef", "é", "😀", "\n", "x", "Bearer ", "ghp_", "-----BEGIN RSA PRIVATE KEY-----"]
+    data = [(i, "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40))), None, None, None) for i in range(400)] + [(1000, None, None, None, None)]
+    out = {r["doc_id"]: [(s["start"], s["kind"], s["end"]) for s in r["spans"]] for r in secrets.find_secrets(frame(spark, data, clash=True)).collect()}
+    assert len(out) == len(data) and sum(map(len, out.values())) > 100
+    order = [r.kind for r in secrets.RULES]
+    for i, text, *_ in data:
+        want = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text or "") if len(m[2]) >= 6]
+        want += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 20]
+        want += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 24]
+        for r in secrets.RULES[3:]:
+            want += [(m.start(), r.kind, m.end()) for m in re.finditer(r.pattern, text or "", r.flags)]
+        assert out[i] == sorted(want, key=lambda x: (x[0], order.index(x[1])))
+    assert secrets.find_secrets(empty(spark)).count() == 0
+
+
+def test_trigram_queries():
+    assert secrets.trigram_query("[0-9a-f]{24,}") is True and secrets.trigram_query("ab|abcd") is True
+    assert secrets.trigrams_of(secrets.trigram_query("AKIA[A-Z0-9]+")) == {b"aki", b"kia"}
+    assert secrets.trigram_query("(abc)?x") is True and secrets.trigrams_of(secrets.trigram_query("(?:abc)+")) == {b"abc"}
+
+
+def brute_table(shards, size):
+    h = lambda s: int(hashlib.md5(s.encode()).hexdigest()[:8], 16)
+    pref = [(h("offset:" + s) % size, h("skip:" + s) % max(size - 1, 1) + 1) for s in shards]
+    slots, nxt, turn = [None] * size, [0] * len(shards), 0
+    while turn < size:
+        i = turn % len(shards)
+        while slots[c := (pref[i][0] + nxt[i] * pref[i][1]) % size] is not None:
+            nxt[i] += 1
+        slots[c] = shards[i]
+        nxt[i] += 1
+        turn += 1
+    return slots
+
+
+@pytest.mark.parametrize("n,size", [(1, 2), (3, 7), (5, 503), (7, 211)])
+def test_lookup_table(spark, n, size):
+    shards = [f"s{i}" for i in range(n)]
+    table = {r["slot"]: r["shard"] for r in sharding.lookup_table(spark, shards, size).collect()}
+    assert [table[i] for i in range(size)] == brute_table(shards, size)
+
+
+def test_placement(spark):
+    shards = ["a", "b", "c", "d"]
+    data = [*rows(), rows()[0], (None, "null id", None, None, None)]
+    out = sharding.place(frame(spark, data, clash=True), "doc_id", shards, 401).collect()
+    table = brute_table(shards, 401)
+    assert len(out) == len(data)
+    for r in out:
+        key = "" if r["doc_id"] is None else str(r["doc_id"])
+        assert r["slot"] == int(hashlib.md5(f"key:{key}".encode()).hexdigest()[:8], 16) % 401 and r["shard"] == table[r["slot"]]
+    fewer = sharding.place(frame(spark), "doc_id", shards[:3], 401)
+    before = {r["doc_id"]: r["shard"] for r in out}
+    moved = sum(r["shard"] != before[r["doc_id"]] for r in fewer.collect() if before[r["doc_id"]] != "d")
+    assert moved < 0.3 * len(rows())
+    with pytest.raises(ValueError):
+        sharding.lookup_table(spark, ["a", "a"])
+    assert sharding.place(empty(spark), "doc_id", shards, 401).count() == 0
+
+
+def test_crc_of_read_ids(spark, library, sf_dir):
+    from tidemark.llm import queries
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in queries.op1_bitplane_ids(spark, sf_dir).collect():
+        assert r["ids_crc32"] == zlib.crc32(np.array([*encode(library, docs[r["doc_id"]]), 2], "<u4").tobytes())
