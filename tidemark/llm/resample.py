@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,31 +73,72 @@ def buckets(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarra
     return key >> (pair + 1), (key >> bits & mask) + bigram, (key & mask) + bigram + (2 << bits)
 
 
-def count_buckets(df: DataFrame, text_col: str, bits: int = BITS) -> DataFrame:
-    """(bucket, n): in how many of df's rows each bucket occurs; partial counts per task, then one sum."""
+#: Parts in which a task's counts travel; each is summed in a stream by one task.
+SEGMENTS = 64
+
+
+def fit_counts(df: DataFrame, id_hash: str, text_col: str, wanted: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(target counts, raw counts, target rows, raw rows): in how many rows each bucket occurs.
+
+    One pass over all rows; rows whose id_hash is in `wanted` (sorted) also count for the target. A task sends its
+    two count vectors once, compressed, in SEGMENTS parts, which are summed part by part; the sums come to the
+    driver, a fixed size.
+    """
+    spark = df.sparkSession
+    ids = spark.sparkContext.broadcast(wanted)
+    size = 4 << bits
+    width = size // SEGMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(4 << bits, np.int64)
+        counts = np.zeros((2, size), np.int64)
+        rows = np.zeros(2, np.int64)
+        known = ids.value
         for batch in batches:
-            texts = T.as_bytes(batch.column(0))
+            texts = T.as_bytes(batch.column("text"))
+            keys = batch.column("id").to_numpy()
+            mine = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), bool)
+            rows += (mine.sum(), len(keys))
             for a, b in T.chunked([len(t) + 1 for t in texts]):
-                _, first, second = buckets(texts[a:b], bits)
-                total += np.bincount(first, minlength=4 << bits)
-                total += np.bincount(second, minlength=4 << bits)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 100_000):
-            part = at[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["bucket", "n"])
-
-    return df.select(text_col).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-
+                owner, first, second = buckets(texts[a:b], bits)
+                target = mine[a:b][owner]
+                for x in (first, second):
+                    counts[1] += np.bincount(x, minlength=size)
+                    counts[0] += np.bincount(x[target], minlength=size)
+        press = zstandard.ZstdCompressor(level=3)
+        for side in (0, 1):
+            if rows[side]:
+                blobs = [press.compress(np.ascontiguousarray(counts[side, i * width : (i + 1) * width]).tobytes()) for i in range(SEGMENTS)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(SEGMENTS, side)), pa.array(np.arange(SEGMENTS)), pa.array([int(rows[side])] + [0] * (SEGMENTS - 1)), pa.array(blobs, pa.binary())], ["side", "segment", "n", "counts"]
+                )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press, total, n, at = zstandard.ZstdDecompressor(), None, 0, None
+
+        def done() -> pa.RecordBatch:
+            blob = zstandard.ZstdCompressor(level=3).compress(total.tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([at[1]]), pa.array([n]), pa.array([blob], pa.binary())], ["side", "segment", "n", "counts"])
 
-def _vector(counts: DataFrame, bits: int) -> np.ndarray:
-    """The counts as an array of fixed size 2**(bits+2)."""
-    rows = counts.toPandas()
-    out = np.zeros(4 << bits, np.float64)
-    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return out
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (row["side"], row["segment"]) != at:
+                    if at is not None:
+                        yield done()
+                    at, total, n = (row["side"], row["segment"]), np.zeros(width, np.int64), 0
+                total += np.frombuffer(press.decompress(row["counts"]), np.int64)
+                n += row["n"]
+        if at is not None:
+            yield done()
+
+    schema = "side long, segment long, n long, counts binary"
+    parts = df.select(F.col(id_hash).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    sums = parts.repartition("side", "segment").sortWithinPartitions("side", "segment").mapInArrow(add, schema).collect()
+    out, rows = np.zeros((2, size)), [0, 0]
+    press = zstandard.ZstdDecompressor()
+    for r in sums:
+        out[r["side"], r["segment"] * width : (r["segment"] + 1) * width] = np.frombuffer(press.decompress(r["counts"]), np.int64)
+        rows[r["side"]] += r["n"]
+    return out[0], out[1], rows[0], rows[1]
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int) -> np.ndarray:
@@ -197,12 +239,9 @@ def importance_resample(
     n_marked = marks.filter("__target = 1").count()
     share = min(1.0, target_rows / max(1, n_marked))
     inside = F.pmod(F.xxhash64(F.lit("target"), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1)
-    wanted = marks.filter((F.col("__target") == 1) & inside).select("__id")
-    texts = base.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    good_texts = texts.join(wanted, "__id", "left_semi")
-    target = _vector(count_buckets(good_texts, "__text", bits), bits)
-    raw = _vector(count_buckets(texts, "__text", bits), bits)
-    n_target, n_raw = good_texts.count(), texts.count()
+    chosen = marks.filter((F.col("__target") == 1) & inside).select(F.xxhash64(F.col("__id").cast("string")).alias("h")).limit(2 * target_rows)
+    wanted = np.unique(np.array([r["h"] for r in chosen.collect()], np.int64))  # target_rows, about, of 8 bytes
+    target, raw, n_target, n_raw = fit_counts(base.withColumn("__h", F.xxhash64(F.col(id_col).cast("string"))), "__h", text_col, wanted, bits)
     ratios = spark.sparkContext.broadcast(log_ratios(target, raw, n_target, n_raw))  # 4 bytes a bucket: 2 MB
     weights = _weights(base, text_col, ratios, bits).withColumn("log_weight_noisy", F.lit(sharpness) * F.col("log_weight") + gumbel(seed, F.col(id_col)))
     if scored:
