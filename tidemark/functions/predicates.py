@@ -93,7 +93,7 @@ def terms_of(name: Column, splitter: str, stopwords: Sequence[str] = R.STOPWORDS
 
     def term(x: Column) -> Column:
         whole = F.regexp_replace(F.regexp_replace(x, cut, ""), trim, "")
-        return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(whole, "^.{1,12}の", ""), trim, ""), cut, ""))
+        return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(whole, "^.{1,12}の(?=.)", ""), trim, ""), cut, ""))
 
     return F.filter(F.transform(F.split(bare, splitter), term), lambda t: (F.length(t) >= least) & ~t.isin(list(stopwords)))
 

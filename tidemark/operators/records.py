@@ -41,15 +41,17 @@ def normalize_groups(
     First values are those of the smallest ord; sets are sorted; urls are counted before they are capped.
     """
     chosen = representative(df, group, name, ord_col, own_key)
-    first_context = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(ord_col, context))), lambda s: s[context]), " ")
+    # No more than most_context rows can show in the context; the rank limit is applied before the shuffle.
+    early = df.filter(F.col(context).isNotNull()).withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy(ord_col))).filter(F.col("__r") <= most_context)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__r", context))), lambda s: s[context]), " ")
+    contexts = early.groupBy(*group).agg(F.substring(joined, 1, most_context).alias("context"))
     facts = df.groupBy(*group).agg(
         F.coalesce(F.min_by(F.when(F.col(venue) != "", F.col(venue)), F.when(F.col(venue) != "", F.col(ord_col))), F.lit("")).alias("venue"),
         F.coalesce(F.min_by(F.when(F.col(date) != "", F.col(date)), F.when(F.col(date) != "", F.col(ord_col))), F.lit("")).alias("date_text"),
         F.array_sort(F.collect_set(F.when(F.col(url) != "", F.col(url)))).alias("__urls"),
         F.array_sort(F.collect_set(origin)).alias("origins"), F.array_sort(F.collect_set(reason)).alias("reasons"),
-        F.substring(first_context, 1, most_context).alias("context"),
     )
-    out = chosen.join(facts, group)
+    out = chosen.join(facts, group).join(contexts, group, "left")
     return out.select(
         *group, name, F.array_except("__names", F.array(name)).alias("aliases"), "venue", "date_text", F.size("__urls").cast("long").alias("source_count"),
         F.slice("__urls", 1, cap).alias("source_urls"), "origins", "reasons", "context",
