@@ -231,11 +231,23 @@ WITH n AS (SELECT * FROM nation WHERE n_regionkey < 3)
 SELECT 'r' || r_regionkey::VARCHAR AS node, 0::BIGINT AS depth FROM region WHERE r_regionkey < 3 UNION ALL SELECT 'n' || n_nationkey::VARCHAR, 1 FROM n UNION ALL SELECT 's' || s_suppkey::VARCHAR, 2 FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM n)
 """
 
+VERDICT_CELLS = r"""
+WITH c AS (
+  SELECT o_orderkey, list_filter([CASE WHEN o_orderkey % 13 = 0 THEN 'id' ELSE lpad(o_orderkey::VARCHAR, 5, '0') END, ['KEEP', 'drop', 'unsure'][o_orderkey % 3 + 1], string_split(o_orderpriority, '-')[2],
+    CASE o_orderkey % 4 WHEN 0 THEN lpad((o_orderkey % 1000)::VARCHAR, 5, '0') WHEN 1 THEN '' END, CASE WHEN o_orderkey % 5 = 0 THEN '日立市' END, CASE WHEN o_orderkey % 6 = 0 THEN 'つなび' END], lambda x: x IS NOT NULL) AS cells FROM orders
+), r AS (SELECT *, list_filter(cells[2:], lambda x: x <> '') AS rest, regexp_full_match(cells[1], '[0-9]{4,6}') AS good FROM c),
+p AS (SELECT *, list_filter(rest, lambda x: regexp_full_match(lower(x), 'keep|drop|unsure')) AS v, list_filter(rest, lambda x: regexp_full_match(x, '[0-9]{4,6}')) AS i,
+  list_filter(rest, lambda x: regexp_full_match(x, '[ぁ-んゔー・\s　]+')) AS k, list_filter(rest, lambda x: regexp_full_match(x, '[^\s]+[市町村区]')) AS m FROM r)
+SELECT o_orderkey, CASE WHEN good THEN cells[1] END AS id, CASE WHEN good THEN coalesce(lower(v[1]), '') END AS verdict,
+  CASE WHEN good THEN coalesce(list_filter(rest, lambda x: NOT list_contains(v, x) AND NOT list_contains(i, x) AND NOT list_contains(k, x) AND NOT list_contains(m, x))[1], '') END AS reason,
+  CASE WHEN good THEN coalesce(i[-1], '') END AS alias_of, CASE WHEN good THEN coalesce(m[-1], '') END AS municipality, CASE WHEN good THEN coalesce(k[-1], '') END AS reading FROM p
+"""
+
 ORACLES = {
     "page_candidates": PAGE_CANDIDATES, "page_links": PAGE_LINKS, "dedup_key_groups": DEDUP_KEY_GROUPS, "merge_prefix_variants": MERGE_PREFIX_VARIANTS, "representative_name": REPRESENTATIVE_NAME,
     "normalize_records": NORMALIZE_RECORDS, "date_classification": DATE_CLASSIFICATION, "category_tags": CATEGORY_TAGS, "stable_hash_ids": STABLE_HASH_IDS, "id_collision_resolution": ID_COLLISION,
     "unique_containment_assign": UNIQUE_CONTAINMENT, "place_resolution": PLACE_RESOLUTION, "merge_guard_antijoin": MERGE_GUARD, "judgment_status": JUDGMENT_STATUS, "alias_validation": ALIAS_VALIDATION,
-    "cleaned_name_merge": CLEANED_NAME_MERGE, "published_dedupe_fill": PUBLISHED_DEDUPE, "consumer_checks": CONSUMER_CHECKS, "known_set_novelty": KNOWN_SET_NOVELTY, "golden_recall": GOLDEN_RECALL,
+    "verdict_cells": VERDICT_CELLS, "cleaned_name_merge": CLEANED_NAME_MERGE, "published_dedupe_fill": PUBLISHED_DEDUPE, "consumer_checks": CONSUMER_CHECKS, "known_set_novelty": KNOWN_SET_NOVELTY, "golden_recall": GOLDEN_RECALL,
     "loose_match_4gram": LOOSE_MATCH, "vocab_terms": VOCAB_TERMS, "coverage_gap": COVERAGE_GAP, "positional_zip": POSITIONAL_ZIP, "ledger_by_host": _HOSTS, "ledger_by_day": LEDGER_BY_DAY,
     "ledger_by_group": LEDGER_BY_GROUP, "ledger_backfill": LEDGER_BACKFILL, "url_scope_district": URL_SCOPE, "host_first_source": HOST_FIRST_SOURCE, "judge_batches": JUDGE_BATCHES,
     "carry_forward": CARRY_FORWARD, "nested_counts": NESTED_COUNTS, "filter_view": FILTER_VIEW, "registry_union": REGISTRY_UNION, "category_tree": CATEGORY_TREE,
