@@ -330,3 +330,20 @@ def test_crc_of_read_ids(spark, library, sf_dir):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in queries.op1_bitplane_ids(spark, sf_dir).collect():
         assert r["ids_crc32"] == zlib.crc32(np.array([*encode(library, docs[r["doc_id"]]), 2], "<u4").tobytes())
+
+
+@pytest.mark.parametrize("most", [3, 20, 10_000])
+def test_live_rows_in_any_batching(most):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    sig = np.sort(np.concatenate([rng.integers(0, 60, 200), np.full(150, 30)]))
+    doc, role = rng.integers(0, 40, len(sig)), rng.choice([1, 2, 3], len(sig)).astype(np.int8)
+    batch = pa.RecordBatch.from_arrays([pa.array(sig), pa.array(doc), pa.array(role)], ["sig", "doc", "role"])
+    got = {(r["sig"], r["doc"], r["role"]) for b in setjoin._live_rows([batch.slice(i, 7) for i in range(0, len(sig), 7)], most) for r in b.to_pylist()}
+    want = set()
+    for s in set(sig.tolist()):
+        mine = sig == s
+        if len(set(doc[mine].tolist())) > 1 and np.bitwise_or.reduce(role[mine]) == 3:
+            want |= {(s, d, r) for d, r in zip(doc[mine].tolist(), role[mine].tolist(), strict=True)}
+    assert want <= got and all((sig == s).sum() >= most for s, *_ in got - want)
