@@ -8,9 +8,9 @@ by one token (one-deletion neighbourhoods). The allocation takes the segments wh
 rows; they come from the first few segments of the band, for which every set also indexes its own deletions.
 
 Equal sets are reduced to one representative first. Buckets are then linked by stars: each set is compared with
-the first set of its buckets, and only buckets that still hold several components compare the rest across
-components. So a group of n near copies costs about n comparisons, and no link between components is lost. Every
-comparison counts shared shingles exactly (64-bit shingle hashes).
+the most popular set that it meets, which in a group of copies is the one they were made from. Buckets that still
+hold several components then compare those across, first by size and parity sketch, which bounds the difference
+from below and so rules out no link, and what passes by counting shared shingles (64-bit hashes).
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from tidemark.llm import textwork as T
 from tidemark.llm.components import components
 from tidemark.session import ship, staged
 
+#: Bits of a set's parity sketch, with which pairs are ruled out before their sets are fetched.
+PARITY_BITS = 1024
 #: Roles of a row in a bucket: it may ask, it may be found.
 ASKS, FOUND = 1, 2
 
@@ -157,6 +159,17 @@ def signatures(sets: Sets, take: np.ndarray, num: int, den: int) -> Iterator[tup
             yield T.mix(T.mix((b + 1).astype(np.uint64) * T.BASE + every.astype(np.uint64) * T.STEP)), rep, np.full(len(rep), r, np.int8)
 
 
+def parities(sets: Sets) -> np.ndarray:
+    """(texts, PARITY_BITS / 64): each bit is the parity of the tokens that hash to it.
+
+    A token in one of two sets only flips one bit, so two sets differ in as many tokens as their bits, or more.
+    """
+    bits = np.zeros((len(sets.sizes), PARITY_BITS), np.uint8)
+    at = (T.mix(sets.tokens) & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    np.bitwise_xor.at(bits, (sets.owner, at), 1)
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 MEMBER = "doc long, n long, d1 long, d2 long"
 ROW = "sig long, doc long, role byte"
 
@@ -224,7 +237,8 @@ def _set_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         for a, b in T.chunked([len(t) + 1 for t in texts]):
             sets = Sets(texts[a:b], k)
             blobs = [sets.tokens[x:y].tobytes() for x, y in zip(sets.offsets, sets.offsets[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), pa.array(blobs, pa.binary())], ["doc", "tokens"])
+            marks = [x.tobytes() for x in parities(sets)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), pa.array(blobs, pa.binary()), pa.array(marks, pa.binary())], ["doc", "tokens", "parity"])
 
 
 def _similar_rows(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -238,29 +252,42 @@ def _similar_rows(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iter
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components of rows sorted by (sig, c): each set with those of other components, once a bucket."""
-    held: list[dict] = []
-    sig = None
+def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs across components of rows sorted by sig whose sizes and parities allow the similarity.
+
+    In each bucket the rows outside its largest component are compared with all rows of other components, by 128
+    bytes each; what passes goes on. Nothing that is similar is ruled out: parities bound the difference from below.
+    """
+    columns = ("sig", "rep", "c", "role", "n")
+    held: list[tuple[np.ndarray, ...]] = []
 
     def pairs() -> Iterator[pa.RecordBatch]:
-        rep, comp, role, n = (np.array([r[x] for r in held]) for x in ("rep", "c", "role", "n"))
-        for i in range(1, len(rep)):
-            fits = (comp[:i] != comp[i]) & (((role[:i] & ASKS > 0) & (role[i] & FOUND > 0)) | ((role[:i] & FOUND > 0) & (role[i] & ASKS > 0)))
-            j = np.flatnonzero(fits)
+        _, rep, comp, role, n, parity = (np.concatenate(x) for x in zip(*held, strict=True))
+        names, counts = np.unique(comp, return_counts=True)
+        order = np.argsort(comp == names[counts.argmax()], kind="stable")  # the largest component last
+        rep, comp, role, n, parity = rep[order], comp[order], role[order], n[order], parity[order]
+        for i in range(len(rep) - int(counts.max())):
+            other = slice(i + 1, None)
+            fits = (comp[other] != comp[i]) & (((role[other] & ASKS > 0) & (role[i] & FOUND > 0)) | ((role[other] & FOUND > 0) & (role[i] & ASKS > 0)))
+            fits &= den * np.minimum(n[other], n[i]) >= num * np.maximum(n[other], n[i])
+            j = np.flatnonzero(fits) + i + 1
+            if len(j):
+                j = j[np.bitwise_count(parity[j] ^ parity[i]).sum(axis=1, dtype=np.int64) <= apart(n[j] + n[i], num, den)]
             if len(j):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(rep[j], rep[i])), pa.array(np.maximum(rep[j], rep[i])), pa.array(np.where(rep[j] < rep[i], n[j], n[i])), pa.array(np.where(rep[j] < rep[i], n[i], n[j]))],
-                    ["a", "b", "na", "nb"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[j], rep[i])), pa.array(np.maximum(rep[j], rep[i]))], ["a", "b"])
 
     for batch in batches:
-        for row in batch.to_pylist():
-            if row["sig"] != sig:
-                yield from pairs() if held else ()
-                held, sig = [], row["sig"]
-            held.append(row)
-    yield from pairs() if held else ()
+        data = [batch.column(c).to_numpy() for c in columns]
+        data.append(np.frombuffer(b"".join(batch.column("parity").to_pylist()), np.uint64).reshape(batch.num_rows, -1))
+        edges = [0, *(np.flatnonzero(data[0][1:] != data[0][:-1]) + 1).tolist(), batch.num_rows]
+        for x, y in zip(edges, edges[1:], strict=False):
+            if held and y > x and held[-1][0][0] != data[0][x]:
+                yield from pairs()
+                held = []
+            if y > x:
+                held.append(tuple(d[x:y] for d in data))
+    if held:
+        yield from pairs()
 
 
 class JaccardClasses:
@@ -295,47 +322,48 @@ class JaccardClasses:
         return with_b.mapInArrow(lambda it: _similar_rows(it, num, den), "a long, b long")
 
     def _fits(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow the similarity, once each."""
+        """Pairs (a < b) whose sizes allow the similarity, once each."""
         near = F.lit(self.den) * F.least("na", "nb") >= F.lit(self.num) * F.greatest("na", "nb")
-        return pairs.filter(near).groupBy("a", "b").agg(F.lit(1).alias("one")).drop("one")
+        return pairs.filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def classes(self) -> DataFrame:
         """(doc, n, component) of every document with an id."""
         members = self.members()
         live = self.live(members)
-        nodes = live.select(F.col("rep").alias("doc")).distinct()
-        k = self.k
+        k, num, den = self.k, self.num, self.den
+        # How often a set meets others over all its buckets: the centre of a group of copies meets most of them.
+        met = live.groupBy("sig").agg(F.count("*").alias("met"))
+        nodes = staged(live.join(met, "sig").groupBy("rep").agg(F.sum("met").alias("pop")), "nodes")
+        live = staged(live.join(nodes, "rep"), "live-pop")
         # One text for each representative: an id that repeats is one document, its first text by bytes.
-        texts = self.source.join(nodes, "doc", "left_semi")
-        sets = staged(texts.mapInArrow(lambda it: _set_rows(it, k), "doc long, tokens binary").groupBy("doc").agg(F.min("tokens").alias("tokens")), "sets")
-        links = None
-        comp = live.select("rep").distinct().withColumn("c", F.col("rep"))
-        tried = None
+        texts = self.source.join(nodes.select(F.col("rep").alias("doc")), "doc", "left_semi")
+        sets = texts.mapInArrow(lambda it: _set_rows(it, k), "doc long, tokens binary, parity binary")
+        sets = staged(sets.groupBy("doc").agg(F.min(F.struct("tokens", "parity")).alias("s")).select("doc", "s.tokens", "s.parity"), "sets")
+        links = tried = None
+        comp = nodes.select("rep", F.col("rep").alias("c"))
         for round_no in range(3):
             rows = live.join(comp, "rep")
-            several = rows.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.struct("c", "rep", "n")).alias("lead")).filter("lo <> hi").select("sig", "lead")
+            lead = F.max(F.struct("pop", "c", "rep", "n")).alias("lead")
+            several = rows.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).filter("lo <> hi").select("sig", "lead")
             open_rows = rows.join(several, "sig").filter("c <> lead.c")
-            if round_no == 0:  # every set with one leader
-                star = open_rows.groupBy("rep").agg(F.min(F.struct("lead.rep", F.col("lead.n").alias("ln"), "n")).alias("s"))
-                pairs = star.select(F.col("s.rep").alias("a"), F.col("rep").alias("b"), F.col("s.ln").alias("na"), F.col("s.n").alias("nb"))
-            elif round_no == 1:  # every component of a bucket, by one set, with the bucket's leader
-                star = open_rows.groupBy("sig", "c").agg(F.min(F.struct("rep", "n", "lead")).alias("s"))
-                pairs = star.select(F.col("s.lead.rep").alias("a"), F.col("s.rep").alias("b"), F.col("s.lead.n").alias("na"), F.col("s.n").alias("nb"))
+            if round_no == 0:  # every set with the most popular set that it meets
+                star = open_rows.groupBy("rep", "n").agg(F.max("lead").alias("lead"))
+                pairs = self._fits(star.select(F.col("lead.rep").alias("a"), F.col("rep").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb")))
+            elif round_no == 1:  # every component of a bucket, by its most popular set, with the bucket's most popular set
+                star = open_rows.groupBy("sig", "c").agg(F.max(F.struct("pop", "rep", "n", "lead")).alias("s"))
+                pairs = self._fits(star.select(F.col("s.lead.rep").alias("a"), F.col("s.rep").alias("b"), F.col("s.lead.n").alias("na"), F.col("s.n").alias("nb")))
             else:  # all that is left, across components
-                rest = rows.join(several, "sig", "left_semi").select("sig", "rep", "c", "role", "n")
-                pairs = rest.repartition("sig").sortWithinPartitions("sig", "c").mapInArrow(_across, "a long, b long, na long, nb long")
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
-            pairs = self._fits(pairs)
+                rest = rows.join(several.select("sig"), "sig", "left_semi").select("sig", "rep", "c", "role", "n")
+                rest = rest.join(sets.select(F.col("doc").alias("rep"), "parity"), "rep").select("sig", "rep", "c", "role", "n", "parity")
+                pairs = rest.repartition("sig").sortWithinPartitions("sig").mapInArrow(lambda it: _across(it, num, den), "a long, b long").distinct()
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = staged(pairs, "pairs")
             found = staged(self.similar(pairs, sets), "links")
             links = found if links is None else links.unionByName(found)
-            tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-            reached = components(links)
-            comp = staged(live.select("rep").distinct().join(reached.withColumnRenamed("v", "rep"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "components")
-        out = members.join(comp, "rep", "left").select("doc", "n", F.coalesce("c", "rep", "doc").alias("component"))
-        return out
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            comp = staged(nodes.select("rep").join(components(links).withColumnRenamed("v", "rep"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "components")
+        return members.join(comp, "rep", "left").select("doc", "n", F.coalesce("c", "rep", "doc").alias("component"))
 
 
 def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
