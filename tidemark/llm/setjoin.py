@@ -304,7 +304,8 @@ class JaccardClasses:
         """(doc, n, rep): each document's set size and the smallest document with an equal set."""
         k = self.k
         rows = staged(self.source.mapInArrow(lambda it: _member_rows(it, k), MEMBER), "members")
-        reps = rows.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"))
+        # Written first: a join of two plain shuffles can split the rows of a set that a third of all documents have.
+        reps = staged(rows.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep")), "reps")
         return staged(rows.join(reps, ["n", "d1", "d2"], "left").select("doc", "n", "rep"), "members-reps")
 
     def live(self, members: DataFrame) -> DataFrame:
@@ -332,7 +333,7 @@ class JaccardClasses:
         live = self.live(members)
         k, num, den = self.k, self.num, self.den
         # How often a set meets others over all its buckets: the centre of a group of copies meets most of them.
-        met = live.groupBy("sig").agg(F.count("*").alias("met"))
+        met = staged(live.groupBy("sig").agg(F.count("*").alias("met")), "met")
         nodes = staged(live.join(met, "sig").groupBy("rep").agg(F.sum("met").alias("pop")), "nodes")
         live = staged(live.join(nodes, "rep"), "live-pop")
         # One text for each representative: an id that repeats is one document, its first text by bytes.
@@ -345,6 +346,7 @@ class JaccardClasses:
             rows = live.join(comp, "rep")
             lead = F.max(F.struct("pop", "c", "rep", "n")).alias("lead")
             several = rows.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).filter("lo <> hi").select("sig", "lead")
+            several = staged(several, "several")
             open_rows = rows.join(several, "sig").filter("c <> lead.c")
             if round_no == 0:  # every set with the most popular set that it meets
                 star = open_rows.groupBy("rep", "n").agg(F.max("lead").alias("lead"))
