@@ -257,6 +257,13 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_long_chain_in_any_order(spark):
+    ids = [int(x) for x in np.random.default_rng(7).permutation(600)]
+    edges = [*zip(ids[:550], ids[1:550], strict=False), *zip(ids[550:], ids[551:], strict=False)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**dict.fromkeys(ids[:550], min(ids[:550])), **dict.fromkeys(ids[550:], min(ids[550:]))}
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 
 

@@ -8,22 +8,26 @@ from pyspark.sql import functions as F
 from tidemark.session import staged
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(v, c): for each end v of an edge (a, b) the smallest vertex c that it reaches.
 
-    Each round takes the smallest label among neighbours and then that label's own label (pointer jumping), so
-    paths halve; labels are written to the shared folder each round. An empty edge table gives an empty one.
+    Each round takes the smallest label among neighbours for the vertex and for the vertex that is its label (so
+    whole trees of labels are hooked to smaller ones, in any order of ids), and then that label's own label (pointer
+    jumping). Rounds go on until no label changes: labels only fall, so they end, and then neighbours have one label.
+    Labels are written to the shared folder each round. An empty edge table gives an empty one.
     """
     pairs = edges.select("a", "b").filter("a <> b")
     both = staged(pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = staged(both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("c")), "labels")
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels.select(F.col("v").alias("b"), "c"), "b").groupBy(F.col("a").alias("v")).agg(F.min("c").alias("m"))
-        least = labels.join(near, "v", "left").select("v", F.col("c").alias("was"), F.least("c", F.coalesce("m", "c")).alias("c"))
-        # The label's label: what the smallest label reached in earlier rounds.
-        jump = least.join(labels.select(F.col("v").alias("c"), F.col("c").alias("far")), "c", "left")
-        after = staged(jump.select("v", "was", F.least("c", F.coalesce("far", "c")).alias("c")), "labels")
+        own = F.struct("v", F.least("c", "m").alias("least"), F.col("c").alias("was"))
+        root = F.struct(F.col("c").alias("v"), F.col("m").alias("least"), F.lit(None).cast(labels.schema["c"].dataType).alias("was"))
+        offers = labels.join(near, "v").select(F.inline(F.array(own, root)))
+        hooked = staged(offers.groupBy("v").agg(F.max("was").alias("was"), F.min("least").alias("c")), "hooked")
+        # The label's label; every label is a vertex of the table.
+        jump = hooked.join(hooked.select(F.col("v").alias("c"), F.col("c").alias("far")), "c")
+        after = staged(jump.select("v", "was", F.least("c", "far").alias("c")), "labels")
         if after.filter("c <> was").isEmpty():
             return after.select("v", "c")
         labels = after.select("v", "c")
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
