@@ -47,6 +47,18 @@ def test_resampling_keeps_good_and_rejects_bad(spark):
     assert again == set(kept)
 
 
+def test_resampling_rejects_a_rare_kind_of_bad_document(spark):
+    data, _, kinds = labelled(spark)
+    rare = list(range(1000, 1018))
+    data += [(i, f"{data[i - 1000][1]} vermin", None, None, None) for i in rare if kinds[i - 1000] == "good"]
+    rare = [r[0] for r in data if r[0] >= 1000]
+    marks = [(i, int(k in ("good", "toxic")), int(k == "toxic")) for i, k in kinds.items() if i % 2] + [(i, 1, 1) for i in rare[::2]]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in resample.importance_resample(frame(spark, data), labels).collect()}
+    good = [i for i, k in kinds.items() if k == "good"]
+    assert len(kept & set(rare)) <= 0.2 * len(rare) and len(kept & set(good)) >= 0.97 * len(good)
+
+
 def test_resampling_edges(spark):
     data, labels, _ = labelled(spark, 60)
     assert resample.importance_resample(empty(spark), labels).count() == 0

@@ -3,8 +3,9 @@
 Two generative models over hashed token n-grams (words and runs of punctuation; unigrams and bigrams in separate
 tables) are fitted by counting in how many documents a bucket occurs: the target model over labelled good
 documents, the raw model over every document. A document's log weight adds log(target / raw) of its distinct
-buckets, where the counts leave no doubt about the ratio (both a clear ratio and many standard deviations) —
-most buckets of ordinary text have a ratio of one and estimation noise. The sample is the k largest of log weight
+buckets, where the counts leave no doubt about the ratio (both a clear ratio and many standard deviations, or fewer
+of them where the labelled rows that are not good confirm that the bucket is theirs) — most buckets of ordinary text
+have a ratio of one and estimation noise. The sample is the k largest of log weight
 plus Gumbel noise, which draws k documents without replacement with probability proportional to their weights.
 k defaults to the number of documents whose weight the labels mark as good.
 """
@@ -23,7 +24,7 @@ from tidemark.llm import textwork as T
 from tidemark.session import ship, staged
 
 #: log2 of the buckets of each of four tables (unigrams and bigrams, twice): the models' fixed size.
-BITS = 17
+BITS = 19
 #: The hash that stands for any eight tokens that repeat one or two in turn.
 STUTTER = np.uint64(0x5BD1E9955BD1E995)
 #: Added to both counts of a bucket.
@@ -31,9 +32,12 @@ PRIOR = 2.0
 #: A bucket counts if the log ratio is beyond LEAST_RATIO and the counts differ by LEAST_SIGMAS.
 LEAST_RATIO = 1.0
 LEAST_SIGMAS = 3.0
+#: A rare bucket also counts against a document if the log ratio is under -RARE_RATIO by RARE_SIGMAS and labelled rows
+#: outside the target have it more often than expected by BAD_SIGMAS.
+RARE_RATIO, RARE_SIGMAS, BAD_SIGMAS = 0.5, 1.5, 3.0
 #: Weights are raised to this power before the draw: above 1, clear cases are drawn or left more surely.
 SHARPNESS = 4.0
-#: Labelled rows that the target model is fitted on, at most about (a bounded, hash-ordered sample).
+#: Labelled rows that the target model is fitted on, and other labelled rows, at most about (bounded, hash-ordered samples).
 TARGET_ROWS = 200_000
 
 
@@ -78,34 +82,42 @@ SEGMENTS = 64
 
 
 def fit_counts(df: DataFrame, id_hash: str, text_col: str, wanted: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """(target counts, raw counts, target rows, raw rows): in how many rows each bucket occurs.
+    """(target counts, raw counts, target rows, raw rows): in how many rows each bucket occurs."""
+    counts, rows = group_counts(df, id_hash, text_col, [wanted], bits)
+    return counts[1], counts[0], rows[1], rows[0]
 
-    One pass over all rows; rows whose id_hash is in `wanted` (sorted) also count for the target. A task sends its
-    two count vectors once, compressed, in SEGMENTS parts, which are summed part by part; the sums come to the
-    driver, a fixed size.
+
+def group_counts(df: DataFrame, id_hash: str, text_col: str, groups: list[np.ndarray], bits: int = BITS) -> tuple[np.ndarray, list[int]]:
+    """(counts, rows) of all rows, then of each group: in how many rows each bucket occurs.
+
+    One pass over all rows; rows whose id_hash is in a group (sorted) also count for it. A task sends its count
+    vectors once, compressed, in SEGMENTS parts, which are summed part by part; the sums come to the driver, a
+    fixed size.
     """
     spark = df.sparkSession
-    ids = spark.sparkContext.broadcast(wanted)
+    ids = spark.sparkContext.broadcast(groups)
+    sides = 1 + len(groups)
     size = 4 << bits
     width = size // SEGMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, size), np.int64)
-        rows = np.zeros(2, np.int64)
-        known = ids.value
+        counts = np.zeros((sides, size), np.int32)
+        rows = np.zeros(sides, np.int64)
         for batch in batches:
             texts = T.as_bytes(batch.column("text"))
             keys = batch.column("id").to_numpy()
-            mine = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), bool)
-            rows += (mine.sum(), len(keys))
+            among = [known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), bool) for known in ids.value]
+            rows += (len(keys), *[mine.sum() for mine in among])
             for a, b in T.chunked([len(t) + 1 for t in texts]):
                 owner, first, second = buckets(texts[a:b], bits)
-                target = mine[a:b][owner]
-                for x in (first, second):
-                    counts[1] += np.bincount(x, minlength=size)
-                    counts[0] += np.bincount(x[target], minlength=size)
+                both = np.concatenate([first, second])
+                counts[0] += np.bincount(both, minlength=size).astype(np.int32)
+                for side, mine in enumerate(among, 1):
+                    part = mine[a:b][owner]
+                    if part.any():
+                        counts[side] += np.bincount(both[np.concatenate([part, part])], minlength=size).astype(np.int32)
         press = zstandard.ZstdCompressor(level=3)
-        for side in (0, 1):
+        for side in range(sides):
             if rows[side]:
                 blobs = [press.compress(np.ascontiguousarray(counts[side, i * width : (i + 1) * width]).tobytes()) for i in range(SEGMENTS)]
                 yield pa.RecordBatch.from_arrays(
@@ -125,7 +137,7 @@ def fit_counts(df: DataFrame, id_hash: str, text_col: str, wanted: np.ndarray, b
                     if at is not None:
                         yield done()
                     at, total, n = (row["side"], row["segment"]), np.zeros(width, np.int64), 0
-                total += np.frombuffer(press.decompress(row["counts"]), np.int64)
+                total += np.frombuffer(press.decompress(row["counts"]), np.int32)
                 n += row["n"]
         if at is not None:
             yield done()
@@ -133,16 +145,19 @@ def fit_counts(df: DataFrame, id_hash: str, text_col: str, wanted: np.ndarray, b
     schema = "side long, segment long, n long, counts binary"
     parts = df.select(F.col(id_hash).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
     sums = parts.repartition("side", "segment").sortWithinPartitions("side", "segment").mapInArrow(add, schema).collect()
-    out, rows = np.zeros((2, size)), [0, 0]
+    out, rows = np.zeros((sides, size)), [0] * sides
     press = zstandard.ZstdDecompressor()
     for r in sums:
         out[r["side"], r["segment"] * width : (r["segment"] + 1) * width] = np.frombuffer(press.decompress(r["counts"]), np.int64)
         rows[r["side"]] += r["n"]
-    return out[0], out[1], rows[0], rows[1]
+    return out, rows
 
 
-def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int) -> np.ndarray:
-    """log(target / raw) of each bucket where it is beyond doubt, otherwise 0."""
+def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int, bad: np.ndarray | None = None, n_bad: int = 0) -> np.ndarray:
+    """log(target / raw) of each bucket where it is beyond doubt, otherwise 0.
+
+    bad: counts over n_bad labelled rows outside the target, which confirm low ratios of rare buckets.
+    """
     if not n_target or not n_raw:
         return np.zeros(len(raw), np.float32)
     # Scale so that the typical frequent bucket has a ratio of one: what is bad in raw text takes no share of it.
@@ -153,7 +168,14 @@ def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int) -
     expected = raw * scale
     ratio = np.log((target + PRIOR) / (expected + PRIOR))
     sure = np.abs(target - expected) > LEAST_SIGMAS * np.sqrt(np.maximum(expected, 1.0))
-    return np.where(sure & (np.abs(ratio) > LEAST_RATIO), ratio, 0.0).astype(np.float32)
+    sure &= np.abs(ratio) > LEAST_RATIO
+    if bad is not None and n_bad:
+        share = n_bad / n_raw
+        if often.sum() >= 50:
+            share = float(np.median(bad[often] / raw[often]))
+        theirs = bad - raw * share > BAD_SIGMAS * np.sqrt(np.maximum(raw * share, 1.0))
+        sure |= theirs & (ratio < -RARE_RATIO) & (expected - target > RARE_SIGMAS * np.sqrt(np.maximum(expected, 1.0)))
+    return np.where(sure, ratio, 0.0).astype(np.float32)
 
 
 def _weights(df: DataFrame, text_col: str, ratios, bits: int) -> DataFrame:
@@ -225,7 +247,7 @@ def importance_resample(
     """The k sampled rows of df with log_weight and log_weight_noisy, sharpness * log_weight plus noise (columns of those names are replaced).
 
     labels: (id_col, good, bad); the target is what has good = 1 and bad = 0 (null: not). Of more than target_rows
-    target rows a hash-ordered share is used. k=None: as many as have a log weight above the border that parts the
+    target rows, or other labelled rows, a hash-ordered share is used. k=None: as many as have a log weight above the border that parts the
     labelled target rows from the other labelled rows best. Noise is a function of seed and id, so rows that repeat
     an id share it. Null and empty texts have no n-grams and log weight 0. Without target rows all weights are 0
     and all rows are kept. An empty table stays empty. scored=True returns every row with its columns instead.
@@ -236,13 +258,9 @@ def importance_resample(
     base = df.select(*[c for c in df.columns if c not in ("log_weight", "log_weight_noisy")])
     is_target = (F.coalesce(F.col(good), F.lit(0)) == 1) & (F.coalesce(F.col(bad), F.lit(0)) == 0)
     marks = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min(is_target.cast("int")).alias("__target"))
-    n_marked = marks.filter("__target = 1").count()
-    share = min(1.0, target_rows / max(1, n_marked))
-    inside = F.pmod(F.xxhash64(F.lit("target"), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1)
-    chosen = marks.filter((F.col("__target") == 1) & inside).select(F.xxhash64(F.col("__id").cast("string")).alias("h")).limit(2 * target_rows)
-    wanted = np.unique(np.array([r["h"] for r in chosen.collect()], np.int64))  # target_rows, about, of 8 bytes
-    target, raw, n_target, n_raw = fit_counts(base.withColumn("__h", F.xxhash64(F.col(id_col).cast("string"))), "__h", text_col, wanted, bits)
-    ratios = spark.sparkContext.broadcast(log_ratios(target, raw, n_target, n_raw))  # 4 bytes a bucket: 2 MB
+    groups = [_sample(marks, value, target_rows) for value in (1, 0)]
+    (raw, target, others), (n_raw, n_target, n_bad) = group_counts(base.withColumn("__h", F.xxhash64(F.col(id_col).cast("string"))), "__h", text_col, groups, bits)
+    ratios = spark.sparkContext.broadcast(log_ratios(target, raw, n_target, n_raw, others, n_bad))  # 4 bytes a bucket: 8 MB
     weights = _weights(base, text_col, ratios, bits).withColumn("log_weight_noisy", F.lit(sharpness) * F.col("log_weight") + gumbel(seed, F.col(id_col)))
     if scored:
         return weights
@@ -259,6 +277,15 @@ def importance_resample(
     return joined.select(*[keyed[c] for c in base.columns], kept["log_weight"], kept["log_weight_noisy"])
 
 
+def _sample(marks: DataFrame, value: int, most: int) -> np.ndarray:
+    """Sorted id hashes of the labelled rows whose __target is value, or of about `most` of them: 8 bytes each."""
+    of_value = marks.filter(F.col("__target") == value)
+    share = min(1.0, most / max(1, of_value.count()))
+    inside = F.pmod(F.xxhash64(F.lit("target"), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1)
+    chosen = of_value.filter(inside).select(F.xxhash64(F.col("__id").cast("string")).alias("h")).limit(2 * most)
+    return np.unique(np.array([r["h"] for r in chosen.collect()], np.int64))
+
+
 def _border(slim: DataFrame, marks: DataFrame) -> float:
     """The log weight that parts labelled target rows from the others with the fewest errors, each side counting alike.
 
