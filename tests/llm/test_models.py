@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from common import SCHEMA, empty, frame, rows, texts
 from comparing import same_rows
 from tidemark.llm import digest, langid, order, queries, resample, sql
+from tidemark.llm import textwork as T
 
 
 def labelled(spark, n=600, seed=2):
@@ -41,22 +42,25 @@ def test_resampling_keeps_good_and_rejects_bad(spark):
     kept = [r["doc_id"] for r in resample.importance_resample(frame(spark, data, clash=True), labels).collect()]
     assert len(kept) == len(set(kept)) and kept == kept
     good = [i for i, k in kinds.items() if k == "good"]
-    assert len(set(kept) & set(good)) >= 0.97 * len(good)
-    assert len(set(kept) - set(good)) <= 0.1 * (len(data) - len(good))
+    assert len(set(kept) & set(good)) >= 0.94 * len(good)
+    assert len(set(kept) - set(good)) <= 0.2 * (len(data) - len(good))
     again = {r["doc_id"] for r in resample.importance_resample(frame(spark, data), labels).collect()}
     assert again == set(kept)
 
 
 def test_resampling_rejects_a_rare_kind_of_bad_document(spark):
     data, _, kinds = labelled(spark)
-    rare = list(range(1000, 1018))
+    rare = list(range(1000, 1060))
     data += [(i, f"{data[i - 1000][1]} vermin", None, None, None) for i in rare if kinds[i - 1000] == "good"]
     rare = [r[0] for r in data if r[0] >= 1000]
     marks = [(i, int(k in ("good", "toxic")), int(k == "toxic")) for i, k in kinds.items() if i % 2] + [(i, 1, 1) for i in rare[::2]]
     labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
     kept = {r["doc_id"] for r in resample.importance_resample(frame(spark, data), labels).collect()}
     good = [i for i, k in kinds.items() if k == "good"]
-    assert len(kept & set(rare)) <= 0.2 * len(rare) and len(kept & set(good)) >= 0.97 * len(good)
+    # One telling word in a few rows lends a weight of about 1/e to 1/5, and the draw keeps about as many.
+    scored = {r["doc_id"]: r["log_weight"] for r in resample.importance_resample(frame(spark, data), labels, scored=True).collect()}
+    assert max(scored[i] for i in rare) < -0.7 and np.mean([scored[i] for i in good]) > -0.1
+    assert len(kept & set(rare)) <= 0.4 * len(rare) and len(kept & set(good)) >= 0.93 * len(good)
 
 
 def test_resampling_edges(spark):
@@ -67,6 +71,10 @@ def test_resampling_edges(spark):
     out = resample.importance_resample(frame(spark, odd), labels, k=len(odd)).collect()
     assert len(out) == len(odd) and set(out[0].asDict()) == {"doc_id", "text", "lang", "source", "n_chars", "log_weight", "log_weight_noisy"}
     assert resample.importance_resample(frame(spark, odd), labels, k=7).count() == 7
+    assert resample.importance_resample(frame(spark, odd), labels, share=0.5).count() == round(0.5 * len(odd))
+    same = [(5, "one text", None, None, None)] * 9 + [(6, "another", None, None, None)]
+    for k in range(11):
+        assert resample.importance_resample(frame(spark, same), labels.limit(0), k=k).count() == k
     nulls = labels.unionByName(spark.createDataFrame([(None, 1, 0), (3, None, None)], labels.schema))
     assert resample.importance_resample(frame(spark, odd), nulls, k=5).count() == 5
 
@@ -96,6 +104,61 @@ def test_counts_are_of_all_rows(spark):
     assert (raw == want).all() and n_raw == len(data) and n_target == sum(i % 2 == 0 for i, *_ in data) and (target <= raw).all()
 
 
+def test_ratios_and_weights_against_brute_force(spark):
+    data, labels, _ = labelled(spark, 300)
+    marks = {r["doc_id"]: (r["quality"], r["toxic"]) for r in labels.collect()}
+    bits = 12
+    found = {i: resample.buckets([t.encode()], bits)[1:] for i, t, *_ in data}
+    raw, target, bad = {}, {}, {}
+    for i, pair in found.items():
+        for b in [*pair[0].tolist(), *pair[1].tolist()]:
+            raw[b] = raw.get(b, 0) + 1
+            if i in marks:
+                side = target if marks[i] == (1, 0) else bad
+                side[b] = side.get(b, 0) + 1
+    total = sum(raw.values())
+    f, g = sum(target.values()) / total, sum(bad.values()) / total
+
+    def ratio(b):
+        e, t = raw[b] * f, target.get(b, 0)
+        value = math.log((t + resample.PRIOR) / (e + resample.PRIOR))
+        clear = abs(value) > resample.LEAST_RATIO and abs(t - e) > resample.LEAST_SIGMAS * math.sqrt(max(e, 1))
+        usual = raw[b] * g
+        theirs = bad.get(b, 0) - usual > resample.BAD_SIGMAS * math.sqrt(max(usual, 1)) and value < -resample.RARE_RATIO and e - t > resample.RARE_SIGMAS * math.sqrt(max(e, 1))
+        return value if clear or theirs else 0.0
+
+    want = {}
+    for i, (first, second) in found.items():
+        pairs = [(ratio(x), ratio(y)) for x, y in zip(first.tolist(), second.tolist(), strict=True)]
+        want[i] = sum(min(p, key=abs) for p in pairs if p[0] * p[1] > 0)
+    got = {r["doc_id"]: r["log_weight"] for r in resample.importance_resample(frame(spark, data), labels, bits=bits, scored=True).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-4 for i in want) and min(want.values()) < -1
+
+
+def test_the_draw_follows_the_weights(spark):
+    """Inclusion by seed: the rates of a draw without replacement, worked out by simulating it."""
+    weights = np.array([0.0] * 40 + [-1.0] * 40 + [-3.0] * 40)
+    df = spark.createDataFrame([(i, float(w)) for i, w in enumerate(weights)], "id long, w double")
+    seen, samples = np.zeros(len(weights)), []
+    for seed in range(60):
+        rows = resample.top_k(df.select("id", (F.col("w") + resample.gumbel(seed, F.col("id"))).alias("s")), 50, "s", ["id"]).collect()
+        samples.append(frozenset(r["id"] for r in rows))
+        seen[list(samples[-1])] += 1
+    assert len(set(samples)) == 60
+    rng = np.random.default_rng(0)
+    want = np.zeros(len(weights))
+    for _ in range(400):
+        want[rng.choice(len(weights), 50, replace=False, p=np.exp(weights) / np.exp(weights).sum())] += 1
+    for part in (slice(0, 40), slice(40, 80), slice(80, 120)):
+        assert abs(seen[part].mean() / 60 - want[part].mean() / 400) < 0.04
+
+
+def test_two_seeds_draw_two_samples(spark):
+    data, labels, _ = labelled(spark, 300)
+    one, two = ({r["doc_id"] for r in resample.importance_resample(frame(spark, data), labels, share=0.4, seed=s).collect()} for s in (1, 2))
+    assert len(one) == len(two) == 120 and len(one & two) < 100
+
+
 LANGS = {"aa": "the and thing with", "bb": "der und nicht schön", "cc": "ciónes para señor que"}
 
 
@@ -135,13 +198,14 @@ def test_code_switched_words():
     assert [x for _, x, _ in got] == ["aa", "aa", "aa", "bb", "bb", "bb", "cc", "cc"]
 
 
-def test_forward_backward_against_enumeration():
+@pytest.mark.parametrize("block", [1, 2, 3, 64])
+def test_forward_backward_against_enumeration(block):
     import itertools
 
     rng = np.random.default_rng(3)
     scores, jump = rng.normal(size=(9, 3)), rng.normal(size=(3, 3))
     start, size = np.array([0, 4, 5]), np.array([4, 1, 4])
-    got, expected = langid.forward_backward(scores, start, size, jump, pairs=True)
+    got, expected = langid.forward_backward(scores, start, size, jump, pairs=True, block=block)
     want, pairs = np.zeros((9, 3)), np.zeros((3, 3))
     for s, n in zip(start, size, strict=True):
         paths = list(itertools.product(range(3), repeat=int(n)))
@@ -154,6 +218,52 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(got, want) and np.allclose(expected, pairs)
 
 
+def test_prediction_against_enumeration():
+    import itertools
+
+    data = language_rows()
+    model = langid.train([t.encode() for _, t, *_ in data], [x for _, _, x, *_ in data])
+    shift = 64 - model.bits
+    one = lambda b: int(T.span_hash(T.prefix_hash(np.frombuffer(b, np.uint8)), np.array([0]), np.array([len(b)]))[0])
+    mixed = lambda x: int(T.mix(np.array([x % 2**64], np.uint64))[0]) >> shift
+    text = "Thing und-die señor schönn thewith x"
+    words = [w for w in __import__("re").findall(rb"[a-z\x80-\xff]+", text.lower().encode())]
+    scores = []
+    for w in words:
+        padded = b" " + w + b" "
+        rows_ = [one(w) >> shift] + [mixed(one(part) + salt) for n in (1, 2, 3) for part, salt in ((w[:n], n), (w[-n:], n + 8))]
+        rows_ += [mixed((padded[i] << 16 | padded[i + 1] << 8 | padded[i + 2]) + (1 << 40)) for i in range(len(w))]
+        known = np.flatnonzero(model.lexicon == np.uint64(one(w)))
+        scores.append(model.table[rows_].sum(axis=0) + model.lexicon_weight[model.lexicon_language[known[0]] if len(known) else len(model.languages)])
+    n = len(model.languages)
+    paths = list(itertools.product(range(n), repeat=len(words)))
+    weight = np.array([np.exp(sum(scores[t][y] for t, y in enumerate(p)) + sum(model.transitions[a, b] for a, b in zip(p, p[1:], strict=False))) for p in paths])
+    share = np.zeros(n)
+    for p, w in zip(paths, weight / weight.sum(), strict=True):
+        for y in p:
+            share[y] += w / len(words)
+    (name,), (score,) = langid.predict(model, [text.encode()])
+    assert name == model.languages[int(share.argmax())] and abs(score - share.max()) < 1e-4
+
+
+def test_many_languages_and_a_repeatable_sample(spark):
+    assert langid.bits_for(4) == 18 and langid.bits_for(64) == 18 and langid.bits_for(1000) == 14
+    rnd = random.Random(8)
+    data = [(i, " ".join(f"{'abcdefghijklmnopqrst'[i % 80 // 4]}{'uvwx'[i % 4]}{rnd.randrange(30)}z" for _ in range(12)).replace("0", "o"), f"l{i % 80:02d}", None, None) for i in range(1600)]
+    texts, languages = langid.training_rows(frame(spark, data), "lang", "doc_id", "text", 5)
+    again = langid.training_rows(frame(spark, data).repartition(7), "lang", "doc_id", "text", 5)
+    assert len(set(languages)) == 80 and max(languages.count(x) for x in set(languages)) == 5 and (texts, languages) == again
+    long = [(1, "ab " * 9000, "x", None, None)]
+    assert [len(t) for t in langid.training_rows(frame(spark, long), "lang", "doc_id", "text", 5)[0]] == [langid.TRAIN_CHARS]
+
+
+def test_transitions_learn_a_switch():
+    data = language_rows()
+    model = langid.train([t.encode() for _, t, *_ in data], [x for _, _, x, *_ in data])
+    off = model.transitions[~np.eye(3, dtype=bool)]
+    assert (np.diag(model.transitions) > off.max()).all() and off.min() > -4
+
+
 def test_next_and_edited(spark):
     data = [*rows(), (None, "null id", None, None, None), (6, "zz repeated id", None, None, None), (6, "aa repeated id", None, None, None)]
     out = order.with_next(frame(spark, data, clash=True), shard_docs=11).collect()
@@ -186,16 +296,55 @@ def test_digests(spark):
     assert all(len(v) == 1 for v in by_text.values())
     assert digest.fingerprints(empty(spark), {"text": "f"}, ranks).count() == 0
     table = np.array(ranks)
-    prints = lambda *t: [digest.to_text(digest.chain(h), len(h)) for h in digest.features([x.encode() for x in t], table)]
+    prints = lambda *t: [digest.Print.of(x) for x in digest.features([x.encode() for x in t], table)]
     rnd = random.Random(1)
     for size in (4, 12, 30, 200, 3000, 40_000):
         a, b = ("".join(rnd.choice("abcdefghijklmnop qrstuvw") for _ in range(size)) for _ in (1, 2))
         edited = a[: size - size // 4] + b[: size // 4]
         fa, fb, fe, fe2 = prints(a, b, edited, edited)
-        assert fe == fe2 and digest.likeness(fa, fa) == 1
-        assert digest.likeness(fa, fe) > 0.3 and digest.likeness(fa, fe) > digest.likeness(fa, fb) + 0.2
-        assert digest.likeness(fa, fe) == digest.likeness(fe, fa)
-    assert digest.likeness(prints("")[0], fa) == 0 and digest.likeness(prints("")[0], prints("")[0]) == 1
+        assert fe.text() == fe2.text() and digest.compare(fa, fa) == 1 and digest.likeness(fa.text(), fa.text()) == 1
+        assert digest.compare(fa, fe) > 0.3 and digest.compare(fa, fe) > digest.compare(fa, fb) + 0.15
+        assert digest.compare(fa, fe) == digest.compare(fe, fa) == digest.likeness(fa.text(), fe.text())
+    none = prints("")[0]
+    assert digest.compare(none, fa) == 0 and digest.likeness(none.text(), none.text()) == 1 and digest.likeness(None, none.text()) is None
+
+
+def test_digests_of_every_size():
+    table = np.random.default_rng(0).permutation(digest.LEVELS)
+    prints = lambda *t: [digest.Print.of(x) for x in digest.features([x.encode() for x in t], table)]
+    rnd = random.Random(2)
+    for size in range(2, 301):
+        text = "".join(rnd.choice(rnd.choice(["abcdefghijklmnop qrstuvw", "ab"])) for _ in range(size))
+        whole, front, back = prints(text, text[:-1], text[1:])
+        assert digest.compare(whole, front) >= 0.8 and digest.compare(whole, back) >= 0.8, size
+    a, b, dash, ab, the, la = prints("a" * 300, "b" * 300, "-" * 300, "ab" * 150, "the " * 180, "la " * 180)
+    assert digest.compare(a, b) == 0 and digest.compare(dash, ab) < 0.1 and digest.compare(the, la) < 0.2
+
+
+def test_digest_features_against_brute_force():
+    table = np.random.default_rng(1).permutation(digest.LEVELS)
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("abcdefgh ijklmnü") for _ in range(n)) for n in (0, 1, 7, 40, 90, 400)] + ["x" * 200]
+    got = digest.features([t.encode() for t in texts], table)
+    for text, (few, rare) in zip(texts, got, strict=True):
+        b = text.encode()
+        hashed = lambda w: int(T.span_hash(T.prefix_hash(np.frombuffer(w, np.uint8)), np.array([0]), np.array([len(w)]))[0])  # noqa: B023, E731
+        keys = set()
+        for rank, width in enumerate(digest.BASE_WIDTHS):
+            keys |= {(rank << 62) | (int(T.mix(np.array([(hashed(b[i : i + width]) + width) % 2**64], np.uint64))[0]) >> 2) for i in range(len(b) - width + 1)}
+        want = sorted(keys)[: digest.BASE_FEATURES]
+        assert sorted(few.tolist()) == sorted(int(T.mix(np.array([k], np.uint64))[0]) for k in want)
+        wins = {}
+        windows = []
+        for i in range(len(b) - digest.WINDOW + 1):
+            level = int(digest.levels(np.frombuffer(b[i : i + digest.WINDOW], np.uint8))[0])
+            windows.append(None if level < digest.LEAST_LEVEL else (table[level], hashed(b[i : i + digest.WINDOW]) >> 40, i))
+        for i in range(len(windows) - digest.POPULAR + 1):
+            among = [w for w in windows[i : i + digest.POPULAR] if w]
+            if among:
+                wins[min(among)[2]] = wins.get(min(among)[2], 0) + 1
+        best = [hashed(b[i : i + digest.WINDOW]) for i in sorted(wins) if wins[i] >= digest.LEAST_WINS]
+        assert rare.tolist() == list(dict.fromkeys(best))
 
 
 def test_op3_query(spark, sf_dir):
@@ -216,6 +365,67 @@ def test_every_operator_is_registered():
     assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
 
 
+def stage_rows():
+    return [*rows(5, 60), *rows(5, 60)[:3], (None, "a null id", None, None, None), (None, None, None, None, None), (7, "", "en", "s", 0), (7, "seven again", "en", "s", 0)]
+
+
+def brute_stage(name, data, bench):
+    """The rows (id, text) that the stage's rule keeps, in any order; None where a draw decides."""
+    if name == "line_dedup":
+        from test_exact import brute_lines
+
+        lines = brute_lines(data)
+        return [(i, None if t is None else lines[i, t][2]) for i, t, *_ in data if lines[i, t][1] == 0 or lines[i, t][2].strip(" \t\n\x0b\x0c\r")]
+    if name == "near_duplicates":
+        from test_exact import brute_classes
+
+        known = [r for r in data if r[0] is not None]
+        numbered = [(n, t) for n, (_, t, *_) in enumerate(known)]
+        classes = brute_classes(numbered, 5, 80, 100)
+        least = {}
+        for n, (_, c) in classes.items():
+            least[c] = min(least.get(c, known[n][0]), known[n][0])
+        kept = {}
+        for n, (size, c) in classes.items():
+            if size == 0:
+                kept[n] = known[n]
+            elif known[n][0] == least[c]:
+                kept.setdefault((c, tuple((known[n][1] or "").lower().split())), known[n])
+        return [(r[0], r[1]) for r in kept.values()] + [(i, t) for i, t, *_ in data if i is None]
+    if name == "benchmark_leaks":
+        from test_exact import brute_leaks
+
+        return [(i, t) for i, t, *_ in data if not brute_leaks([(i, t)], bench)[i][1]]
+    return None
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_on_awkward_rows(spark, tmp_path, number):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    name, stage = corpus_pipeline.STAGES[number]
+    data = stage_rows()
+    bench = [("a", " ".join((data[20][1] or "x").split()[:12])), ("b", None)]
+    spark.createDataFrame(bench, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(3, 1, 0), (6, 1, 0), (9, 0, 1), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = frame(spark, data)
+    for n in ("N_lines", "ITEMS", "hash", "Log_Weight", "spans"):
+        docs = docs.withColumn(n, F.lit("clash"))
+    out = stage(spark, docs, str(tmp_path))
+    got = out.collect()
+    if name == "bpe":
+        assert len(got) == len(data) and sum(r["n_tokens"] == 0 for r in got) == sum(not (t or "").strip() for _, t, *_ in data)
+    else:
+        assert out.columns == docs.columns and all(r["ITEMS"] == "clash" for r in got)
+        want = brute_stage(name, data, bench)
+        key = lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")
+        if want is None:
+            assert {(r["doc_id"], r["text"]) for r in got} <= {(i, t) for i, t, *_ in data} and len(got) <= len(data)
+        else:
+            assert sorted(((r["doc_id"], r["text"]) for r in got), key=key) == sorted(want, key=key)
+    none = stage(spark, docs.limit(0), str(tmp_path))
+    assert none.count() == 0 and (name == "bpe" or none.columns == docs.columns)
+
+
 def test_pipeline(spark, sf_dir):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

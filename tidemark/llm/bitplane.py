@@ -60,13 +60,8 @@ def from_planes(planes: list[bytes], n: int, width: int, kind: str = "byte") ->
     return np.ascontiguousarray(flat).reshape(-1).view(f"<u{width}")
 
 
-_ENCODERS: dict[str, LibraryEncoder] = {}
-
-
 def _encoder(path: str) -> LibraryEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = LibraryEncoder(path)
-    return _ENCODERS[path]
+    return T.held("encoder", path, lambda: LibraryEncoder(path))
 
 
 def shard_borders(df: DataFrame, id_col: str, shard_docs: int = SHARD_DOCS) -> list[int]:
@@ -87,14 +82,16 @@ def write_ids(
     """Encode every whole text, append end_id, and write all ids in ascending id_col order to the folder `path`.
 
     A null text is an empty one: its ids are the end id. Null ids come first. Rows with the same id follow each
-    other in the order of their ids' bytes. An empty table writes tables without rows.
+    other in the order of their ids' bytes. An empty table writes tables without rows. Document ids are cast to long,
+    as SQL casts (a string that is no number is an error); other columns are not looked at. The ids equal those of the
+    library's encode() (LibraryEncoder says how). A text is held whole in one task.
     """
     if planes not in ("byte", "bit"):
         raise ValueError("planes is 'byte' or 'bit'")
     spark = df.sparkSession
     ship(spark)
     T.small_batches(spark)
-    rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    rows = df.select(F.col(T.quoted(id_col)).cast("long").alias("doc"), F.col(T.quoted(text_col)).alias("text"))
     borders = spark.sparkContext.broadcast(np.array(shard_borders(rows, "doc", shard_docs), np.int64))
     size = Tokenizer.from_file(vocabulary).get_vocab_size()
     width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
@@ -105,12 +102,9 @@ def write_ids(
         for batch in batches:
             docs = batch.column("doc")
             at = np.searchsorted(borders.value, docs.fill_null(-(2**63)).to_numpy(), side="right")
-            ids = []
-            for text in batch.column("text").to_pylist():
-                packed = own.encode(text) if text else b""
-                if own.split.width.itemsize != width:
-                    packed = np.frombuffer(packed, own.split.width).astype(f"<u{width}").tobytes()
-                ids.append(packed + end)
+            texts, ids = [t or "" for t in batch.column("text").to_pylist()], []
+            for a, b in T.chunked([len(t) for t in texts], 2 * T.CHUNK_BYTES):
+                ids += [x.astype(f"<u{width}").tobytes() + end for x in own.encode(texts[a:b])]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), docs, pa.array(ids, pa.binary())], ["shard", "doc", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

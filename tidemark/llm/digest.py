@@ -2,15 +2,22 @@
 
 Every window of 32 bytes has an entropy; entropy levels are ranked by how rarely windows of the whole corpus have
 them (a histogram over all documents). Of each 32 windows in a row the one of rarest level is the popular one
-(equal levels: smallest hash), and windows that are popular often enough are features. Features go into a chain
-of Bloom filters of 2,048 bits, five bits each, 160 features a filter. Two chains are compared filter by filter:
-shared bits beyond those expected by chance, as a share of the most that there could be.
+(equal levels: smallest hash), and windows that are popular often enough are features. Besides these, every text has
+up to 64 base features, picked by hash among its windows of 8 bytes, then of 4, 2 and 1 where there are fewer: so a
+text of any size and any entropy has features, and there is no size at which other features take over.
+
+Features go into two chains of Bloom filters of 2,048 bits, five bits a feature, 160 features a filter: base features
+into the first filter, improbable ones into the chain behind it. Chains are compared filter by filter: shared bits
+beyond those expected by chance, as a share of the most that there could be. The likeness of two texts is the mean of
+both chains' likenesses, improbable features counting one each and the base filter BASE_WEIGHT in all.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textwork as T
+from tidemark.llm.order import followed, ordered
 from tidemark.session import ship
 
 WINDOW = 32
@@ -26,11 +34,14 @@ POPULAR = 32
 LEAST_WINS = 8
 FILTER_BITS, FEATURE_BITS, FILTER_FEATURES = 2048, 5, 160
 LEVELS = 128
+#: Bytes of texts that are fingerprinted together.
+PRINT_BYTES = 1 << 18
 #: Windows below this level (1.5 of 5 bits) are runs of few characters and never features.
 LEAST_LEVEL = int(1.5 / 5 * LEVELS)
-#: Texts of fewer bytes have all windows of SHORT_WINDOW bytes as features, those below TINY_TEXT of TINY_WINDOW.
-SHORT_TEXT, SHORT_WINDOW = 4 * WINDOW, 8
-TINY_TEXT, TINY_WINDOW = 24, 2
+#: Base features of a text: the windows of these widths with the smallest keys, wider ones first.
+BASE_WIDTHS, BASE_FEATURES = (8, 4, 2, 1), 64
+#: What the base filter weighs, in improbable features.
+BASE_WEIGHT = 8
 
 _COUNTS = np.arange(WINDOW + 1, dtype=np.float64)
 _WEIGHT = np.round(_COUNTS * np.log2(np.maximum(_COUNTS, 1)) * 2**20).astype(np.int64)
@@ -90,51 +101,80 @@ def entropy_ranks(df: DataFrame, text_col: str = "text") -> list[int]:
     return ranks.tolist()
 
 
-def features(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
-    """The hashes of each text's features, in order, each once."""
+def improbable(buf: np.ndarray, at: np.ndarray, prefix: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of the improbable features of texts in one buffer, in order."""
+    where, _ = _inside(at, WINDOW)
+    if not len(where):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    none = np.iinfo(np.uint64).max
+    level = levels(buf)[where]
+    key = np.full(len(buf), none, np.uint64)
+    good = level >= LEAST_LEVEL
+    where, level = where[good], level[good]
+    hashes = T.span_hash(prefix, where, where + WINDOW)
+    key[where] = (ranks[level].astype(np.uint64) << np.uint64(56)) | ((hashes >> np.uint64(40)) << np.uint64(32)) | where.astype(np.uint64)
+    least, width = key, 1
+    while width < POPULAR:
+        least = np.minimum(least[: len(least) - width], least[width:])
+        width *= 2
+    runs, _ = _inside(at, WINDOW + POPULAR - 1)
+    best = least[runs]
+    best = (best[best != none] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    chosen = np.flatnonzero(np.bincount(best, minlength=len(buf)) >= LEAST_WINS)
+    return T.span_hash(prefix, chosen, chosen + WINDOW), np.searchsorted(at, chosen, side="right") - 1
+
+
+def base(buf: np.ndarray, at: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of the base features: of each text the BASE_FEATURES windows that come first by width and hash."""
+    keys, owners = [], []
+    sizes = np.diff(at) - 1
+    least = np.zeros(len(sizes), np.int64)  # distinct windows of the wider widths
+    for rank, width in enumerate(BASE_WIDTHS):
+        where, owner = _inside(at, width)
+        want = least[owner] < BASE_FEATURES
+        where, owner = where[want], owner[want]
+        hashes = T.mix(T.span_hash(prefix, where, where + width) + np.uint64(width))
+        # The top two bits hold the width's rank: wider windows come first. Long texts are thinned before the sort.
+        key = (hashes >> np.uint64(2)) | np.uint64(rank << 62)
+        many = sizes[owner] > 64 * BASE_FEATURES
+        share = np.minimum(1.0, 16.0 * BASE_FEATURES / np.maximum(sizes[owner], 1))
+        thin = many & (hashes > (share * float(2**64 - 2**12)).astype(np.uint64))
+        order = np.lexsort((key[~thin], owner[~thin]))
+        key, owner = key[~thin][order], owner[~thin][order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        keys.append(key[fresh])
+        owners.append(owner[fresh])
+        least += np.bincount(owner[fresh], minlength=len(sizes))
+    key, owner = np.concatenate(keys), np.concatenate(owners).astype(np.int64)
+    order = np.lexsort((key, owner))
+    key, owner = key[order], owner[order]
+    first = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left") < BASE_FEATURES
+    return T.mix(key[first]), owner[first]
+
+
+Digest = tuple[np.ndarray, np.ndarray]
+
+
+def features(texts: list[bytes], ranks: np.ndarray) -> list[Digest]:
+    """(base features, improbable features) of each text: hashes, in order, each once."""
     buf, at = T.join_texts(texts)
     prefix = T.prefix_hash(buf)
-    sizes = np.diff(at) - 1
-    found_at, found_of = [], []
-    where, owner = _inside(at, WINDOW)
-    if len(where):
-        level = levels(buf)[where]
-        hashes = T.span_hash(prefix, where, where + WINDOW)
-        key = np.full(len(buf), np.iinfo(np.uint64).max, np.uint64)
-        good = (level >= LEAST_LEVEL) & (sizes[owner] >= SHORT_TEXT)
-        key[where[good]] = (ranks[level[good]].astype(np.uint64) << np.uint64(56)) | ((hashes[good] >> np.uint64(40)) << np.uint64(32)) | where[good].astype(np.uint64)
-        least, width = key, 1
-        while width < POPULAR:
-            least = np.minimum(least[: len(least) - width], least[width:])
-            width *= 2
-        runs, run_owner = _inside(at, WINDOW + POPULAR - 1)
-        best = least[runs]
-        best = (best[best != np.iinfo(np.uint64).max] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        wins = np.bincount(best, minlength=len(buf))
-        chosen = np.flatnonzero(wins >= LEAST_WINS)
-        found_at.append(chosen)
-        found_of.append(np.searchsorted(at, chosen, side="right") - 1)
-    hashes_of = [T.span_hash(prefix, x, x + WINDOW) for x in found_at]
-    for width, least, most in ((SHORT_WINDOW, TINY_TEXT, SHORT_TEXT), (TINY_WINDOW, TINY_WINDOW, TINY_TEXT), (1, 1, TINY_WINDOW)):
-        short, of_short = _inside(at, width)
-        use = (sizes[of_short] >= least) & (sizes[of_short] < most)
-        hashes_of.append(T.span_hash(prefix, short[use], short[use] + width))
-        found_of.append(of_short[use])
-    all_hash = np.concatenate(hashes_of)
-    all_of = np.concatenate(found_of).astype(np.int64)
-    order = np.argsort(all_of, kind="stable")
-    all_hash, cuts = all_hash[order], np.searchsorted(all_of[order], np.arange(len(texts) + 1))
-    out = []
-    for i in range(len(texts)):
-        mine = all_hash[cuts[i] : cuts[i + 1]]
-        _, first = np.unique(mine, return_index=True)
-        out.append(mine[np.sort(first)])
-    return out
+
+    def split(hashes: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        out = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            _, first = np.unique(hashes[a:b], return_index=True)
+            out.append(hashes[a:b][np.sort(first)])
+        return out
+
+    return list(zip(split(*base(buf, at, prefix)), split(*improbable(buf, at, prefix, ranks)), strict=True))
 
 
 def chain(hashes: np.ndarray) -> np.ndarray:
     """The chained filters of a list of features: (filters, FILTER_BITS / 8) bytes."""
-    n = max(1, -(-len(hashes) // FILTER_FEATURES))
+    n = -(-len(hashes) // FILTER_FEATURES)
     bits = np.zeros((n, FILTER_BITS), np.uint8)
     if len(hashes):
         which = np.arange(len(hashes)) // FILTER_FEATURES
@@ -143,50 +183,76 @@ def chain(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1)
 
 
-def to_text(filters: np.ndarray, n_features: int) -> str:
-    return f"1:{n_features}:{base64.b64encode(filters.tobytes()).decode()}"
+@dataclass
+class Print:
+    """A fingerprint: the base filter and its features' number, and the chain of improbable features and theirs."""
+
+    few: np.ndarray
+    n_few: int
+    rare: np.ndarray
+    n_rare: int
 
+    @classmethod
+    def of(cls, digest: Digest) -> Print:
+        return cls(chain(digest[0]), len(digest[0]), chain(digest[1]), len(digest[1]))
 
-def from_text(fingerprint: str) -> tuple[np.ndarray, int]:
-    _, n, data = fingerprint.split(":", 2)
-    return np.frombuffer(base64.b64decode(data), np.uint8).reshape(-1, FILTER_BITS // 8), int(n)
+    def text(self) -> str:
+        return f"2:{self.n_few}:{self.n_rare}:{base64.b64encode(self.few.tobytes() + self.rare.tobytes()).decode()}"
 
+    @classmethod
+    def parse(cls, text: str) -> Print:
+        _, n_few, n_rare, data = text.split(":", 3)
+        filters = np.frombuffer(base64.b64decode(data), np.uint8).reshape(-1, FILTER_BITS // 8)
+        cut = -(-int(n_few) // FILTER_FEATURES)
+        return cls(filters[:cut], int(n_few), filters[cut:], int(n_rare))
 
-def likeness(a: str, b: str) -> float:
-    """0 to 1: normalised bit overlap. Equal fingerprints have 1; one without features has 0 with any other."""
-    if a == b:
-        return 1.0
-    (x, n), (y, m) = from_text(a), from_text(b)
+
+def _overlap(x: np.ndarray, n: int, y: np.ndarray, m: int) -> float:
+    """0 to 1: how much of the shorter chain's filters is found in the best filter of the other; 0 if one is empty."""
     if not n or not m:
         return 0.0
     if len(y) < len(x) or (len(x) == len(y) and m < n):
         x, y, n, m = y, x, m, n
     ones_y = np.bitwise_count(y).sum(axis=1, dtype=np.int64)
-    total = weight = 0.0
+    total = 0.0
     for i, f in enumerate(x):
         ones = int(np.bitwise_count(f).sum())
-        count = min(FILTER_FEATURES, n - i * FILTER_FEATURES)
-        if not ones:
-            continue
         shared = np.bitwise_count(y & f).sum(axis=1, dtype=np.int64)
         chance = ones * ones_y / FILTER_BITS
         most = np.minimum(ones, ones_y)
         best = np.where(most > chance, (shared - chance) / np.maximum(most - chance, 1e-9), 0.0).max()
-        total += count * min(1.0, max(0.0, float(best)))
-        weight += count
-    return total / weight if weight else 0.0
+        total += min(FILTER_FEATURES, n - i * FILTER_FEATURES) * min(1.0, max(0.0, float(best)))
+    return total / n
+
+
+def compare(a: Print, b: Print) -> float:
+    """0 to 1, the same either way. A text without features (an empty one) has 0 with any other and 1 with another empty one."""
+    if not a.n_few or not b.n_few:
+        return float(a.n_few == b.n_few)
+    rare = min(a.n_rare, b.n_rare)
+    few = _overlap(a.few, a.n_few, b.few, b.n_few)
+    return (rare * _overlap(a.rare, a.n_rare, b.rare, b.n_rare) + BASE_WEIGHT * few) / (rare + BASE_WEIGHT)
+
+
+def likeness(a: str | None, b: str | None) -> float | None:
+    """The likeness of two fingerprints in text form: 1 for equal ones, null if one is null."""
+    if a is None or b is None:
+        return None
+    return 1.0 if a == b else compare(Print.parse(a), Print.parse(b))
 
 
 def fingerprints(df: DataFrame, columns: dict[str, str], ranks: list[int]) -> DataFrame:
     """df with a fingerprint column (value of `columns`) for each text column (its key).
 
-    The fingerprint is a string "version:features:filters in base64". Null counts as the empty text, which has no
-    features. Columns of the added names are replaced. An empty table stays empty.
+    The fingerprint is a string "version:base features:improbable features:filters in base64". Null counts as the
+    empty text, which has no features. Equal texts have equal fingerprints, repeated rows too. Columns of the added
+    names, in any case, are replaced. An empty table stays empty. A text is held whole in one task, with about
+    60 times its bytes.
     """
     ship(df.sparkSession)
     T.small_batches(df.sparkSession)
-    base = df.select(*[c for c in df.columns if c not in columns.values()])
-    target = base.select("*", *[F.lit("").alias(n) for n in columns.values()]).schema
+    rest = df.select(*T.named(T.others(df, columns.values())))
+    target = rest.select("*", *[F.lit("").alias(n) for n in columns.values()]).schema
     table = np.array(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,22 +260,62 @@ def fingerprints(df: DataFrame, columns: dict[str, str], ranks: list[int]) -> Da
             made = []
             for source in columns:
                 texts, out = T.as_bytes(batch.column(source)), []
-                for a, b in T.chunked([len(t) + 1 for t in texts], T.CHUNK_BYTES // 2):
-                    out += [to_text(chain(h), len(h)) for h in features(texts[a:b], table)]
+                for a, b in T.chunked([len(t) + 1 for t in texts], PRINT_BYTES):
+                    out += [Print.of(x).text() for x in features(texts[a:b], table)]
                 made.append(pa.array(out, pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *columns.values()])
 
-    return base.mapInArrow(run, target)
+    return rest.mapInArrow(run, target)
 
 
 def likenesses(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """df with a double column (key of `pairs`) for each two fingerprint columns."""
+    """df with a double column (key of `pairs`) for each two fingerprint columns.
+
+    Null if one of them is null. Columns of the added names, in any case, are replaced unless they are compared.
+    """
     ship(df.sparkSession)
-    target = df.select("*", *[F.lit(0.0).alias(n) for n in pairs]).schema
+    rest = df.select(*T.named(T.others(df, pairs)))
+    target = rest.select("*", *[F.lit(0.0).alias(n) for n in pairs]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [pa.array([likeness(x, y) for x, y in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist(), strict=True)], pa.float64()) for a, b in pairs.values()]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *pairs])
 
-    return df.mapInArrow(run, target)
+    return rest.mapInArrow(run, target)
+
+
+def compare_next(df: DataFrame, ranks: list[int], edit: Callable[[str, str], str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every text against the next one (ascending id; order.with_next) and against its edit.
+
+    edit: makes the edited text of a text and the next one. Gives id_col (long), n_chars, edited_sha256, fingerprint,
+    edited_fingerprint, near_edited and near_next, one row for each row. Each text's fingerprint is made once, in one
+    pass over the sorted shards. Null texts count as empty; rows with a null id come first; rows that repeat an id
+    follow each other by text. An empty table gives an empty one.
+    """
+    stream = ordered(df, id_col, text_col)
+    T.small_batches(df.sparkSession)
+    table = np.array(ranks)
+    kinds = {id_col: pa.int64(), "n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(), "edited_fingerprint": pa.string(), "near_edited": pa.float64(), "near_next": pa.float64()}
+
+    def prints(texts: list[str]) -> list[Print]:
+        raw, out = [t.encode() for t in texts], []
+        for a, b in T.chunked([len(t) + 1 for t in raw], PRINT_BYTES):
+            out += [Print.of(x) for x in features(raw[a:b], table)]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Print] = {}  # of the last text of the group before, which begins the next one
+        for group in followed(batches, PRINT_BYTES):
+            texts = [group[0][1], *[after for _, _, after in group]]
+            own = [known[texts[0]], *prints(texts[1:])] if texts[0] in known else prints(texts)
+            changed = [edit(text, after) for _, text, after in group]
+            made = prints(changed)
+            known = {texts[-1]: own[-1]}
+            columns = (
+                [key for key, _, _ in group], [len(text) for _, text, _ in group], [hashlib.sha256(x.encode()).hexdigest() for x in changed], [x.text() for x in own[:-1]], [x.text() for x in made],
+                [compare(x, y) for x, y in zip(own, made, strict=False)], [compare(x, y) for x, y in zip(own, own[1:], strict=False)],
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+    return stream.mapInArrow(run, f"{T.quoted(id_col)} long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

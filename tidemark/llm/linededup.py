@@ -242,24 +242,27 @@ def _nulls(df: DataFrame, ddl: str) -> DataFrame:
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = 2, shard_keys: int = SHARD_KEYS) -> DataFrame:
-    r"""df with n_lines, n_dropped (long) and kept_text; columns of those names are replaced.
+    r"""df with n_lines, n_dropped (long) and kept_text; columns of those names, in any case, are replaced.
 
     A text splits at \n. A line's key is the line without ASCII white space at its ends, A-Z lower-cased. Keys of
     at least min_chars code points that at least min_docs documents hold lose their lines everywhere but in the
     smallest id that holds them. A null or empty text is one empty line. Rows with a null id neither own nor share
     lines and stay whole. Rows that repeat an id count as one document for ownership: a line that only they hold
-    stays in each; for min_docs above 2 each such row adds to the count. An empty table gives an empty one.
+    stays in each; for min_docs above 2 each such row adds to the count. An empty table gives an empty one. Ids are
+    cast to long, as SQL casts (a string that is no number is an error). A text is held whole in one task.
     """
     spark = df.sparkSession
     ship(spark)
     T.small_batches(spark)
-    base = df.select(*[c for c in df.columns if c not in ("n_lines", "n_dropped", "kept_text")])
-    keyed = base.withColumns({"__doc": F.col(id_col).cast("long"), "__hash": F.xxhash64(F.col(text_col))})
-    source = keyed.filter(F.col("__doc").isNotNull()).select("__doc", "__hash", F.col(text_col).alias("__text"))
+    base = df.select(*T.named(T.others(df, ("n_lines", "n_dropped", "kept_text"))))
+    doc, text_hash, gone = T.spare("doc"), T.spare("hash"), T.spare("lost")
+    keyed = base.withColumns({doc: F.col(T.quoted(id_col)).cast("long"), text_hash: F.xxhash64(F.col(T.quoted(text_col)))})
+    source = keyed.filter(F.col(doc).isNotNull()).select(F.col(doc).alias("__doc"), F.col(text_hash).alias("__hash"), F.col(T.quoted(text_col)).alias("__text"))
     blocks = staged(source.mapInArrow(lambda it: _block_rows(it, min_chars), BLOCK), "line-blocks")
     total = blocks.agg(F.sum("n_keys")).first()[0] or 0
     shards = max(1, -(-total // shard_keys))
-    keys = blocks.select("block", "keys", "owners", "holders").mapInArrow(lambda it: _key_rows(it, shards), "shard long, block long, k long, a long, b long, owner long, n long")
+    rows = blocks.select("block", "keys", "owners", "holders").mapInArrow(lambda it: _key_rows(it, shards), "shard long, block long, k long, a long, b long, owner long, n long")
+    keys = staged(rows, "line-keys")  # they are read twice: for the index, and to ask it
     distinct = keys.groupBy("shard", "a", "b").agg(F.min("owner").alias("owner"), F.sum("n").alias("n"))
     index = staged(distinct.repartition("shard").sortWithinPartitions("shard").mapInArrow(_index_rows, INDEX), "line-index")
     asked = "shard long, ask int, block long, k long, a long, b long, n_keys long, sizes binary, bits binary, prints binary, counts binary, owners binary"
@@ -269,22 +272,23 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     meet = _nulls(blocks.withColumn("ask", F.lit(0)), back).unionByName(_nulls(answers.withColumn("ask", F.lit(1)), back))
     lost = meet.repartition("block").sortWithinPartitions("block", "ask").mapInArrow(_decision_rows, "__doc long, __hash long, __lost binary")
     lost = lost.groupBy("__doc", "__hash").agg(F.max("__lost").alias("__lost"))
-    joined = keyed.join(lost, ["__doc", "__hash"], "left").select(*base.columns, "__lost")
+    mine = lost.withColumnsRenamed({"__doc": doc, "__hash": text_hash, "__lost": gone})
+    joined = keyed.join(mine, [doc, text_hash], "left").select(*T.named(base.columns), gone)
     target = base.select("*", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.lit("").cast("string").alias("kept_text")).schema
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_lines, n_dropped, kept = [], [], []
-            for text, lost in zip(T.as_bytes(batch.column(text_col)), batch.column("__lost").to_pylist(), strict=True):
+            for text, lost in zip(T.as_bytes(batch.column(text_col)), batch.column(gone).to_pylist(), strict=True):
                 lines = text.split(b"\n")
                 stay = lines
                 if lost:
-                    gone = {lost[i : i + 16] for i in range(0, len(lost), 16)}
-                    stay = [x for x in lines if line_key(x, min_chars) not in gone]
+                    dropped = {lost[i : i + 16] for i in range(0, len(lost), 16)}
+                    stay = [x for x in lines if line_key(x, min_chars) not in dropped]
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(stay))
                 kept.append(b"\n".join(stay))
-            names = [n for n in batch.schema.names if n != "__lost"]
+            names = [n for n in batch.schema.names if n != gone]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 [*names, "n_lines", "n_dropped", "kept_text"],

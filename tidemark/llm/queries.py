@@ -14,7 +14,6 @@ from tidemark.llm import decontaminate as _leaks
 from tidemark.llm import digest as _digest
 from tidemark.llm import langid as _langid
 from tidemark.llm import linededup as _lines
-from tidemark.llm import order as _order
 from tidemark.llm import resample as _resample
 from tidemark.llm import secrets as _secrets
 from tidemark.llm import setjoin as _near
@@ -47,15 +46,15 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "log_weight", "log_weight_noisy")
 
 
+def edited(text: str, after: str) -> str:
+    """The last quarter of the text's code points replaced by the first as many of the next text."""
+    cut = len(text) // 4
+    return text[: len(text) - cut] + after[:cut]
+
+
 def op3_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
-    ranks = _digest.entropy_ranks(documents)
-    rows = _order.with_next(documents).withColumn("n_chars", F.length("text").cast("long"))
-    cut = F.floor(F.col("n_chars") / 4).cast("int")
-    rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next", F.lit(1), cut)))
-    made = _digest.fingerprints(rows, {"text": "fingerprint", "edited": "edited_fingerprint", "next": "next_fingerprint"}, ranks)
-    slim = made.select(F.col("doc").alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "next_fingerprint")
-    return _digest.likenesses(slim, {"near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "next_fingerprint")}).drop("next_fingerprint")
+    return _digest.compare_next(documents, _digest.entropy_ranks(documents), edited)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Importance resampling of documents: hashed n-gram models of target and raw text, Gumbel top-k.
 
 Two generative models over hashed token n-grams (words and runs of punctuation; unigrams and bigrams in separate
-tables) are fitted by counting in how many documents a bucket occurs: the target model over labelled good
-documents, the raw model over every document. A document's log weight adds log(target / raw) of its distinct
-buckets, where the counts leave no doubt about the ratio (both a clear ratio and many standard deviations, or fewer
-of them where the labelled rows that are not good confirm that the bucket is theirs) — most buckets of ordinary text
-have a ratio of one and estimation noise. The sample is the k largest of log weight
-plus Gumbel noise, which draws k documents without replacement with probability proportional to their weights.
-k defaults to the number of documents whose weight the labels mark as good.
+tables, and a back-off trigram "same same same" for a token that repeats, whatever it is) are fitted by counting in
+how many documents a bucket occurs: the target model over labelled good documents, the raw model over every document.
+A document's log weight is log p_target / p_raw, the sum over its distinct buckets. A ratio that its counts don't
+support is shrunk to one: it counts if it is clear by both size and standard deviations, or by fewer of them where
+labelled rows outside the target have the bucket too often. Each n-gram is looked up in two tables and the ratio
+nearer to one holds, so that hash collisions don't lend weight (a count sketch).
+
+The sample is the k largest of log weight plus Gumbel noise, which draws k documents without replacement, each draw
+with probability proportional to the weights. k defaults to the expected number of acceptances of rejection sampling
+with weights capped at one: the sum of min(1, weight).
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import textwork as T
@@ -25,8 +28,8 @@ from tidemark.session import ship, staged
 
 #: log2 of the buckets of each of four tables (unigrams and bigrams, twice): the models' fixed size.
 BITS = 19
-#: The hash that stands for any eight tokens that repeat one or two in turn.
-STUTTER = np.uint64(0x5BD1E9955BD1E995)
+#: The hash of the back-off trigram of three equal tokens.
+SAME = np.uint64(0x5BD1E9955BD1E995)
 #: Added to both counts of a bucket.
 PRIOR = 2.0
 #: A bucket counts if the log ratio is beyond LEAST_RATIO and the counts differ by LEAST_SIGMAS.
@@ -34,21 +37,17 @@ LEAST_RATIO = 1.0
 LEAST_SIGMAS = 3.0
 #: A rare bucket also counts against a document if the log ratio is under -RARE_RATIO by RARE_SIGMAS and labelled rows
 #: outside the target have it more often than expected by BAD_SIGMAS.
-RARE_RATIO, RARE_SIGMAS, BAD_SIGMAS = 0.5, 1.5, 3.0
-#: Weights are raised to this power before the draw: above 1, clear cases are drawn or left more surely.
-SHARPNESS = 4.0
+RARE_RATIO, RARE_SIGMAS, BAD_SIGMAS = 0.5, 1.5, 4.0
 #: Labelled rows that the target model is fitted on, and other labelled rows, at most about (bounded, hash-ordered samples).
 TARGET_ROWS = 200_000
 
 
-
 def buckets(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, bucket, other bucket) of the distinct hashed n-grams of each text.
 
     Each n-gram has a bucket in two tables, by independent bits of its hash, so that a rare n-gram which shares a
     bucket with a telling one is told apart in the other table. Bigrams lie 2**bits higher, the second table
-    2**(bits+1) higher. Eight tokens that repeat one or two in turn are one n-gram,
-    whatever the tokens.
+    2**(bits+1) higher. Three equal tokens in a row are also the back-off trigram SAME.
     """
     buf, at = T.join_texts(texts)
     low = T.LOWER[buf]
@@ -58,17 +57,15 @@ def buckets(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarra
     ends = np.concatenate([edge, [len(kind)]]).astype(np.int64)
     full = kind[starts] > 0
     starts, ends = starts[full], ends[full]
-    hashes = T.span_hash(T.prefix_hash(low), starts, ends)
+    hashes = T.word_hash(low, starts, ends)
     offsets = np.searchsorted(starts, at)
     one, owner = T.within(offsets, 1)
     two, owner2 = T.within(offsets, 2)
-    run, owner3 = T.within(offsets, 8)
-    same = np.ones(len(run), bool)
-    for j in range(6):
-        same &= hashes[run + j] == hashes[run + j + 2]
-    again, owner3 = np.full(int(same.sum()), STUTTER), owner3[same]
+    three, owner3 = T.within(offsets, 3)
+    same = (hashes[three] == hashes[three + 1]) & (hashes[three] == hashes[three + 2]) if len(three) else np.zeros(0, bool)
+    owner3 = owner3[same]
     pair = 2 * bits
-    grams = np.concatenate([hashes[one], again, T.grams(hashes, 2)[two]]) >> np.uint64(64 - pair)
+    grams = np.concatenate([hashes[one], np.full(len(owner3), SAME), T.grams(hashes, 2)[two]]) >> np.uint64(64 - pair)
     owners = np.concatenate([owner, owner3, owner2])
     higher = np.concatenate([np.zeros(len(owner) + len(owner3), np.int64), np.full(len(owner2), 1 << pair)])
     key = np.unique((owners << (pair + 1)) + higher + grams.astype(np.int64))
@@ -154,43 +151,39 @@ def group_counts(df: DataFrame, id_hash: str, text_col: str, groups: list[np.nda
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int, bad: np.ndarray | None = None, n_bad: int = 0) -> np.ndarray:
-    """log(target / raw) of each bucket where it is beyond doubt, otherwise 0.
+    """log(p_target / p_raw) of each bucket where the counts support it, otherwise 0 (a ratio of one).
 
     bad: counts over n_bad labelled rows outside the target, which confirm low ratios of rare buckets.
     """
     if not n_target or not n_raw:
         return np.zeros(len(raw), np.float32)
-    # Scale so that the typical frequent bucket has a ratio of one: what is bad in raw text takes no share of it.
-    scale = n_target / n_raw
-    often = raw * scale >= 50
-    if often.sum() >= 50:
-        scale *= float(np.median(target[often] / (raw[often] * scale)))
-    expected = raw * scale
+    total = max(1.0, float(raw.sum()))
+    expected = raw * (float(target.sum()) / total)
     ratio = np.log((target + PRIOR) / (expected + PRIOR))
     sure = np.abs(target - expected) > LEAST_SIGMAS * np.sqrt(np.maximum(expected, 1.0))
     sure &= np.abs(ratio) > LEAST_RATIO
     if bad is not None and n_bad:
-        share = n_bad / n_raw
-        if often.sum() >= 50:
-            share = float(np.median(bad[often] / raw[often]))
-        theirs = bad - raw * share > BAD_SIGMAS * np.sqrt(np.maximum(raw * share, 1.0))
+        usual = raw * (float(bad.sum()) / total)
+        theirs = bad - usual > BAD_SIGMAS * np.sqrt(np.maximum(usual, 1.0))
         sure |= theirs & (ratio < -RARE_RATIO) & (expected - target > RARE_SIGMAS * np.sqrt(np.maximum(expected, 1.0)))
     return np.where(sure, ratio, 0.0).astype(np.float32)
 
 
-def _weights(df: DataFrame, text_col: str, ratios, bits: int) -> DataFrame:
-    target = df.select("*", F.lit(0.0).alias("log_weight")).schema
+def _weights(df: DataFrame, text: str, ratios, bits: int) -> DataFrame:
+    """df with log_weight; `text` is dropped, so that it does not travel back."""
+    rest = [c for c in df.columns if c != text]
+    target = df.select(*T.named(rest), F.lit(0.0).alias("log_weight")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ratios.value
         for batch in batches:
-            texts, out = T.as_bytes(batch.column(text_col)), []
+            texts, out = T.as_bytes(batch.column(text)), []
             for a, b in T.chunked([len(t) + 1 for t in texts]):
                 owner, first, second = buckets(texts[a:b], bits)
                 x, y = table[first], table[second]
                 both = np.where(x * y > 0, np.where(np.abs(x) < np.abs(y), x, y), 0)
                 out.append(np.bincount(owner, weights=both, minlength=b - a))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))], [*batch.schema.names, "log_weight"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(np.concatenate(out) if out else np.zeros(0))], [*rest, "log_weight"])
 
     return df.mapInArrow(run, target)
 
@@ -227,82 +220,75 @@ def top_k(df: DataFrame, k: int, score: str, ties: list[str]) -> DataFrame:
             taken += r["n"]
         if len(counts) == 1:
             break
-    from pyspark.sql import Window
-
     # The window spreads over hash buckets of the ties first: each keeps the rows that could be among the first.
     need = k - taken
     border = df.filter(F.col(score).between(low, high))
     order = [F.col(score).desc(), *[F.col(t).asc_nulls_last() for t in ties]]
+    part, rank = T.spare("part"), T.spare("rank")
     if inside > 100_000:
-        border = border.withColumn("__part", F.pmod(F.xxhash64(*ties), F.lit(256)))
-        border = border.withColumn("__r", F.row_number().over(Window.partitionBy("__part").orderBy(*order))).filter(F.col("__r") <= need).drop("__part", "__r")
-    first = border.withColumn("__r", F.row_number().over(Window.orderBy(*order))).filter(F.col("__r") <= need).drop("__r")
+        border = border.withColumn(part, F.pmod(F.xxhash64(*ties), F.lit(256)))
+        border = border.withColumn(rank, F.row_number().over(Window.partitionBy(part).orderBy(*order))).filter(F.col(rank) <= need).drop(part, rank)
+    first = border.withColumn(rank, F.row_number().over(Window.orderBy(*order))).filter(F.col(rank) <= need).drop(rank)
     return df.filter(F.col(score) > high).unionByName(first)
 
 
 def importance_resample(
-    df: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
-    good: str = "quality", bad: str = "toxic", bits: int = BITS, target_rows: int = TARGET_ROWS, sharpness: float = SHARPNESS, scored: bool = False,
+    df: DataFrame, labels: DataFrame, k: int | None = None, share: float | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
+    good: str = "quality", bad: str = "toxic", bits: int = BITS, target_rows: int = TARGET_ROWS, sharpness: float = 1.0, scored: bool = False,
 ) -> DataFrame:
-    """The k sampled rows of df with log_weight and log_weight_noisy, sharpness * log_weight plus noise (columns of those names are replaced).
-
-    labels: (id_col, good, bad); the target is what has good = 1 and bad = 0 (null: not). Of more than target_rows
-    target rows, or other labelled rows, a hash-ordered share is used. k=None: as many as have a log weight above the border that parts the
-    labelled target rows from the other labelled rows best. Noise is a function of seed and id, so rows that repeat
-    an id share it. Null and empty texts have no n-grams and log weight 0. Without target rows all weights are 0
-    and all rows are kept. An empty table stays empty. scored=True returns every row with its columns instead.
+    """The k sampled rows of df with log_weight and log_weight_noisy, sharpness * log_weight plus noise.
+
+    Columns of those names, in any case, are replaced. labels: (id_col, good, bad); the target is what has good = 1
+    and bad = 0 (null: not). Of more than target_rows target rows, or other labelled rows, a hash-ordered share is
+    used. share: k as a share of df's rows; without k and share, k is the sum of min(1, weight ** sharpness), rounded.
+    Noise is a function of seed and id, so rows that repeat an id share it; of rows that repeat id and text as many
+    as fit are kept. Null and empty texts have no n-grams and log weight 0. Without target rows all weights are 0 and
+    without k and share all rows are kept. Ids may be of any type. An empty table stays empty. scored=True returns
+    every row with its columns instead. A text is held whole in one task, with about 35 times its bytes.
     """
     spark = df.sparkSession
     ship(spark)
     T.small_batches(spark)
-    base = df.select(*[c for c in df.columns if c not in ("log_weight", "log_weight_noisy")])
-    is_target = (F.coalesce(F.col(good), F.lit(0)) == 1) & (F.coalesce(F.col(bad), F.lit(0)) == 0)
-    marks = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min(is_target.cast("int")).alias("__target"))
+    base = df.select(*T.named(T.others(df, ("log_weight", "log_weight_noisy"))))
+    ident, text = F.col(T.quoted(id_col)), F.col(T.quoted(text_col))
+    is_target = (F.coalesce(F.col(T.quoted(good)), F.lit(0)) == 1) & (F.coalesce(F.col(T.quoted(bad)), F.lit(0)) == 0)
+    known = labels.select(F.col(T.quoted(id_col)).cast("string").alias("id"), is_target.cast("int").alias("target")).filter("id is not null")
+    marks = known.groupBy("id").agg(F.min("target").alias("target"))
     groups = [_sample(marks, value, target_rows) for value in (1, 0)]
-    (raw, target, others), (n_raw, n_target, n_bad) = group_counts(base.withColumn("__h", F.xxhash64(F.col(id_col).cast("string"))), "__h", text_col, groups, bits)
+    slim = base.select(F.xxhash64(ident.cast("string")).alias("h"), text.alias("text"))
+    (raw, target, others), (n_raw, n_target, n_bad) = group_counts(slim, "h", "text", groups, bits)
     ratios = spark.sparkContext.broadcast(log_ratios(target, raw, n_target, n_raw, others, n_bad))  # 4 bytes a bucket: 8 MB
-    weights = _weights(base, text_col, ratios, bits).withColumn("log_weight_noisy", F.lit(sharpness) * F.col("log_weight") + gumbel(seed, F.col(id_col)))
-    if scored:
-        return weights
+    keyed = base.select(ident.alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    noisy = F.lit(sharpness) * F.col("log_weight") + gumbel(seed, F.col("id"))
     # Only ids and weights are ranked; texts are read again for what is kept.
-    slim = staged(weights.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__hash"), "log_weight", "log_weight_noisy"), "weights")
-    if k is None:
-        k = slim.filter(F.col("log_weight") >= _border(slim, marks)).count()
-    kept = top_k(slim, k, "log_weight_noisy", ["__id", "__hash"])
-    if set(base.columns) == {id_col}:
-        return kept.select(F.col("__id").alias(id_col), "log_weight", "log_weight_noisy")
-    kept = kept.groupBy("__id", "__hash").agg(F.max("log_weight").alias("log_weight"), F.max("log_weight_noisy").alias("log_weight_noisy"), F.count("*").alias("__n"))
-    keyed = base.withColumns({"__id": F.col(id_col), "__hash": F.xxhash64(text_col)})
-    joined = keyed.join(kept, keyed["__id"].eqNullSafe(kept["__id"]) & (keyed["__hash"] == kept["__hash"]), "inner")
-    return joined.select(*[keyed[c] for c in base.columns], kept["log_weight"], kept["log_weight_noisy"])
+    weights = staged(_weights(keyed, "text", ratios, bits).withColumn("log_weight_noisy", noisy), "weights")
+    if scored:
+        kept = weights.groupBy("id", "hash").agg(F.max("log_weight").alias("log_weight"), F.max("log_weight_noisy").alias("log_weight_noisy"), F.lit(0).alias("n"), F.lit(0).alias("of"))
+    else:
+        if k is None:
+            rows = weights.agg(F.count("*"), F.sum(F.least(F.lit(1.0), F.exp(F.lit(sharpness) * F.col("log_weight"))))).first()
+            k = int(round(share * rows[0] if share is not None else rows[1] or 0))
+        drawn = top_k(weights, k, "log_weight_noisy", ["id", "hash"])
+        drawn = drawn.groupBy("id", "hash").agg(F.max("log_weight").alias("log_weight"), F.max("log_weight_noisy").alias("log_weight_noisy"), F.count("*").alias("n"))
+        all_rows = weights.groupBy(F.col("id").alias("id2"), F.col("hash").alias("hash2")).agg(F.count("*").alias("of")).filter("of > 1")
+        same = drawn["id"].eqNullSafe(all_rows["id2"]) & drawn["hash"].eqNullSafe(all_rows["hash2"])
+        kept = staged(drawn.join(all_rows, same, "left").select("id", "hash", "log_weight", "log_weight_noisy", "n", F.coalesce("of", "n").alias("of")), "drawn")
+    names = {c: T.spare(c) for c in ("id", "hash", "n", "of")}
+    kept = kept.withColumnsRenamed(names)
+    joined = base.join(kept, ident.eqNullSafe(F.col(names["id"])) & F.xxhash64(text).eqNullSafe(F.col(names["hash"])), "inner")
+    out = [*T.named(base.columns), "log_weight", "log_weight_noisy"]
+    partly = F.col(names["n"]) < F.col(names["of"])
+    if scored or kept.filter(partly).isEmpty():
+        return joined.select(*out)
+    # The border runs through rows that repeat id and text: so many of them as were drawn.
+    row = T.spare("row")
+    some = joined.filter(partly).withColumn(row, F.row_number().over(Window.partitionBy(names["id"], names["hash"]).orderBy(F.lit(0)))).filter(F.col(row) <= F.col(names["n"]))
+    return joined.filter(~partly).select(*out).unionByName(some.select(*out))
 
 
 def _sample(marks: DataFrame, value: int, most: int) -> np.ndarray:
-    """Sorted id hashes of the labelled rows whose __target is value, or of about `most` of them: 8 bytes each."""
-    of_value = marks.filter(F.col("__target") == value)
+    """Sorted id hashes of the labelled rows whose target is value, or of about `most` of them: 8 bytes each."""
+    of_value = marks.filter(F.col("target") == value)
     share = min(1.0, most / max(1, of_value.count()))
-    inside = F.pmod(F.xxhash64(F.lit("target"), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1)
-    chosen = of_value.filter(inside).select(F.xxhash64(F.col("__id").cast("string")).alias("h")).limit(2 * most)
-    return np.unique(np.array([r["h"] for r in chosen.collect()], np.int64))
-
-
-def _border(slim: DataFrame, marks: DataFrame) -> float:
-    """The log weight that parts labelled target rows from the others with the fewest errors, each side counting alike.
-
-    Counts over quarter steps of the weight come to the driver: as many rows as there are steps, at most 800.
-    """
-    step = F.greatest(F.lit(-400), F.least(F.lit(400), F.floor(F.col("log_weight") * 4))).cast("int")
-    rows = slim.join(marks, "__id").groupBy(step.alias("s")).agg(F.sum("__target").alias("good"), F.count("*").alias("n")).orderBy("s").collect()
-    n_good = sum(r["good"] for r in rows)
-    n_bad = sum(r["n"] for r in rows) - n_good
-    if not n_good or not n_bad:
-        return float("-inf")
-    best, border, good_below, bad_below = -1.0, float("-inf"), 0, 0
-    for r in rows:
-        # a border just below this step
-        score = (n_good - good_below) / n_good + bad_below / n_bad
-        if score > best + 1e-12:
-            best, border = score, r["s"] / 4 if good_below + bad_below else float("-inf")
-        good_below += r["good"]
-        bad_below += r["n"] - r["good"]
-    return border
+    inside = F.pmod(F.xxhash64(F.lit("target"), "id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1)
+    return np.unique(np.array([r["h"] for r in of_value.filter(inside).select(F.xxhash64("id").alias("h")).collect()], np.int64))

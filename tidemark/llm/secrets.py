@@ -192,11 +192,11 @@ def find_secrets(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...]
     """df with `spans`: array of (kind, start, end), by start and then rule order; code points, end exclusive.
 
     Matches of one kind are leftmost and don't overlap; kinds may overlap each other. Null and empty texts have no
-    spans; a column called spans is replaced; repeated rows are scanned alike; an empty table stays empty.
+    spans; a column called spans, in any case, is replaced; repeated rows are scanned alike; an empty table stays empty.
     """
     ship(df.sparkSession)
     T.small_batches(df.sparkSession)
-    base = df.select(*[c for c in df.columns if c != "spans"])
+    base = df.select(*T.named(T.others(df, ["spans"])))
     target = base.select("*", F.lit(None).cast("array<struct<kind:string,start:long,end:long>>").alias("spans")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +206,6 @@ def find_secrets(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...]
             texts, spans = T.as_bytes(batch.column(text_col)), []
             for a, b in T.chunked([len(t) + 1 for t in texts]):
                 spans += [[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in found] for found in scanner.scan(texts[a:b])]
-            names = [n for n in batch.schema.names if n != "spans"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(spans, kind)], [*names, "spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, kind)], [*batch.schema.names, "spans"])
 
     return base.mapInArrow(run, target)

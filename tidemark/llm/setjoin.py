@@ -7,18 +7,24 @@ than H + 1 telling segments spends two units on some segment instead, where it a
 by one token (one-deletion neighbourhoods). The allocation takes the segments whose neighbourhoods cost the fewest
 rows; they come from the first few segments of the band, for which every set also indexes its own deletions.
 
-Equal sets are reduced to one representative first. Buckets are then linked by stars: each set is compared with
-the most popular set that it meets, which in a group of copies is the one they were made from. Buckets that still
-hold several components then compare those across, first by size and parity sketch, which bounds the difference
-from below and so rules out no link, and what passes by counting shared shingles (64-bit hashes).
+Texts of equal words are reduced to one node first. Buckets are then linked by stars: each set is compared with the
+most popular set that it meets, which in a group of copies is the one they were made from. Buckets that still hold
+several components then compare those across, in cells of bounded size, first by size and parity sketch, which bounds
+the difference from below and so rules out no link.
+
+Hashes (64 bits, T.word_hash) only find candidates. Sizes and links come from the shingles' own bytes, and nodes are
+told apart by 128-bit BLAKE2 digests of their words.
 """
 
 from __future__ import annotations
 
+import hashlib
+import logging
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +37,24 @@ from tidemark.session import ship, staged
 PARITY_BITS = 1024
 #: Roles of a row in a bucket: it may ask, it may be found.
 ASKS, FOUND = 1, 2
+#: Rows of each side of a cell in which components of a bucket are compared, about (160 bytes each).
+CELL_ROWS = 8_192
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Runs without ASCII white space, A-Z lower-cased."""
+    return text.lower().split()
+
+
+def shingles(words: list[bytes], k: int) -> set[tuple[bytes, ...]]:
+    """The distinct k-word shingles; fewer words are one shingle, no words none."""
+    if len(words) < k:
+        return {tuple(words)} if words else set()
+    return set(zip(*[words[i:] for i in range(k)], strict=False))
+
+
+def digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
 @lru_cache(maxsize=None)
@@ -78,15 +102,6 @@ class Sets:
         self.offsets = np.searchsorted(self.owner, np.arange(len(texts) + 1))
         self.sizes = np.diff(self.offsets)
 
-    def digests(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of each set; 0 for an empty one."""
-        out = []
-        for salt in (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC3A5C85C97CB3127)):
-            total = np.zeros(len(self.tokens) + 1, np.uint64)
-            np.cumsum(T.mix(self.tokens ^ salt), out=total[1:])
-            out.append(T.mix(total[self.offsets[1:]] - total[self.offsets[:-1]]).view(np.int64))
-        return out[0], out[1]
-
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.uint64)
@@ -170,176 +185,225 @@ def parities(sets: Sets) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.uint64)
 
 
-MEMBER = "doc long, n long, d1 long, d2 long"
-ROW = "sig long, doc long, role byte"
+ROW = "sig long, node long, code int"
 
 
 def _member_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = T.as_bytes(batch.column("text"))
-        for a, b in T.chunked([len(t) + 1 for t in texts]):
-            sets = Sets(texts[a:b], k)
-            d1, d2 = sets.digests()
-            yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), pa.array(sets.sizes.astype(np.int64)), pa.array(d1), pa.array(d2)], ["doc", "n", "d1", "d2"])
+        words = [words_of(t) for t in T.as_bytes(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array([len(shingles(w, k)) for w in words], pa.int64()), pa.array([digest(w) for w in words], pa.binary())], ["id", "n", "d"]
+        )
+
+
+def _node_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, words joined by a space) of the rows whose words are the node's."""
+    for batch in batches:
+        words = [words_of(t) for t in T.as_bytes(batch.column("text"))]
+        good = [digest(w) == d for w, d in zip(words, batch.column("d").to_pylist(), strict=True)]
+        rows = pa.RecordBatch.from_arrays([batch.column("node"), pa.array([b" ".join(w) for w in words], pa.binary())], ["node", "text"])
+        yield rows.filter(pa.array(good, pa.bool_()))
 
 
 def _signature_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Signatures of every text; code is the size of its set times four plus its role."""
     for batch in batches:
-        texts = T.as_bytes(batch.column("text"))
-        docs = batch.column("doc").to_numpy()
+        texts, nodes = T.as_bytes(batch.column("text")), batch.column("node").to_numpy()
         for a, b in T.chunked([len(t) + 1 for t in texts]):
             sets = Sets(texts[a:b], k)
-            _, first = np.unique(np.stack(sets.digests()), axis=1, return_index=True)
-            take = np.zeros(b - a, bool)
-            take[first] = True
-            for sig, owner, role in signatures(sets, take, num, den):
+            for sig, owner, role in signatures(sets, np.ones(b - a, bool), num, den):
+                code = (sets.sizes[owner] * 4 + role).astype(np.int32)
                 for i in range(0, len(sig), 100_000):
                     j = slice(i, i + 100_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[j].view(np.int64)), pa.array(docs[a:b][owner[j]]), pa.array(role[j])], ["sig", "doc", "role"])
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[j].view(np.int64)), pa.array(nodes[a:b][owner[j]]), pa.array(code[j])], ["sig", "node", "code"])
 
 
 def _live_rows(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by sig, those of buckets with several texts of which one asks and another is found."""
 
-    def live(sig: np.ndarray, doc: np.ndarray, role: np.ndarray) -> pa.RecordBatch:
+    def live(sig: np.ndarray, node: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
         start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         ends = np.append(start[1:], len(sig))
-        roles = np.bitwise_or.reduceat(role, start)
-        good = (np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start)) & (roles == ASKS | FOUND)
+        roles = np.bitwise_or.reduceat(code & 3, start)
+        good = (np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start)) & (roles == ASKS | FOUND)
         keep = np.repeat(good, ends - start)
-        return pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(doc[keep]), pa.array(role[keep])], ["sig", "doc", "role"])
+        return pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(node[keep]), pa.array(code[keep])], ["sig", "node", "code"])
 
     held: list[tuple[np.ndarray, ...]] = []
     rows = 0
     for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy() for c in ("sig", "doc", "role")))
+        held.append(tuple(batch.column(c).to_numpy() for c in ("sig", "node", "code")))
         rows += batch.num_rows
         if rows < most:
             continue
-        sig, doc, role = (np.concatenate(x) for x in zip(*held, strict=True))
+        sig, node, code = (np.concatenate(x) for x in zip(*held, strict=True))
         cut = int(np.searchsorted(sig, sig[-1])) if sig[0] != sig[-1] else 0
         if cut:
-            yield live(sig[:cut], doc[:cut], role[:cut])
-            held, rows = [(sig[cut:], doc[cut:], role[cut:])], len(sig) - cut
+            yield live(sig[:cut], node[:cut], code[:cut])
+            held, rows = [(sig[cut:], node[cut:], code[cut:])], len(sig) - cut
         else:  # one bucket of most rows or more: pass it on as it comes, all but a pair that keeps it alive
-            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(doc), pa.array(role)], ["sig", "doc", "role"])
-            asks, found = int(np.argmax(role & ASKS > 0)), int(np.argmax(role & FOUND > 0))
-            other = int(np.argmax(doc != doc[asks]))
+            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(code)], ["sig", "node", "code"])
+            asks, found = int(np.argmax(code & ASKS > 0)), int(np.argmax(code & FOUND > 0))
+            other = int(np.argmax(node != node[asks]))
             keep = sorted({asks, found, other})
-            held, rows = [(sig[keep], doc[keep], role[keep])], len(keep)
+            held, rows = [(sig[keep], node[keep], code[keep])], len(keep)
     if rows:
         yield live(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _parity_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = T.as_bytes(batch.column("text"))
         for a, b in T.chunked([len(t) + 1 for t in texts]):
-            sets = Sets(texts[a:b], k)
-            blobs = [sets.tokens[x:y].tobytes() for x, y in zip(sets.offsets, sets.offsets[1:], strict=False)]
-            marks = [x.tobytes() for x in parities(sets)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), pa.array(blobs, pa.binary()), pa.array(marks, pa.binary())], ["doc", "tokens", "parity"])
+            marks = [x.tobytes() for x in parities(Sets(texts[a:b], k))]
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array(marks, pa.binary())], ["node", "parity"])
 
 
-def _similar_rows(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _similar_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """The pairs that link, by their shingles; rows come with equal a in a row, so a's set is made once."""
+    last, mine = None, set()
     for batch in batches:
         good = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.sort(np.concatenate([p, q]), kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            good.append(den * shared >= num * (len(p) + len(q) - shared))
+        for a, x, y in zip(batch.column("a").to_pylist(), batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+            if a != last:
+                last, mine = a, shingles(x.split(b" "), k)
+            other = shingles(y.split(b" "), k)
+            shared = len(mine & other)
+            good.append(den * shared >= num * (len(mine) + len(other) - shared))
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Pairs across components of rows sorted by sig whose sizes and parities allow the similarity.
+CELL = ("sig", "i", "j")
 
-    In each bucket the rows outside its largest component are compared with all rows of other components, by 128
-    bytes each; what passes goes on. Nothing that is similar is ruled out: parities bound the difference from below.
-    """
-    columns = ("sig", "rep", "c", "role", "n")
-    held: list[tuple[np.ndarray, ...]] = []
 
-    def pairs() -> Iterator[pa.RecordBatch]:
-        _, rep, comp, role, n, parity = (np.concatenate(x) for x in zip(*held, strict=True))
-        names, counts = np.unique(comp, return_counts=True)
-        order = np.argsort(comp == names[counts.argmax()], kind="stable")  # the largest component last
-        rep, comp, role, n, parity = rep[order], comp[order], role[order], n[order], parity[order]
-        for i in range(len(rep) - int(counts.max())):
-            other = slice(i + 1, None)
-            fits = (comp[other] != comp[i]) & (((role[other] & ASKS > 0) & (role[i] & FOUND > 0)) | ((role[other] & FOUND > 0) & (role[i] & ASKS > 0)))
-            fits &= den * np.minimum(n[other], n[i]) >= num * np.maximum(n[other], n[i])
-            j = np.flatnonzero(fits) + i + 1
+def _cell_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs across components whose sizes and parities allow the similarity; rows are sorted by cell and side.
+
+    Side 0 holds rows outside the bucket's largest component, side 1 any rows. A pair whose ends are both outside
+    meets in two cells and is compared in one of them.
+    """
+    names = ("side", "rep", "c", "role", "n", "out")
+
+    def compare(left: list[tuple], right: list[tuple]) -> Iterator[pa.RecordBatch]:
+        _, rep, comp, role, n, _, parity = (np.concatenate(x) for x in zip(*left, strict=True))
+        _, rep2, comp2, role2, n2, out2, parity2 = (np.concatenate(x) for x in zip(*right, strict=True))
+        for i in range(len(rep)):
+            fits = (comp2 != comp[i]) & ((out2 == 0) | (rep2 > rep[i])) & (den * np.minimum(n2, n[i]) >= num * np.maximum(n2, n[i]))
+            fits &= ((role2 & ASKS > 0) & (role[i] & FOUND > 0)) | ((role2 & FOUND > 0) & (role[i] & ASKS > 0))
+            j = np.flatnonzero(fits)
             if len(j):
-                j = j[np.bitwise_count(parity[j] ^ parity[i]).sum(axis=1, dtype=np.int64) <= apart(n[j] + n[i], num, den)]
+                j = j[np.bitwise_count(parity2[j] ^ parity[i]).sum(axis=1, dtype=np.int64) <= apart(n2[j] + n[i], num, den)]
             if len(j):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[j], rep[i])), pa.array(np.maximum(rep[j], rep[i]))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep2[j], rep[i])), pa.array(np.maximum(rep2[j], rep[i]))], ["a", "b"])
 
+    cell, left, right, waiting = None, [], [], 0
     for batch in batches:
-        data = [batch.column(c).to_numpy() for c in columns]
+        keys = np.stack([batch.column(c).to_numpy() for c in CELL] + [batch.column("side").to_numpy()], axis=1)
+        data = [batch.column(c).to_numpy() for c in names]
         data.append(np.frombuffer(b"".join(batch.column("parity").to_pylist()), np.uint64).reshape(batch.num_rows, -1))
-        edges = [0, *(np.flatnonzero(data[0][1:] != data[0][:-1]) + 1).tolist(), batch.num_rows]
+        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
         for x, y in zip(edges, edges[1:], strict=False):
-            if held and y > x and held[-1][0][0] != data[0][x]:
-                yield from pairs()
-                held = []
-            if y > x:
-                held.append(tuple(d[x:y] for d in data))
-    if held:
-        yield from pairs()
+            if x == y:
+                continue
+            if tuple(keys[x, :3]) != cell:
+                if left and right:
+                    yield from compare(left, right)
+                cell, left, right, waiting = tuple(keys[x, :3]), [], [], 0
+            if keys[x, 3] == 0:
+                left.append(tuple(d[x:y] for d in data))
+            elif left:
+                right.append(tuple(d[x:y] for d in data))
+                waiting += y - x
+                if waiting >= CELL_ROWS:
+                    yield from compare(left, right)
+                    right, waiting = [], 0
+    if left and right:
+        yield from compare(left, right)
 
 
 class JaccardClasses:
-    """The classes of one table; the steps are methods so that a caller can look at each."""
+    """The classes of one table; the steps are methods so that a caller can look at each.
+
+    compared: pairs that were compared in cells by the last step of classes(), by sketch.
+    """
 
     def __init__(self, df: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int):
         self.spark = df.sparkSession
         ship(self.spark)
         T.small_batches(self.spark)
-        self.k, self.num, self.den = k, num, den
-        self.source = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+        self.k, self.num, self.den, self.compared = k, num, den, 0
+        self.source = df.select(F.col(T.quoted(id_col)).alias("id"), F.col(T.quoted(text_col)).alias("text"))
+        self.id_type = self.source.schema["id"].dataType.simpleString()
 
     def members(self) -> DataFrame:
-        """(doc, n, rep): each document's set size and the smallest document with an equal set."""
+        """(id, n, d) of every row: its set's size and the digest of its words."""
         k = self.k
-        rows = staged(self.source.mapInArrow(lambda it: _member_rows(it, k), MEMBER), "members")
-        # Written first: a join of two plain shuffles can split the rows of a set that a third of all documents have.
-        reps = staged(rows.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep")), "reps")
-        return staged(rows.join(reps, ["n", "d1", "d2"], "left").select("doc", "n", "rep"), "members-reps")
-
-    def live(self, members: DataFrame) -> DataFrame:
-        """(sig, rep, n, role) of the buckets in which different sets meet."""
+        return staged(self.source.mapInArrow(lambda it: _member_rows(it, k), f"id {self.id_type}, n long, d binary"), "members")
+
+    def nodes(self, members: DataFrame) -> DataFrame:
+        """(d, lead, node): one row for each sequence of words, with its smallest id and a number."""
+        rows = members.filter("n > 0 and id is not null").groupBy("d").agg(F.min("id").alias("lead"))
+        return staged(rows.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """(node, text) of every node."""
+        found = self.source.join(nodes.withColumnRenamed("lead", "id"), "id").select("node", "d", "text")
+        rows = staged(found.mapInArrow(_node_texts, "node long, text binary"), "node-texts")
+        if rows.count() == nodes.count():
+            return rows
+        return staged(rows.dropDuplicates(["node"]), "node-texts")  # rows were repeated, id and words
+
+    def live(self, texts: DataFrame) -> DataFrame:
+        """(sig, rep, n, role) of the buckets in which different nodes meet."""
         k, num, den = self.k, self.num, self.den
-        rows = self.source.mapInArrow(lambda it: _signature_rows(it, k, num, den), ROW)
+        rows = texts.mapInArrow(lambda it: _signature_rows(it, k, num, den), ROW)
         met = rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(_live_rows, ROW)
-        named = met.join(members.distinct(), "doc").groupBy("sig", "rep").agg(F.bit_or("role").cast("int").alias("role"), F.max("n").alias("n"))
-        return staged(named, "live")
+        role, n = F.col("code").bitwiseAND(3), F.shiftright("code", 2)
+        return staged(met.groupBy("sig", F.col("node").alias("rep")).agg(F.bit_or(role).cast("int").alias("role"), F.max(n).cast("long").alias("n")), "live")
 
-    def similar(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        num, den = self.num, self.den
-        with_a = pairs.select("a", "b").join(sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x")), "a")
-        with_b = with_a.join(sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-        return with_b.mapInArrow(lambda it: _similar_rows(it, num, den), "a long, b long")
+    def similar(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        k, num, den = self.k, self.num, self.den
+        with_b = pairs.select("a", "b").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+        with_a = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").select("a", "b", "x", "y")
+        return with_a.mapInArrow(lambda it: _similar_rows(it, k, num, den), "a long, b long")
 
     def _fits(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a < b) whose sizes allow the similarity, once each."""
         near = F.lit(self.den) * F.least("na", "nb") >= F.lit(self.num) * F.greatest("na", "nb")
         return pairs.filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def classes(self) -> DataFrame:
-        """(doc, n, component) of every document with an id."""
-        members = self.members()
-        live = self.live(members)
+    def _across(self, rows: DataFrame, several: DataFrame, texts: DataFrame) -> DataFrame:
+        """Candidate pairs between components of one bucket, from cells of about CELL_ROWS rows a side.
+
+        A bucket of r rows, o of them outside its largest component, has o/CELL_ROWS times r/CELL_ROWS cells.
+        """
         k, num, den = self.k, self.num, self.den
+        rest = rows.join(several.select("sig"), "sig", "left_semi").select("sig", "rep", "c", "role", "n")
+        parts = rest.groupBy("sig", "c").agg(F.count("*").alias("m"))
+        sizes = parts.groupBy("sig").agg(F.max(F.struct("m", "c")).alias("big"), F.sum("m").alias("all"))
+        outside = F.col("all") - F.col("big.m")
+        sizes = staged(sizes.select("sig", F.col("big.c").alias("big"), outside.alias("out_rows"), "all", F.ceil(outside / CELL_ROWS).alias("outs"), F.ceil(F.col("all") / CELL_ROWS).alias("alls")), "cells")
+        self.compared = sizes.agg(F.sum(F.col("out_rows") * F.col("all"))).first()[0] or 0
+        logging.getLogger(__name__).info("%d pairs to compare by sketch", self.compared)
+        marks = texts.join(rest.select(F.col("rep").alias("node")).distinct(), "node", "left_semi").mapInArrow(lambda it: _parity_rows(it, k), "node long, parity binary")
+        rest = rest.join(staged(marks, "parities").withColumnRenamed("node", "rep"), "rep").join(sizes, "sig")
+        rest = rest.withColumn("out", (F.col("c") != F.col("big")).cast("int"))
+        place = lambda blocks: F.pmod(F.xxhash64("rep"), F.col(blocks))
+        every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+        columns = ["rep", "c", "role", "n", "out", "parity"]
+        left = rest.filter("out = 1").select("sig", place("outs").alias("i"), every("alls").alias("j"), F.lit(0).alias("side"), *columns)
+        right = rest.select("sig", every("outs").alias("i"), place("alls").alias("j"), F.lit(1).alias("side"), *columns)
+        cells = left.unionByName(right).repartition(*CELL).sortWithinPartitions(*CELL, "side")
+        return cells.mapInArrow(lambda it: _cell_pairs(it, num, den), "a long, b long").distinct()
+
+    def linked(self, texts: DataFrame) -> DataFrame:
+        """(rep, c): the nodes that meet others, and the smallest node of the class of each."""
+        live = self.live(texts)
         # How often a set meets others over all its buckets: the centre of a group of copies meets most of them.
         met = staged(live.groupBy("sig").agg(F.count("*").alias("met")), "met")
-        nodes = staged(live.join(met, "sig").groupBy("rep").agg(F.sum("met").alias("pop")), "nodes")
+        nodes = staged(live.join(met, "sig").groupBy("rep").agg(F.sum("met").alias("pop")), "live-nodes")
         live = staged(live.join(nodes, "rep"), "live-pop")
-        # One text for each representative: an id that repeats is one document, its first text by bytes.
-        texts = self.source.join(nodes.select(F.col("rep").alias("doc")), "doc", "left_semi")
-        sets = texts.mapInArrow(lambda it: _set_rows(it, k), "doc long, tokens binary, parity binary")
-        sets = staged(sets.groupBy("doc").agg(F.min(F.struct("tokens", "parity")).alias("s")).select("doc", "s.tokens", "s.parity"), "sets")
+        texts = staged(texts.join(nodes.select(F.col("rep").alias("node")), "node", "left_semi"), "live-texts")
         links = tried = None
         comp = nodes.select("rep", F.col("rep").alias("c"))
         for round_no in range(3):
@@ -355,34 +419,70 @@ class JaccardClasses:
                 star = open_rows.groupBy("sig", "c").agg(F.max(F.struct("pop", "rep", "n", "lead")).alias("s"))
                 pairs = self._fits(star.select(F.col("s.lead.rep").alias("a"), F.col("s.rep").alias("b"), F.col("s.lead.n").alias("na"), F.col("s.n").alias("nb")))
             else:  # all that is left, across components
-                rest = rows.join(several.select("sig"), "sig", "left_semi").select("sig", "rep", "c", "role", "n")
-                rest = rest.join(sets.select(F.col("doc").alias("rep"), "parity"), "rep").select("sig", "rep", "c", "role", "n", "parity")
-                pairs = rest.repartition("sig").sortWithinPartitions("sig").mapInArrow(lambda it: _across(it, num, den), "a long, b long").distinct()
+                pairs = self._across(rows, several, texts)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = staged(pairs, "pairs")
-            found = staged(self.similar(pairs, sets), "links")
+            found = staged(self.similar(pairs, texts), "links")
             links = found if links is None else links.unionByName(found)
             tried = pairs if tried is None else tried.unionByName(pairs)
             comp = staged(nodes.select("rep").join(components(links).withColumnRenamed("v", "rep"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "components")
-        return members.join(comp, "rep", "left").select("doc", "n", F.coalesce("c", "rep", "doc").alias("component"))
+        return comp
+
+    def classes(self) -> tuple[DataFrame, DataFrame]:
+        """(members, classes): classes is (d, component, lead), the smallest id that a sequence of words leads to and its own."""
+        members = self.members()
+        nodes = self.nodes(members)
+        comp = self.linked(self.texts(nodes)).withColumnRenamed("rep", "node")
+        placed = nodes.join(comp, "node", "left").select("d", "lead", F.coalesce("c", "node").alias("c"))
+        least = staged(placed.groupBy("c").agg(F.min("lead").alias("component")), "least")
+        # Written first: a join of two plain shuffles can split the rows of a sequence that a third of all rows have.
+        return members, staged(placed.join(least, "c").select("d", "component", "lead"), "classes")
 
 
 def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    r"""One row per row of df with an id: id_col, n_shingles, component_id.
+    r"""One row per row of df: id_col, n_shingles, component_id.
 
     Words are runs without ASCII white space, A-Z lower-cased; a set holds the distinct k-word shingles, or the
     whole sequence of a text with fewer words. Documents link when den * intersection >= num * union;
     component_id is the smallest id that links lead to. Texts without words (null, empty) have an empty set and
-    link with nothing. Rows with a null id are left out. Rows that repeat an id with one text come out as often;
-    if their texts differ each row keeps its own size. An empty table gives an empty one.
+    link with nothing. Ids may be of any type that sorts. Rows with a null id link with nothing; their component_id is
+    null. Rows that repeat an id come out as often, and each has its own text's size and class. An empty table gives
+    an empty one. A very long text is held whole in one task, in about thirty times its bytes.
     """
-    made = JaccardClasses(df, id_col, text_col, k, num, den).classes()
-    return made.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    members, classes = JaccardClasses(df, id_col, text_col, k, num, den).classes()
+    out = members.join(classes, "d", "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
 def first_of_class(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """df's rows without near duplicates: of each class the row with the smallest id. Rows with a null id stay."""
-    lead = jaccard_classes(df, id_col, text_col, k, num, den).filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__lead")).distinct()
-    stay = df.filter(F.col(id_col).isNotNull()).join(lead, F.col(id_col).cast("long") == F.col("__lead"), "left_semi").dropDuplicates([id_col])
-    return stay.unionByName(df.filter(F.col(id_col).isNull()))
+    """df's rows without near duplicates: of each class the row with the smallest id.
+
+    Rows without words, or with a null id, stay. Rows that repeat an id and its words are one class, of which one row
+    stays; rows that repeat an id with other words are told apart. An empty table gives an empty one. Columns of df
+    keep their names and values, whatever they are called.
+    """
+    steps = JaccardClasses(df, id_col, text_col, k, num, den)
+    members, classes = steps.classes()
+    ident = F.col(T.quoted(id_col))
+    lead, mark = T.spare("lead"), T.spare("d")
+    # An id stays if the class of its row's words begins with it.
+    stay = members.filter("n > 0 and id is not null").join(classes.filter(F.col("component") == F.col("lead")), (members["d"] == classes["d"]) & (members["id"] == classes["lead"]), "left_semi")
+    empty = members.filter("n = 0 and id is not null")
+    kept = staged(stay.unionByName(empty).select(F.col("id").alias(lead), F.col("d").alias(mark)).distinct(), "kept")
+    repeats = not members.filter("id is not null").groupBy("id").agg(F.count("*").alias("m")).filter("m > 1").isEmpty()
+    nulls = df.filter(ident.isNull())
+    known = df.filter(ident.isNotNull())
+    if not repeats:
+        return known.join(kept, ident == F.col(lead), "left_semi").unionByName(nulls)
+
+    @F.pandas_udf("binary")
+    def digests(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: digest(words_of((t or "").encode())))
+
+    own = T.spare("own")
+    rows = known.withColumn(own, digests(F.col(T.quoted(text_col))))
+    rows = rows.join(kept, (ident == F.col(lead)) & (F.col(own) == F.col(mark)), "left_semi")
+    blank = digest([])
+    once = rows.filter(F.col(own) != F.lit(blank)).dropDuplicates([id_col, own])
+    return once.unionByName(rows.filter(F.col(own) == F.lit(blank))).drop(own).unionByName(nulls)

@@ -8,9 +8,14 @@ table maps hash(key) mod size to a shard, so a placement is one array-free looku
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.textwork import named, others, quoted, spare
+
 #: Slots per shard: the share of any two shards differs by at most one slot, about 1 %.
 SLOTS_PER_SHARD = 100
 
@@ -27,55 +32,52 @@ def _hash(text: Column, salt: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(salt), text).cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
-def lookup_table(spark: SparkSession, shards: list[str], table_size: int | None = None) -> DataFrame:
-    """(slot, shard): the filled table. shards: distinct names, in turn order; table_size: a prime above their number.
+def _name_hash(name: str, salt: str) -> int:
+    return int(hashlib.md5((salt + name).encode()).hexdigest()[:8], 16)
+
 
-    The fill is a fold over probes inside one row: state (turn, next preference of each shard, slots).
+def fill(shards: list[str], size: int) -> list[int]:
+    """The shard number of every slot. Only the shards' names enter, so this is planning, not work on data.
+
+    A shard never looks at a slot twice; all shards together look at about size * ln(size) slots.
     """
+    at = [_name_hash(x, "offset:") % size for x in shards]
+    skip = [_name_hash(x, "skip:") % max(size - 1, 1) + 1 for x in shards]
+    slots = [-1] * size
+    for turn in range(size):
+        i = turn % len(shards)
+        slot = at[i]
+        while slots[slot] >= 0:
+            slot = (slot + skip[i]) % size
+        slots[slot] = i
+        at[i] = (slot + skip[i]) % size
+    return slots
+
+
+def lookup_table(spark: SparkSession, shards: list[str], table_size: int | None = None) -> DataFrame:
+    """(slot, shard): the filled table. shards: distinct names, in turn order; table_size: a prime, at least their number."""
     if not shards or len(set(shards)) != len(shards):
         raise ValueError("shards must be distinct names, at least one")
     size = table_size or prime_at_least(SLOTS_PER_SHARD * len(shards))
     if size != prime_at_least(size) or size < len(shards):
         raise ValueError("table_size must be a prime that is not below the number of shards")
-    n = len(shards)
-    names = F.array(*[F.lit(x) for x in shards])
-    # range() keeps the fold out of constant folding, which would run it at each planning
-    one = spark.range(1).select(
-        F.transform(names, lambda x: (_hash(x, "offset:") % size).cast("int")).alias("start"),
-        F.transform(names, lambda x: (_hash(x, "skip:") % max(size - 1, 1) + 1).cast("int")).alias("skip"),
-        F.col("id"),
-    )
-    # A shard skips at most every slot once, so n * size probes always fill the table.
-    filled = one.select(
-        F.expr(f"""
-          aggregate(
-            sequence(1, {n * size} + cast(id as int)),
-            named_struct('turn', 0, 'next', array_repeat(0, {n}), 'slots', array_repeat(-1, {size})),
-            (a, i) -> if(a.turn >= {size}, a,
-              if(a.slots[cast((start[a.turn % {n}] + cast(a.next[a.turn % {n}] as bigint) * skip[a.turn % {n}]) % {size} as int)] >= 0,
-                named_struct('turn', a.turn,
-                  'next', concat(slice(a.next, 1, a.turn % {n}), array(a.next[a.turn % {n}] + 1), slice(a.next, a.turn % {n} + 2, {n})),
-                  'slots', a.slots),
-                named_struct('turn', a.turn + 1,
-                  'next', concat(slice(a.next, 1, a.turn % {n}), array(a.next[a.turn % {n}] + 1), slice(a.next, a.turn % {n} + 2, {n})),
-                  'slots', concat(
-                    slice(a.slots, 1, cast((start[a.turn % {n}] + cast(a.next[a.turn % {n}] as bigint) * skip[a.turn % {n}]) % {size} as int)),
-                    array(a.turn % {n}),
-                    slice(a.slots, cast((start[a.turn % {n}] + cast(a.next[a.turn % {n}] as bigint) * skip[a.turn % {n}]) % {size} as int) + 2, {size}))))),
-            a -> a.slots)""").alias("slots"),
-    )
-    return filled.select(F.posexplode("slots").alias("slot", "shard_no")).select("slot", F.element_at(names, F.col("shard_no") + 1).alias("shard"))
+    numbers = F.split(F.lit(",".join(map(str, fill(shards, size)))), ",")
+    names = F.from_json(F.lit(json.dumps(shards)), "array<string>")
+    # range() keeps the arrays out of constant folding, which would copy them into the plan.
+    slots = spark.range(1).select(F.posexplode(F.when(F.col("id") >= 0, numbers)).alias("slot", "shard_no"), F.when(F.col("id") >= 0, names).alias("names"))
+    return slots.select("slot", F.element_at("names", F.col("shard_no").cast("int") + 1).alias("shard"))
 
 
 def place(df: DataFrame, key: str, shards: list[str], table_size: int | None = None, slot: str = "slot", shard: str = "shard") -> DataFrame:
-    """df with the columns `slot` and `shard` (replacing columns of those names).
+    """df with the columns `slot` and `shard` (replacing columns of those names, in any case).
 
-    A null key is placed as the empty string; equal keys, repeated rows included, share a shard; an empty
-    table stays empty. The key is hashed by its string form, so a hot key loads its one shard by definition.
+    The key is of any type and hashed by its string form. A null key is placed as the empty string; equal keys,
+    repeated rows included, share a shard, so a hot key loads its one shard by definition. An empty table stays
+    empty. The broadcast table has table_size rows, whatever the data.
     """
     size = table_size or prime_at_least(SLOTS_PER_SHARD * len(shards))
-    table = lookup_table(df.sparkSession, shards, size).select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    placed = df.withColumn("__key_slot", (_hash(F.coalesce(F.col(key).cast("string"), F.lit("")), "key:") % size).cast("int"))
-    joined = placed.join(F.broadcast(table), F.col("__key_slot") == F.col("__slot"), "left")
-    kept = [df[c] for c in df.columns if c not in (slot, shard)]
-    return joined.select(*kept, F.col("__key_slot").alias(slot), F.col("__shard").alias(shard))
+    own, at, name = spare("slot"), spare("at"), spare("shard")
+    table = lookup_table(df.sparkSession, shards, size).select(F.col("slot").alias(at), F.col("shard").alias(name))
+    placed = df.withColumn(own, (_hash(F.coalesce(F.col(quoted(key)).cast("string"), F.lit("")), "key:") % size).cast("int"))
+    joined = placed.join(F.broadcast(table), F.col(own) == F.col(at), "left")
+    return joined.select(*named(others(df, (slot, shard))), F.col(own).alias(slot), F.col(name).alias(shard))

@@ -6,10 +6,16 @@ numpy passes per byte and no Python object per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -90,16 +96,39 @@ def spans(member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
+#: Longer words are hashed one by one; the others eight bytes at a time, all together.
+LONG_WORD = 64
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
+def word_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every buf[start:end], each eight bytes mixed into the state: no polynomial, whose collisions can be built.
+
+    Words of one length up to eight bytes never share a hash. What must be exact still compares bytes.
+    """
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)]).tobytes()
+    eight = np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,))
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64) * BASE + STEP)
+    left = np.flatnonzero(sizes <= LONG_WORD)
+    for j in range(0, LONG_WORD, 8):
+        left = left[sizes[left] > j]
+        if not len(left):
+            break
+        out[left] = mix(out[left] ^ (eight[starts[left] + j] & _KEEP[np.minimum(sizes[left] - j, 8)]))
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(padded[starts[i] : ends[i]], seed=0x5BD1E995)
+    return out
+
+
 class Words:
     """Words of several texts: byte spans in one buffer, hashes, and offsets[i]:offsets[i+1] of text i."""
 
     def __init__(self, texts: list[bytes], table: np.ndarray, lower: bool = True):
         buf, at = join_texts(texts)
         self.buf = LOWER[buf] if lower else buf
-        self.text_at = at
         self.starts, self.ends = spans(table[self.buf])
-        self.prefix = prefix_hash(self.buf)
-        self.hashes = span_hash(self.prefix, self.starts, self.ends)
+        self.hashes = word_hash(self.buf, self.starts, self.ends)
         self.offsets = np.searchsorted(self.starts, at)
 
     def word(self, i: int) -> bytes:
@@ -144,5 +173,56 @@ def chunked(lengths: list[int], most: int = CHUNK_BYTES) -> Iterator[tuple[int,
 
 
 def small_batches(spark, rows: int = 512) -> None:
-    """Bound the rows of an Arrow batch, and so the memory of a Python worker, for texts of unknown length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound the rows of an Arrow batch, and so the memory of a Python worker, for texts of unknown length.
+
+    The setting is read when a plan runs, which is after the operator returned, so it stays lowered in the session.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
+def others(df: DataFrame, names) -> list[str]:
+    """df's columns that have none of the names; like Spark, without regard to case."""
+    taken = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def named(columns: list[str]) -> list[Column]:
+    return [F.col(quoted(c)) for c in columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def spare(stem: str) -> str:
+    """A name for a helper column that no input has."""
+    return f"__{stem}_{uuid.uuid4().hex[:12]}"
+
+
+_held: dict[str, tuple[object, object]] = {}
+
+
+def held(kind: str, key, make: Callable):
+    """This process's one heavy state (tables of a model, a tokenizer), made anew if another is asked for.
+
+    Python workers are used again by later stages; what an earlier one left is dropped first, and given back to the
+    system, so that a worker never carries the states of several operators.
+    """
+    if kind not in _held or _held[kind][0] != key:
+        _held.clear()
+        release()
+        _held[kind] = key, make()
+    return _held[kind][1]
+
+
+def release() -> None:
+    """Give freed memory back to the system where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass

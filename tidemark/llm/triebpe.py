@@ -14,9 +14,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm import textwork as T
-from tidemark.llm.pretokens import PieceCache, Pretokenizer, pieces
+from tidemark.llm.pretokens import Pieces, Pretokenizer, Recent
 from tidemark.session import ship
 
 
@@ -126,21 +127,21 @@ class TrieEncoder:
     def encode(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         """(word, packed ids) of distinct words.
 
-        last[d] is the last token of the current path's first d characters, done[d] their ids, at[d] the
-        automaton's state; what the next word shares with the path is kept.
+        last[d] is the last token of the current path's first d characters, long[d] its length, at[d] the automaton's
+        state; what the next word shares with the path is kept. A word's ids are read back along the last tokens.
         """
         merges, packed, final = self.merges, self.packed, self.final
         fits, known = merges.fits, merges.known
         ends, steps, step = self.suffixes.ends, self.suffixes.steps, self.suffixes.step
         size = merges.size
-        last, done, at = [-1], [b""], [0]
+        last, long, at = [-1], [0], [0]
         path = ""
         for word in sorted(words):
             n = len(word)
             shared, limit = 0, min(len(last), n) - 1
             while shared < limit and path[shared] == word[shared]:
                 shared += 1
-            del last[shared + 1 :], done[shared + 1 :], at[shared + 1 :]
+            del last[shared + 1 :], long[shared + 1 :], at[shared + 1 :]
             state = at[shared]
             for depth in range(shared + 1, n):
                 char = word[depth - 1]
@@ -156,22 +157,27 @@ class TrieEncoder:
                 else:
                     raise ValueError(f"no token of the vocabulary ends {word[:depth]!r}")
                 last.append(token)
-                done.append(done[depth - length] + packed[token])
+                long.append(length)
                 at.append(state)
             path = word
             for start in range(max(0, n - self.longest_final), n):
                 token = final.get(word[start:])
                 if token is not None and (start == 0 or fits(last[start], token)):
-                    yield word, done[start] + packed[token]
                     break
             else:
                 raise ValueError(f"no token of the vocabulary ends {word!r}")
+            out = [packed[token]]
+            while start:
+                out.append(packed[last[start]])
+                start -= long[start]
+            out.reverse()
+            yield word, b"".join(out)
 
 
 class TrieTokenizer:
     """The encoder and decoder of one tokenizer file."""
 
-    def __init__(self, path: str, most_words: int = 600_000):
+    def __init__(self, path: str, most: int = 250_000):
         import json
 
         with open(path, encoding="utf-8") as f:
@@ -180,37 +186,25 @@ class TrieTokenizer:
         end = model.get("end_of_word_suffix") or ""
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.trie = TrieEncoder(Merges(model["vocab"], merges, end), self.split.pack)
-        self.most_words = most_words
-        self.words: dict[str, bytes] = {}
-        self.cache = PieceCache(self._piece)
+        self.packed = [self.split.pack([i]) for i in range(self.split.library.get_vocab_size())]
+        self.words = Recent(None, most)
+        self.cache = Recent(None, most)
         tokens = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.split.special.items()}
         self.tokens = [tokens.get(i, "").encode() for i in range(max(tokens) + 1)]
         self.decimals = [str(i).encode() for i in range(max(tokens) + 1)]
 
-    def _piece(self, piece: str) -> bytes:
-        known = self.words
-        return b"".join([self.split.pack([w]) if isinstance(w, int) else known[w] for w in self.split.words(piece)])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text; the new words of all texts go through the trie together."""
-        split = [pieces(t) for t in texts]
-        cache, known = self.cache, self.words
-        if len(cache) > cache.most:
-            cache.clear()
-        if len(known) > self.most_words:
-            known.clear()
-            cache.clear()
-        new = {p for s in split for p in s if p not in cache}
-        cut = {p: self.split.words(p) for p in new}
-        fresh = {w for ws in cut.values() for w in ws if not isinstance(w, int) and w not in known}
-        known.update(self.trie.encode(fresh))
-        most, cache.most = cache.most, 1 << 62  # pieces of this call stay until it ends
-        out = [b"".join([cache[p] for p in s]) for s in split]
-        cache.most = most
-        return out
-
-    def unpack(self, ids: bytes) -> list[int]:
-        return np.frombuffer(ids, self.split.width).tolist()
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; the new words of all texts go through the trie together."""
+        split = Pieces(texts)
+        cache, words, packed = self.cache, self.words, self.packed
+        for held in (cache, words):  # what this call needs stays until it ends
+            if len(held) > held.most:
+                held.age()
+        cut = {p: self.split.words(p) for p in cache.unknown(set(split.distinct))}
+        words.update(self.trie.encode(words.unknown({w for ws in cut.values() for w in ws if not isinstance(w, int)})))
+        cache.update((p, words[ws[0]] if len(ws) == 1 and not isinstance(ws[0], int) else b"".join([packed[w] if isinstance(w, int) else words[w] for w in ws])) for p, ws in cut.items())
+        ids, at = split.spread([cache[p] for p in split.distinct], self.split.width)
+        return [ids[a:b] for a, b in zip(at, at[1:], strict=False)]
 
     def decode(self, ids: list[int]) -> bytes:
         """The file has no decoder: tokens joined by one space."""
@@ -218,14 +212,9 @@ class TrieTokenizer:
         return b" ".join([tokens[i] for i in ids])
 
 
-_TOKENIZERS: dict[str, TrieTokenizer] = {}
-
-
 def tokenizer(path: str) -> TrieTokenizer:
-    """One tokenizer of each file per Python process."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = TrieTokenizer(path)
-    return _TOKENIZERS[path]
+    """This process's tokenizer of the file."""
+    return T.held("trie", path, lambda: TrieTokenizer(path))
 
 
 ADDED = {"n_tokens": "long", "ids": "binary", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -236,15 +225,14 @@ def encode_documents(df: DataFrame, vocabulary: str, text_col: str = "text", wit
 
     ids_sha256 is of the decimal ids joined by one space, decoded_sha256 of the decoded text. vocabulary is a
     path that every executor has (the tokenizer files are installed with Python). Null texts count as empty: no
-    tokens. Columns of the added names are replaced. Repeated texts give equal rows; an empty table stays empty.
+    tokens. Columns of the added names, in any case, are replaced; ids of documents are not looked at. Repeated texts
+    give equal rows; an empty table stays empty. A text is held whole in one task.
     """
     spark = df.sparkSession
     ship(spark)
     T.small_batches(spark)
     added = {n: k for n, k in ADDED.items() if with_ids or n != "ids"}
-    base = df.select(*[c for c in df.columns if c not in added])
-    from pyspark.sql import functions as F
-
+    base = df.select(*T.named(T.others(df, added)))
     target = base.select("*", *[F.lit(None).cast(k).alias(n) for n, k in added.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,17 +240,16 @@ def encode_documents(df: DataFrame, vocabulary: str, text_col: str = "text", wit
         for batch in batches:
             counts, ids, of_ids, of_text = [], [], [], []
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            for a, b in T.chunked([len(t) for t in texts], 4 * T.CHUNK_BYTES):
-                for packed in own.encode(texts[a:b]):
-                    numbers = own.unpack(packed)
+            for a, b in T.chunked([len(t) for t in texts], 2 * T.CHUNK_BYTES):
+                for found in own.encode(texts[a:b]):
+                    numbers = found.tolist()
                     counts.append(len(numbers))
                     decimals = own.decimals
                     of_ids.append(hashlib.sha256(b" ".join([decimals[i] for i in numbers])).hexdigest())
                     of_text.append(hashlib.sha256(own.decode(numbers)).hexdigest())
                     if with_ids:
-                        ids.append(np.frombuffer(packed, own.split.width).astype("<u4").tobytes())
+                        ids.append(found.astype("<u4").tobytes())
             made = {"n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(ids, pa.binary()), "ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_text, pa.string())}
-            names = [n for n in batch.schema.names if n not in added]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *[made[n] for n in added]], [*names, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[made[n] for n in added]], [*batch.schema.names, *added])
 
     return base.mapInArrow(run, target)
