@@ -38,6 +38,21 @@ def test_display_name(raw, shown, society):
     assert clean.display_name(raw, society) == shown
 
 
+@pytest.mark.parametrize("raw,name", [
+    ("桜まつりを開催します！", "桜まつり"), ("第3回 日立さくらまつり｜観光サイト", "日立さくらまつり"), ("「常陸大津の御船祭」", "常陸大津の御船祭"), ("令和8年度　土浦全国花火競技大会のお知らせ", "土浦全国花火競技大会"),
+    ("8月3日（土）水戸黄門まつり", "水戸黄門まつり"), ("綱火（フォトギャラリー）", "綱火"), ("8月17日更新 鉾田うまかっぺフェスタ", "鉾田うまかっぺフェスタ"), ("ひたち秋祭り「郷土芸能", "ひたち秋祭り"), ("潮来祇園祭禮 [PDF形式：120KB]", "潮来祇園祭禮"),
+])
+def test_candidate_name(raw, name):
+    assert clean.candidate_name(raw) == name
+
+
+def test_page_digest():
+    page = "<html><head><title>文化財</title></head><body><nav>x</nav><h2>指定</h2><table><caption>一覧</caption><tr><td>綱火</td><td></td><td>県</td></tr></table></body></html>"
+    assert clean.page_digest(page) == "TITLE: 文化財\nH: 指定\n| 綱火 | 県 |\nH: 一覧"
+    assert clean.page_digest("<title>t</title><p>市の無形民俗文化財です</p>") == "TITLE: t\n本文抜粋: t 市の無形民俗文化財です"
+    assert clean.page_digest("") == ""
+
+
 def column(spark, values, f):
     return [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").orderBy("i").select(f(F.col("v"))).collect()]
 
@@ -95,8 +110,12 @@ def test_tables_of_places():
 
 
 def test_designations():
-    page = "<h2>市指定 無形民俗文化財</h2><table><tr><td>市指定</td><td>1 富田のささら</td></tr></table>。県指定無形民俗文化財「綱火」"
+    page = "<h2>市指定 無形民俗文化財</h2><table><tr><td>市指定</td><td>富田のささら</td></tr></table>。県指定無形民俗文化財「綱火」"
     assert H.designations(page) == [("市指定", "無形民俗文化財", "富田のささら"), ("県指定", "無形民俗文化財", "綱火")]
+    listed = "<title>県指定文化財一覧</title><table><tr><td>指定区分</td><td>名称</td></tr><tr><td>史跡</td><td>石岡の一里塚</td></tr><tr><td>無形民俗文化財</td><td>昭和33年</td><td>富田のささら</td></tr></table>"
+    assert H.designations(listed) == [("県指定", "無形民俗文化財", "富田のささら")]
+    part = "<h3>民俗文化財の部</h3><table><tr><td>1</td><td>上山川諏訪神社太々神楽</td><td>県</td></tr></table><p>綱火（県 指定無形民俗文化財）</p>県指定無形民俗文化財に指定されており"
+    assert H.designations(part) == [("県指定", "民俗文化財", "上山川諏訪神社太々神楽"), ("県指定", "無形民俗文化財", "綱火")]
 
 
 def test_links_and_urls(spark):

@@ -144,7 +144,7 @@ def test_partition_overwrite_and_resume(spark, tmp_path):
 
 
 def test_rendering():
-    page = sinks.render_index([{"prefecture": "茨城県", "municipality": "日立市", "name": "祭（まつり）", "url": "", "others": 2}], "索引")
+    page = sinks.render_index([{"prefecture": "茨城県", "municipality": "日立市", "name": "祭（まつり）", "url": "", "others": 2, "n_prefecture": 1, "n_municipality": 1}], "索引")
     assert "茨城県 (1)" in page and "+2" in page and "%E7%A5%AD" in page and "%E3%81%BE" not in page
     assert sinks.markdown("# T\n- a **b**\n\n|x|y|\n|-|-|\n|1|`2`|\n") == "<h1>T</h1>\n<ul>\n<li>a <strong>b</strong></li>\n</ul>\n<table><tr><th>x</th><th>y</th></tr><tr><td>1</td><td><code>2</code></td></tr></table>"
 

@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType
 
 from tidemark.functions import rules as R
 from tidemark.functions.keys import squeeze_space
+from tidemark.session import staged
 
 #: (origin, pattern of the element, group of its content), in the order in which candidates are taken.
 POSITIONS = (
@@ -41,6 +42,21 @@ def plain(fragment: Column) -> Column:
     return F.regexp_replace(fragment, "<[^>]+>", " ")
 
 
+def label_text(fragment: Column) -> Column:
+    """A link's label: tags to nothing, entities decoded, no space at the ends."""
+    return F.trim(unescape(F.regexp_replace(fragment, "<[^>]+>", "")))
+
+
+def cell_text(fragment: Column) -> Column:
+    """A cell's text: tags to spaces, entities decoded, white space (ideographic too) collapsed."""
+    return squeeze_space(unescape(plain(fragment)))
+
+
+def raw_text(fragment: Column) -> Column:
+    """A candidate's text: tags to spaces, entities decoded, white space as it is."""
+    return unescape(plain(fragment))
+
+
 def candidate_strings(pages: DataFrame, id_col: str, html_col: str, decode: bool = True, positions=POSITIONS) -> DataFrame:
     """(id, rank, ord, origin, text): the strings at telling positions of each page; rank and ord give their order.
 
@@ -161,52 +177,185 @@ def attributed_rows(pages: DataFrame, id_col: str, html_col: str, names: list[st
     return pages.select(id_col, html_col).mapInPandas(run, schema)
 
 
-_DESIGNATION, _KIND = re.compile(R.DESIGNATION), re.compile(R.KIND)
-# What stands where a name should but is none.
+# Dates on pages ----------------------------------------------------------------------------------
+DATE_ON_PAGE = (
+    r"(?U)(?:令和\s*\d+\s*年|平成\s*\d+\s*年|\d{4}\s*年)?\s*"
+    r"(?:\d{1,2}\s*月(?:\s*\d{1,2}\s*日)?"
+    r"|毎年[^、。\n]{0,12}?"
+    r"(?:\d{1,2}\s*月(?:\s*\d{1,2}\s*日)?|第\s*[0-9０-９一二三四五六七八九]\s*[週]?[月火水木金土日]曜日?|上旬|中旬|下旬)"
+    r"(?:\s*(?:上旬|中旬|下旬))?"
+    r"(?:\s*(?:から|まで|〜|～|~|-|・)\s*[^、。\n]{0,10}?"
+    r"(?:\d{1,2}\s*月(?:\s*\d{1,2}\s*日)?(?:\s*(?:上旬|中旬|下旬))?"
+    r"|上旬|中旬|下旬|[月火水木金土日]曜日?))?"
+    r"|旧暦[^、。\n]{0,12}?\d{1,2}\s*月(?:\s*\d{1,2}\s*日)?"
+    r"|[1-9]?[0-9]?月?第\s*[0-9０-９一二三四五六七八九]\s*[週]?[月火水木金土日]曜日?"
+    r"|(?:春|夏|秋|冬)季"
+    r"|(?:1[0-2]|[1-9])月(?:上旬|中旬|下旬))"
+)
+
+
+def placed_pages(pages: DataFrame, id_col: str, html_col: str, names: list[str]) -> DataFrame:
+    """pages with placed (the rows of tables with a place column, in order) and rest (the page without those tables)."""
+    target = pages.schema.add("placed", "array<struct<name:string,municipality:string,context:string>>").add("rest", "string")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            made = [placed_rows(page or "", names) for page in frame[html_col]]
+            yield frame.assign(placed=[[{"name": n, "municipality": m, "context": c} for n, m, c in found] for found, _ in made], rest=[rest for _, rest in made])
+
+    return pages.mapInPandas(run, target)
+
+
+def extract_pages(pages: DataFrame, id_col: str, html_col: str, url_col: str, municipality_col: str, names: list[str], vocabulary: Column | None = None) -> DataFrame:
+    """The candidate rows of all pages: rows of tables that name a place first, then strings at telling positions.
+
+    (id, rank, ord, origin, reason, name, name_raw, municipality, date_text, venue, context, url): names are cleaned and
+    classified, and of a page's rows with one cleaned name the first that counts as a candidate stays. names: a
+    prefecture's municipalities. Date and venue come from the row's own context: the table row, or the text around the
+    name's first place on the page. vocabulary: terms of the prefecture, an array column of literals.
+    """
+    from tidemark.functions import predicates as P
+    from tidemark.functions.clean import candidate_name_udf, context_udf
+
+    read = placed_pages(pages.select(id_col, html_col, F.col(url_col).alias("__url"), F.col(municipality_col).alias("__muni")), id_col, html_col, names)
+    read = staged(read, "placed-pages")
+    tables = read.select(id_col, "__url", F.posexplode("placed").alias("ord", "p")).select(
+        id_col, F.lit(-1).alias("rank"), "ord", F.lit("table").alias("origin"), F.col("p.name").alias("raw"), F.col("p.municipality").alias("municipality"), F.col("p.context").alias("context"), F.col("__url").alias("url")
+    )
+    strings = candidate_strings(read.select(id_col, F.col("rest").alias("html")), id_col, "html")
+    flat = read.select(id_col, "__url", "__muni", squeeze_space(unescape(plain(F.col("rest")))).alias("flat"))
+    loose = strings.join(flat, id_col).select(id_col, "rank", "ord", "origin", F.col("text").alias("raw"), F.col("__muni").alias("municipality"), F.col("flat").alias("context"), F.col("__url").alias("url"))
+    rows = tables.unionByName(loose).withColumn("name", candidate_name_udf("raw"))
+    rows = rows.withColumn("reason", P.festival_reason(F.col("name"), F.col("municipality"), vocabulary)).filter("reason is not null")
+    first = first_seen(rows, [id_col, "name"], ["rank", "ord"])
+    around = F.when(F.col("rank") < 0, F.col("context")).otherwise(F.coalesce(F.nullif(context_udf("context", "name"), F.lit("")), squeeze_space(F.col("raw"))))
+    out = first.withColumn("__around", around)
+    dates = F.transform(F.regexp_extract_all("__around", F.lit(DATE_ON_PAGE), F.lit(0)), squeeze_space)
+    return out.select(
+        id_col, "rank", "ord", "origin", "reason", "name", F.substring(squeeze_space(F.col("raw")), 1, 120).alias("name_raw"), "municipality",
+        P.best_date(dates).alias("date_text"), P.first_venue(F.col("__around"), F.col("name")).alias("venue"), F.substring("__around", 1, 300).alias("context"), "url",
+    )
+
+
+# Designations on pages ---------------------------------------------------------------------------
 NO_NAME = re.compile(
-    r"^(?:名称|種別|種類|区分|指定|所在地|所有者|員数|時代|年月日|備考|一覧|合計|その他|ページ|関連|詳細|リンク|お問い合わせ)$|[。、！？]|^\d+$|^[〇○◯×]+$|"
-    r"(?:について|ください|します|ました|しています)$|^(?:[国県都道府市町村]?指定)?(?:重要)?(?:有形|無形)?(?:民俗)?文化財[】）)]?$|"
+    r"^(?:名称|種別|種類|区分|指定|所在地|所有者|員数|時代|年月日|備考|一覧|合計|その他|ページ|関連|詳細|リンク|お問い合わせ)$|"
+    r"^(?:重要)?(?:有形|無形)(?:民俗)?文化財\s*[（(]|"
+    r"[。、！？]|^\d+$|^[〇○◯×]+$|"
+    r"(?:について|ください|します|ました|しています)$|"
+    r"^(?:[国県都道府市町村]?指定)?(?:重要)?(?:有形|無形)?(?:民俗)?文化財[】）)]?$|"
     r"^(?:史跡|名勝|天然記念物|建造物|絵画|彫刻|工芸品|書跡|典籍|古文書|考古資料|歴史資料|登録有形文化財)$"
 )
-_FLAT = re.compile(rf"({R.DESIGNATION})\s*[・：:]?\s*({R.KIND})\s*[「『（(]?\s*({R.NAME_CHARS})")
-_FLAT_REVERSED = re.compile(rf"({R.NAME_CHARS})\s*[（(]\s*({R.DESIGNATION})\s*({R.KIND})\s*[）)]")
+PROSE = re.compile(
+    r"^(?:に|は|が|を|で|と|も|の|や|へ|から|より|など|また|なお|この|その|である|であり|として|における|に関する|について)|"
+    r"(?:し|して|され|されて|される|されており|など|ため|こと|もの|とき|ます|です|ある|あり|いる|おり|ない|れる|られ|ており|ながら|つつ|が|は|を|に|で|と|も|へ|の|や)$|"
+    r"https?|www\.|本文|ページ|お問い合わせ|問合せ|閲覧|ダウンロード|^第?\d+(?:件|行事|号|回|年|月|日)|以上前|当地|地域|現在|今から|例祭日$|文化財の$"
+)
+DATED_CELL = re.compile("^(?:昭和|平成|令和|大正|明治|\\d|[0-9０-９])")
+ADDRESS_CELL = re.compile(r"丁目|番地|[0-9０-９]$|ほか$|地内$|^[^\s]{2,7}[市区町村][^\s]{0,14}[0-9０-９]")
+FOLK_KIND = re.compile("(?<!有形)(?:無形民俗文化財|民俗文化財|無形民俗|民俗芸能|風俗慣習|民俗行事)")
+ANY_KIND = re.compile(
+    "有形民俗文化財|無形民俗文化財|民俗文化財|無形民俗|民俗芸能|風俗慣習|民俗行事|無形文化財|有形文化財|建造物|絵画|彫刻|工芸品|書跡|典籍|古文書|考古資料|歴史資料|史跡|名勝|天然記念物|記念物"
+)
+LEVEL_CELL = re.compile(r"^(国|県|都|道|府|市|町|村)(?:\s*指定)?$")
+LEVEL_IN_TEXT = re.compile(r"(?:国|県|都|道|府|市|町|村)\s*指定")
+LIST_NAME, TABLE_NAME = 20, 30
+#: Bytes that a page must hold, in either of the two encodings that pages come in.
+TELLING_BYTES = tuple(word.encode(code) for word in ("民俗", "無形") for code in ("utf-8", "cp932"))
+MOST_PAGE_BYTES = 600_000
+_DESIGNATION, _KIND = re.compile(R.DESIGNATION), re.compile(R.KIND)
+_FLAT = re.compile(rf"(?P<level>{R.DESIGNATION})\s*[・：:]?\s*(?P<kind>{R.KIND})\s*[「『（(]?\s*(?P<name>{R.NAME_CHARS})")
+_FLAT_REVERSED = re.compile(rf"(?P<name>{R.NAME_CHARS})\s*[（(]\s*(?P<level>{R.DESIGNATION})\s*(?P<kind>{R.KIND})\s*[）)]")
+# The parts of a name cell that are no name: what follows a property's heading, then what stands before the name.
+NAME_TAIL = r"\s*(?:所在地|所有者|員数|指定年月日|時代|備考|管理者).*$"
+NAME_EDGES = " 　・:：|｜/／"
+NAME_LEADS = (r"^[※＊*・□■○●◇◆▲△\-–—\d０-９.．)）】」』]+\s*", r"^[（(][^）)]{1,8}[）)]\s*", rf"^(?:{R.DESIGNATION})\s*", rf"^(?:{R.KIND})\s*")
 
 
 def designation_name(raw: str) -> str:
     """A designation's bare name: without property columns, bullets, numbers, short leading brackets, designation and kind."""
-    name = re.sub(r"\s*(?:所在地|所有者|員数|指定年月日|時代|備考|管理者).*$", "", raw).strip(" 　・:：|｜/／")
-    for pattern in (r"^[※＊*・□■○●◇◆▲△\-–—\d０-９.．)）】」』]+\s*", r"^[（(][^）)]{1,8}[）)]\s*", rf"^(?:{R.DESIGNATION})\s*", rf"^(?:{R.KIND})\s*"):
-        name = re.sub(pattern, "", name)
+    name = re.sub(NAME_TAIL, "", raw).strip(NAME_EDGES)
+    for lead in NAME_LEADS:
+        name = re.sub(lead, "", name)
     return name.strip()
 
 
+class DesignationPage:
+    """A page read once; each strategy looks at its rows, headings or running text for (designation, kind, name)."""
+
+    def __init__(self, page: str):
+        self.page = page
+        find = lambda pattern: [(m.start(), m[1]) for m in re.finditer(pattern, page, re.S | re.I)]
+        cells = lambda block: [text_of(c) for c in re.findall(r"<t[dh]\b[^>]*>(.*?)</t[dh]>", block, re.S | re.I)]
+        self.rows = [(at, row) for at, block in find(r"<tr\b[^>]*>(.*?)</tr>") if len(row := cells(block)) >= 2]
+        blocks = [(m.start(), m[2]) for m in re.finditer(r"<(tr|li)\b[^>]*>(.*?)</\1>", page, re.S | re.I)]
+        self.items = [(at, row) for at, block in blocks if (row := cells(block))]
+        self.headings = [(m.start(), text) for m in re.finditer(r"<(h[1-6]|caption|th)\b[^>]*>(.*?)</\1>", page, re.S | re.I) if (text := text_of(m[2]))]
+        first = lambda tag: next((text_of(m[1]) for m in re.finditer(rf"<{tag}[^>]*>(.*?)</{tag}>", page, re.S | re.I)), "")
+        self.title, self.head = first("title"), first("h1")
+
+    @staticmethod
+    def _name(cells: list[str], taken, most: int, places: bool) -> str:
+        """The first cell that is a name: not one that says level or kind, and with `places` no date or address."""
+        for cell in cells:
+            if not cell or taken(cell) or (places and (DATED_CELL.match(cell) or ADDRESS_CELL.search(cell))):
+                continue
+            name = designation_name(cell)
+            if 2 <= len(name) <= most and not NO_NAME.search(name):
+                return name
+        return ""
+
+    def from_rows(self) -> Iterator[tuple[str, str, str]]:
+        """Rows that say both level and kind."""
+        for _, cells in self.rows:
+            level = next((c for c in cells if _DESIGNATION.fullmatch(c)), "")
+            kind = next((c for c in cells if _KIND.fullmatch(c)), "")
+            if level and kind and (name := self._name(cells, lambda c: c in (level, kind), TABLE_NAME, False)):  # noqa: B023
+                yield level, kind, name
+
+    def from_page_level(self) -> Iterator[tuple[str, str, str]]:
+        """Rows that say the kind, on a page whose title or first heading says the level."""
+        said = LEVEL_IN_TEXT.search(f"{self.title} {self.head}")
+        for _, cells in self.rows if said else ():
+            kind = next((c for c in cells if _KIND.fullmatch(c)), "")
+            if kind and (name := self._name(cells, lambda c: c == kind, LIST_NAME, True)):  # noqa: B023
+                yield re.sub(r"\s+", "", said[0]), kind, name
+
+    def from_headings(self) -> Iterator[tuple[str, str, str]]:
+        """Rows that say the level in a cell, under a heading that says a folk kind. Only one of both may come from a heading."""
+        kinds = [(at, m[0]) for at, text in self.headings if (m := ANY_KIND.search(text))]
+        for at, cells in self.items:
+            level = next((m[1] + "指定" for c in cells if (m := LEVEL_CELL.match(c))), "")
+            above = [kind for place, kind in kinds if place <= at]
+            if not level or not above:
+                continue
+            kind = next((c for c in cells if ANY_KIND.fullmatch(c)), "") or above[-1]
+            if FOLK_KIND.search(kind) and (name := self._name(cells, lambda c: ANY_KIND.fullmatch(c) or LEVEL_CELL.match(c), LIST_NAME, True)):
+                yield level, kind, name
+
+    def from_text(self) -> Iterator[tuple[str, str, str]]:
+        """Running text: level, kind, name in a row, or the name with both in brackets."""
+        flat = text_of(self.page)
+        for pattern in (_FLAT, _FLAT_REVERSED):
+            for m in pattern.finditer(flat):
+                name = designation_name(m["name"])
+                if 2 <= len(name) <= LIST_NAME and not NO_NAME.search(name) and not PROSE.search(name) and re.search("[\u3040-\u30ff一-龥]", name):
+                    yield m["level"], m["kind"], name
+
+
 def designations(page: str) -> list[tuple[str, str, str]]:
-    """(designation, kind, name) of a page: from table rows, from tables under a telling heading, and from running text.
+    """(designation, kind, name) of a page by the four strategies in turn, as often as they find it."""
+    read = DesignationPage(page)
+    found = [*read.from_rows(), *read.from_page_level(), *read.from_headings(), *read.from_text()]
+    return [(re.sub(r"\s+", "", level), re.sub(r"\s+", "", kind), name) for level, kind, name in found]
 
-    A row takes at most one of designation and kind from its heading; what neither it nor its heading says stays out.
-    """
-    found: list[tuple[str, str, str]] = []
-    heading = ""
-    for part in re.finditer(r"<h[1-6][^>]*>(?P<h>.*?)</h[1-6]>|<tr\b[^>]*>(?P<r>.*?)</tr>", page, re.S | re.I):
-        if part["h"] is not None:
-            heading = text_of(part["h"])
-            continue
-        cells = [text_of(c) for c in re.findall(r"<t[dh]\b[^>]*>(.*?)</t[dh]>", part["r"], re.S | re.I)]
-        level = next((c for c in cells if _DESIGNATION.fullmatch(c)), "")
-        kind = next((c for c in cells if _KIND.fullmatch(c)), "")
-        from_head = bool(level) != bool(kind)
-        if from_head and not level and (m := _DESIGNATION.search(heading)):
-            level = m[0]
-        elif from_head and not kind and (m := _KIND.search(heading)):
-            kind = m[0]
-        names = [designation_name(c) for c in cells if c not in (level, kind)]
-        name = next((n for n in names if 2 <= len(n) <= 20 and re.search(R.JAPANESE, n) and not NO_NAME.search(n)), "")
-        if level and kind and name:
-            found.append((level, kind, name))
-    flat = text_of(re.sub(r"<table\b.*?</table>", " ", page, flags=re.S | re.I))
-    found += [(m[1], m[2], designation_name(m[3])) for m in _FLAT.finditer(flat)]
-    found += [(m[2], m[3], designation_name(m[1])) for m in _FLAT_REVERSED.finditer(flat)]
-    return [x for x in dict.fromkeys(found) if len(x[2]) >= 2 and not NO_NAME.search(x[2])]
+
+def telling_bytes(body: Column) -> Column:
+    """Whether a stored page is small enough and holds a telling word in UTF-8 or code page 932: asked before decoding."""
+    hit = F.lit(False)
+    for word in TELLING_BYTES:
+        hit = hit | F.contains(body, F.lit(bytearray(word)))
+    return (F.octet_length(body) <= MOST_PAGE_BYTES) & hit
 
 
 def designation_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
@@ -220,3 +369,8 @@ def designation_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
     telling = F.contains(F.col(html_col), F.lit("民俗")) | F.contains(F.col(html_col), F.lit("無形"))
     return pages.select(id_col, html_col).filter(telling).mapInPandas(run, schema)
+
+
+def first_designations(rows: DataFrame, scope: list[str], ord_cols: list[str]) -> DataFrame:
+    """One row for each (scope, name, kind): the first seen."""
+    return first_seen(rows, [*scope, "name", "kind"], ord_cols)

@@ -69,3 +69,26 @@ def recall(matched: DataFrame, tier: str) -> DataFrame:
     """(tier, hits, total, percent) per tier and over all (tier null); percent is rounded down."""
     hit = F.when(F.col("matched") == "same", 1).otherwise(0)
     return matched.rollup(tier).agg(F.sum(hit).cast("long").alias("hits"), F.count("*").alias("total"), F.floor(F.sum(hit) * 100 / F.greatest(F.lit(1), F.count("*"))).cast("long").alias("percent"))
+
+
+def evaluation(matched: DataFrame, output: DataFrame, scope: str, key: str, urls: str, slug: str) -> DataFrame:
+    """(part, name, hits, total) of a run against a known set: what a report lists.
+
+    matched: the known rows with `matched` (match_gold). Parts: 'scope' (hits of each municipality), 'zero_hit' and
+    'unreached' (municipalities without a hit, without any output), 'new' (output rows whose key the known set lacks),
+    'no_url' and 'pending' (sanity: output rows without an address, without an id).
+    """
+    hit = F.sum(F.when(F.col("matched") == "same", 1).otherwise(0)).cast("long")
+    per = matched.groupBy(scope).agg(hit.alias("hits"), F.count("*").alias("total"))
+    reached = output.select(scope).distinct()
+    row = lambda df, part, name, hits, total: df.select(F.lit(part).alias("part"), name.cast("string").alias("name"), hits.alias("hits"), total.alias("total"))
+    none, count = F.lit(None).cast("string"), F.count("*")
+    known = matched.select(scope, key).distinct()
+    fresh = output.join(known, [scope, key], "left_anti")
+    parts = [
+        row(per, "scope", F.col(scope), F.col("hits"), F.col("total")), row(per.filter("hits = 0"), "zero_hit", F.col(scope), F.col("hits"), F.col("total")),
+        row(per.join(reached, scope, "left_anti"), "unreached", F.col(scope), F.col("hits"), F.col("total")),
+        row(fresh.agg(count.alias("n")), "new", none, F.col("n"), F.col("n")), row(output.filter(F.size(urls) == 0).agg(count.alias("n")), "no_url", none, F.col("n"), F.col("n")),
+        row(output.filter(F.col(slug) == "PENDING").agg(count.alias("n")), "pending", none, F.col("n"), F.col("n")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

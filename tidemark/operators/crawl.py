@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import heapq
+import re
+import urllib.parse
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -59,11 +62,136 @@ def visit(pages, edges, budget: int, depth: int, most_queue: int) -> list[tuple[
     return order
 
 
-def expand(edges: DataFrame, roots: DataFrame, parent: str, child: str, most_depth: int = 2) -> DataFrame:
-    """(node, depth): everything within most_depth steps of the roots, each at its least depth. A bounded number of joins."""
+@dataclass
+class Stored:
+    """What is stored of one address: where it led, whether it is a feed or sitemap, and its outward links in order."""
+
+    final_url: str = ""
+    feed: bool = False
+    links: list[tuple[str, int, int | None]] = field(default_factory=list)  # address, priority, cultural rank
+    feeds: list[str] = field(default_factory=list)
+
+
+@dataclass
+class Frontier:
+    """The bounded queue of a site's crawl: a full queue drops its worst entry."""
+
+    most: int
+    heap: list[tuple[int, int, int, str, str]] = field(default_factory=list)
+    arrived: int = 0
+
+    def push(self, url: str, depth: int, kind: str, priority: int) -> None:
+        self.arrived += 1
+        heapq.heappush(self.heap, (priority, depth, self.arrived, url, kind))
+        if len(self.heap) > self.most:
+            self.heap.remove(max(self.heap))
+            heapq.heapify(self.heap)
+
+    def pop(self) -> tuple[int, str, str]:
+        _, depth, _, url, kind = heapq.heappop(self.heap)
+        return depth, url, kind
+
+
+def discover(
+    stored: dict[str, Stored], seeds: list[str], budget: int = 40, depth: int = 3, cultural: int = 0, scope: str = "", most_queue: int = 1_200, most_children: int = 200, skip: str = r"(?i)\.(pdf|zip|docx?|xlsx?|jpe?g|png|gif|mp4)$",
+) -> list[tuple[int, str, str, str, int]]:
+    """(seq, url, fetch_url, kind, depth): the crawl of one site over stored pages, in the order of its visits.
+
+    Best first by (priority, depth, arrival). Seeds and their sitemaps come first; a seed that leads to another host
+    makes that host part of the site; feeds and sitemaps give their first `most_children` addresses. scope: only
+    addresses below it count, one leading path segment more being allowed. A second stage takes up to `cultural`
+    pages with a cultural rank from what the queue still holds, two levels deeper; it changes nothing of the first.
+    """
+    hosts = {urllib.parse.urlsplit(s).netloc for s in seeds if s}
+    below = re.compile("^(?:/[^/]+)?" + re.escape(urllib.parse.urlsplit(scope).path)) if scope else None
+    queue, visited, out = Frontier(most_queue), set(), []
+
+    def wanted(url: str) -> bool:
+        parts = urllib.parse.urlsplit(url)
+        return url not in visited and parts.netloc in hosts and (below is None or below.match(parts.path) is not None) and not re.search(skip, parts.path)
+
+    def visit(url: str, kind: str, level: int) -> Stored | None:
+        visited.add(url)
+        page = stored.get(url)
+        if page:
+            out.append((len(out) + 1, page.final_url or url, url, kind, level))
+        return page
+
+    for seed in filter(None, seeds):
+        queue.push(seed, 0, "seed", -1)
+        if not scope:
+            queue.push(urllib.parse.urljoin(seed, "/sitemap.xml"), 0, "sitemap", -1)
+    while queue.heap and len(out) < budget:
+        level, url, kind = queue.pop()
+        page = visit(url, kind, level) if wanted(url) else None
+        if page is None:
+            continue
+        if kind == "seed" and page.final_url:
+            hosts.add(urllib.parse.urlsplit(page.final_url).netloc)
+        if level >= depth:
+            continue
+        kind_below = ("sitemap" if kind == "sitemap" else "feed") if page.feed else "index"
+        for feed in page.feeds if level == 0 and not page.feed else ():
+            if wanted(feed):
+                queue.push(feed, level + 1, "feed", 0)
+        for child, priority, _ in page.links[:most_children] if page.feed else page.links:
+            if wanted(child):
+                queue.push(child, level + 1, kind_below, priority)
+    ranks = {child: rank for page in stored.values() for child, _, rank in page.links if rank is not None}
+    taken = 0
+    while queue.heap and taken < cultural:
+        level, url, _ = queue.pop()
+        if url not in ranks or not wanted(url):
+            continue
+        page = visit(url, "cultural", level)
+        if page is None:
+            continue
+        taken += 1
+        for child, _, rank in page.links if level < depth + 2 and not page.feed else ():
+            if rank is not None and wanted(child):
+                queue.push(child, level + 1, "cultural", rank)
+    return out
+
+
+def discover_sites(pages: DataFrame, edges: DataFrame, site: str, **options) -> DataFrame:
+    """(site, seq, url, fetch_url, kind, depth) of every site's crawl over stored pages.
+
+    pages: (site, url, final_url, feed, seed, scope); edges: (site, url, to, ord, priority, rank, feed_link). One site
+    is one group: a crawl is sequential within its site, and its queue holds most_queue entries.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("url", "final_url", "feed", "seed", "scope")))
+    linked = F.array_sort(F.collect_list(F.struct("url", "ord", "to", "priority", "rank", "feed_link")))
+    both = pages.groupBy(site).agg(listed.alias("pages")).join(edges.groupBy(site).agg(linked.alias("edges")), site, "left")
+    schema = f"{site} {dict(pages.dtypes)[site]}, seq int, url string, fetch_url string, kind string, depth int"
+
+    def run(frames):
+        for frame in frames:
+            rows = []
+            for name, own, links in zip(frame[site], frame["pages"], frame["edges"], strict=True):
+                stored = {p["url"]: Stored(p["final_url"] or "", bool(p["feed"])) for p in own}
+                for e in links if links is not None else ():
+                    page = stored.get(e["url"])
+                    if page and e["feed_link"]:
+                        page.feeds.append(e["to"])
+                    elif page:
+                        page.links.append((e["to"], int(e["priority"]), None if pd.isna(e["rank"]) else int(e["rank"])))
+                seeds = [p["url"] for p in own if p["seed"]]
+                scope = next((p["scope"] for p in own if p["seed"] and p["scope"]), "")
+                rows += [(name, *x) for x in discover(stored, seeds, scope=scope, **options)]
+            yield pd.DataFrame(rows, columns=[site, "seq", "url", "fetch_url", "kind", "depth"])
+
+    return both.mapInPandas(run, schema)
+
+
+def expand(edges: DataFrame, roots: DataFrame, parent: str, child: str, most_depth: int = 2, follow: str | None = None) -> DataFrame:
+    """(node, depth): everything within most_depth steps of the roots, each at its least depth. A bounded number of joins.
+
+    follow: only nodes whose name this pattern finds are walked into (the roots always are).
+    """
     reached = roots.select(F.col(roots.columns[0]).alias("node"), F.lit(0).alias("depth"))
     frontier = reached
     for step in range(1, most_depth + 1):
-        frontier = frontier.select(F.col("node").alias(parent)).join(edges, parent).select(F.col(child).alias("node"), F.lit(step).alias("depth")).distinct()
+        open_nodes = frontier if follow is None or step == 1 else frontier.filter(F.col("node").rlike(follow))
+        frontier = open_nodes.select(F.col("node").alias(parent)).join(edges, parent).select(F.col(child).alias("node"), F.lit(step).alias("depth")).distinct()
         reached = reached.unionByName(frontier)
     return reached.groupBy("node").agg(F.min("depth").alias("depth"))

@@ -50,7 +50,7 @@ def canonical_place(df: DataFrame, known: DataFrame, scope: str, place: str, var
 
 
 def zip_rows(left: DataFrame, right: DataFrame, order_left: str, order_right: str) -> DataFrame:
-    """Joins two tables row by row in their orders; the caller checks counts with `row_count_problem` first."""
+    """Joins two tables row by row in their orders; rows without a partner have nulls (zip_checked refuses them)."""
     from tidemark.operators.records import numbered
 
     a = numbered(left, [order_left]).drop("id").withColumnRenamed("__n", "ordinal")
@@ -58,6 +58,21 @@ def zip_rows(left: DataFrame, right: DataFrame, order_left: str, order_right: st
     return a.join(b, "ordinal", "full")
 
 
+class ZipError(ValueError):
+    """Two lists that should run side by side do not."""
+
+
+def zip_checked(left: DataFrame, right: DataFrame, order_left: str, order_right: str, fits: Column) -> DataFrame:
+    """zip_rows of two tables of one length whose rows fit each other one by one; otherwise a ZipError names the first misfits."""
+    if problem := row_count_problem(left, right):
+        raise ZipError(problem)
+    both = staged(zip_rows(left, right, order_left, order_right), "zipped")
+    misfits = [r["ordinal"] for r in both.filter(~F.coalesce(fits, F.lit(False))).select("ordinal").orderBy("ordinal").limit(5).collect()]
+    if misfits:
+        raise ZipError(f"rows do not fit: {misfits}")
+    return both
+
+
 def row_count_problem(left: DataFrame, right: DataFrame) -> str | None:
     a, b = left.count(), right.count()
     return None if a == b else f"{a} rows against {b}"

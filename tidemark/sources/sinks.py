@@ -5,8 +5,9 @@ from __future__ import annotations
 import html
 import re
 import urllib.parse
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import publish
@@ -32,6 +33,24 @@ def write_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def replace_table(df: DataFrame, path: str) -> str:
+    """Writes df as a new version beside the old ones, then names it in the pointer table `current`; gives its path.
+
+    Readers go by the pointer (read_current), which one small commit replaces: they see the old table or the new one,
+    never a part. A run that dies leaves the pointer as it was.
+    """
+    version = f"{path}/v-{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    df.sparkSession.createDataFrame([(version,)], "path string").coalesce(1).write.mode("append").json(f"{path}/current")
+    return version
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The table that the latest entry of the pointer names."""
+    last = spark.read.json(f"{path}/current").select("path", F.col("_metadata.file_modification_time").alias("at")).orderBy(F.col("at").desc()).first()
+    return spark.read.parquet(last["path"])
+
+
 def pending(units: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Units that an earlier, interrupted run has not written."""
     return units.join(done.select(*keys).distinct(), keys, "left_anti")
@@ -53,15 +72,26 @@ def search_link(prefecture: str, municipality: str, name: str, base: str = "http
     return base + urllib.parse.quote_plus(" ".join((prefecture, municipality, re.sub(r"[（(][ぁ-ゖー\s]+[）)]", "", name).strip())))
 
 
+def index_rows(records: DataFrame, urls: str = "source_urls") -> DataFrame:
+    """What the index page shows, in its order: each record's first address and how many more, with the counts of its headings."""
+    listed = records.select("prefecture", "municipality", "name", F.coalesce(F.try_element_at(urls, F.lit(1)), F.lit("")).alias("url"), F.greatest(F.size(urls) - 1, F.lit(0)).cast("long").alias("others"))
+    counts = publish.nested_counts(listed, ["prefecture", "municipality"])
+    of_prefecture = counts.filter("depth = 1").select("prefecture", F.col("n").alias("n_prefecture"))
+    of_municipality = counts.filter("depth = 2").select("prefecture", "municipality", F.col("n").alias("n_municipality"))
+    joined = listed.join(F.broadcast(of_prefecture), "prefecture").join(of_municipality, ["prefecture", "municipality"])
+    return joined.orderBy("prefecture", "municipality", "name")
+
+
 def render_index(rows: list[dict], title: str) -> str:
-    """The page of records by prefecture and municipality, from rows (prefecture, municipality, name, url, others); counts at each level."""
-    parts, last = [f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)} ({len(rows)})</h1>"], (None, None)
-    for r in sorted(rows, key=lambda r: (r["prefecture"], r["municipality"], r["name"])):
+    """The page of records by prefecture and municipality, from index_rows in their order."""
+    label = html.escape(title)
+    parts, last = [f"<!doctype html><meta charset='utf-8'><title>{label}</title><h1>{label} ({len(rows)})</h1>"], (None, None)
+    for r in rows:
         here = r["prefecture"], r["municipality"]
         if here[0] != last[0]:
-            parts.append(f"<h2>{html.escape(here[0])} ({sum(x['prefecture'] == here[0] for x in rows)})</h2>")
+            parts.append(f"<h2>{html.escape(here[0])} ({r['n_prefecture']})</h2>")
         if here != last:
-            parts.append(f"<h3>{html.escape(here[1])} ({sum((x['prefecture'], x['municipality']) == here for x in rows)})</h3>")
+            parts.append(f"<h3>{html.escape(here[1])} ({r['n_municipality']})</h3>")
         more = f" +{r['others']}" if r.get("others") else ""
         link = r.get("url") or search_link(*here, r["name"])
         parts.append(f"<p><a href='{html.escape(link)}'>{html.escape(r['name'])}</a>{more}</p>")
@@ -69,6 +99,18 @@ def render_index(rows: list[dict], title: str) -> str:
     return "\n".join(parts)
 
 
+def access_report(totals: dict[str, int], hosts: list[dict], days: list[dict], kinds: tuple[str, ...]) -> str:
+    """The ledger's report in Markdown: totals, a row for each day, a row for each host; tables come counted and sorted."""
+
+    def table(head: list[str], rows: list[list]) -> str:
+        return "\n".join("| " + " | ".join(map(str, r)) + " |" for r in [head, ["---"] * len(head), *rows])
+
+    by_day = table(["day", *kinds], [[r["day"] or "", *(r.get(k) or 0 for k in kinds)] for r in days])
+    by_host = table(["host", "first", "last", *kinds, "bytes"], [[r["host"], r["first"], r["last"], *(r.get(k) or 0 for k in kinds), r["bytes"]] for r in hosts])
+    lines = [f"- {k}: {v:,}" for k, v in totals.items()]
+    return "\n\n".join(["# Access log", "\n".join(lines), "## By day", by_day, "## By host", by_host]) + "\n"
+
+
 def _inline(text: str) -> str:
     text = html.escape(text, quote=False)
     text = re.sub(r"`([^`]+)`", r"<code>\1</code>", text)

@@ -141,6 +141,21 @@ def search_results(page: str, base: str) -> tuple[dict[str, str], int]:
     return found, int(total[1].replace(",", "")) if total else 0
 
 
+def search_hits(df: DataFrame, id_col: str, html_col: str, base: str) -> DataFrame:
+    """(url, name, total) of search-result pages taken in id order: of one address the text of the last row."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for number, page in zip(frame[id_col], frame[html_col], strict=True):
+                found, total = search_results(page or "", base)
+                rows += [(number, i, url, name, total) for i, (url, name) in enumerate(found.items())]
+            yield pd.DataFrame(rows, columns=["page", "ord", "url", "name", "total"])
+
+    rows = df.select(id_col, html_col).mapInPandas(run, f"page {dict(df.dtypes)[id_col]}, ord int, url string, name string, total long")
+    return rows.groupBy("url").agg(F.max_by("name", F.struct("page", "ord")).alias("name"), F.max("total").alias("total"))
+
+
 # Charset labels that pages use for code page 932.
 CHARSET_ALIASES = {"shift_jis": "cp932", "shift-jis": "cp932", "x-sjis": "cp932", "sjis": "cp932", "windows-31j": "cp932", "ms932": "cp932"}
 _META = re.compile(rb"""<meta[^>]+charset\s*=\s*["']?\s*([A-Za-z0-9_.:-]+)""", re.I)
