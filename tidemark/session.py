@@ -46,11 +46,14 @@ def ship(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where that is unset (single machine, tests) a temporary folder stands in for it.
+    Where that is unset a temporary folder stands in for it, but only if driver and executors are one process; on a
+    cluster it is an error, since executors don't see each other's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_SHARED:
         _OWN_SHARED[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-shared-")
@@ -62,10 +65,16 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df, name: str):
-    """Write df as a table in the shared folder and read it back: cuts the lineage and survives executors."""
+def staged(df, name: str, rows: int | None = None, rows_a_file: int = 250_000):
+    """Write df as a table in the shared folder and read it back: cuts the lineage and survives executors.
+
+    rows: about how many rows df has, where that is known; its last stage then runs in so few tasks that a file gets
+    rows_a_file of them. A small table written by every shuffle partition would be as many files, each with its commit.
+    """
     spark = df.sparkSession
     path = staging_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // rows_a_file)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
