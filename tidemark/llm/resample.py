@@ -1,7 +1,7 @@
 """Importance resampling of documents: hashed n-gram models of target and raw text, Gumbel top-k.
 
 Two generative models over hashed token n-grams (words and runs of punctuation; unigrams and bigrams in separate
-tables, and a back-off trigram "same same same" for a token that repeats, whatever it is) are fitted by counting in
+tables, and a back-off n-gram for a run of RUN equal tokens, whatever the token) are fitted by counting in
 how many documents a bucket occurs: the target model over labelled good documents, the raw model over every document.
 A document's log weight is log p_target / p_raw, the sum over its distinct buckets. A ratio that its counts don't
 support is shrunk to one: it counts if it is clear by both size and standard deviations, or by fewer of them where
@@ -28,8 +28,9 @@ from tidemark.session import ship, staged
 
 #: log2 of the buckets of each of four tables (unigrams and bigrams, twice): the models' fixed size.
 BITS = 19
-#: The hash of the back-off trigram of three equal tokens.
+#: The hash of the back-off n-gram of RUN equal tokens. Shorter runs of a frequent word happen in good text.
 SAME = np.uint64(0x5BD1E9955BD1E995)
+RUN = 6
 #: Added to both counts of a bucket.
 PRIOR = 2.0
 #: A bucket counts if the log ratio is beyond LEAST_RATIO and the counts differ by LEAST_SIGMAS.
@@ -37,7 +38,7 @@ LEAST_RATIO = 1.0
 LEAST_SIGMAS = 3.0
 #: A rare bucket also counts against a document if the log ratio is under -RARE_RATIO by RARE_SIGMAS and labelled rows
 #: outside the target have it more often than expected by BAD_SIGMAS.
-RARE_RATIO, RARE_SIGMAS, BAD_SIGMAS = 0.5, 1.5, 4.0
+RARE_RATIO, RARE_SIGMAS, BAD_SIGMAS = 0.5, 1.5, 6.0
 #: Labelled rows that the target model is fitted on, and other labelled rows, at most about (bounded, hash-ordered samples).
 TARGET_ROWS = 200_000
 
@@ -47,7 +48,7 @@ def buckets(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarra
 
     Each n-gram has a bucket in two tables, by independent bits of its hash, so that a rare n-gram which shares a
     bucket with a telling one is told apart in the other table. Bigrams lie 2**bits higher, the second table
-    2**(bits+1) higher. Three equal tokens in a row are also the back-off trigram SAME.
+    2**(bits+1) higher. RUN equal tokens in a row are also the back-off n-gram SAME.
     """
     buf, at = T.join_texts(texts)
     low = T.LOWER[buf]
@@ -61,8 +62,10 @@ def buckets(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarra
     offsets = np.searchsorted(starts, at)
     one, owner = T.within(offsets, 1)
     two, owner2 = T.within(offsets, 2)
-    three, owner3 = T.within(offsets, 3)
-    same = (hashes[three] == hashes[three + 1]) & (hashes[three] == hashes[three + 2]) if len(three) else np.zeros(0, bool)
+    run, owner3 = T.within(offsets, RUN)
+    same = np.ones(len(run), bool)
+    for j in range(1, RUN):
+        same &= hashes[run] == hashes[run + j]
     owner3 = owner3[same]
     pair = 2 * bits
     grams = np.concatenate([hashes[one], np.full(len(owner3), SAME), T.grams(hashes, 2)[two]]) >> np.uint64(64 - pair)
