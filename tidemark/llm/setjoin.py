@@ -37,6 +37,8 @@ from tidemark.session import ship, staged
 PARITY_BITS = 1024
 #: Roles of a row in a bucket: it may ask, it may be found.
 ASKS, FOUND = 1, 2
+#: Comparisons by sketch, and pairs compared by their texts, of one task, about.
+COMPARED_ROWS, LINK_ROWS = 20_000_000, 10_000
 #: Rows of each side of a cell in which components of a bucket are compared, about (160 bytes each).
 CELL_ROWS = 8_192
 
@@ -343,7 +345,7 @@ class JaccardClasses:
     def nodes(self, members: DataFrame) -> DataFrame:
         """(d, lead, node): one row for each sequence of words, with its smallest id and a number."""
         rows = members.filter("n > 0 and id is not null").groupBy("d").agg(F.min("id").alias("lead"))
-        return staged(rows.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        return staged(rows.withColumn("node", F.monotonically_increasing_id()), "nodes", members.count())
 
     def texts(self, nodes: DataFrame) -> DataFrame:
         """(node, text) of every node."""
@@ -382,7 +384,7 @@ class JaccardClasses:
         parts = rest.groupBy("sig", "c").agg(F.count("*").alias("m"))
         sizes = parts.groupBy("sig").agg(F.max(F.struct("m", "c")).alias("big"), F.sum("m").alias("all"))
         outside = F.col("all") - F.col("big.m")
-        sizes = staged(sizes.select("sig", F.col("big.c").alias("big"), outside.alias("out_rows"), "all", F.ceil(outside / CELL_ROWS).alias("outs"), F.ceil(F.col("all") / CELL_ROWS).alias("alls")), "cells")
+        sizes = staged(sizes.select("sig", F.col("big.c").alias("big"), outside.alias("out_rows"), "all", F.ceil(outside / CELL_ROWS).alias("outs"), F.ceil(F.col("all") / CELL_ROWS).alias("alls")), "cells", rows.count())
         self.compared = sizes.agg(F.sum(F.col("out_rows") * F.col("all"))).first()[0] or 0
         logging.getLogger(__name__).info("%d pairs to compare by sketch", self.compared)
         marks = texts.join(rest.select(F.col("rep").alias("node")).distinct(), "node", "left_semi").mapInArrow(lambda it: _parity_rows(it, k), "node long, parity binary")
@@ -400,9 +402,11 @@ class JaccardClasses:
         """(rep, c): the nodes that meet others, and the smallest node of the class of each."""
         live = self.live(texts)
         # How often a set meets others over all its buckets: the centre of a group of copies meets most of them.
-        met = staged(live.groupBy("sig").agg(F.count("*").alias("met")), "met")
-        nodes = staged(live.join(met, "sig").groupBy("rep").agg(F.sum("met").alias("pop")), "live-nodes")
-        live = staged(live.join(nodes, "rep"), "live-pop")
+        n_live = live.count()
+        met = staged(live.groupBy("sig").agg(F.count("*").alias("met")), "met", n_live)
+        nodes = staged(live.join(met, "sig").groupBy("rep").agg(F.sum("met").alias("pop")), "live-nodes", n_live)
+        n_nodes = nodes.count()
+        live = staged(live.join(nodes, "rep"), "live-pop", n_live)
         texts = staged(texts.join(nodes.select(F.col("rep").alias("node")), "node", "left_semi"), "live-texts")
         links = tried = None
         comp = nodes.select("rep", F.col("rep").alias("c"))
@@ -410,7 +414,7 @@ class JaccardClasses:
             rows = live.join(comp, "rep")
             lead = F.max(F.struct("pop", "c", "rep", "n")).alias("lead")
             several = rows.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).filter("lo <> hi").select("sig", "lead")
-            several = staged(several, "several")
+            several = staged(several, "several", n_live)
             open_rows = rows.join(several, "sig").filter("c <> lead.c")
             if round_no == 0:  # every set with the most popular set that it meets
                 star = open_rows.groupBy("rep", "n").agg(F.max("lead").alias("lead"))
@@ -422,11 +426,12 @@ class JaccardClasses:
                 pairs = self._across(rows, several, texts)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = staged(pairs, "pairs")
-            found = staged(self.similar(pairs, texts), "links")
+            # Tasks of some seconds: the last round's work is the comparisons, then that of a link is its two texts.
+            pairs = staged(pairs, "pairs", n_live if round_no < 2 else self.compared, 250_000 if round_no < 2 else COMPARED_ROWS)
+            found = staged(self.similar(pairs, texts), "links", pairs.count(), LINK_ROWS)
             links = found if links is None else links.unionByName(found)
             tried = pairs if tried is None else tried.unionByName(pairs)
-            comp = staged(nodes.select("rep").join(components(links).withColumnRenamed("v", "rep"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "components")
+            comp = staged(nodes.select("rep").join(components(links).withColumnRenamed("v", "rep"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "components", n_nodes)
         return comp
 
     def classes(self) -> tuple[DataFrame, DataFrame]:
@@ -434,10 +439,11 @@ class JaccardClasses:
         members = self.members()
         nodes = self.nodes(members)
         comp = self.linked(self.texts(nodes)).withColumnRenamed("rep", "node")
+        n_nodes = nodes.count()
         placed = nodes.join(comp, "node", "left").select("d", "lead", F.coalesce("c", "node").alias("c"))
-        least = staged(placed.groupBy("c").agg(F.min("lead").alias("component")), "least")
+        least = staged(placed.groupBy("c").agg(F.min("lead").alias("component")), "least", n_nodes)
         # Written first: a join of two plain shuffles can split the rows of a sequence that a third of all rows have.
-        return members, staged(placed.join(least, "c").select("d", "component", "lead"), "classes")
+        return members, staged(placed.join(least, "c").select("d", "component", "lead"), "classes", n_nodes)
 
 
 def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
