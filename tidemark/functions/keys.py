@@ -24,6 +24,11 @@ def hiragana(c: Column) -> Column:
     return F.translate(c, KATAKANA, HIRAGANA)
 
 
+def is_kana(c: Column) -> Column:
+    """Whether a text is kana throughout (long-vowel and repetition marks, middle dots and spaces included)."""
+    return c.rlike(r"(?U)^[ぁ-ゖァ-ヺーゝゞ・　\s]+$")
+
+
 def squeeze_space(c: Column) -> Column:
     """Runs of white space (ideographic too) to one space, none at the ends."""
     return F.trim(F.regexp_replace(c, r"(?U)[\s　]+", " "))

@@ -43,8 +43,8 @@ def plain(fragment: Column) -> Column:
 
 
 def label_text(fragment: Column) -> Column:
-    """A link's label: tags to nothing, entities decoded, no space at the ends."""
-    return F.trim(unescape(F.regexp_replace(fragment, "<[^>]+>", "")))
+    """A link's label: tags to nothing, entities decoded, no white space at the ends."""
+    return F.regexp_replace(unescape(F.regexp_replace(fragment, "<[^>]+>", "")), r"(?U)^[\s　]+|[\s　]+$", "")
 
 
 def cell_text(fragment: Column) -> Column:
@@ -196,7 +196,8 @@ DATE_ON_PAGE = (
 
 def placed_pages(pages: DataFrame, id_col: str, html_col: str, names: list[str]) -> DataFrame:
     """pages with placed (the rows of tables with a place column, in order) and rest (the page without those tables)."""
-    target = pages.schema.add("placed", "array<struct<name:string,municipality:string,context:string>>").add("rest", "string")
+    added = {"placed": "array<struct<name:string,municipality:string,context:string>>", "rest": "string"}
+    target = pages.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in added.items()]).schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:

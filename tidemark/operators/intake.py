@@ -150,10 +150,15 @@ def longest_first(terms: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda s: s["t"])
 
 
-def in_listed_order(df: DataFrame, column: str, listed: list[str], *then: str) -> DataFrame:
-    """df sorted by the column's place in a fixed list (what isn't listed comes last), then by other columns."""
+def listed_place(column: str, listed: list[str]) -> Column:
+    """The column's place in a fixed list; what isn't listed comes last."""
     place = reduce(lambda c, item: c.when(F.col(column) == item[1], item[0]), enumerate(listed), F.when(F.lit(False), 0))
-    return df.orderBy(F.coalesce(place, F.lit(len(listed))), *then)
+    return F.coalesce(place, F.lit(len(listed)))
+
+
+def in_listed_order(df: DataFrame, column: str, listed: list[str], *then: str) -> DataFrame:
+    """df sorted by the column's place in a fixed list, then by other columns."""
+    return df.orderBy(listed_place(column, listed), *then)
 
 
 def profile(df: DataFrame, column: str, most: int = 8) -> DataFrame:

@@ -64,12 +64,17 @@ def merge_groups(df: DataFrame, key: list[str], id_col: str, name: str, ord_col:
     )
 
 
+def id_clashes(kept: DataFrame, new: DataFrame, id_col: str) -> DataFrame:
+    """The ids that both tables have: any of them stops a merge."""
+    return kept.select(id_col).intersect(new.select(id_col))
+
+
 def upsert(existing: DataFrame, new: DataFrame, id_col: str, scope: Column, made_here: Column, replace: bool) -> DataFrame:
     """existing plus new: with replace, rows of the scope that the pipeline itself made go first; curated rows always stay."""
     kept = existing.filter(~(scope & made_here)) if replace else existing
-    clash = kept.join(new.select(id_col), id_col, "left_semi")
-    if not clash.isEmpty():
-        raise PublishError(f"ids exist already: {[r[0] for r in clash.select(id_col).limit(5).collect()]}")
+    clash = [r[0] for r in id_clashes(kept, new, id_col).limit(5).collect()]
+    if clash:
+        raise PublishError(f"ids exist already: {clash}")
     return kept.unionByName(new, allowMissingColumns=True)
 
 

@@ -303,10 +303,13 @@ def page_absolute_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (
+    from tidemark.plans import goldens, more
+
+    own = {f.__name__: f for f in (
         page_candidates, page_links, dedup_key_groups, merge_prefix_variants, representative_name, normalize_records, date_classification, category_tags, stable_hash_ids,
         id_collision_resolution, unique_containment_assign, place_resolution, merge_guard_antijoin, judgment_status, alias_validation, verdict_cells, cleaned_name_merge,
         published_dedupe_fill, consumer_checks, known_set_novelty, golden_recall, loose_match_4gram, vocab_terms, coverage_gap, positional_zip, ledger_by_host, ledger_by_day,
         ledger_by_group, ledger_backfill, url_scope_district, host_first_source, judge_batches, carry_forward, nested_counts, filter_view, registry_union, category_tree,
         crawl_order, page_text_norm, page_absolute_links,
     )}
+    return own | goldens.queries() | more.QUERIES

@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries in tidemark.plans.queries that SQL can express."""
 
+from tidemark.plans import goldens, more
+
 TEXT = r"trim(regexp_replace(regexp_replace({}, '<[^>]+>', ' ', 'g'), '[\s　]+', ' ', 'g'))"
 
 
@@ -252,3 +254,4 @@ ORACLES = {
     "ledger_by_group": LEDGER_BY_GROUP, "ledger_backfill": LEDGER_BACKFILL, "url_scope_district": URL_SCOPE, "host_first_source": HOST_FIRST_SOURCE, "judge_batches": JUDGE_BATCHES,
     "carry_forward": CARRY_FORWARD, "nested_counts": NESTED_COUNTS, "filter_view": FILTER_VIEW, "registry_union": REGISTRY_UNION, "category_tree": CATEGORY_TREE,
 }
+ORACLES |= goldens.oracles() | more.ORACLES

@@ -7,7 +7,7 @@ import re
 import urllib.parse
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import publish
@@ -72,6 +72,11 @@ def search_link(prefecture: str, municipality: str, name: str, base: str = "http
     return base + urllib.parse.quote_plus(" ".join((prefecture, municipality, re.sub(r"[（(][ぁ-ゖー\s]+[）)]", "", name).strip())))
 
 
+def search_address(prefecture: Column, municipality: Column, name: Column, base: str = "https://www.google.com/search?q=") -> Column:
+    """search_link as a column."""
+    return F.concat(F.lit(base), F.url_encode(F.concat_ws(" ", prefecture, municipality, F.trim(F.regexp_replace(name, r"(?U)[（(][ぁ-ゖー\s]+[）)]", "")))))
+
+
 def index_rows(records: DataFrame, urls: str = "source_urls") -> DataFrame:
     """What the index page shows, in its order: each record's first address and how many more, with the counts of its headings."""
     listed = records.select("prefecture", "municipality", "name", F.coalesce(F.try_element_at(urls, F.lit(1)), F.lit("")).alias("url"), F.greatest(F.size(urls) - 1, F.lit(0)).cast("long").alias("others"))

@@ -78,15 +78,20 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(listed).alias("r")).select("r.*")
 
 
-def _binary_rows(spark: SparkSession, path: str, parse, schema: str) -> DataFrame:
-    """(file, ordinal, cells) of every matching file; a file is read by one task."""
+def rows_of_bytes(files: DataFrame, parse) -> DataFrame:
+    """(file, ordinal, cells) of files (path, content), each parsed by one task."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [(p, i, cells) for p, content in zip(frame["path"], frame["content"], strict=True) for i, cells in enumerate(parse(content))]
             yield pd.DataFrame(rows, columns=["file", "ordinal", "cells"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
+    return files.select("path", "content").mapInPandas(run, CELLS)
+
+
+def _binary_rows(spark: SparkSession, path: str, parse) -> DataFrame:
+    """(file, ordinal, cells) of every matching file."""
+    return rows_of_bytes(spark.read.format("binaryFile").load(path), parse)
 
 
 CELLS = "file string, ordinal int, cells array<string>"
@@ -112,12 +117,16 @@ def sheet_cells(content: bytes, sheet: int = 1) -> list[list[str]]:
 
 
 def workbook(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
-    return _binary_rows(spark, path, lambda b: sheet_cells(b, sheet), CELLS)
+    return _binary_rows(spark, path, lambda b: sheet_cells(b, sheet))
+
+
+def cp932_cells(content: bytes) -> list[list[str]]:
+    return list(csv.reader(io.StringIO(content.decode("cp932", "replace"))))
 
 
 def cp932_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV in code page 932 (not among Spark's charsets): undecodable bytes are replaced, cells may hold line ends."""
-    return _binary_rows(spark, path, lambda b: list(csv.reader(io.StringIO(b.decode("cp932", "replace")))), CELLS)
+    return _binary_rows(spark, path, cp932_cells)
 
 
 def list_cells(page: str, width: int = 5) -> list[list[str]]:
@@ -128,7 +137,7 @@ def list_cells(page: str, width: int = 5) -> list[list[str]]:
 
 
 def html_list(spark: SparkSession, path: str, width: int = 5) -> DataFrame:
-    return _binary_rows(spark, path, lambda b: list_cells(b.decode("utf-8", "replace"), width), CELLS)
+    return _binary_rows(spark, path, lambda b: list_cells(b.decode("utf-8", "replace"), width))
 
 
 def search_results(page: str, base: str) -> tuple[dict[str, str], int]:
