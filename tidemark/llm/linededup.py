@@ -30,6 +30,8 @@ from tidemark.session import ship, staged
 MIN_CHARS = 10
 #: Distinct keys of one index shard, about (about 20 bytes each in memory while it is probed).
 SHARD_KEYS = 250_000
+#: Keys that a task writes, or builds the index of, about.
+TASK_KEYS = 1_000_000
 STRIP = b" \t\n\x0b\x0c\r"
 #: Bits per key and level of the perfect hash; more bits make fewer levels.
 GAMMA = 2.0
@@ -262,9 +264,9 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     total = blocks.agg(F.sum("n_keys")).first()[0] or 0
     shards = max(1, -(-total // shard_keys))
     rows = blocks.select("block", "keys", "owners", "holders").mapInArrow(lambda it: _key_rows(it, shards), "shard long, block long, k long, a long, b long, owner long, n long")
-    keys = staged(rows, "line-keys")  # they are read twice: for the index, and to ask it
+    keys = staged(rows, "line-keys", total, TASK_KEYS)  # they are read twice: for the index, and to ask it
     distinct = keys.groupBy("shard", "a", "b").agg(F.min("owner").alias("owner"), F.sum("n").alias("n"))
-    index = staged(distinct.repartition("shard").sortWithinPartitions("shard").mapInArrow(_index_rows, INDEX), "line-index")
+    index = staged(distinct.repartition("shard").sortWithinPartitions("shard").mapInArrow(_index_rows, INDEX), "line-index", total, TASK_KEYS)
     asked = "shard long, ask int, block long, k long, a long, b long, n_keys long, sizes binary, bits binary, prints binary, counts binary, owners binary"
     stream = _nulls(index.withColumn("ask", F.lit(0)), asked).unionByName(_nulls(keys.withColumn("ask", F.lit(1)), asked))
     answers = stream.repartition("shard").sortWithinPartitions("shard", "ask").mapInArrow(lambda it: _probe_rows(it, min_docs), "block long, k long, owner long")

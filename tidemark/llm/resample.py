@@ -275,7 +275,7 @@ def importance_resample(
         drawn = drawn.groupBy("id", "hash").agg(F.max("log_weight").alias("log_weight"), F.max("log_weight_noisy").alias("log_weight_noisy"), F.count("*").alias("n"))
         all_rows = weights.groupBy(F.col("id").alias("id2"), F.col("hash").alias("hash2")).agg(F.count("*").alias("of")).filter("of > 1")
         same = drawn["id"].eqNullSafe(all_rows["id2"]) & drawn["hash"].eqNullSafe(all_rows["hash2"])
-        kept = staged(drawn.join(all_rows, same, "left").select("id", "hash", "log_weight", "log_weight_noisy", "n", F.coalesce("of", "n").alias("of")), "drawn")
+        kept = staged(drawn.join(all_rows, same, "left").select("id", "hash", "log_weight", "log_weight_noisy", "n", F.coalesce("of", "n").alias("of")), "drawn", k, 1_000_000)
     names = {c: T.spare(c) for c in ("id", "hash", "n", "of")}
     kept = kept.withColumnsRenamed(names)
     joined = base.join(kept, ident.eqNullSafe(F.col(names["id"])) & F.xxhash64(text).eqNullSafe(F.col(names["hash"])), "inner")

@@ -361,7 +361,7 @@ class JaccardClasses:
         rows = texts.mapInArrow(lambda it: _signature_rows(it, k, num, den), ROW)
         met = rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(_live_rows, ROW)
         role, n = F.col("code").bitwiseAND(3), F.shiftright("code", 2)
-        return staged(met.groupBy("sig", F.col("node").alias("rep")).agg(F.bit_or(role).cast("int").alias("role"), F.max(n).cast("long").alias("n")), "live")
+        return staged(met.groupBy("sig", F.col("node").alias("rep")).agg(F.bit_or(role).cast("int").alias("role"), F.max(n).cast("long").alias("n")), "live", 4 * texts.count())
 
     def similar(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         k, num, den = self.k, self.num, self.den
