@@ -18,13 +18,16 @@ def vocabulary(df: DataFrame, scope: str, terms: Column, category: str, example:
 def without_places(terms: DataFrame, term: str, places: DataFrame, place: str, least: int = 3) -> DataFrame:
     """Terms that are no place and hold no place name of `least` characters or more.
 
-    Each term offers its substrings to an equality anti join, so the places may be many.
+    Each term offers its substrings of the lengths that place names have to an equality anti join, so the places may be
+    many and a term's length costs its own characters times those few lengths.
     """
     names = places.select(F.col(place).alias("__g")).filter(F.col("__g") != "").distinct()
     keyed = terms.select(term).distinct()
     size = F.length(term)
-    starts = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda w: F.substring(F.col(term), i, w))))
-    pieces = keyed.filter(size > 0).select(term, F.explode(F.array_distinct(starts)).alias("__g")).filter((F.length("__g") >= least) | (F.col("__g") == F.col(term)))
+    lengths = sorted(r["n"] for r in names.select(F.length("__g").alias("n")).filter(F.col("n") >= least).distinct().collect())  # as many as there are lengths
+    own = F.array(F.col(term))
+    runs = [F.when(size >= n, F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i, n=n: F.substring(F.col(term), i, F.lit(n)))).otherwise(own) for n in lengths]
+    pieces = keyed.filter(size > 0).select(term, F.explode(F.array_distinct(F.concat(own, *runs))).alias("__g"))
     bad = pieces.join(names, "__g", "left_semi").select(term).distinct()
     return terms.join(bad, term, "left_anti")
 

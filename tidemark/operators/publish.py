@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules as R
+from tidemark.operators.records import in_rank_order
 
 HASH_ID = "-x[0-9a-f]{8}$"
 
@@ -47,21 +48,21 @@ def merge_groups(df: DataFrame, key: list[str], id_col: str, name: str, ord_col:
     filled from the others in that order; aliases take the others' names and aliases, sources the union.
     """
     kinds = dict(df.dtypes)
-    rank = F.struct(F.when(F.col(id_col).rlike(HASH_ID), 1).otherwise(0).alias("a"), (-F.size(F.coalesce(F.col(sources), F.array().cast(kinds[sources])))).alias("b"), F.col(ord_col).alias("c"))
-    fields = [id_col, name, aliases, sources, *fill]
-    rows = df.withColumn("__s", F.struct(rank.alias("r"), *fields))
-    groups = rows.groupBy(*key).agg(F.array_sort(F.collect_list("__s")).alias("m"), F.max(F.col(curated).cast("int")).alias("__curated")).filter((F.size("m") > 1) & (F.col("__curated") == 0))
-    head = F.element_at("m", 1)
+    none = lambda c: F.coalesce(F.col(c), F.array().cast(kinds[c]))
+    rank = F.struct(F.when(F.col(id_col).rlike(HASH_ID), 1).otherwise(0).alias("a"), (-F.size(none(sources))).alias("b"), F.col(ord_col).alias("c"))
 
     def filled(c: str) -> Column:
-        return F.coalesce(F.try_element_at(F.filter(F.transform("m", lambda x: x[c]), lambda v: ~is_blank(v, kinds[c])), F.lit(1)), head[c])
-
-    names = F.flatten(F.transform("m", lambda x: F.concat(F.array(x[name]), F.coalesce(x[aliases], F.array().cast("array<string>")))))
-    return groups.select(
-        *key, head[id_col].alias(id_col), head[name].alias(name), F.array_remove(F.array_distinct(names), head[name]).alias(aliases),
-        F.array_distinct(F.flatten(F.transform("m", lambda x: F.coalesce(x[sources], F.array().cast(kinds[sources]))))).alias(sources),
-        *[filled(c).alias(c) for c in fill], F.size("m").cast("long").alias("merged"),
-    )
+        full = ~is_blank(F.col(c), kinds[c])
+        return F.coalesce(F.min_by(F.when(full, F.col(c)), F.when(full, rank)), F.min_by(c, rank)).alias(c)
+
+    heads = df.groupBy(*key).agg(
+        F.count("*").alias("merged"), F.max(F.col(curated).cast("int")).alias("__curated"), F.min_by(id_col, rank).alias(id_col), F.min_by(name, rank).alias(name), *[filled(c) for c in fill]
+    ).filter("merged > 1 and __curated = 0")
+    names = in_rank_order(df, key, F.concat(F.array(name), none(aliases)), rank, "__names")
+    links = in_rank_order(df, key, none(sources), rank, "__sources")
+    return heads.join(names, key, "left").join(links, key, "left").select(
+        *key, id_col, name, F.array_remove("__names", F.col(name)).alias(aliases), F.coalesce("__sources", F.array().cast(kinds[sources])).alias(sources), *fill, "merged"
+    )
 
 
 def id_clashes(kept: DataFrame, new: DataFrame, id_col: str) -> DataFrame:

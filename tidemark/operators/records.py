@@ -64,15 +64,27 @@ def own_ids(df: DataFrame, slug: str, id_col: str) -> DataFrame:
     return df.join(owners, slug, "left").withColumn("keeps_slug", F.col("owner") == F.col(id_col))
 
 
+def in_rank_order(df: DataFrame, group: list[str], values: Column, rank: Column, name: str) -> DataFrame:
+    """(group, name): the distinct values of an array column over a group's rows, by the first row and place that has each.
+
+    Two aggregates: values with their best place, then those sorted; a group's rows are never gathered.
+    """
+    each = df.select(*group, rank.alias("__rank"), F.posexplode(values).alias("__pos", "__value"))
+    best = each.groupBy(*group, "__value").agg(F.min(F.struct("__rank", "__pos")).alias("__at"))
+    listed = F.array_sort(F.collect_list(F.struct("__at", "__value")))
+    return best.groupBy(*group).agg(F.transform(listed, lambda x: x["__value"]).alias(name))
+
+
 def merge_same_names(df: DataFrame, group: list[str], id_col: str, name: str, urls: str, cap: int = 8) -> DataFrame:
     """One row per group: the canonical row (most urls, then smallest id), its aliases and the union of urls in that order, capped after counting."""
-    ranked = F.array_sort(F.collect_list(F.struct((-F.size(urls)).alias("r"), F.col(id_col).alias("id"), F.col(name).alias("name"), F.col(urls).alias("urls"))))
-    rows = df.groupBy(*group).agg(ranked.alias("m"))
-    all_urls = F.array_distinct(F.flatten(F.transform("m", lambda x: x["urls"])))
-    head = F.element_at("m", 1)
-    return rows.select(
-        *group, head["id"].alias("canonical"), head["name"].alias("name"), F.array_remove(F.array_distinct(F.transform("m", lambda x: x["name"])), head["name"]).alias("aliases"),
-        F.size(all_urls).cast("long").alias("source_count"), F.slice(all_urls, 1, cap).alias("source_urls"), F.size("m").cast("long").alias("members"),
+    rank = F.struct((-F.size(urls)).alias("r"), F.col(id_col).alias("id"))
+    heads = df.groupBy(*group).agg(F.min_by(id_col, rank).alias("canonical"), F.min_by(name, rank).alias("name"), F.count("*").alias("members"))
+    names = in_rank_order(df, group, F.array(name), rank, "__names")
+    links = in_rank_order(df, group, F.col(urls), rank, "__urls")
+    same = lambda a, b: a.join(b, group, "left")
+    listed = F.coalesce("__urls", F.array().cast(dict(df.dtypes)[urls]))
+    return same(same(heads, names), links).select(
+        *group, "canonical", "name", F.array_remove("__names", F.col("name")).alias("aliases"), F.size(listed).cast("long").alias("source_count"), F.slice(listed, 1, cap).alias("source_urls"), "members",
     )
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import staged
 
-#: Rows of a lookup table that may be broadcast as one array; larger ones are joined by equality on tokens.
-MOST_NAMES = 100_000
+#: Names that may be tried one by one in each row: a prefecture has fewer than 200 municipalities.
+MOST_NAMES = 2_000
 
 
 def lookup(df: DataFrame, table: DataFrame, keys: list[str], order: str, last: bool = False) -> DataFrame:
@@ -105,12 +105,19 @@ def alias_problems(df: DataFrame, id_col: str, alias: str, place: str, verdict:
 
 
 def cycles(df: DataFrame, id_col: str, alias: str) -> DataFrame:
-    """(id) of rows whose alias chain never ends. After n doublings 2**n steps are taken; rows that still point on are in or before a cycle."""
-    step = df.filter(F.col(alias).isNotNull()).select(F.col(id_col).alias("v"), F.col(alias).alias("to"))
-    for _ in range(max(1, step.count().bit_length())):
-        step = staged(step, "alias-steps")
+    """(id) of rows whose alias chain never ends, by pointer doubling.
+
+    After n doublings the rows whose chain has more than 2**n steps are left. A longer chain that ends runs through rows
+    with every smaller number of steps, so once a doubling leaves as many rows as before, only cycles are left.
+    """
+    step = staged(df.filter(F.col(alias).isNotNull()).select(F.col(id_col).alias("v"), F.col(alias).alias("to")), "alias-steps")
+    left = step.count()
+    while left:
         onward = step.select(F.col("v").alias("to"), F.col("to").alias("far"))
-        step = step.join(onward, "to").select("v", F.col("far").alias("to"))
+        step = staged(step.join(onward, "to").select("v", F.col("far").alias("to")), "alias-steps", left)
+        before, left = left, step.count()
+        if left == before:
+            break
     return step.select(F.col("v").alias(id_col)).distinct()
 
 

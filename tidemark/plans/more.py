@@ -225,8 +225,8 @@ def place_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = part.select(F.col("p_brand").alias("prefecture"), F.col("p_name").alias("name"), F.col("p_partkey").alias("ord"), "p_size")
     one = base.filter("ord % 4 = 0").withColumn("municipality", F.when(F.col("p_size") % 5 == 0, R.PREFECTURE_WIDE).otherwise(F.concat(F.lit("m"), (F.col("p_size") % 3).cast("string"))))
     two = base.filter("ord % 4 = 1").withColumn("municipality", F.concat(F.lit("n"), (F.col("p_size") % 2).cast("string")))
-    listed = spark.createDataFrame([(1, "x市"), (2, "anvil市"), (3, "old町")], "ord int, municipality string")
-    municipalities = part.select(F.col("p_brand").alias("prefecture")).distinct().crossJoin(F.broadcast(listed))
+    listed = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(m).alias("municipality")) for i, m in ((1, "x市"), (2, "anvil市"), (3, "old町"))])
+    municipalities = part.select(F.col("p_brand").alias("prefecture")).distinct().select("*", F.inline(listed))
     rows = part.select("p_partkey", F.col("p_brand").alias("prefecture"), F.col("p_name").alias("name"), F.col("p_type").alias("venue"))
     return apply.guessed_places(rows, apply.designated_places([one, two]), municipalities, texts=("name", "venue")).select("p_partkey", "guess", "guess_by")
 

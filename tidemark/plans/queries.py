@@ -91,7 +91,7 @@ def id_collision_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unique_containment_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    names = [r[0] for r in table(spark, sf_dir, "documents").select("lang").union(table(spark, sf_dir, "region").select(F.lower("r_name"))).distinct().collect()]
+    names = [r[0] for r in table(spark, sf_dir, "documents").select("lang").union(table(spark, sf_dir, "region").select(F.lower("r_name"))).distinct().limit(resolve.MOST_NAMES + 1).collect()]  # more are refused
     words = sorted({n for n in names if n} | {"thesh", "quele", "keit", "ción", "tionnt"})
     return resolve.contained_name(docs, "text", words, "(all)").select("doc_id", "n_names", "assigned")
 
@@ -234,8 +234,8 @@ def ledger_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def url_scope_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.lit("p").alias("pref"))
     hosts = pages.select("pref", F.lower(F.try_parse_url("url", F.lit("AUTHORITY"))).alias("host")).distinct()
-    wards = spark.createDataFrame([("north", "/en/"), ("south", "/fr/"), ("east", "/en/7"), ("west", "/de/")], "ward string, path string")
-    return resolve.scoped_url(pages, hosts.crossJoin(F.broadcast(wards)), "url", ["pref"], "ward", "path").select("page_id", "n_scopes", "ward")
+    wards = F.array(*[F.struct(F.lit(w).alias("ward"), F.lit(p).alias("path")) for w, p in (("north", "/en/"), ("south", "/fr/"), ("east", "/en/7"), ("west", "/de/"))])
+    return resolve.scoped_url(pages, hosts.select("*", F.inline(wards)), "url", ["pref"], "ward", "path").select("page_id", "n_scopes", "ward")
 
 
 def host_first_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,7 +285,8 @@ def crawl_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select(K.host(F.col("url")).alias("site"), "url", "page_id")
     first = p.groupBy("site").agg(F.min("page_id").alias("seed_id"))
     pages = p.join(first, "site").select("site", "url", (F.col("page_id") == F.col("seed_id")).alias("seed"))
-    edges = p.alias("a").join(p.alias("b"), (F.col("a.site") == F.col("b.site")) & (F.col("a.page_id") < F.col("b.page_id")) & (F.col("b.page_id") <= F.col("a.page_id") + 60)).select(F.col("a.site").alias("site"), F.col("a.url").alias("url"), F.col("b.url").alias("to"), (F.col("b.page_id") % 5).cast("int").alias("priority"))
+    offers = p.select("site", "url", F.explode(F.sequence(F.col("page_id") + 1, F.col("page_id") + 60)).alias("page_id"))
+    edges = offers.join(p.withColumnRenamed("url", "to"), ["site", "page_id"]).select("site", "url", "to", (F.col("page_id") % 5).cast("int").alias("priority"))
     return crawl.replay(pages, edges, "site")
 
 

@@ -6,12 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
 _OWN_SHARED: dict[str, str] = {}
+_SCOPES: list[list[tuple[str, str]]] = []
 
 
 def local_session(cpus: int = 8, app: str = "tidemark") -> SparkSession:
@@ -62,7 +64,32 @@ def shared_root(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table in the shared folder."""
-    return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append((name, path))
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: str):
+    """Deletes the tables that were staged inside the block when it ends, but for those whose name begins with `keep`.
+
+    What the block leaves behind must have been written to such a table.
+    """
+    made: list[tuple[str, str]] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for name, path in made:
+            if not name.startswith(keep):
+                _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def staged(df, name: str, rows: int | None = None, rows_a_file: int = 250_000):
@@ -81,5 +108,4 @@ def staged(df, name: str, rows: int | None = None, rows_a_file: int = 250_000):
 
 def clean_staging(spark: SparkSession) -> None:
     """Delete every staged table of this session's shared folder. Results that still read one must be written first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/tidemark")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_root(spark)}/tidemark")
