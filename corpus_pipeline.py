@@ -16,7 +16,7 @@ from tidemark.llm.resample import importance_resample
 from tidemark.llm.setjoin import first_of_class
 from tidemark.llm.textwork import spare
 from tidemark.llm.triebpe import encode_documents
-from tidemark.session import staged
+from tidemark.session import scratch, staged
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -82,7 +82,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over documents. What a stage stages for itself is deleted once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return staged(STAGES[-1][1](spark, docs, sf_dir), "pipeline-bpe")
+    for name, stage in STAGES:
+        with scratch(spark, "pipeline-"):
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

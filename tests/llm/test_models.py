@@ -319,19 +319,22 @@ def test_digests_of_every_size():
         assert digest.compare(whole, front) >= 0.8 and digest.compare(whole, back) >= 0.8, size
     a, b, dash, ab, the, la = prints("a" * 300, "b" * 300, "-" * 300, "ab" * 150, "the " * 180, "la " * 180)
     assert digest.compare(a, b) == 0 and digest.compare(dash, ab) < 0.1 and digest.compare(the, la) < 0.2
+    long, longer = prints("ab" * 5000, "ab" * 5001)
+    assert long.n_few == longer.n_few > 0 and digest.compare(long, longer) == 1
 
 
 def test_digest_features_against_brute_force():
     table = np.random.default_rng(1).permutation(digest.LEVELS)
     rnd = random.Random(3)
-    texts = ["".join(rnd.choice("abcdefgh ijklmnü") for _ in range(n)) for n in (0, 1, 7, 40, 90, 400)] + ["x" * 200]
+    texts = ["".join(rnd.choice("abcdefgh ijklmnü") for _ in range(n)) for n in (0, 1, 7, 40, 90, 400)] + ["x" * 200, "ab" * 900]
     got = digest.features([t.encode() for t in texts], table)
     for text, (few, rare) in zip(texts, got, strict=True):
         b = text.encode()
         hashed = lambda w: int(T.span_hash(T.prefix_hash(np.frombuffer(w, np.uint8)), np.array([0]), np.array([len(w)]))[0])  # noqa: B023, E731
         keys = set()
         for rank, width in enumerate(digest.BASE_WIDTHS):
-            keys |= {(rank << 62) | (int(T.mix(np.array([(hashed(b[i : i + width]) + width) % 2**64], np.uint64))[0]) >> 2) for i in range(len(b) - width + 1)}
+            code = lambda w: (int.from_bytes(w, "little") + len(w) * int(T.STEP)) % 2**64
+            keys |= {(rank << 62) | (int(T.mix(np.array([code(b[i : i + width])], np.uint64))[0]) >> 2) for i in range(len(b) - width + 1)}
         want = sorted(keys)[: digest.BASE_FEATURES]
         assert sorted(few.tolist()) == sorted(int(T.mix(np.array([k], np.uint64))[0]) for k in want)
         wins = {}

@@ -124,31 +124,46 @@ def improbable(buf: np.ndarray, at: np.ndarray, prefix: np.ndarray, ranks: np.nd
     return T.span_hash(prefix, chosen, chosen + WINDOW), np.searchsorted(at, chosen, side="right") - 1
 
 
-def base(buf: np.ndarray, at: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def base(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text number) of the base features: of each text the BASE_FEATURES windows that come first by width and hash."""
-    keys, owners = [], []
+    every = np.iinfo(np.uint64).max
     sizes = np.diff(at) - 1
-    least = np.zeros(len(sizes), np.int64)  # distinct windows of the wider widths
-    for rank, width in enumerate(BASE_WIDTHS):
-        where, owner = _inside(at, width)
-        want = least[owner] < BASE_FEATURES
-        where, owner = where[want], owner[want]
-        hashes = T.mix(T.span_hash(prefix, where, where + width) + np.uint64(width))
-        # The top two bits hold the width's rank: wider windows come first. Long texts are thinned before the sort.
-        key = (hashes >> np.uint64(2)) | np.uint64(rank << 62)
-        many = sizes[owner] > 64 * BASE_FEATURES
-        share = np.minimum(1.0, 16.0 * BASE_FEATURES / np.maximum(sizes[owner], 1))
-        thin = many & (hashes > (share * float(2**64 - 2**12)).astype(np.uint64))
-        order = np.lexsort((key[~thin], owner[~thin]))
-        key, owner = key[~thin][order], owner[~thin][order]
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)]).tobytes()
+    eight = np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,))
+    text_of = np.repeat(np.arange(len(sizes)), sizes + 1)
+    room = at[1:][text_of] - 1 - np.arange(len(buf))
+    # Long texts are thinned before the sort, to about four times as many windows as are kept.
+    limit = np.where(sizes > 4 * BASE_FEATURES, (2.0**64 - 2**12) * np.minimum(1.0, 4 * BASE_FEATURES / np.maximum(sizes, 1)), float(2**64 - 2**12)).astype(np.uint64)
+    limit[sizes <= 4 * BASE_FEATURES] = every
+
+    def windows(rank: int, texts: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, text) of the distinct windows, sorted; the top two bits of a key hold the width's rank: wider ones come first."""
+        width = BASE_WIDTHS[rank]
+        where = np.flatnonzero((room >= width) & texts[text_of])
+        hashes = T.mix((eight[where] & np.uint64((1 << (8 * width)) - 1)) + np.uint64(width * int(T.STEP) % 2**64))
+        owner = text_of[where]
+        near = hashes <= limit[owner]
+        key, owner = (hashes[near] >> np.uint64(2)) | np.uint64(rank << 62), owner[near]
+        order = np.lexsort((key, owner))
+        key, owner = key[order], owner[order]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-        keys.append(key[fresh])
-        owners.append(owner[fresh])
-        least += np.bincount(owner[fresh], minlength=len(sizes))
-    key, owner = np.concatenate(keys), np.concatenate(owners).astype(np.int64)
+        return key[fresh], owner[fresh]
+
+    count = lambda owner: np.bincount(owner, minlength=len(sizes))
+    key, owner = windows(0, np.ones(len(sizes), bool), limit)
+    again = (count(owner) < BASE_FEATURES) & (limit < every)  # long, but of few different windows
+    if again.any():
+        whole = windows(0, again, np.full(len(sizes), every))
+        stay = ~again[owner]
+        key, owner = np.concatenate([key[stay], whole[0]]), np.concatenate([owner[stay], whole[1]])
+    for rank in range(1, len(BASE_WIDTHS)):
+        few = count(owner) < BASE_FEATURES
+        if few.any():
+            more = windows(rank, few, np.full(len(sizes), every))
+            key, owner = np.concatenate([key, more[0]]), np.concatenate([owner, more[1]])
     order = np.lexsort((key, owner))
-    key, owner = key[order], owner[order]
+    key, owner = key[order], owner[order].astype(np.int64)
     first = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left") < BASE_FEATURES
     return T.mix(key[first]), owner[first]
 
@@ -169,7 +184,7 @@ def features(texts: list[bytes], ranks: np.ndarray) -> list[Digest]:
             out.append(hashes[a:b][np.sort(first)])
         return out
 
-    return list(zip(split(*base(buf, at, prefix)), split(*improbable(buf, at, prefix, ranks)), strict=True))
+    return list(zip(split(*base(buf, at)), split(*improbable(buf, at, prefix, ranks)), strict=True))
 
 
 def chain(hashes: np.ndarray) -> np.ndarray:
