@@ -26,7 +26,12 @@ def without_places(terms: DataFrame, term: str, places: DataFrame, place: str, l
     size = F.length(term)
     lengths = sorted(r["n"] for r in names.select(F.length("__g").alias("n")).filter(F.col("n") >= least).distinct().collect())  # as many as there are lengths
     own = F.array(F.col(term))
-    runs = [F.when(size >= n, F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i, n=n: F.substring(F.col(term), i, F.lit(n)))).otherwise(own) for n in lengths]
+
+    def runs_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
+        return F.when(size >= n, F.transform(starts, lambda i: F.substring(F.col(term), i, F.lit(n)))).otherwise(own)
+
+    runs = [runs_of(n) for n in lengths]
     pieces = keyed.filter(size > 0).select(term, F.explode(F.array_distinct(F.concat(own, *runs))).alias("__g"))
     bad = pieces.join(names, "__g", "left_semi").select(term).distinct()
     return terms.join(bad, term, "left_anti")
