@@ -3,10 +3,11 @@
 Two generative models over hashed token n-grams (words and runs of punctuation; unigrams and bigrams in separate
 tables, and a back-off n-gram for a run of RUN equal tokens, whatever the token) are fitted by counting in
 how many documents a bucket occurs: the target model over labelled good documents, the raw model over every document.
-A document's log weight is log p_target / p_raw, the sum over its distinct buckets. A ratio that its counts don't
-support is shrunk to one: it counts if it is clear by both size and standard deviations, or by fewer of them where
-labelled rows outside the target have the bucket too often. Each n-gram is looked up in two tables and the ratio
-nearer to one holds, so that hash collisions don't lend weight (a count sketch).
+A document's log weight is log p_target / p_raw, the sum over its distinct buckets. Ratios are shrunk: towards zero by
+SHRINK, and to zero where the counts differ by fewer than LEAST_SIGMAS standard deviations. Groups of copies, of which
+the labels cover more or less than their share, move the ratios of many n-grams by less than that; what only one side
+has stands out by far more. Each n-gram is looked up in two tables and the ratio nearer to one holds, so that hash
+collisions don't lend weight (a count sketch).
 
 The sample is the k largest of log weight plus Gumbel noise, which draws k documents without replacement, each draw
 with probability proportional to the weights. k defaults to the expected number of acceptances of rejection sampling
@@ -33,13 +34,10 @@ SAME = np.uint64(0x5BD1E9955BD1E995)
 RUN = 6
 #: Added to both counts of a bucket.
 PRIOR = 2.0
-#: A bucket counts if the log ratio is beyond LEAST_RATIO and the counts differ by LEAST_SIGMAS.
-LEAST_RATIO = 1.0
+#: Log ratios are shrunk by SHRINK; they count if the counts differ by LEAST_SIGMAS.
+SHRINK = 1.0
 LEAST_SIGMAS = 3.0
-#: A rare bucket also counts against a document if the log ratio is under -RARE_RATIO by RARE_SIGMAS and labelled rows
-#: outside the target have it more often than expected by BAD_SIGMAS.
-RARE_RATIO, RARE_SIGMAS, BAD_SIGMAS = 0.5, 1.5, 6.0
-#: Labelled rows that the target model is fitted on, and other labelled rows, at most about (bounded, hash-ordered samples).
+#: Labelled rows that the target model is fitted on, at most about (a bounded, hash-ordered sample).
 TARGET_ROWS = 200_000
 
 
@@ -153,23 +151,14 @@ def group_counts(df: DataFrame, id_hash: str, text_col: str, groups: list[np.nda
     return out, rows
 
 
-def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int, bad: np.ndarray | None = None, n_bad: int = 0) -> np.ndarray:
-    """log(p_target / p_raw) of each bucket where the counts support it, otherwise 0 (a ratio of one).
-
-    bad: counts over n_bad labelled rows outside the target, which confirm low ratios of rare buckets.
-    """
+def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int) -> np.ndarray:
+    """log(p_target / p_raw) of each bucket, shrunk (see the module)."""
     if not n_target or not n_raw:
         return np.zeros(len(raw), np.float32)
-    total = max(1.0, float(raw.sum()))
-    expected = raw * (float(target.sum()) / total)
+    expected = raw * (float(target.sum()) / max(1.0, float(raw.sum())))
     ratio = np.log((target + PRIOR) / (expected + PRIOR))
     sure = np.abs(target - expected) > LEAST_SIGMAS * np.sqrt(np.maximum(expected, 1.0))
-    sure &= np.abs(ratio) > LEAST_RATIO
-    if bad is not None and n_bad:
-        usual = raw * (float(bad.sum()) / total)
-        theirs = bad - usual > BAD_SIGMAS * np.sqrt(np.maximum(usual, 1.0))
-        sure |= theirs & (ratio < -RARE_RATIO) & (expected - target > RARE_SIGMAS * np.sqrt(np.maximum(expected, 1.0)))
-    return np.where(sure, ratio, 0.0).astype(np.float32)
+    return np.where(sure, np.sign(ratio) * np.maximum(np.abs(ratio) - SHRINK, 0.0), 0.0).astype(np.float32)
 
 
 def _weights(df: DataFrame, text: str, ratios, bits: int) -> DataFrame:
@@ -242,7 +231,7 @@ def importance_resample(
     """The k sampled rows of df with log_weight and log_weight_noisy, sharpness * log_weight plus noise.
 
     Columns of those names, in any case, are replaced. labels: (id_col, good, bad); the target is what has good = 1
-    and bad = 0 (null: not). Of more than target_rows target rows, or other labelled rows, a hash-ordered share is
+    and bad = 0 (null: not); other labels are not used. Of more than target_rows target rows a hash-ordered share is
     used. share: k as a share of df's rows; without k and share, k is the sum of min(1, weight ** sharpness), rounded.
     Noise is a function of seed and id, so rows that repeat an id share it; of rows that repeat id and text as many
     as fit are kept. Null and empty texts have no n-grams and log weight 0. Without target rows all weights are 0 and
@@ -257,10 +246,9 @@ def importance_resample(
     is_target = (F.coalesce(F.col(T.quoted(good)), F.lit(0)) == 1) & (F.coalesce(F.col(T.quoted(bad)), F.lit(0)) == 0)
     known = labels.select(F.col(T.quoted(id_col)).cast("string").alias("id"), is_target.cast("int").alias("target")).filter("id is not null")
     marks = known.groupBy("id").agg(F.min("target").alias("target"))
-    groups = [_sample(marks, value, target_rows) for value in (1, 0)]
     slim = base.select(F.xxhash64(ident.cast("string")).alias("h"), text.alias("text"))
-    (raw, target, others), (n_raw, n_target, n_bad) = group_counts(slim, "h", "text", groups, bits)
-    ratios = spark.sparkContext.broadcast(log_ratios(target, raw, n_target, n_raw, others, n_bad))  # 4 bytes a bucket: 8 MB
+    target, raw, n_target, n_raw = fit_counts(slim, "h", "text", _sample(marks, target_rows), bits)
+    ratios = spark.sparkContext.broadcast(log_ratios(target, raw, n_target, n_raw))  # 4 bytes a bucket: 8 MB
     keyed = base.select(ident.alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     noisy = F.lit(sharpness) * F.col("log_weight") + gumbel(seed, F.col("id"))
     # Only ids and weights are ranked; texts are read again for what is kept.
@@ -289,9 +277,9 @@ def importance_resample(
     return joined.filter(~partly).select(*out).unionByName(some.select(*out))
 
 
-def _sample(marks: DataFrame, value: int, most: int) -> np.ndarray:
-    """Sorted id hashes of the labelled rows whose target is value, or of about `most` of them: 8 bytes each."""
-    of_value = marks.filter(F.col("target") == value)
+def _sample(marks: DataFrame, most: int) -> np.ndarray:
+    """Sorted id hashes of the target rows, or of about `most` of them: 8 bytes each."""
+    of_value = marks.filter("target = 1")
     share = min(1.0, most / max(1, of_value.count()))
     inside = F.pmod(F.xxhash64(F.lit("target"), "id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1)
     return np.unique(np.array([r["h"] for r in of_value.filter(inside).select(F.xxhash64("id").alias("h")).collect()], np.int64))
