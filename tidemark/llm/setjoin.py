@@ -38,7 +38,7 @@ PARITY_BITS = 1024
 #: Roles of a row in a bucket: it may ask, it may be found.
 ASKS, FOUND = 1, 2
 #: Comparisons by sketch, and pairs compared by their texts, of one task, about.
-COMPARED_ROWS, LINK_ROWS = 20_000_000, 10_000
+COMPARED_ROWS, LINK_ROWS = 20_000_000, 4_000
 #: Rows of each side of a cell in which components of a bucket are compared, about (160 bytes each).
 CELL_ROWS = 8_192
 
