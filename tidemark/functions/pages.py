@@ -52,6 +52,11 @@ def cell_text(fragment: Column) -> Column:
     return squeeze_space(unescape(plain(fragment)))
 
 
+def page_title(page: Column) -> Column:
+    """The text of a page's first title; '' without one."""
+    return label_text(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title>", 1))
+
+
 def raw_text(fragment: Column) -> Column:
     """A candidate's text: tags to spaces, entities decoded, white space as it is."""
     return unescape(plain(fragment))

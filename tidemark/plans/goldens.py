@@ -68,6 +68,7 @@ GOLDENS: dict[str, Golden] = {
     "text_fragments": Golden("fragment", "raw label cell", (
         ("<b>A</b>&amp;B", " A &B", "A&B", "A &B"), ("x<br>  y　z", "x   y　z", "x  y　z", "x y z"), ("　<i>祭</i> ", "　 祭  ", "祭", "祭"), ("&lt;祭&gt;", "<祭>", "<祭>", "<祭>"),
     ), lambda f: {"raw": H.raw_text(f), "label": H.label_text(f), "cell": H.cell_text(f)}),
+    "page_titles": Golden("page", "title", (("<title> 日立市<br>の祭 &amp; 行事 </title><title>x</title>", "日立市の祭 & 行事"), ("<TITLE lang='ja'>a\nb</TITLE>", "a\nb"), ("<p>x</p>", "")), lambda p: {"title": H.page_title(p)}),
     "name_unwrapped": Golden("name", "bare", (("「綱火」", "綱火"), ("『「祭」』", "祭"), ("（綱火", "（綱火"), ("綱火）", "綱火）"), ("「a」と「b」", "a」と「b"), ("祭", "祭")), lambda n: {"bare": clean.unwrap_udf(n)}),
     "candidate_names": Golden("raw", "name", (
         ("桜まつりを開催します！", "桜まつり"), ("第3回 日立さくらまつり｜観光サイト", "日立さくらまつり"), ("「常陸大津の御船祭」", "常陸大津の御船祭"), ("令和8年度　土浦全国花火競技大会のお知らせ", "土浦全国花火競技大会"),

@@ -332,7 +332,7 @@ def crawl_of_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = both.select("site", address.alias("url"), F.lit("").alias("final_url"), F.lit(False).alias("feed"), (F.col("page_id") == F.col("seed_id")).alias("seed"), F.lit("").alias("scope"))
     seed = F.concat(F.lit("http://"), "site", F.lit("/"), F.col("seed_id").cast("string"))
     edges = both.filter("page_id <> seed_id").select("site", seed.alias("url"), address.alias("to"), F.col("page_id").alias("ord"), (F.col("page_id") % 5).cast("int").alias("priority"), F.lit(None).cast("int").alias("rank"), F.lit(False).alias("feed_link"))
-    return crawl.discover_sites(pages, edges, "site").select("site", "seq", "fetch_url", "kind", "depth")
+    return crawl.discover_sites(pages, edges, "site").select("site", F.col("seq").cast("long").alias("seq"), "fetch_url", "kind", "depth")
 
 
 @oracle("""SELECT 'site' AS kind, s_nationkey::VARCHAR AS prefecture, s_name AS municipality, '' AS district, CASE WHEN s_suppkey % 2 = 0 THEN 'u' ELSE '' END AS official_url FROM supplier WHERE (s_suppkey % 2 = 0 OR s_suppkey % 3 = 0) AND s_suppkey % 5 <> 0
