@@ -84,20 +84,20 @@ EXCLUDED = (
     "ごみ|廃棄物|下水|上水|工事|通行止|休館|閉館|開館時間|休業|納税|課税|保険料|年金|補助金|給付金|助成|証明書|マイナンバー|"
     "避難|防災訓練|不審者|注意報|警報|感染症|ワクチン|結果|中止のお知らせ$|アンケート|パブリックコメント|議事録|要綱|規則|計画書|報告書|answers?|検索結果"
 )
-GENERIC_NAMES = (
-    "祭り|まつり|祭|祭典|祭礼|例祭|例大祭|大祭|夏祭り|秋祭り|春祭り|花火大会|花火|イベント|フェスティバル|フェスタ|前夜祭|正月行事|"
-    "年中行事|伝統行事|郷土芸能|民俗芸能|文化祭|市民祭|区民祭|夏まつり|秋まつり|春まつり|納涼祭|収穫祭|感謝祭|産業祭|祭り・祭礼|祭礼行事"
-)
 NOT_A_NAME = (
     r"[。、！？]|\.(?:pdf|PDF|xlsx?|docx?|jpe?g|png)\b|チラシ|ちらし|ポスター|申込書|"
     r"(?:です|ます|ました|います|ください|しています|について|に関する)$|"
     r"を[ぁ-ん一-龥々]{1,6}(?:る|う|く|す|つ|ぬ|ぶ|む|ます|した|する|なく)$|"
     r"お問い合わせ|ご案内|詳しくは|こちら|ホームページ|公式サイト|募集|選挙|委員会|協議会|審議会|懇談会|推進|計画|方針|"
     r"公民館 |センター で|▼|祝祭日|祭日|祝日|休祭日|葬祭|冠婚|公募|作品募集|掲載|更新$|開会式|閉会式|表彰式|"
-    rf"^(?:お|御)?(?:{GENERIC_NAMES})$|(?:に伝わる|に行われる|が行われる|で行われる|に開催される|が開催される)"
+    r"^(?:お|御)?(?:祭り|まつり|祭|祭典|祭礼|例祭|例大祭|大祭|夏祭り|秋祭り|春祭り|花火大会|花火|イベント|フェスティバル|フェスタ|前夜祭|正月行事|"
+    r"年中行事|伝統行事|郷土芸能|民俗芸能|文化祭|市民祭|区民祭|夏まつり|秋まつり|春まつり|納涼祭|収穫祭|感謝祭|産業祭|祭り・祭礼|祭礼行事)$|"
+    r"(?:に伝わる|に行われる|が行われる|で行われる|に開催される|が開催される)"
+)
+NAV_LABEL = (
+    r"^(?:観光|イベント|祭り?|まつり|催し|行事|文化|スポーツ|グルメ|自然|歴史|見どころ|最新|一覧|トップ|ホーム|情報)"
+    r"(?:[・／/｜|,、]\s*(?:観光|イベント|祭り?|まつり|催し|行事|文化|スポーツ|グルメ|自然|歴史|見どころ|最新|一覧|トップ|ホーム|情報))+$"
 )
-NAV_WORDS = "観光|イベント|祭り?|まつり|催し|行事|文化|スポーツ|グルメ|自然|歴史|見どころ|最新|一覧|トップ|ホーム|情報"
-NAV_LABEL = rf"^(?:{NAV_WORDS})(?:[・／/｜|,、]\s*(?:{NAV_WORDS}))+$"
 ENUMERATED = "^(?:[^・]+・){3,}"
 OFFICE_WORDS = "部門|日程$|年報|統計|市場"
 JAPANESE = "[一-龥ぁ-んァ-ヶ]"
