@@ -365,6 +365,8 @@ class JaccardClasses:
 
     def similar(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         k, num, den = self.k, self.num, self.den
+        # Only texts that some pair names travel to both joins.
+        texts = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
         with_b = pairs.select("a", "b").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
         with_a = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").select("a", "b", "x", "y")
         return with_a.mapInArrow(lambda it: _similar_rows(it, k, num, den), "a long, b long")
