@@ -266,7 +266,9 @@ def importance_resample(
         kept = staged(drawn.join(all_rows, same, "left").select("id", "hash", "log_weight", "log_weight_noisy", "n", F.coalesce("of", "n").alias("of")), "drawn", k, 1_000_000)
     names = {c: T.spare(c) for c in ("id", "hash", "n", "of")}
     kept = kept.withColumnsRenamed(names)
-    joined = base.join(kept, ident.eqNullSafe(F.col(names["id"])) & F.xxhash64(text).eqNullSafe(F.col(names["hash"])), "inner")
+    # The hash is a column before the join, so that texts which nobody asks for don't travel.
+    mine = T.spare("mine")
+    joined = base.withColumn(mine, F.xxhash64(text)).join(kept, ident.eqNullSafe(F.col(names["id"])) & F.col(mine).eqNullSafe(F.col(names["hash"])), "inner")
     out = [*T.named(base.columns), "log_weight", "log_weight_noisy"]
     partly = F.col(names["n"]) < F.col(names["of"])
     if scored or kept.filter(partly).isEmpty():
