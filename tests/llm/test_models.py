@@ -327,11 +327,17 @@ def test_digest_features_against_brute_force():
     got = digest.features([t.encode() for t in texts], table)
     for text, (few, rare) in zip(texts, got, strict=True):
         b = text.encode()
-        hashed = lambda w: int(T.span_hash(T.prefix_hash(np.frombuffer(w, np.uint8)), np.array([0]), np.array([len(w)]))[0])  # noqa: B023, E731
+        code = lambda w: int(T.mix(np.array([(int.from_bytes(w, "little") + len(w) * int(T.STEP)) % 2**64], np.uint64))[0])
+
+        def hashed(window):
+            out = 0
+            for j in range(0, digest.WINDOW, 8):
+                out = (out * int(T.STEP) + code(window[j : j + 8])) % 2**64
+            return int(T.mix(np.array([out], np.uint64))[0])
+
         keys = set()
         for rank, width in enumerate(digest.BASE_WIDTHS):
-            code = lambda w: (int.from_bytes(w, "little") + len(w) * int(T.STEP)) % 2**64
-            keys |= {(rank << 62) | (int(T.mix(np.array([code(b[i : i + width])], np.uint64))[0]) >> 2) for i in range(len(b) - width + 1)}
+            keys |= {(rank << 62) | (code(b[i : i + width]) >> 2) for i in range(len(b) - width + 1)}
         want = sorted(keys)[: digest.BASE_FEATURES]
         assert sorted(few.tolist()) == sorted(int(T.mix(np.array([k], np.uint64))[0]) for k in want)
         wins = {}

@@ -101,35 +101,47 @@ def entropy_ranks(df: DataFrame, text_col: str = "text") -> list[int]:
     return ranks.tolist()
 
 
-def improbable(buf: np.ndarray, at: np.ndarray, prefix: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _eights(buf: np.ndarray, width: int = 8) -> np.ndarray:
+    """The hash of the `width` bytes (8 at most) that begin at each byte; bytes behind the buffer count as zeros."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)]).tobytes()
+    chunk = np.ndarray((len(buf),), "<u8", padded, 0, (1,)) & np.uint64((1 << (8 * width)) - 1)
+    return T.mix(chunk + np.uint64(width * int(T.STEP) % 2**64))
+
+
+def _windows(eights: np.ndarray) -> np.ndarray:
+    """The hash of the window of WINDOW bytes at each byte, from those of its four parts (all but the last WINDOW - 1)."""
+    n = max(0, len(eights) - WINDOW + 1)
+    out = eights[:n].copy()
+    for j in range(8, WINDOW, 8):
+        out *= T.STEP
+        out += eights[j : n + j]
+    return T.mix(out)
+
+
+def improbable(buf: np.ndarray, at: np.ndarray, eights: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text number) of the improbable features of texts in one buffer, in order."""
-    where, _ = _inside(at, WINDOW)
-    if not len(where):
+    runs, _ = _inside(at, WINDOW + POPULAR - 1)
+    if not len(runs):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     none = np.iinfo(np.uint64).max
-    level = levels(buf)[where]
-    key = np.full(len(buf), none, np.uint64)
-    good = level >= LEAST_LEVEL
-    where, level = where[good], level[good]
-    hashes = T.span_hash(prefix, where, where + WINDOW)
-    key[where] = (ranks[level].astype(np.uint64) << np.uint64(56)) | ((hashes >> np.uint64(40)) << np.uint64(32)) | where.astype(np.uint64)
+    level, hashes = levels(buf), _windows(eights)
+    # Windows across two texts have keys too, but no run of one text holds them.
+    key = (ranks.astype(np.uint64) << np.uint64(56))[level] | ((hashes >> np.uint64(40)) << np.uint64(32)) | np.arange(len(level), dtype=np.uint64)
+    key[level < LEAST_LEVEL] = none
     least, width = key, 1
     while width < POPULAR:
         least = np.minimum(least[: len(least) - width], least[width:])
         width *= 2
-    runs, _ = _inside(at, WINDOW + POPULAR - 1)
     best = least[runs]
     best = (best[best != none] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     chosen = np.flatnonzero(np.bincount(best, minlength=len(buf)) >= LEAST_WINS)
-    return T.span_hash(prefix, chosen, chosen + WINDOW), np.searchsorted(at, chosen, side="right") - 1
+    return hashes[chosen], np.searchsorted(at, chosen, side="right") - 1
 
 
-def base(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def base(buf: np.ndarray, at: np.ndarray, eights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text number) of the base features: of each text the BASE_FEATURES windows that come first by width and hash."""
     every = np.iinfo(np.uint64).max
     sizes = np.diff(at) - 1
-    padded = np.concatenate([buf, np.zeros(8, np.uint8)]).tobytes()
-    eight = np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,))
     text_of = np.repeat(np.arange(len(sizes)), sizes + 1)
     room = at[1:][text_of] - 1 - np.arange(len(buf))
     # Long texts are thinned before the sort, to about four times as many windows as are kept.
@@ -139,11 +151,10 @@ def base(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     def windows(rank: int, texts: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(key, text) of the distinct windows, sorted; the top two bits of a key hold the width's rank: wider ones come first."""
         width = BASE_WIDTHS[rank]
-        where = np.flatnonzero((room >= width) & texts[text_of])
-        hashes = T.mix((eight[where] & np.uint64((1 << (8 * width)) - 1)) + np.uint64(width * int(T.STEP) % 2**64))
-        owner = text_of[where]
-        near = hashes <= limit[owner]
-        key, owner = (hashes[near] >> np.uint64(2)) | np.uint64(rank << 62), owner[near]
+        hashes = eights if width == 8 else _eights(buf, width)
+        near = (room >= width) & (hashes <= np.repeat(limit, sizes + 1))
+        where = np.flatnonzero(near if texts.all() else near & texts[text_of])
+        key, owner = (hashes[where] >> np.uint64(2)) | np.uint64(rank << 62), text_of[where]
         order = np.lexsort((key, owner))
         key, owner = key[order], owner[order]
         fresh = np.ones(len(key), bool)
@@ -174,17 +185,18 @@ Digest = tuple[np.ndarray, np.ndarray]
 def features(texts: list[bytes], ranks: np.ndarray) -> list[Digest]:
     """(base features, improbable features) of each text: hashes, in order, each once."""
     buf, at = T.join_texts(texts)
-    prefix = T.prefix_hash(buf)
+    eights = _eights(buf)
 
     def split(hashes: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
-        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        out = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            _, first = np.unique(hashes[a:b], return_index=True)
-            out.append(hashes[a:b][np.sort(first)])
-        return out
-
-    return list(zip(split(*base(buf, at)), split(*improbable(buf, at, prefix, ranks)), strict=True))
+        # Each hash of a text once, where it comes first.
+        order = np.lexsort((np.arange(len(hashes)), hashes, owner))
+        fresh = np.ones(len(hashes), bool)
+        fresh[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+        stay = np.sort(order[fresh])
+        cuts = np.searchsorted(owner[stay], np.arange(len(texts) + 1))
+        return [hashes[stay[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    return list(zip(split(*base(buf, at, eights)), split(*improbable(buf, at, eights, ranks)), strict=True))
 
 
 def chain(hashes: np.ndarray) -> np.ndarray:
