@@ -394,6 +394,7 @@ def test_groups_far_from_their_centre(spark, monkeypatch, cell_rows):
     import random
 
     monkeypatch.setattr(setjoin, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(setjoin, "BROADCAST_PAIRS", 0 if cell_rows == 7 else 500_000)
     rnd = random.Random(4)
     data = []
     for family in range(3):

@@ -39,6 +39,8 @@ PARITY_BITS = 1024
 ASKS, FOUND = 1, 2
 #: Comparisons by sketch, and pairs compared by their texts, of one task, about.
 COMPARED_ROWS, LINK_ROWS = 20_000_000, 4_000
+#: Pairs that may be broadcast (16 bytes each).
+BROADCAST_PAIRS = 500_000
 #: Rows of each side of a cell in which components of a bucket are compared, about (160 bytes each).
 CELL_ROWS = 8_192
 
@@ -363,11 +365,13 @@ class JaccardClasses:
         role, n = F.col("code").bitwiseAND(3), F.shiftright("code", 2)
         return staged(met.groupBy("sig", F.col("node").alias("rep")).agg(F.bit_or(role).cast("int").alias("role"), F.max(n).cast("long").alias("n")), "live", 4 * texts.count())
 
-    def similar(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def similar(self, pairs: DataFrame, texts: DataFrame, n_pairs: int) -> DataFrame:
+        """The pairs that link. n_pairs: their number; BROADCAST_PAIRS at most go to the texts instead of meeting them in a shuffle."""
         k, num, den = self.k, self.num, self.den
-        # Only texts that some pair names travel to both joins.
-        texts = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-        with_b = pairs.select("a", "b").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+        sent = F.broadcast if n_pairs <= BROADCAST_PAIRS else (lambda df: df)
+        # Only texts that some pair names travel.
+        texts = texts.join(sent(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "node", "left_semi")
+        with_b = sent(pairs.select("a", "b")).join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
         with_a = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").select("a", "b", "x", "y")
         return with_a.mapInArrow(lambda it: _similar_rows(it, k, num, den), "a long, b long")
 
@@ -430,7 +434,8 @@ class JaccardClasses:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             # Tasks of some seconds: the last round's work is the comparisons, then that of a link is its two texts.
             pairs = staged(pairs, "pairs", n_live if round_no < 2 else self.compared, 250_000 if round_no < 2 else COMPARED_ROWS)
-            found = staged(self.similar(pairs, texts), "links", pairs.count(), LINK_ROWS)
+            n_pairs = pairs.count()
+            found = staged(self.similar(pairs, texts, n_pairs), "links", n_pairs, LINK_ROWS)
             links = found if links is None else links.unionByName(found)
             tried = pairs if tried is None else tried.unionByName(pairs)
             comp = staged(nodes.select("rep").join(components(links).withColumnRenamed("v", "rep"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "components", n_nodes)
