@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,12 @@ import public_tokenizers
 from tidemark.llm import bitplane as _ids
 from tidemark.llm import decontaminate as _leaks
 from tidemark.llm import digest as _digest
+from tidemark.llm import gains as _gains
 from tidemark.llm import langid as _langid
 from tidemark.llm import linededup as _lines
 from tidemark.llm import resample as _resample
+from tidemark.llm import rulebits as _rules
+from tidemark.llm import runs as _runs
 from tidemark.llm import secrets as _secrets
 from tidemark.llm import setjoin as _near
 from tidemark.llm import sharding as _sharding
@@ -105,6 +109,44 @@ def op10_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sharding.place(_table(spark, sf_dir, "documents", "doc_id"), "doc_id", SHARDS).select("doc_id", "slot", "shard")
 
 
+def op11_gain_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gains.ranked_sample(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "text"))
+
+
+#: The policy that op12 judges by.
+POLICY = "quality-2"
+
+
+def op12_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rules.ledger(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rows.select("doc_id", *measures, (~_rules.passes("base-1")).alias("base_failed"), _rules.passes(POLICY).alias("kept"), "failures")
+
+
+def tiled(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of one in ten documents, by its id, the words from some place on repeat with a period of at most a third of them."""
+    h = zlib.crc32(str("" if doc_id is None else doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _runs.periodic_runs(_table(spark, sf_dir, "documents", "doc_id", "text"), rewrite=tiled)
+    # Runs come by start, then period: only a greater exponent replaces the best so far.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), listed.alias("listed"), "collapsed_text")
+    return out.select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
