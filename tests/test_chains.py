@@ -1,11 +1,14 @@
 """Operators whose rules are more than a query shows: the apply chain, full crawls, harvests, site finders, etiquette."""
 
+import random
+import urllib.parse
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import apply, crawl, intake, registry, resolve, sites
+from tidemark.operators import apply, crawl, intake, publish, registry, resolve, sites
 from tidemark.session import scratch, shared_root, staged
-from tidemark.sources import etiquette
+from tidemark.sources import etiquette, tables
 
 
 def test_apply_chain(spark):
@@ -36,6 +39,143 @@ def test_apply_chain(spark):
     assert got["00005"]["slug"] == "ibaraki-tsukubamirai-tsunabi" and got["00006"]["slug"] == "" and got["00007"]["slug"] == "PENDING"
 
 
+ROW = "id string, prefecture string, municipality string, name string, venue string, date_note string, aliases array<string>, source_urls array<string>, source_count long, slug string"
+VERDICT = "id string, verdict string, reason string, alias_of string, municipality string, reading string"
+
+
+def two_fuchus(spark):
+    """One municipality name in two prefectures, with one festival name each."""
+    rows = spark.createDataFrame(
+        [("1", "東京都", "府中市", "例祭", "", "", [], ["t1"], 1, "PENDING"), ("2", "広島県", "府中市", "例祭", "", "", [], ["h1", "h2"], 2, "PENDING"), ("3", "広島県", "府中市", "例祭り", "", "", [], ["h3"], 1, "PENDING"), ("4", "広島県", "(県全域)", "神楽", "", "", [], ["h4"], 1, "PENDING")], ROW
+    )
+    registry_rows = spark.createDataFrame([("広島県", "府中市", "神楽", 1)], "prefecture string, municipality string, name string, ord long")
+    towns = spark.createDataFrame([("東京都", "府中市", 1), ("広島県", "府中市", 1)], "prefecture string, municipality string, ord int")
+    romaji = spark.createDataFrame([("東京都", "府中市", "tokyo", "fuchu"), ("広島県", "府中市", "hiroshima", "fuchu")], "prefecture string, municipality string, pref_romaji string, muni_romaji string")
+    return rows, apply.designated_places([registry_rows]), towns, romaji
+
+
+def test_one_municipality_name_in_two_prefectures(spark):
+    rows, known, towns, romaji = two_fuchus(spark)
+    verdicts = spark.createDataFrame([(str(i), "keep", "folk", "", "", "") for i in range(1, 5)], VERDICT)
+    got = {r["id"]: r for r in apply.apply_verdicts(rows, verdicts, known, towns, romaji).collect()}
+    assert got["1"]["slug"].startswith("tokyo-fuchu-x") and got["1"]["source_urls"] == ["t1"] and got["1"]["s4_alias_of"] == ""
+    assert got["2"]["slug"].startswith("hiroshima-fuchu-x") and got["2"]["source_urls"] == ["h1", "h2", "h3"] and got["3"]["s4_alias_of"] == "2"
+    assert got["4"]["municipality"] == "府中市" and got["4"]["slug"].startswith("hiroshima-fuchu-x")
+
+
+def test_drift_and_strange_answers_stop_the_chain(spark):
+    rows, known, towns, romaji = two_fuchus(spark)
+    verdicts = spark.createDataFrame([(str(i), "keep", "folk", "", "", "") for i in range(1, 5)], VERDICT)
+    shown = rows.select("id", "municipality", "name")
+    apply.apply_verdicts(rows, verdicts, known, towns, romaji, index=shown)
+    for index in (shown.withColumn("name", F.when(F.col("id") == "2", "別の祭").otherwise(F.col("name"))), shown.union(spark.createDataFrame([("9", "x", "y")], shown.schema))):
+        with pytest.raises(apply.DriftError, match="1 rows differ from the index: [29]"):
+            apply.apply_verdicts(rows, verdicts, known, towns, romaji, index=index)
+    more = verdicts.union(spark.createDataFrame([("77", "keep", "", "", "", "")], VERDICT))
+    with pytest.raises(apply.JudgmentError, match="77"):
+        apply.apply_verdicts(rows, more, known, towns, romaji)
+
+
+def test_problems_of_verdicts(spark):
+    rows, known, towns, romaji = two_fuchus(spark)
+    verdicts = spark.createDataFrame([("1", "keep", "", "2", "", ""), ("2", "maybe", "", "", "", "かな漢"), ("3", "keep", "", "3", "", ""), ("4", "keep", "", "2", "", "かぐら"), ("8", "keep", "", "", "", "")], VERDICT)
+    got = sorted(map(tuple, apply.verdict_problems(rows, verdicts).collect()))
+    assert got == [("1", "other_place"), ("2", "reading"), ("2", "verdict"), ("3", "self"), ("4", "not_kept"), ("8", "extra")]
+    with pytest.raises(apply.JudgmentError):
+        apply.apply_verdicts(rows, verdicts.filter("id < '5'"), known, towns, romaji, strict=True)
+    loose = {r["id"]: (r["s4_verdict"], r["s4_alias_of"], r["slug"] != "") for r in apply.apply_verdicts(rows, verdicts.filter("id < '5'"), known, towns, romaji).collect()}
+    assert loose == {"1": ("unsure", "", False), "2": ("unsure", "", False), "3": ("unsure", "", False), "4": ("unsure", "", False)}
+
+
+def brute_gazetteer(members, edges, roots, follow):
+    out = {}
+    for pref in sorted({p for p, _, _ in roots}):
+        seen = set()
+
+        def walk(category, depth):
+            if depth > 2 or category in seen:
+                return
+            seen.add(category)
+            for _, title, _ in sorted((m for m in members if m[0] == category), key=lambda m: m[2]):
+                if not title.startswith("Template:"):
+                    out.setdefault((pref, title), category)  # noqa: B023
+            for _, child, _ in sorted((e for e in edges if e[0] == category), key=lambda e: e[2]) if depth < 2 else ():
+                if follow in child:
+                    walk(child, depth + 1)
+
+        for _, category, _ in sorted((r for r in roots if r[0] == pref), key=lambda r: r[2]):
+            walk(category, 0)
+    return sorted((p, t, c.removeprefix("Category:")) for (p, t), c in out.items())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_gazetteer_against_a_walk(spark, seed):
+    rnd = random.Random(seed)
+    names = [f"Category:{'祭' if i % 4 else 'x'}{i}" for i in range(12)]
+    edges = [(a, b, i) for i, (a, b) in enumerate((rnd.choice(names), rnd.choice(names)) for _ in range(40))]
+    roots = [(p, n, i) for p in ("A", "B") for i, n in enumerate(rnd.sample(names, 3))]
+    members = [(rnd.choice(names), rnd.choice(["Template:祭", "a b", "c/d*~", "祭 り"]) + str(rnd.randrange(25)), i) for i in range(150)]
+    got = crawl.gazetteer(spark.createDataFrame(members, "category string, title string, ord int"), spark.createDataFrame(edges, "parent string, child string, ord int"), spark.createDataFrame(roots, "prefecture string, category string, ord int"))
+    rows = got.collect()
+    assert sorted((r["prefecture"], r["name"], r["category"]) for r in rows) == brute_gazetteer(members, edges, roots, "祭")
+    assert all(r["url"] == "https://ja.wikipedia.org/wiki/" + urllib.parse.quote(r["name"].replace(" ", "_")) for r in rows)
+
+
+def test_residue_goes_on_after_a_stop(spark):
+    rnd = random.Random(3)
+    pages = [(f"h{rnd.randrange(30):02d}", f"u{i % 180}", i, rnd.choice(["祭", "-"]) + "d" * rnd.choice([1, 200])) for i in range(400)]
+    df = spark.createDataFrame(pages, "host string, url string, ord int, text string")
+    hosts = spark.createDataFrame([(f"h{i:02d}", "P", f"m{i}") for i in range(27)], "host string, prefecture string, municipality string")
+    some = spark.createDataFrame([(f"u{i}",) for i in range(0, 180, 7)], "url string")
+
+    def run(limit, **more):
+        out = intake.residue(df, hosts, some, F.col("text").startswith("祭"), F.col("text"), per_host=2, limit=limit, **more)
+        return sorted((r["host"], r["url"]) for r in out.collect())
+
+    first = {}
+    for host, url, at, text in sorted(pages):
+        if text[0] == "祭" and len(text) >= 120 and host < "h27" and int(url[1:]) % 7:
+            first.setdefault(url, (host, at))
+    by_host = {}
+    for url, (host, at) in sorted(first.items(), key=lambda x: (x[1][0], x[1][1])):
+        by_host.setdefault(host, []).append(url)
+    want = [(h, u) for h in sorted(by_host) for u in by_host[h][:2]]
+    for limit in (0, 1, 7, 8, 1000):
+        assert run(limit) == sorted(want[:limit])
+    stopped = run(8)
+    done = spark.createDataFrame([(h,) for h in {h for h, _ in stopped}], "host string")
+    assert all(h not in {x for x, _ in stopped} for h, _ in run(20, done=done, have=8)) and len(run(20, done=done, have=8)) == min(12, len([1 for h, _ in want if h not in {x for x, _ in stopped}]))
+
+
+def test_merge_actions(spark):
+    judged = "slug string, name string, aliases array<string>, prefecture string, municipality string, venue string, usual_schedule string, date_note string, categories array<string>, source_urls array<string>, s4_reason string, s4_verdict string, s4_alias_of string"
+    row = lambda slug, name, pref="県", verdict="keep", alias="", muni="町", urls=("u",), reason="": (slug, name, ["別", name, ""], pref, muni, "", "", "", [], list(urls), reason, verdict, alias)
+    old = publish.build_records(spark.createDataFrame([row("a-b-matsuri", "祭"), row("a-b-x12345678", "神楽"), row("a-b-hand", "手作り"), row("o-p-q", "他県祭", "他県")], judged), "2026-01-01")
+    old = old.withColumn("notes", F.when(F.col("id") == "a-b-hand", "").otherwise(F.col("notes")))
+    new = spark.createDataFrame(
+        [row("a-b-matsuri", "祭", urls=("v", "w")), row("PENDING", "未定"), row("PENDING", "未定2"), row("a-b-new", "手作り"), row("a-b-hand", "別物"), row("a-b-c", "獅子舞", reason="organization"), row("a-b-drop", "x", verdict="drop"), row("a-b-al", "y", alias="1"), row("z", "z", "他県")], judged
+    )
+    table, actions = publish.merge(old, new, "県", "2026-02-02", replace=True)
+    got = sorted((r["action"], r["rule"], r["id"]) for r in actions.collect())
+    assert got == [
+        ("added", "new", "a-b-c"), ("added", "new", "a-b-matsuri"), ("blocked", "id", "a-b-hand"), ("blocked", "name", "a-b-new"), ("kept", "curated", "a-b-hand"), ("kept", "other_prefecture", "o-p-q"),
+        ("removed", "pipeline", "a-b-x12345678"), ("replaced", "same_id", "a-b-matsuri"), ("withheld", "pending", "PENDING"), ("withheld", "pending", "PENDING"),
+    ]
+    after = {r["id"]: r for r in table.collect()}
+    assert set(after) == {"a-b-c", "a-b-matsuri", "a-b-hand", "o-p-q"} and table.schema == tables.RECORDS
+    made = after["a-b-matsuri"]
+    assert [s["url"] for s in made["sources"]] == ["v", "w"] and made["sources"][0]["supports"] == ["name_mentioned"] and made["aliases"] == ["別"] and made["categories"] == ["unclassified"] and made["venue"] is None
+    assert made["scale"]["other"] == [] and made["scale"]["floats"] is None and made["event_dates"] == [] and made["cultural_property"] is None
+    assert publish.SOCIETY_NOTE in after["a-b-c"]["notes"] and publish.HASH_NOTE not in after["a-b-c"]["notes"]
+    with pytest.raises(publish.PublishError, match="replace or to add"):
+        publish.merge(old, new, "県", "2026-02-02")
+    table, actions = publish.merge(old, new, "県", "2026-02-02", replace=False)
+    assert {r["id"] for r in table.collect()} == {"a-b-matsuri", "a-b-x12345678", "a-b-hand", "o-p-q", "a-b-c"}
+    for bad in (row("o-p-q", "衝突"), row("a-b-q", "無源", urls=())):
+        with pytest.raises(publish.PublishError):
+            publish.merge(old, new.union(spark.createDataFrame([bad], judged)), "県", "2026-02-02", replace=True)
+
+
 def test_full_crawl():
     stored = {
         "http://a/": crawl.Stored("http://b/home", links=[("http://b/x", 5, None), ("http://b/fest", 0, None), ("http://c/out", 0, None), ("http://b/f.pdf", 0, None)], feeds=["http://a/rss"]),

@@ -1,3 +1,5 @@
+import random
+
 import io
 import zipfile
 
@@ -5,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import coverage, crawl, ledger, publish, records, resolve
-from tidemark.sources import sinks, tables
+from tidemark.sources import pagestore, sinks, tables
 from tidemark.streaming import ledger as stream
 
 
@@ -31,8 +33,35 @@ def test_alias_cycles_and_chains(spark):
 
 
 def test_unique_containment(spark):
-    df = spark.createDataFrame([("日立市で",), ("日立市と土浦市",), ("日立で",), ("",)], "t string")
-    assert [r["assigned"] for r in resolve.contained_name(df, "t", ["日立市", "土浦市"], "(all)").collect()] == ["日立市", "(all)", "日立市", "(all)"]
+    df = spark.createDataFrame([(1, "日立市で"), (2, "日立市と土浦市"), (3, "日立で"), (4, ""), (5, None)], "i int, t string")
+    names = spark.createDataFrame([("日立市",), ("土浦市",), ("",), (None,), ("日立市",)], "n string")
+    got = {r["i"]: (r["n_names"], r["assigned"]) for r in resolve.contained_names(df, ["i"], "t", names, "n", "(all)").collect()}
+    assert got == {1: (1, "日立市"), 2: (2, "(all)"), 3: (0, "日立市"), 4: (0, "(all)"), 5: (0, "(all)")}
+    assert {r["assigned"] for r in resolve.contained_names(df, ["i"], "t", names.limit(0), "n", "(all)").collect()} == {"(all)"}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_containment_against_every_pair(spark, seed):
+    rnd = random.Random(seed)
+    word = lambda k: "".join(rnd.choice("ab日𠮷c") for _ in range(k))
+    names = {rnd.choice("xy"): None for _ in range(2)}
+    names = [(s, word(rnd.choice([1, 2, 3, 3, 4, 5, 7]))) for s in names for _ in range(60)]
+    texts = [(i, rnd.choice("xyz"), "d" * rnd.randint(0, 3) + word(rnd.randint(0, 12))) for i in range(150)]
+    df = spark.createDataFrame(texts, "i int, s string, t string")
+    got = resolve.contained_names(df, ["i"], "t", spark.createDataFrame(names, "s string, n string"), "n", "-", ["s"]).collect()
+    for i, s, t in texts:
+        listed = sorted({n for at, n in names if at == s})
+        whole, bare = [n for n in listed if n in t], [n for n in listed if len(n) > 2 and n[:-1] in t]
+        want = whole[0] if len(whole) == 1 else bare[0] if len(bare) == 1 else "-"
+        assert [(r["n_names"], r["assigned"]) for r in got if r["i"] == i] == [(len(whole), want)]
+
+
+def test_containment_multiplies_nothing(spark):
+    """A name that stands in a third of all texts, and texts that hold many names: pairs are those that contain each other."""
+    names = spark.range(20_000).selectExpr("concat('n', lpad(cast(id as string), 6, '0'), 'x') AS n")
+    df = spark.range(3_000).selectExpr("id", "concat(case when id % 3 = 0 then 'n000007x ' else '' end, 'n', lpad(cast(id * 5 as string), 6, '0'), 'x') AS t")
+    got = resolve.contained_names(df, ["id"], "t", names, "n", "-").groupBy("n_names").count().collect()
+    assert {r["n_names"]: r["count"] for r in got} == {1: 2_000, 2: 1_000}
 
 
 def test_numbered_is_a_rank(spark):
@@ -126,12 +155,82 @@ def test_published_json_and_cache(spark, tmp_path):
     (tmp_path / "f.json").write_text('{"schema_version": "1", "festivals": [{"id": "a", "name": "祭", "sources": [{"url": "u"}], "location": {"latitude": 1.5}}]}')
     got = tables.records(spark, str(tmp_path / "f.json")).first()
     assert got["id"] == "a" and got["sources"][0]["url"] == "u" and got["location"]["latitude"] == 1.5
-    cache = tmp_path / "cache" / "h"
-    cache.mkdir(parents=True)
-    (cache / "x.body").write_bytes("祭".encode("cp932"))
-    (cache / "x.meta.json").write_text('{"url": "http://h/x", "content_type": "text/html; charset=sjis", "status": 200}')
-    pages = tables.cached_pages(spark, str(tmp_path / "cache"), spark.createDataFrame([("h", "p")], "host string, pref string"))
-    assert [r["decoded_text"] for r in tables.decode_pages(pages, "content", "content_type").collect()] == ["祭"]
+
+
+def test_page_store(spark, tmp_path):
+    root = str(tmp_path / "store")
+    pagestore.register(spark)
+    pages = [("h", "http://h/x", "text/html; charset=sjis", 200, "祭".encode("cp932")), ("h", "http://h/y", "application/pdf", 200, b"%PDF"), ("h", "http://h/big", "text/html", 200, b"z" * 700_000), ("g", "http://g/1", "text/html", 404, b"")]
+    df = spark.createDataFrame(pages, "host string, url string, content_type string, status int, content binary")
+    for _ in range(2):  # a second write replaces
+        df.repartition(3).write.format("stored_pages").mode("append").save(root)
+    every = spark.read.format("stored_pages").option("tasks", 3).load(root)
+    assert rows(every.select("host", "url", "content_type", "status", "content")) == sorted(pages, key=repr) and not list((tmp_path / "store").rglob("*.tmp"))
+    hosts = spark.createDataFrame([("h", "p")], "host string, pref string")
+    got = pagestore.cached_pages(spark, root, hosts, tasks=2)
+    assert [(r["pref"], r["decoded_text"]) for r in tables.decode_pages(got, "content", "content_type").collect()] == [("p", "祭")]
+    with pytest.raises(Exception, match="needs a host"):
+        df.withColumn("host", F.lit(None).cast("string")).write.format("stored_pages").mode("append").save(root)
+
+
+def test_filters_keep_files_closed(spark, tmp_path):
+    """Files of other hosts, and of bodies that are too long, hold what no reader could read."""
+    root = str(tmp_path / "store")
+    pagestore.register(spark)
+    spark.createDataFrame([("h", "http://h/x", "text/html", 200, b"ok"), ("h", "http://h/long", "text/html", 200, b"n" * 99), ("g", "http://g/1", "text/html", 200, b"")], "host string, url string, content_type string, status int, content binary").write.format("stored_pages").mode("append").save(root)
+    for meta in [*(tmp_path / "store" / "g").glob("*.meta.json"), *[p.with_suffix("").with_suffix(".meta.json") for p in (tmp_path / "store" / "h").glob("*.body") if p.stat().st_size == 99]]:
+        meta.write_text("{broken")
+    every = spark.read.format("stored_pages").load(root)
+    with pytest.raises(Exception, match="JSONDecodeError"):
+        every.count()
+    for only in (F.col("host") == "h", F.col("host").isin("h", "zzz")):
+        assert [r["url"] for r in every.filter(only & (F.col("length") <= 50)).collect()] == ["http://h/x"]
+    assert every.filter("host = 'nobody'").count() == 0
+
+
+def test_cells_of_files(spark, tmp_path):
+    pagestore.register(spark)
+    (tmp_path / "a.csv").write_bytes('名称,"所在\n地"\n撞舞,x\n'.encode("cp932"))
+    (tmp_path / "b.csv").write_bytes("火祭,y\n".encode("cp932"))
+    (tmp_path / "_hidden").write_bytes(b"no")
+    read = spark.read.format("cell_files").option("kind", "cp932").load(str(tmp_path))
+    assert [tuple(r) for r in read.orderBy("file", "ordinal").collect()] == [("a.csv", 0, ["名称", "所在\n地"]), ("a.csv", 1, ["撞舞", "x"]), ("b.csv", 0, ["火祭", "y"])]
+    assert [r["cells"] for r in read.filter("file = 'b.csv'").collect()] == [["火祭", "y"]]
+    assert spark.read.format("cell_files").option("kind", "cp932").load(str(tmp_path / "a.csv")).count() == 2
+    with pytest.raises(Exception, match="kind must be one of"):
+        spark.read.format("cell_files").option("kind", "pdf").load(str(tmp_path)).count()
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = lambda n: spark.range(n).withColumn("x", F.lit("v"))
+    assert sinks.table_version(spark, path) == 0 and sinks.replace_table(df(1), path) == 1
+    base = sinks.table_version(spark, path)
+    assert sinks.replace_table(df(2), path, base) == 2
+    with pytest.raises(sinks.ConflictError):
+        sinks.replace_table(df(3), path, base)
+    assert sinks.read_current(spark, path).count() == 2 and len(list((tmp_path / "t").glob("v-*"))) == 2
+    # Both looked before either claimed: the exclusive create decides.
+    assert sinks._claim(spark, path, 3, "v-3-a") and not sinks._claim(spark, path, 3, "v-3-b")
+    (tmp_path / "t" / "_log" / f"{3:020d}").unlink()
+    for n in range(3, 7):
+        assert sinks.replace_table(df(n), path, keep=2) == n
+    assert sorted(p.name.split("-")[1] for p in (tmp_path / "t").glob("v-*")) == ["5", "6"] and sinks.read_current(spark, path, 5).count() == 5
+    with pytest.raises(Exception, match="boom"):
+        sinks.replace_table(df(3).withColumn("y", F.raise_error(F.lit("boom"))), path)
+    assert sinks.table_version(spark, path) == 6 and len(list((tmp_path / "t").glob("v-*"))) == 2
+
+
+def test_a_gate_computes_its_input_once(spark, tmp_path):
+    """A value drawn anew in every run would pass the gate with one draw and be written with another."""
+    df = spark.range(200).select(F.col("id"), F.expr("reflect('java.util.UUID', 'randomUUID')").alias("u"), F.lit("x").alias("name"))
+    made = publish.checked(df, "id", ["name"])
+    assert rows(made) == rows(made)
+    with pytest.raises(publish.PublishError, match="blank:name: 200 rows; repeated:k: 1 rows"):
+        publish.checked(df.withColumn("name", F.lit("")).withColumn("k", F.lit(1)), "k", ["name"])
+    assert publish.checked(df.limit(0), "id", ["name"]).count() == 0
+    sinks.publish_json(df, str(tmp_path / "out"), "id", ["name"], [])
+    assert spark.read.json(str(tmp_path / "out")).select("u").distinct().count() == 200
 
 
 def test_partition_overwrite_and_resume(spark, tmp_path):

@@ -377,6 +377,23 @@ def designation_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return pages.select(id_col, html_col).filter(telling).mapInPandas(run, schema)
 
 
+def designations_of_bodies(pages: DataFrame, keep: list[str], body: str, content_type: str) -> DataFrame:
+    """(keep, ord, designation, kind, name) of stored bodies: decoded and read by the four strategies in one function."""
+    from tidemark.sources.tables import decode_page
+
+    added = {"ord": "int", "designation": "string", "kind": "string", "name": "string"}
+    target = pages.select(*keep, *[F.lit(None).cast(kind).alias(name) for name, kind in added.items()]).schema
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            found = [designations(decode_page(bytes(b), c or "")[0]) for b, c in zip(frame[body], frame[content_type], strict=True)]
+            out = frame[keep].loc[frame.index.repeat([len(f) for f in found])].reset_index(drop=True)
+            rows = [(i, *row) for f in found for i, row in enumerate(f)]
+            yield pd.concat([out, pd.DataFrame(rows, columns=list(added))], axis=1)
+
+    return pages.select(*keep, body, content_type).mapInPandas(run, target)
+
+
 def first_designations(rows: DataFrame, scope: list[str], ord_cols: list[str]) -> DataFrame:
     """One row for each (scope, name, kind): the first seen."""
     return first_seen(rows, [*scope, "name", "kind"], ord_cols)

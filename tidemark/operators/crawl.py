@@ -8,11 +8,18 @@ import urllib.parse
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import staged
+
 DEPRIORITIZED = 90
 
+# An encyclopedia's categories ---------------------------------------------------------------------
+SUBCATEGORY = "祭|まつり|行事|芸能|民俗|神楽|踊|囃子|山車|神輿|花火"
+NAMESPACES = "^(?:Category|Template|Portal|Wikipedia):"
+ARTICLES = "https://ja.wikipedia.org/wiki/"
+
 
 def replay(pages: DataFrame, edges: DataFrame, site: str, budget: int = 40, depth: int = 3, most_queue: int = 1_200) -> DataFrame:
     """(site, seq, url, depth): the order in which a crawl of each site visits its stored pages.
@@ -195,3 +202,67 @@ def expand(edges: DataFrame, roots: DataFrame, parent: str, child: str, most_dep
         frontier = open_nodes.select(F.col("node").alias(parent)).join(edges, parent).select(F.col(child).alias("node"), F.lit(step).alias("depth")).distinct()
         reached = reached.unionByName(frontier)
     return reached.groupBy("node").agg(F.min("depth").alias("depth"))
+
+
+_PATHS = """
+WITH RECURSIVE walk(prefecture, category, depth, path) AS (
+  SELECT prefecture, category, 0, lpad(CAST(ord AS STRING), 9, '0') FROM {roots}
+  UNION ALL
+  SELECT w.prefecture, e.child, w.depth + 1, concat(w.path, '/', lpad(CAST(e.ord AS STRING), 9, '0')) FROM walk w JOIN {edges} e ON e.parent = w.category WHERE w.depth < {depth}
+) SELECT * FROM walk
+"""
+
+
+def visited_categories(edges: DataFrame, roots: DataFrame, most_depth: int = 2, follow: str = SUBCATEGORY) -> DataFrame:
+    """(prefecture, category, depth, path): the categories that a depth-first walk of each prefecture's roots visits.
+
+    edges: (parent, child, ord); roots: (prefecture, category, ord). A category is visited once for a prefecture, on the
+    first path in the order of ords that comes to it; below most_depth, and into children whose name `follow` doesn't
+    find, nobody goes. A path counts only if every category on it was first visited there, so a category that is met
+    early at the last depth is not walked into later either.
+
+    A recursive query lists the paths, of which there are at most (children)^most_depth a root; which of them are visited
+    depends on earlier paths only, and rounds of "first of its category among the paths that still count" go on until they agree.
+    """
+    spark = edges.sparkSession
+    followed = edges.filter(F.col("child").rlike(follow)).select("parent", "child", "ord").distinct()
+    paths = staged(spark.sql(_PATHS, edges=followed, roots=roots, depth=most_depth), "category-paths")
+    alive, last = paths, None
+    while True:
+        first = staged(alive.groupBy("prefecture", "category").agg(F.min_by(F.struct("depth", "path"), "path").alias("f")).select("prefecture", "category", "f.depth", "f.path"), "category-visits")
+        # Distinct paths with their category: a sum of hashes tells two rounds apart.
+        now = first.agg(F.count("*"), F.sum(F.xxhash64("prefecture", "category", "path").cast("decimal(38,0)"))).first()
+        if now == last:
+            return first
+        last, alive = now, paths
+        for step in range(1, most_depth + 1):
+            alive = _on_visited(alive, first, step)
+
+
+def _on_visited(alive: DataFrame, first: DataFrame, step: int) -> DataFrame:
+    """Paths of `step` steps or more whose category after that many was first visited there, and all shorter ones."""
+    above = F.when(F.col("depth") >= step, F.substring_index("path", "/", step))
+    seen = first.select(F.col("prefecture").alias("__p"), F.col("path").alias("__path"), F.lit(True).alias("__seen"))
+    marked = alive.withColumn("__above", above)
+    joined = marked.join(seen, (F.col("prefecture") == F.col("__p")) & (F.col("__above") == F.col("__path")), "left")
+    return joined.filter(F.col("__above").isNull() | F.col("__seen")).select(*alive.columns)
+
+
+def gazetteer(members: DataFrame, edges: DataFrame, roots: DataFrame, most_depth: int = 2, follow: str = SUBCATEGORY, base: str = ARTICLES) -> DataFrame:
+    """(prefecture, name, category, url): every article of the visited categories, once for a prefecture, with the category that it was first seen in.
+
+    members: (category, title, ord); edges and roots as in visited_categories. Titles with a namespace are left out. A
+    category's own articles come before those of its subcategories.
+    """
+    visits = visited_categories(edges, roots, most_depth, follow)
+    rows = visits.join(members.filter(~F.col("title").rlike(NAMESPACES)), "category")
+    first = rows.groupBy("prefecture", F.col("title").alias("name")).agg(F.min_by("category", F.struct("path", "ord")).alias("category"))
+    return first.select("prefecture", "name", F.replace("category", F.lit("Category:"), F.lit("")).alias("category"), F.concat(F.lit(base), quoted_path(F.replace("name", F.lit(" "), F.lit("_")))).alias("url"))
+
+
+def quoted_path(text: Column) -> Column:
+    """Percent-encoding as addresses' paths have it: slashes and -._~ stay."""
+    out = F.url_encode(text)
+    for java, path in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        out = F.replace(out, F.lit(java), F.lit(path))
+    return out

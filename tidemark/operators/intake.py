@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules as R
 from tidemark.functions.clean import arrow
 from tidemark.functions.pages import ADDRESS_CELL, LIST_NAME, NO_NAME, designation_name
-from tidemark.session import ship
+from tidemark.session import ship, staged
 
 # What a judge's designation row may say ----------------------------------------------------------
 LEVELS = ("国指定", "国登録", "県指定", "都指定", "道指定", "府指定", "市指定", "町指定", "村指定")
@@ -78,6 +78,36 @@ def new_designations(judged: DataFrame, existing: DataFrame, mechanical: DataFra
     return one.select(*key, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 
+def residue(
+    pages: DataFrame, hosts: DataFrame, mechanical: DataFrame, telling: Column, digest: Column, ord_col: str = "ord", per_host: int = 8, limit: int = 120, least: int = 120, done: DataFrame | None = None, have: int = 0,
+) -> DataFrame:
+    """(page_id, host, prefecture, municipality, url, digest): pages for a judge, because the mechanical rules found nothing there.
+
+    pages: (host, url, ord, ...); hosts: (host, prefecture, municipality). A page counts if `telling` holds, it has an
+    address, its host is known, no row of `mechanical` (url) comes from it and its digest has `least` characters. Of pages
+    with one page_id (of the address) the first by host and ord counts. Taken are at most per_host pages of a host, in their
+    order, and at most limit - have over all, in the order of hosts: the last host may be cut short.
+
+    done: (host) of hosts that an earlier run finished, which had found `have` pages; so a run that was cut off goes on.
+    Ranks are counted within hosts. Every host that is taken gives a page, so the first limit - have hosts are enough
+    for the sums over hosts before them: those are ordered without ordering the others.
+    """
+    left = max(0, limit - have)
+    known = pages.filter(telling & (F.coalesce("url", F.lit("")) != "")).join(hosts.select("host", "prefecture", "municipality").dropDuplicates(["host"]), "host")
+    if done is not None:
+        known = known.join(done.select("host").distinct(), "host", "left_anti")
+    open_pages = known.join(mechanical.select("url").distinct(), "url", "left_anti").withColumn("digest", digest).filter(F.length("digest") >= least)
+    named = open_pages.withColumn("__id", F.substring(F.sha1("url"), 1, 8))
+    kept = ["host", F.col(ord_col).alias("__ord"), "prefecture", "municipality", "url", "digest"]
+    once = named.groupBy("__id").agg(F.min(F.struct(*kept)).alias("p")).select(F.col("__id").alias("page_id"), "p.*")
+    rank = F.row_number().over(Window.partitionBy("host").orderBy("__ord", "page_id"))
+    capped = staged(once.withColumn("__r", rank).filter(F.col("__r") <= per_host), "residue", left)
+    first_hosts = capped.groupBy("host").agg(F.count("*").alias("__n")).orderBy("host").limit(left)
+    # At most `limit` rows.
+    before = first_hosts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("host").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    return capped.join(before, "host").filter(F.col("__before") + F.col("__r") <= left).select("page_id", "host", "prefecture", "municipality", "url", "digest")
+
+
 def rows_without_reading(verdicts: DataFrame) -> DataFrame:
     """Kept rows (id, verdict, reading) whose reading is still to be asked for."""
     return verdicts.filter((F.trim("verdict") == "keep") & (F.trim(F.coalesce("reading", F.lit(""))) == ""))

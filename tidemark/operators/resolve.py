@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import staged
 
-#: Names that may be tried one by one in each row: a prefecture has fewer than 200 municipalities.
-MOST_NAMES = 2_000
+#: Characters of the n-grams that names are looked up by.
+ANCHOR = 3
 
 
 def lookup(df: DataFrame, table: DataFrame, keys: list[str], order: str, last: bool = False) -> DataFrame:
@@ -21,20 +21,62 @@ def lookup(df: DataFrame, table: DataFrame, keys: list[str], order: str, last: b
     return df.join(one, keys, "left")
 
 
-def contained_name(df: DataFrame, text: str, names: list[str], wide: str, stem: Column | None = None) -> DataFrame:
-    """df with n_names and assigned: the one distinct name that the text contains; `wide` where none or several do.
+def _grams(text: Column, n: int) -> Column:
+    """The distinct substrings of n characters; none of shorter texts. A look-ahead captures them at every place."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
 
-    names: a bounded list (a prefecture's municipalities); it becomes an array literal, so each row is decided where
-    it lies, without a nested-loop join. Names whose length is above 2 are tried without their last character if
-    no name is unique.
+
+def _anchored(texts: DataFrame, forms: DataFrame, scope: list[str], text: str, form: str, sizes: list[int]) -> DataFrame:
+    """forms with __anchor: of each form's n-grams the one that the fewest texts have; forms with an n-gram that no text has go.
+
+    Only n-grams that some form has are counted.
+    """
+    size = F.least(F.length(form), F.lit(ANCHOR))
+    grams = reduce(lambda c, n: c.when(size == n, _grams(F.col(form), n)), sizes, F.when(F.lit(False), F.array().cast("array<string>")))
+    offered = forms.select(*scope, form, F.explode(grams).alias("__g"))
+    seen = _offers(texts, scope, text, sizes).join(offered.select(*scope, "__g").distinct(), [*scope, "__g"], "left_semi")
+    counts = seen.groupBy(*scope, "__g").agg(F.count("*").alias("__n"))
+    rated = offered.join(counts, [*scope, "__g"], "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    best = rated.groupBy(*scope, form).agg(F.min_by("__g", F.struct("__n", "__g")).alias("__anchor"), F.min("__n").alias("__least")).filter("__least > 0")
+    return forms.join(best.drop("__least"), [*scope, form])
+
+
+def _offers(texts: DataFrame, keys: list[str], text: str, sizes: list[int]) -> DataFrame:
+    """(keys, __g): the distinct n-grams of each text, of every size that an anchor has."""
+    return texts.select(*keys, F.explode(F.flatten(F.array(*[_grams(F.col(text), n) for n in sizes]))).alias("__g"))
+
+
+def contained_names(df: DataFrame, key: list[str], text: str, names: DataFrame, name: str, wide: str, scope: list[str] | None = None) -> DataFrame:
+    """df with n_names and assigned: the one name of the row's scope that the text contains; `wide` where none or several do.
+
+    key: columns that tell df's texts apart. names: (scope, name), any number; null and empty names count as none, and a
+    name that is listed twice is one. Names of more than two characters are tried without their last character if no
+    name is the only one.
+
+    Names come to texts by an equality join on an anchor, the n-gram of the name (or its stem) that the fewest texts have.
+    What an anchor brings together is compared in full. Each text travels once for that; no text or name is multiplied by the
+    other side. A null text contains nothing.
     """
-    if len(names) > MOST_NAMES:
-        raise ValueError(f"{len(names)} names are too many for an array; join on tokens instead")
-    listed = F.array(*[F.lit(n) for n in sorted(set(names))]) if names else F.array().cast("array<string>")
-    whole = F.filter(listed, lambda n: F.contains(F.col(text), n))
-    bare = F.filter(listed, lambda n: (F.length(n) > 2) & F.contains(F.col(text), F.substring(n, F.lit(1), F.length(n) - 1)))
-    one = F.when(F.size(whole) == 1, F.element_at(whole, 1)).when(F.size(bare) == 1, F.element_at(bare, 1)).otherwise(F.lit(wide))
-    return df.withColumn("n_names", F.size(whole).cast("long")).withColumn("assigned", one)
+    by = scope or []
+    listed = names.select(*by, F.col(name).alias("__name")).filter(F.col("__name") != "").distinct()
+    whole = listed.select(*by, "__name", F.col("__name").alias("__form"), F.lit(True).alias("__whole"))
+    bare = listed.filter(F.length("__name") > 2).select(*by, "__name", F.expr("substring(__name, 1, length(__name) - 1)").alias("__form"), F.lit(False).alias("__whole"))
+    forms = staged(whole.unionByName(bare), "name-forms")
+    sizes = sorted(r["n"] for r in forms.select(F.least(F.length("__form"), F.lit(ANCHOR)).alias("n")).distinct().collect())  # at most ANCHOR numbers
+    if not sizes:
+        return df.withColumn("n_names", F.lit(0).cast("long")).withColumn("assigned", F.lit(wide))
+    own = [c for c in by if c not in key]
+    texts = df.filter(F.col(text).isNotNull()).select(*key, *own, text).dropDuplicates(key)
+    index = staged(_anchored(texts, forms, by, text, "__form", sizes), "name-anchors")
+    pairs = _offers(texts, [*key, *own], text, sizes).join(index.withColumnRenamed("__anchor", "__g"), [*by, "__g"]).select(*key, "__name", "__form", "__whole")
+    hits = pairs.join(texts.select(*key, text), key).filter(F.contains(F.col(text), F.col("__form")))
+    is_whole = F.col("__whole")
+    found = hits.groupBy(*key).agg(
+        F.count_if(is_whole).alias("n_names"), F.min(F.when(is_whole, F.col("__name"))).alias("__one"), F.count_if(~is_whole).alias("__n_bare"), F.min(F.when(~is_whole, F.col("__name"))).alias("__bare"),
+    )
+    out = df.join(found, key, "left").withColumn("n_names", F.coalesce("n_names", F.lit(0)))
+    one = F.when(F.col("n_names") == 1, F.col("__one")).when(F.col("__n_bare") == 1, F.col("__bare")).otherwise(F.lit(wide))
+    return out.withColumn("assigned", one).drop("__one", "__n_bare", "__bare")
 
 
 def canonical_place(df: DataFrame, known: DataFrame, scope: str, place: str, variants: list[Column], wide: str) -> DataFrame:
@@ -87,16 +129,18 @@ def judgment_status(index: DataFrame, verdicts: DataFrame, id_col: str, compared
     return a.join(b, id_col, "full").select(id_col, status.alias("status"))
 
 
-def alias_problems(df: DataFrame, id_col: str, alias: str, place: str, verdict: str, wide: str, keep: str = "keep") -> DataFrame:
+def alias_problems(df: DataFrame, id_col: str, alias: str, place: str, verdict: str, wide: str, keep: str = "keep", scope: str | None = None) -> DataFrame:
     """(id, alias, problem) of rows with an alias: unknown, self, other_place, not_kept, cycle; null problem if it is fine.
 
-    Chains are followed by pointer doubling; a chain that has not ended after as many steps as there are rows is a cycle.
+    scope: a column beside the place that has to agree even for rows of the `wide` place. Chains are followed by pointer doubling; a chain that has not ended after as many steps as there are rows is a cycle.
     """
-    target = df.select(F.col(id_col).alias(alias), F.col(place).alias("__p"), F.col(verdict).alias("__k"))
+    target = df.select(F.col(id_col).alias(alias), F.col(place).alias("__p"), F.col(verdict).alias("__k"), (F.col(scope) if scope else F.lit("")).alias("__s"))
     rows = df.filter(F.col(alias).isNotNull())
     checked = rows.join(target, alias, "left")
     in_cycle = cycles(df, id_col, alias)
     other = (F.col(place) != F.col("__p")) & (F.col(place) != wide) & (F.col("__p") != wide)
+    if scope:
+        other = other | (F.col(scope) != F.col("__s"))
     problem = (
         F.when(F.col("__k").isNull() & F.col("__p").isNull(), "unknown").when(F.col(alias) == F.col(id_col), "self").when(other, "other_place")
         .when(F.col("__k") != keep, "not_kept").when(F.col("__c"), "cycle")

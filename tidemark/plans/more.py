@@ -15,7 +15,7 @@ from tidemark.functions import pages as H
 from tidemark.functions import rules as R
 from tidemark.operators import apply, coverage, crawl, intake, ledger, publish, records, registry, resolve, sites
 from tidemark.plans.queries import EVENT_KINDS, ledger_events, table
-from tidemark.sources import etiquette, sinks, tables
+from tidemark.sources import etiquette, pagestore, sinks, tables
 from tidemark.session import ship, staging_path
 
 ORACLES: dict[str, str] = {}
@@ -148,6 +148,42 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(s.schema).parquet(path).select("s_suppkey", "s_nationkey", "s_name")
 
 
+def _store(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Pages in a store of their own, some as plain text, every second with a designation, some of those in code page 932; and their hosts."""
+    pagestore.register(spark)
+    root = staging_path(spark, "store")
+
+    @F.pandas_udf("binary")
+    def cp932(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: t.encode("cp932"))
+
+    ident = F.col("page_id").cast("string")
+    listed = F.concat(F.lit("<table><tr><td>県指定</td><td>無形民俗文化財</td><td>獅子舞第"), ident, F.lit("組</td></tr></table>"))
+    html = F.concat(F.regexp_replace("html", r"[^\x00-\x7F]", ""), F.when(F.col("page_id") % 2 == 0, listed).otherwise(""))
+    pages = table(spark, sf_dir, "pages").select(
+        F.split_part("url", F.lit("/"), F.lit(3)).alias("host"), F.concat("url", F.lit("?p="), ident).alias("url"), F.when(F.col("page_id") % 5 == 0, "text/plain").otherwise("text/html").alias("content_type"), F.lit(200).alias("status"),
+        F.when(F.col("page_id") % 6 == 0, cp932(html)).otherwise(F.encode(html, "UTF-8")).alias("content"),
+    )
+    pages.write.format("stored_pages").mode("append").save(root)
+    return root, pages.select("host").distinct()
+
+
+@oracle("""WITH p AS (SELECT *, '<table><tr><td>県指定</td><td>無形民俗文化財</td><td>獅子舞第' || page_id || '組</td></tr></table>' AS t FROM pages)
+SELECT split_part(url, '/', 3) AS host, url || '?p=' || page_id AS url,
+  length(regexp_replace(html, '[^\\x00-\\x7F]', '', 'g')) + CASE WHEN page_id % 2 = 1 THEN 0 WHEN page_id % 6 = 0 THEN length(t) + length(regexp_replace(t, '[\\x00-\\x7F]', '', 'g')) ELSE strlen(t) END AS length
+FROM p WHERE page_id % 5 <> 0 AND split_part(url, '/', 3) NOT LIKE 'm.%'""")
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, hosts = _store(spark, sf_dir)
+    return pagestore.cached_pages(spark, root, hosts.filter(~F.startswith("host", F.lit("m."))), tasks=16).select("host", "url", "length")
+
+
+@oracle("""SELECT split_part(url, '/', 3) AS host, url || '?p=' || page_id AS url, '県指定' AS designation, '無形民俗文化財' AS kind, '獅子舞第' || page_id || '組' AS name FROM pages WHERE page_id % 2 = 0 AND page_id % 5 <> 0""")
+def designations_of_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every strategy that finds a page's designation finds the same one; the first counts."""
+    rows = pagestore.stored_designations(spark, *_store(spark, sf_dir), tasks=16)
+    return H.first_designations(rows, ["host", "url"], ["ord"]).select("host", "url", "designation", "kind", "name")
+
+
 @oracle("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)")
 def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))
@@ -371,6 +407,55 @@ def merged_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.upsert(c.filter("id % 3 <> 0"), new, "id", F.col("n") < 5, F.col("made"), replace=True)
 
 
+#: Customers as published records and as judged rows of the prefecture 3: existing where the key is no multiple of 3, judged where it is one of 2.
+_MERGE = """WITH c AS (SELECT c_custkey AS k, c_nationkey % 4 AS p, 'm' || (c_custkey % 5)::VARCHAR AS m, 'c-' || (c_custkey - c_custkey % 2)::VARCHAR AS slug, 'n' || (c_custkey % 400)::VARCHAR AS nm, c_mktsegment AS seg FROM customer),
+e AS (SELECT 'c-' || k::VARCHAR AS id, p, m, nm, k % 4 <> 1 AS made FROM c WHERE k % 3 <> 0),
+j AS (SELECT CASE WHEN k % 14 = 0 THEN NULL ELSE slug END AS id, p, m, nm, k FROM c WHERE k % 2 = 0 AND p = 3 AND seg <> 'MACHINERY' AND k % 10 <> 0),
+f AS (SELECT e.*, {guard} AS guards, {goes} AS goes FROM e),
+t AS (SELECT j.*, EXISTS (SELECT 1 FROM f WHERE f.guards AND f.p = j.p AND f.m = j.m AND f.nm = j.nm) AS taken FROM j),
+b AS (SELECT t.*, CASE WHEN t.id IS NULL THEN 'withheld' WHEN f.guards OR taken THEN 'blocked' ELSE 'added' END AS action, CASE WHEN t.id IS NULL THEN 'pending' WHEN f.guards THEN 'id' WHEN taken THEN 'name' ELSE 'new' END AS rule FROM t LEFT JOIN f USING (id)),
+o AS (SELECT f.*, CASE WHEN goes AND b.action = 'added' THEN 'replaced' WHEN goes THEN 'removed' ELSE 'kept' END AS action,
+  CASE WHEN goes AND b.action = 'added' THEN 'same_id' WHEN goes THEN 'pipeline' WHEN f.p <> 3 THEN 'other_prefecture' WHEN NOT made THEN 'curated' ELSE 'existing' END AS rule FROM f LEFT JOIN b USING (id))
+"""
+_ADDING = _MERGE.format(guard="true", goes="false")
+_REPLACING = _MERGE.format(guard="e.p = 3 AND NOT made", goes="e.p = 3 AND made")
+_COUNTS = "SELECT action, rule, count(*) AS n FROM (SELECT action, rule FROM b UNION ALL SELECT action, rule FROM o) GROUP BY ALL"
+
+
+def _merge_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    k = F.col("c_custkey")
+    text = lambda c: c.cast("string")
+    c = table(spark, sf_dir, "customer").select(
+        k, text(F.col("c_nationkey") % 4).alias("prefecture"), F.concat(F.lit("m"), text(k % 5)).alias("municipality"), F.concat(F.lit("n"), text(k % 400)).alias("name"), "c_mktsegment",
+        F.array(F.lit("alias")).alias("aliases"), F.lit("").alias("venue"), F.lit("").alias("usual_schedule"), F.lit("").alias("date_note"), F.array("c_mktsegment").alias("categories"), F.array(F.lit("u")).alias("source_urls"), F.lit("").alias("s4_reason"),
+    )
+    old = publish.build_records(c.filter(k % 3 != 0).withColumn("slug", F.concat(F.lit("c-"), text(k))).withColumn("aliases", F.array().cast("array<string>")), "2026-01-01")
+    old = old.withColumn("notes", F.when(F.regexp_extract("id", "[0-9]+", 0).cast("long") % 4 != 1, F.col("notes")).otherwise("by hand"))
+    judged = c.filter(k % 2 == 0).withColumn("slug", F.when(k % 14 == 0, "PENDING").otherwise(F.concat(F.lit("c-"), text(k)))).withColumns({
+        "s4_verdict": F.when(F.col("c_mktsegment") == "MACHINERY", "drop").otherwise("keep"), "s4_alias_of": F.when(k % 10 == 0, "c-1").otherwise(""),
+    })
+    return old, judged
+
+
+@oracle(_ADDING + _COUNTS)
+def merge_by_adding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.action_counts(publish.merge(*_merge_inputs(spark, sf_dir), "3", "2026-02-01", replace=False)[1])
+
+
+@oracle(_REPLACING + _COUNTS)
+def merge_by_replacing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.action_counts(publish.merge(*_merge_inputs(spark, sf_dir), "3", "2026-02-01", replace=True)[1])
+
+
+@oracle(_REPLACING + """, r AS (SELECT id, p, m, nm, '2026-01-01' AS accessed, made AS pipeline FROM o WHERE action = 'kept' UNION ALL SELECT id, p, m, nm, '2026-02-01', true FROM b WHERE action = 'added')
+SELECT id, p::VARCHAR AS prefecture, m AS municipality, nm AS name, 'u' AS url, accessed, 'name_mentioned' AS supports, pipeline FROM r""")
+def table_after_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands in the published table, its nested sources opened."""
+    rows, _ = publish.merge(*_merge_inputs(spark, sf_dir), "3", "2026-02-01", replace=True)
+    source = F.get("sources", F.lit(0))
+    return rows.select("id", "prefecture", "municipality", "name", source["url"].alias("url"), source["accessed"].alias("accessed"), F.array_join(source["supports"], ",").alias("supports"), publish.made_here().alias("pipeline"))
+
+
 @oracle("""SELECT p_partkey, CASE WHEN p_size % 2 = 0 AND p_name LIKE 'old %' THEN substr(p_name, 5) ELSE p_name END AS name, CASE WHEN p_size % 2 = 0 AND p_name LIKE 'old %' THEN p_type || '|' || p_name ELSE p_type END AS aliases FROM part""")
 def renamed_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"), F.array("p_type").alias("aliases"), (F.col("p_size") % 2 == 0).alias("made"))
@@ -442,6 +527,71 @@ def applied_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "municipality", "name", "s4_verdict", "s4_alias_of", "slug")
 
 
+@oracle("""WITH r AS (SELECT lpad(row_number() OVER (ORDER BY p_partkey)::VARCHAR, 7, '0') AS id, 'p' || (p_partkey % 2)::VARCHAR AS p, p_brand || '市' AS m, 'm' || split_part(p_brand, '#', 2) AS mr, p_name AS name, p_size, ['u' || p_partkey::VARCHAR, 'v'][1:p_size % 2 + 1] AS urls FROM part),
+v AS (SELECT *, CASE WHEN p_size % 7 = 1 THEN 'unsure' WHEN p_size % 4 = 3 THEN 'drop' ELSE 'keep' END AS verdict FROM r),
+k AS (SELECT *, replace(name, ' ', '') AS mk FROM v WHERE verdict = 'keep'),
+h AS (SELECT *, first_value(id) OVER w AS head, count(*) OVER (PARTITION BY p, m, mk) AS n FROM k WINDOW w AS (PARTITION BY p, m, mk ORDER BY len(urls) DESC, id)),
+g AS (SELECT head, count(DISTINCT u) AS source_count FROM (SELECT head, unnest(urls) AS u FROM h WHERE n > 1) GROUP BY head)
+SELECT v.id, v.p AS prefecture, v.m AS municipality, v.verdict AS s4_verdict, CASE WHEN n > 1 AND h.head <> v.id THEN h.head ELSE '' END AS s4_alias_of, coalesce(source_count, 1) AS source_count,
+  CASE WHEN v.verdict <> 'keep' OR (n > 1 AND h.head <> v.id) THEN '' ELSE v.p || '-' || v.mr || '-x' || substr(sha1(v.p || '/' || v.mr || '/' || v.name_key), 1, 8) END AS slug
+FROM (SELECT *, replace(name, ' ', '') AS name_key FROM v) v LEFT JOIN h USING (id) LEFT JOIN g ON g.head = v.id""")
+def verdicts_of_two_prefectures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The apply chain where two prefectures have municipalities of the same names, and some answers name themselves as an alias."""
+    part = records.numbered(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size"), ["p_partkey"], width=7).drop("__n")
+    size = F.col("p_size")
+    rows = part.select(
+        "id", F.concat(F.lit("p"), (F.col("p_partkey") % 2).cast("string")).alias("prefecture"), F.concat("p_brand", F.lit("市")).alias("municipality"), F.col("p_name").alias("name"), F.lit("").alias("venue"), F.lit("").alias("date_note"),
+        F.array().cast("array<string>").alias("aliases"), F.slice(F.array(F.concat(F.lit("u"), F.col("p_partkey").cast("string")), F.lit("v")), 1, size % 2 + 1).alias("source_urls"), F.lit(1).cast("long").alias("source_count"), F.lit("PENDING").alias("slug"),
+    )
+    verdicts = part.select("id", F.when(size % 4 == 3, "drop").otherwise("keep").alias("verdict"), F.lit("folk").alias("reason"), F.when(size % 7 == 1, F.col("id")).otherwise("").alias("alias_of"), F.lit("").alias("municipality"), F.lit("").alias("reading"))
+    nowhere = spark.createDataFrame([("p0", "(県全域)", "nothing", 1)], "prefecture string, municipality string, name string, ord long")
+    romaji = rows.select("prefecture", "municipality", F.col("prefecture").alias("pref_romaji"), F.concat(F.lit("m"), F.regexp_extract("municipality", "#([0-9]+)", 1)).alias("muni_romaji")).distinct()
+    stems = spark.createDataFrame([("p0", "zzz市", 1)], "prefecture string, municipality string, ord int")
+    out = apply.apply_verdicts(rows, verdicts, apply.designated_places([nowhere]), stems, romaji, index=rows.select("id", "prefecture", "municipality", "name"))
+    return out.select("id", "prefecture", "municipality", "s4_verdict", "s4_alias_of", "source_count", "slug")
+
+
+@oracle("""WITH p AS (SELECT page_id, url, split_part(url, '/', 3) AS host, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \\t\\r\\n]+', ' ', 'g'), ' ') AS digest, html FROM pages),
+o AS (SELECT *, substr(sha1(url), 1, 8) AS pid FROM p WHERE contains(html, 'th') AND host NOT LIKE 'm.%' AND len(regexp_extract_all(html, '<li')) < 6 AND length(digest) >= 120),
+f AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY pid ORDER BY host, page_id) = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS k FROM f), c AS (SELECT *, row_number() OVER (ORDER BY host, k) AS n FROM r WHERE k <= 2)
+SELECT pid AS page_id, host, 'm-' || host AS municipality, url, length(digest) AS n_chars FROM c WHERE n <= 25""")
+def judge_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without list items enough: two of a host, 25 in all, in the order of hosts. Hosts with an m. in front are unknown."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html", F.split_part("url", F.lit("/"), F.lit(3)).alias("host"))
+    hosts = pages.filter(~F.startswith("host", F.lit("m."))).select("host", F.lit("p").alias("prefecture"), F.concat(F.lit("m-"), "host").alias("municipality")).distinct()
+    listed = pages.filter(F.regexp_count("html", F.lit("<li")) >= 6).select("url")
+    digest = F.trim(F.regexp_replace(F.regexp_replace("html", "<[^>]+>", " "), "[ \t\r\n]+", " "))
+    out = intake.residue(pages, hosts, listed, F.contains("html", F.lit("th")), digest, "page_id", per_host=2, limit=25)
+    return out.select("page_id", "host", "municipality", "url", F.length("digest").cast("long").alias("n_chars"))
+
+
+@oracle("""WITH RECURSIVE roots AS (SELECT r_regionkey AS p, 'Category:root ' || r_regionkey || ' ' || t AS category, t AS ord FROM region, range(2) x(t)),
+edges AS (
+  SELECT 'Category:root ' || n_regionkey || ' ' || t AS parent, 'Category:' || n_name AS child, (CASE WHEN t = 0 THEN n_nationkey ELSE 99 - n_nationkey END)::BIGINT AS ord FROM nation, range(2) x(t) WHERE (n_nationkey + t) % 3 > 0
+  UNION ALL SELECT DISTINCT 'Category:' || n_name, 'Category:' || c_mktsegment, length(c_mktsegment) FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 3 = 0
+), walk AS (
+  SELECT p, category, 0 AS depth, lpad(ord::VARCHAR, 9, '0') AS path FROM roots
+  UNION ALL SELECT p, child, depth + 1, path || '/' || lpad(e.ord::VARCHAR, 9, '0') FROM walk JOIN edges e ON parent = category WHERE depth < 2 AND child NOT LIKE '%BUILDING'
+), visits AS (SELECT p, category, min(path) AS path FROM walk GROUP BY ALL),
+members AS (SELECT 'Category:' || n_name AS category, c_name AS title, c_custkey AS ord FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'Category:' || c_mktsegment, 'Seg ' || (c_custkey % 50) || ' x', c_custkey FROM customer),
+found AS (SELECT p, title, arg_min(category, path || '#' || lpad(ord::VARCHAR, 12, '0')) AS category FROM visits JOIN members USING (category) GROUP BY ALL)
+SELECT p::VARCHAR AS prefecture, title AS name, replace(category, 'Category:', '') AS category, 'https://ja.wikipedia.org/wiki/' || replace(replace(title, ' ', '_'), '#', '%23') AS url FROM found""")
+def gazetteer_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two roots a region, nations below them, segments below those; customers are the articles. A nation under both roots is walked under the first."""
+    nation, customer = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    named = lambda c: F.concat(F.lit("Category:"), c)
+    of_root = lambda r: F.concat(F.lit("Category:root "), r.cast("string"), F.lit(" "), F.col("t").cast("string"))
+    twice = F.explode(F.array(F.lit(0), F.lit(1))).alias("t")
+    roots = table(spark, sf_dir, "region").select("r_regionkey", twice).select(F.col("r_regionkey").cast("string").alias("prefecture"), of_root(F.col("r_regionkey")).alias("category"), F.col("t").cast("long").alias("ord"))
+    upper = nation.select("*", twice).filter((F.col("n_nationkey") + F.col("t")) % 3 > 0).select(of_root(F.col("n_regionkey")).alias("parent"), named(F.col("n_name")).alias("child"), F.when(F.col("t") == 0, F.col("n_nationkey")).otherwise(99 - F.col("n_nationkey")).cast("long").alias("ord"))
+    both = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    lower = both.filter("c_custkey % 3 = 0").select(named(F.col("n_name")).alias("parent"), named(F.col("c_mktsegment")).alias("child"), F.length("c_mktsegment").cast("long").alias("ord")).distinct()
+    members = both.select(named(F.col("n_name")).alias("category"), F.col("c_name").alias("title"), F.col("c_custkey").cast("long").alias("ord"))
+    members = members.unionByName(customer.select(named(F.col("c_mktsegment")).alias("category"), F.concat(F.lit("Seg "), (F.col("c_custkey") % 50).cast("string"), F.lit(" x")).alias("title"), F.col("c_custkey").cast("long").alias("ord")))
+    return crawl.gazetteer(members, upper.unionByName(lower), roots, follow="^(?!.*BUILDING)")
+
+
 @oracle("""WITH n AS (SELECT n_name, n_nationkey FROM nation WHERE n_regionkey < 2) SELECT 'r' || r_regionkey::VARCHAR AS node, 0::BIGINT AS depth FROM region WHERE r_regionkey < 2 UNION ALL SELECT n_name, 1 FROM n
 UNION ALL SELECT DISTINCT s_name, 2 FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM n WHERE n_nationkey % 2 = 0)""")
 def filtered_category_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,9 +91,16 @@ def id_collision_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unique_containment_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    names = [r[0] for r in table(spark, sf_dir, "documents").select("lang").union(table(spark, sf_dir, "region").select(F.lower("r_name"))).distinct().limit(resolve.MOST_NAMES + 1).collect()]  # more are refused
-    words = sorted({n for n in names if n} | {"thesh", "quele", "keit", "ción", "tionnt"})
-    return resolve.contained_name(docs, "text", words, "(all)").select("doc_id", "n_names", "assigned")
+    names = table(spark, sf_dir, "documents").select(F.col("lang").alias("name")).union(table(spark, sf_dir, "region").select(F.lower("r_name")))
+    names = names.union(spark.createDataFrame([(n,) for n in ("thesh", "quele", "keit", "ción", "tionnt")], "name string"))
+    return resolve.contained_names(docs, ["doc_id"], "text", names, "name", "(all)").select("doc_id", "n_names", "assigned")
+
+
+def names_by_rarest_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many names as documents and more: each text's first eight characters and its last six, looked up in the texts of its language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    names = docs.select("lang", F.substring("text", 1, 8).alias("name")).union(docs.select("lang", F.expr("right(text, 6)")))
+    return resolve.contained_names(docs, ["doc_id"], "text", names, "name", "(all)", ["lang"]).select("doc_id", "n_names", "assigned")
 
 
 def place_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +315,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     own = {f.__name__: f for f in (
         page_candidates, page_links, dedup_key_groups, merge_prefix_variants, representative_name, normalize_records, date_classification, category_tags, stable_hash_ids,
-        id_collision_resolution, unique_containment_assign, place_resolution, merge_guard_antijoin, judgment_status, alias_validation, verdict_cells, cleaned_name_merge,
+        id_collision_resolution, unique_containment_assign, names_by_rarest_gram, place_resolution, merge_guard_antijoin, judgment_status, alias_validation, verdict_cells, cleaned_name_merge,
         published_dedupe_fill, consumer_checks, known_set_novelty, golden_recall, loose_match_4gram, vocab_terms, coverage_gap, positional_zip, ledger_by_host, ledger_by_day,
         ledger_by_group, ledger_backfill, url_scope_district, host_first_source, judge_batches, carry_forward, nested_counts, filter_view, registry_union, category_tree,
         crawl_order, page_text_norm, page_absolute_links,

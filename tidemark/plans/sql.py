@@ -114,6 +114,16 @@ b AS (SELECT doc_id, count(n) AS n_bare, min(n) AS one FROM documents LEFT JOIN
 SELECT doc_id, n_names, CASE WHEN n_names = 1 THEN w.one WHEN n_bare = 1 THEN b.one ELSE '(all)' END AS assigned FROM w JOIN b USING (doc_id)
 """
 
+NAMES_BY_GRAM = """
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS lang, text FROM documents),
+names AS (SELECT lang, left(text, 8) AS name FROM docs WHERE text <> '' UNION SELECT lang, right(text, 6) FROM docs WHERE text <> ''),
+hits AS (
+  SELECT doc_id, count(*) FILTER (contains(text, name)) AS n_names, min(name) FILTER (contains(text, name)) AS one,
+    count(*) FILTER (length(name) > 2) AS n_bare, min(name) FILTER (length(name) > 2) AS bare
+  FROM docs JOIN names USING (lang) WHERE contains(text, name) OR (length(name) > 2 AND contains(text, left(name, length(name) - 1))) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_names, 0) AS n_names, CASE WHEN n_names = 1 THEN one WHEN n_bare = 1 THEN bare ELSE '(all)' END AS assigned FROM docs LEFT JOIN hits USING (doc_id)
+"""
 PLACE_RESOLUTION = """
 WITH s AS (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'nation-' WHEN 1 THEN 'NATION_' ELSE 'LAND_' END || s_nationkey::VARCHAR AS place FROM supplier)
 SELECT s_suppkey, place, coalesce((SELECT n_name FROM nation WHERE n_name = place), (SELECT n_name FROM nation WHERE n_name = upper(replace(place, '-', '_'))), (SELECT n_name FROM nation WHERE n_name = upper(place)), '(all)') AS resolved FROM s
@@ -248,7 +258,7 @@ SELECT o_orderkey, CASE WHEN good THEN cells[1] END AS id, CASE WHEN good THEN c
 ORACLES = {
     "page_candidates": PAGE_CANDIDATES, "page_links": PAGE_LINKS, "dedup_key_groups": DEDUP_KEY_GROUPS, "merge_prefix_variants": MERGE_PREFIX_VARIANTS, "representative_name": REPRESENTATIVE_NAME,
     "normalize_records": NORMALIZE_RECORDS, "date_classification": DATE_CLASSIFICATION, "category_tags": CATEGORY_TAGS, "stable_hash_ids": STABLE_HASH_IDS, "id_collision_resolution": ID_COLLISION,
-    "unique_containment_assign": UNIQUE_CONTAINMENT, "place_resolution": PLACE_RESOLUTION, "merge_guard_antijoin": MERGE_GUARD, "judgment_status": JUDGMENT_STATUS, "alias_validation": ALIAS_VALIDATION,
+    "unique_containment_assign": UNIQUE_CONTAINMENT, "names_by_rarest_gram": NAMES_BY_GRAM, "place_resolution": PLACE_RESOLUTION, "merge_guard_antijoin": MERGE_GUARD, "judgment_status": JUDGMENT_STATUS, "alias_validation": ALIAS_VALIDATION,
     "verdict_cells": VERDICT_CELLS, "cleaned_name_merge": CLEANED_NAME_MERGE, "published_dedupe_fill": PUBLISHED_DEDUPE, "consumer_checks": CONSUMER_CHECKS, "known_set_novelty": KNOWN_SET_NOVELTY, "golden_recall": GOLDEN_RECALL,
     "loose_match_4gram": LOOSE_MATCH, "vocab_terms": VOCAB_TERMS, "coverage_gap": COVERAGE_GAP, "positional_zip": POSITIONAL_ZIP, "ledger_by_host": _HOSTS, "ledger_by_day": LEDGER_BY_DAY,
     "ledger_by_group": LEDGER_BY_GROUP, "ledger_backfill": LEDGER_BACKFILL, "url_scope_district": URL_SCOPE, "host_first_source": HOST_FIRST_SOURCE, "judge_batches": JUDGE_BATCHES,

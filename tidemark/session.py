@@ -84,10 +84,11 @@ def scratch(spark: SparkSession, keep: str):
         _SCOPES.remove(made)
         for name, path in made:
             if not name.startswith(keep):
-                _delete(spark, path)
+                delete(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of any store that Spark reaches; nothing happens if it is not there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -108,4 +109,4 @@ def staged(df, name: str, rows: int | None = None, rows_a_file: int = 250_000):
 
 def clean_staging(spark: SparkSession) -> None:
     """Delete every staged table of this session's shared folder. Results that still read one must be written first."""
-    _delete(spark, f"{shared_root(spark)}/tidemark")
+    delete(spark, f"{shared_root(spark)}/tidemark")

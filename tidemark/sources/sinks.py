@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import os
 import re
 import urllib.parse
 import uuid
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import publish
+from tidemark.session import delete, scratch
 
 
 def scrubbed(df: DataFrame, line_ends: bool = True) -> DataFrame:
@@ -33,22 +35,90 @@ def write_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> str:
-    """Writes df as a new version beside the old ones, then names it in the pointer table `current`; gives its path.
+class ConflictError(RuntimeError):
+    """Another writer has replaced the table since this one read it; nothing was changed."""
+
+
+#: Versions of a table that stay when a newer one is committed.
+KEPT_VERSIONS = 3
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """Number and entry of every committed version."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_log")
+    store = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(log):
+        return {}
+    names = [str(s.getPath().getName()) for s in store.listStatus(log)]
+    return {int(n): n for n in names if n.isdigit()}
+
+
+def _entry(spark: SparkSession, path: str, number: int) -> str:
+    return spark.read.text(f"{path}/_log/{number:020d}").first()["value"]
 
-    Readers go by the pointer (read_current), which one small commit replaces: they see the old table or the new one,
-    never a part. A run that dies leaves the pointer as it was.
-    """
-    version = f"{path}/v-{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    df.sparkSession.createDataFrame([(version,)], "path string").coalesce(1).write.mode("append").json(f"{path}/current")
-    return version
 
+def table_version(spark: SparkSession, path: str) -> int:
+    """The number of the table's newest version; 0 before the first."""
+    return max(_versions(spark, path), default=0)
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The table that the latest entry of the pointer names."""
-    last = spark.read.json(f"{path}/current").select("path", F.col("_metadata.file_modification_time").alias("at")).orderBy(F.col("at").desc()).first()
-    return spark.read.parquet(last["path"])
+
+def _claim(spark: SparkSession, path: str, number: int, folder: str) -> bool:
+    """Makes the log's entry of a version if nobody has: one exclusive create, which only one of several writers gets."""
+    name = f"{path}/_log/{number:020d}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(name)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(where.getParent())
+    scheme, _, local = str(store.makeQualified(where).toString()).partition(":")
+    if scheme == "file":  # Hadoop's local file system looks first and creates then
+        try:
+            with open(os.open("/" + local.lstrip("/"), os.O_CREAT | os.O_EXCL | os.O_WRONLY), "w") as f:
+                f.write(folder)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = store.create(where, False)
+    except Exception as e:  # noqa: BLE001 - the JVM's exception tells by its text only
+        if "AlreadyExists" in str(e) or store.exists(where):
+            return False
+        raise
+    out.write(bytearray(folder.encode()))
+    out.close()
+    return True
+
+
+def replace_table(df: DataFrame, path: str, base: int | None = None, keep: int = KEPT_VERSIONS) -> int:
+    """Writes df as the table's next version and commits it if `base` is still the newest; gives the new number.
+
+    base: the version that df was made from (without it the newest at this call). The data is written beside the other
+    versions first; the commit is the exclusive creation of the log's entry base + 1, a compare-and-set: of two writers
+    from one version one gets it, the other's files are deleted and ConflictError is raised. A write that fails is deleted
+    too. Readers follow the log, so they see one whole version or another.
+
+    After a commit the newest `keep` versions stay and older ones expire: entry first, then data. A reader of a version
+    that expires meanwhile fails and has to read again.
+    """
+    spark = df.sparkSession
+    base = table_version(spark, path) if base is None else base
+    folder = f"v-{base + 1}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(f"{path}/{folder}")
+        if table_version(spark, path) != base or not _claim(spark, path, base + 1, folder):
+            raise ConflictError(f"version {base} is not the newest any more")
+    except BaseException:
+        delete(spark, f"{path}/{folder}")
+        raise
+    for number in sorted(_versions(spark, path))[:-keep]:
+        old = _entry(spark, path, number)
+        delete(spark, f"{path}/_log/{number:020d}")
+        delete(spark, f"{path}/{old}")
+    return base + 1
+
+
+def read_current(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The table's newest version, or one that has not expired."""
+    number = table_version(spark, path) if version is None else version
+    return spark.read.parquet(f"{path}/{_entry(spark, path, number)}")
 
 
 def pending(units: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -57,10 +127,11 @@ def pending(units: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def publish_json(df: DataFrame, path: str, id_col: str, required: list[str], non_empty: list[str], dry_run: bool = False) -> None:
-    """Checks first; writes JSON lines only if every rule holds and dry_run is off."""
-    publish.check(df, id_col, required, non_empty)
-    if not dry_run:
-        df.write.mode("overwrite").json(path)
+    """Writes JSON lines if every rule holds (publish.checked) and dry_run is off. df is computed once, whatever comes of it."""
+    with scratch(df.sparkSession, "-"):
+        rows = publish.checked(df, id_col, required, non_empty)
+        if not dry_run:
+            rows.write.mode("overwrite").json(path)
 
 
 def write_batches(df: DataFrame, path: str, batch: str = "batch_no") -> None:

@@ -195,20 +195,6 @@ def decode_pages(df: DataFrame, body: str, content_type: str) -> DataFrame:
     return df.mapInPandas(run, target)
 
 
-def cached_pages(spark: SparkSession, root: str, hosts: DataFrame, most_bytes: int = 600_000) -> DataFrame:
-    """Stored pages with their metadata: HTML of at most most_bytes whose host is in `hosts` (host, ...).
-
-    Bodies are matched to metadata by path stem; the size filter reaches the file listing.
-    """
-    stem = lambda ending: F.regexp_replace("path", ending, "")
-    bodies = spark.read.format("binaryFile").option("pathGlobFilter", "*.body").option("recursiveFileLookup", "true").load(root).filter(F.col("length") <= most_bytes)
-    metas = spark.read.text(root, wholetext=True, pathGlobFilter="*.meta.json", recursiveFileLookup=True).withColumn("path", F.col("_metadata.file_path"))
-    meta = metas.select(F.regexp_extract(stem(r"\.meta\.json$"), "[^/]+/[^/]+$", 0).alias("stem"), F.from_json("value", "url string, content_type string, status int").alias("m"))
-    body = bodies.select(F.regexp_extract(stem(r"\.body$"), "[^/]+/[^/]+$", 0).alias("stem"), "content")
-    rows = body.join(meta, "stem").select("stem", F.substring_index("stem", "/", 1).alias("host"), "content", "m.url", "m.content_type")
-    return rows.filter(F.contains("content_type", F.lit("html"))).join(hosts, "host")
-
-
 def multi(c: Column) -> Column:
     """A cell of values joined by | as an array; empty cells as empty arrays."""
     return F.filter(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda x: x != "")
