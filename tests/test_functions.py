@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.functions import clean, kana, keys, predicates
+from tidemark.functions import clean, kana, keys, predicates, rulepack
 from tidemark.functions import pages as H
 from tidemark.sources import tables
 
@@ -23,27 +25,65 @@ def test_widen(half, full):
     assert kana.widen_katakana(half) == full
 
 
-@pytest.mark.parametrize("name,context,reading", [
+READINGS = [
     ("潮(うしお)祭", "", None), ("撞舞（つくまい）", "", "つくまい"), ("からかさ万灯（フォトギャラリー）", "", None), ("ささら", "", "ささら"), ("撞舞", "龍ケ崎の撞舞（つくまい）です", "つくまい"), ("撞舞", "撞舞です", None),
-])
-def test_reading(name, context, reading):
-    assert kana.reading_for(name, context) == reading
+    ("撞舞", None, None), (None, "x", None), ("撞舞（つく　まい）", "", "つく　まい"), ("（つくまい）", "（つなび）", "つくまい"), ("あ い", "", "あい"), ("撞舞", "綱火、撞舞\u3000（ つく まい ）", "つくまい"), ("撞舞", "撞舞" + " " * 39 + "（つくまい）", None),
+]
+
 
+def test_readings(spark):
+    df = spark.createDataFrame([(i, n, c) for i, (n, c, _) in enumerate(READINGS)], "i int, n string, c string")
+    got = df.orderBy("i").select(kana.stated_reading(F.col("n"), F.col("c"))).collect()
+    assert [r[0] for r in got] == [r for *_, r in READINGS]
 
-@pytest.mark.parametrize("raw,shown,society", [
+
+SHOWN = [
     ("ユネスコ無形文化遺産・国指定重要無形民俗文化財「日立風流物」", "日立風流物", False), ("県指定 富田のささら 所在地 石岡市国府5", "富田のささら", False), ("4.塚崎の獅子舞", "塚崎の獅子舞", False),
     ("三和祇園ばやし（無形民俗文化財）", "三和祇園ばやし", False), ("新しい投稿 鉾田にぎわい祭り", "鉾田にぎわい祭り", False), ("亀城太鼓保存会", "亀城太鼓", True), ("の蛇池神社万灯流し大祭", "蛇池神社万灯流し大祭", False), ("のぶなが総踊り", "のぶなが総踊り", False),
-])
-def test_display_name(raw, shown, society):
-    assert clean.display_name(raw, society) == shown
+]
 
 
-@pytest.mark.parametrize("raw,name", [
+def test_display_names(spark):
+    df = spark.createDataFrame([(i, r, s) for i, (r, _, s) in enumerate(SHOWN)], "i int, r string, s boolean")
+    out = df.orderBy("i").select(clean.display_name(F.col("r"), F.col("s"), F.lit(None).cast("string")))
+    assert [r[0] for r in out.collect()] == [x for _, x, _ in SHOWN] == [clean.display_text(r, s) for r, _, s in SHOWN]
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+CANDIDATES = [
     ("桜まつりを開催します！", "桜まつり"), ("第3回 日立さくらまつり｜観光サイト", "日立さくらまつり"), ("「常陸大津の御船祭」", "常陸大津の御船祭"), ("令和8年度　土浦全国花火競技大会のお知らせ", "土浦全国花火競技大会"),
     ("8月3日（土）水戸黄門まつり", "水戸黄門まつり"), ("綱火（フォトギャラリー）", "綱火"), ("8月17日更新 鉾田うまかっぺフェスタ", "鉾田うまかっぺフェスタ"), ("ひたち秋祭り「郷土芸能", "ひたち秋祭り"), ("潮来祇園祭禮 [PDF形式：120KB]", "潮来祇園祭禮"),
-])
-def test_candidate_name(raw, name):
-    assert clean.candidate_name(raw) == name
+]
+
+
+def test_candidate_names(spark):
+    assert column(spark, [r for r, _ in CANDIDATES], clean.candidate_name) == [n for _, n in CANDIDATES] == [clean.CANDIDATE.text(r) for r, _ in CANDIDATES]
+
+
+PIECES = (
+    "祭 まつり 花火 大会 が 行われる の 開催 します 開催されます 終了 第3回 第十回 令和8年度 平成３０年 2026年 20 8月17日更新 8月3日 （土） 10:00～ NEW! Q. （春） \" 「 」 『 』 【 】 ( ) （ ） [ ] ［ ］ | ｜ : ： - ― ~ ～ 、 ・ / ／ # ＠ ※ ★ 🎆 🎆🎇 "
+    "① 12 1. １２ ｖol Vol.3 vol. PDF 120KB [PDF形式：120KB] 指定 文化財 県指定 所在地 国府 市 町 日立市 日立 保存会 会 のお知らせ について ！ ? 。 $1 \\ a b \u00a0 \u3000 \x1c \x1f \n \t \u2003"
+).split(" ") + [" ", "  ", "\u3000", "\n"]
+
+
+def test_packs_agree_with_their_python_form(spark):
+    """The compiled Column and the string form, on texts put together from what the rules look for."""
+    rnd = random.Random(11)
+    values = ["", " ", "「」", "a"] + ["".join(rnd.choice(PIECES) for _ in range(rnd.randint(1, 9))) for _ in range(1500)]
+    assert column(spark, values, clean.candidate_name) == [clean.CANDIDATE.text(v) for v in values]
+    assert column(spark, values, H.designation_name) == [H.DESIGNATION_NAME.text(v) for v in values]
+    for place, society in (("日立市", True), ("", False), ("祭(", True)):
+        got = column(spark, values, lambda c: clean.display_name(c, F.lit(society), F.lit(place)))  # noqa: B023
+        assert got == [clean.display_text(v, society, place) for v in values]
+    assert column(spark, [None], clean.candidate_name) == column(spark, [None], lambda c: clean.display_name(c, F.lit(True), F.lit(""))) == [None]
+
+
+@pytest.mark.parametrize("pattern,text", [(r"[^\s[&&]+$", "a[&&\x1c b\n"), (r"[]a]\Z", "]a"), (r"^\s+|\S$", "\x1f\u3000x"), (r"(?i)[^]k]\d", "K٣]1x٣"), (r"a.b", "a\rb a\nb")])
+def test_java_patterns(spark, pattern, text):
+    step = rulepack.Sub(pattern, "$<")
+    assert column(spark, [text], step.column) == [step.text(text)]
+    with pytest.raises(ValueError):
+        rulepack.java(r"[\S]")
 
 
 def test_page_digest():
@@ -132,10 +172,16 @@ def test_decode(body, header, name):
     assert "祭" in text and used == name
 
 
+def test_unwrap_as_a_column(spark):
+    rnd = random.Random(4)
+    values = ["".join(rnd.choice("「」()（）あ ") for _ in range(rnd.randint(0, 9))) for _ in range(400)] + ["「（「" * 3 + "」）」" * 3, "「（「 祭 」）」"]
+    assert column(spark, values, clean.unwrap) == [rulepack.Unwrap(clean.PAIRS).text(v) for v in values]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="「」()（）あ祭", max_size=12))
 def test_unwrap_never_drops_a_lone_bracket(name):
-    out = clean.unwrap(name)
+    out = rulepack.Unwrap(clean.PAIRS).text(name)
     assert sum(map(name.count, "「（(")) - sum(map(out.count, "「（(")) == sum(map(name.count, "」）)")) - sum(map(out.count, "」）)"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType
 
 from tidemark.functions import rules as R
 from tidemark.functions.keys import squeeze_space
+from tidemark.functions.rulepack import Pack, Strip, Sub
 from tidemark.session import staged
 
 #: (origin, pattern of the element, group of its content), in the order in which candidates are taken.
@@ -221,7 +222,7 @@ def extract_pages(pages: DataFrame, id_col: str, html_col: str, url_col: str, mu
     name's first place on the page. vocabulary: terms of the prefecture, an array column of literals.
     """
     from tidemark.functions import predicates as P
-    from tidemark.functions.clean import candidate_name_udf, context_udf
+    from tidemark.functions.clean import candidate_name, snippet
 
     read = placed_pages(pages.select(id_col, html_col, F.col(url_col).alias("__url"), F.col(municipality_col).alias("__muni")), id_col, html_col, names)
     read = staged(read, "placed-pages")
@@ -231,10 +232,10 @@ def extract_pages(pages: DataFrame, id_col: str, html_col: str, url_col: str, mu
     strings = candidate_strings(read.select(id_col, F.col("rest").alias("html")), id_col, "html")
     flat = read.select(id_col, "__url", "__muni", squeeze_space(unescape(plain(F.col("rest")))).alias("flat"))
     loose = strings.join(flat, id_col).select(id_col, "rank", "ord", "origin", F.col("text").alias("raw"), F.col("__muni").alias("municipality"), F.col("flat").alias("context"), F.col("__url").alias("url"))
-    rows = tables.unionByName(loose).withColumn("name", candidate_name_udf("raw"))
+    rows = tables.unionByName(loose).withColumn("name", candidate_name(F.col("raw")))
     rows = rows.withColumn("reason", P.festival_reason(F.col("name"), F.col("municipality"), vocabulary)).filter("reason is not null")
     first = first_seen(rows, [id_col, "name"], ["rank", "ord"])
-    around = F.when(F.col("rank") < 0, F.col("context")).otherwise(F.coalesce(F.nullif(context_udf("context", "name"), F.lit("")), squeeze_space(F.col("raw"))))
+    around = F.when(F.col("rank") < 0, F.col("context")).otherwise(F.coalesce(F.nullif(snippet(F.col("context"), F.col("name")), F.lit("")), squeeze_space(F.col("raw"))))
     out = first.withColumn("__around", around)
     dates = F.transform(F.regexp_extract_all("__around", F.lit(DATE_ON_PAGE), F.lit(0)), squeeze_space)
     return out.select(
@@ -278,12 +279,12 @@ NAME_EDGES = " 　・:：|｜/／"
 NAME_LEADS = (r"^[※＊*・□■○●◇◆▲△\-–—\d０-９.．)）】」』]+\s*", r"^[（(][^）)]{1,8}[）)]\s*", rf"^(?:{R.DESIGNATION})\s*", rf"^(?:{R.KIND})\s*")
 
 
-def designation_name(raw: str) -> str:
-    """A designation's bare name: without property columns, bullets, numbers, short leading brackets, designation and kind."""
-    name = re.sub(NAME_TAIL, "", raw).strip(NAME_EDGES)
-    for lead in NAME_LEADS:
-        name = re.sub(lead, "", name)
-    return name.strip()
+#: A designation's bare name: without property columns, bullets, numbers, short leading brackets, designation and kind.
+DESIGNATION_NAME = Pack((Sub(NAME_TAIL), Strip(NAME_EDGES), *[Sub(lead) for lead in NAME_LEADS], Strip()))
+
+
+def designation_name(raw: Column) -> Column:
+    return DESIGNATION_NAME.column(raw)
 
 
 class DesignationPage:
@@ -306,7 +307,7 @@ class DesignationPage:
         for cell in cells:
             if not cell or taken(cell) or (places and (DATED_CELL.match(cell) or ADDRESS_CELL.search(cell))):
                 continue
-            name = designation_name(cell)
+            name = DESIGNATION_NAME.text(cell)
             if 2 <= len(name) <= most and not NO_NAME.search(name):
                 return name
         return ""
@@ -344,7 +345,7 @@ class DesignationPage:
         flat = text_of(self.page)
         for pattern in (_FLAT, _FLAT_REVERSED):
             for m in pattern.finditer(flat):
-                name = designation_name(m["name"])
+                name = DESIGNATION_NAME.text(m["name"])
                 if 2 <= len(name) <= LIST_NAME and not NO_NAME.search(name) and not PROSE.search(name) and re.search("[\u3040-\u30ff一-龥]", name):
                     yield m["level"], m["kind"], name
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
 from tidemark.functions import rules as R
-from tidemark.functions.clean import display_name_udf
+from tidemark.functions.clean import display_name
 from tidemark.functions.kana import romanize_udf
 from tidemark.operators import records, resolve
 from tidemark.session import ship, staged
@@ -20,7 +20,7 @@ SOCIETY_READING = "(?:ほぞんかい|あいこうかい|どうこうかい|れ
 SLUG = "^[a-z0-9]+(?:-[a-z0-9]+)+$"
 VERDICTS = ("keep", "drop", "unsure")
 
-KANA = "^[ぁ-ゖァ-ヺー]+$"
+KANA = r"(?U)^[ぁ-ゖァ-ヺーゝゞ・　\s]+$"
 
 __all__ = ["DriftError", "JudgmentError", "apply_verdicts", "designated_places", "event_reading", "guessed_places", "verdict_problems"]
 
@@ -173,7 +173,7 @@ def apply_verdicts(
     kept = F.col("s4_verdict") == "keep"
     society = (F.col("__reason") == "organization") | F.col("name").rlike(SOCIETY_NAME)
     placed = guessed.withColumn("municipality", place).withColumn("__said", event_reading(F.col("__reading"), F.col("name"))).withColumn("__society", society)
-    named = placed.withColumn("__clean", F.when(kept, display_name_udf("name", F.col("__society"), "municipality")).otherwise(F.col("name")))
+    named = placed.withColumn("__clean", F.when(kept, display_name(F.col("name"), F.col("__society"), F.col("municipality"))).otherwise(F.col("name")))
     changed = F.col("__clean") != F.col("name")
     named = staged(
         named.withColumns({

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules as R
-from tidemark.functions.clean import arrow
 from tidemark.functions.pages import ADDRESS_CELL, LIST_NAME, NO_NAME, designation_name
 from tidemark.session import ship, staged
 
@@ -20,8 +19,6 @@ NOTHING = "NONE"
 SEED_VENUE = "(?:に|で)([^、。にで]{2,30}?(?:神社|神宮|八幡宮|寺|院|堂|境内|会館|公園|広場|公民館|集会所))で公開"
 SEED_TITLE = "無形文化遺産総合データベース (東京文化財研究所)"
 
-designation_name_udf = arrow(designation_name)
-
 
 def fetch_stored(pages: DataFrame, bodies: DataFrame, url: str = "fetch_url") -> DataFrame:
     """pages with the stored body of their address (fragment dropped), and found: an offline fetch.
@@ -47,7 +44,7 @@ def judged_designations(answers: DataFrame, pages: DataFrame) -> DataFrame:
     """
     ship(answers.sparkSession)
     cell = lambda i: F.trim(F.try_element_at("cells", F.lit(i)))
-    rows = answers.select("*", *[cell(i + 1).alias(n) for i, n in enumerate(("page_id", "designation", "kind", "raw_name"))]).withColumn("name", designation_name_udf("raw_name"))
+    rows = answers.select("*", *[cell(i + 1).alias(n) for i, n in enumerate(("page_id", "designation", "kind", "raw_name"))]).withColumn("name", designation_name(F.col("raw_name")))
     known = rows.join(pages.withColumn("__known", F.lit(True)), "page_id", "left")
     unfit = F.col("name").rlike(NO_NAME.pattern) | F.col("name").rlike(JUDGE_PROSE) | F.col("name").rlike(ADDRESS_CELL.pattern)
     reason = (

@@ -69,19 +69,19 @@ GOLDENS: dict[str, Golden] = {
         ("<b>A</b>&amp;B", " A &B", "A&B", "A &B"), ("x<br>  y　z", "x   y　z", "x  y　z", "x y z"), ("　<i>祭</i> ", "　 祭  ", "祭", "祭"), ("&lt;祭&gt;", "<祭>", "<祭>", "<祭>"),
     ), lambda f: {"raw": H.raw_text(f), "label": H.label_text(f), "cell": H.cell_text(f)}),
     "page_titles": Golden("page", "title", (("<title> 日立市<br>の祭 &amp; 行事 </title><title>x</title>", "日立市の祭 & 行事"), ("<TITLE lang='ja'>a\nb</TITLE>", "a\nb"), ("<p>x</p>", "")), lambda p: {"title": H.page_title(p)}),
-    "name_unwrapped": Golden("name", "bare", (("「綱火」", "綱火"), ("『「祭」』", "祭"), ("（綱火", "（綱火"), ("綱火）", "綱火）"), ("「a」と「b」", "a」と「b"), ("祭", "祭")), lambda n: {"bare": clean.unwrap_udf(n)}),
+    "name_unwrapped": Golden("name", "bare", (("「綱火」", "綱火"), ("『「祭」』", "祭"), ("（綱火", "（綱火"), ("綱火）", "綱火）"), ("「a」と「b」", "a」と「b"), ("祭", "祭")), lambda n: {"bare": clean.unwrap(n)}),
     "candidate_names": Golden("raw", "name", (
         ("桜まつりを開催します！", "桜まつり"), ("第3回 日立さくらまつり｜観光サイト", "日立さくらまつり"), ("「常陸大津の御船祭」", "常陸大津の御船祭"), ("令和8年度　土浦全国花火競技大会のお知らせ", "土浦全国花火競技大会"),
         ("8月3日（土）水戸黄門まつり", "水戸黄門まつり"), ("綱火（フォトギャラリー）", "綱火"), ("8月17日更新 鉾田うまかっぺフェスタ", "鉾田うまかっぺフェスタ"), ("ひたち秋祭り「郷土芸能", "ひたち秋祭り"), ("潮来祇園祭禮 [PDF形式：120KB]", "潮来祇園祭禮"),
-    ), lambda r: {"name": clean.candidate_name_udf(r)}),
+    ), lambda r: {"name": clean.candidate_name(r)}),
     "designation_names": Golden("raw", "name", (
         ("※浅川のささら", "浅川のささら"), ("1 舘獅子", "舘獅子"), ("（国選択） 真家みたまおどり", "真家みたまおどり"), ("綱火 所在地 つくばみらい市", "綱火"), ("県指定 無形民俗文化財 富田のささら", "富田のささら"), ("撞舞", "撞舞"),
-    ), lambda r: {"name": clean.arrow(H.designation_name)(r)}),
+    ), lambda r: {"name": H.designation_name(r)}),
     "display_names": Golden("name society municipality", "shown", (
         ("ユネスコ無形文化遺産・国指定重要無形民俗文化財「日立風流物」", "n", "", "日立風流物"), ("県指定 富田のささら 所在地 石岡市国府5", "n", "", "富田のささら"), ("4.塚崎の獅子舞", "n", "", "塚崎の獅子舞"),
         ("三和祇園ばやし（無形民俗文化財）", "n", "", "三和祇園ばやし"), ("新しい投稿 鉾田にぎわい祭り", "n", "", "鉾田にぎわい祭り"), ("亀城太鼓保存会", "y", "", "亀城太鼓"), ("の蛇池神社万灯流し大祭", "n", "", "蛇池神社万灯流し大祭"),
         ("のぶなが総踊り", "n", "", "のぶなが総踊り"), ("甲府市／正ノ木祭", "n", "甲府市", "正ノ木祭"), ("岩村秋まつり「神輿渡御行列", "n", "", "岩村秋まつり 神輿渡御行列"), ("祭", "n", "", "祭"),
-    ), lambda n, s, m: {"shown": clean.display_name_udf(n, s == "y", m)}),
+    ), lambda n, s, m: {"shown": clean.display_name(n, s == "y", m)}),
     "merge_keys": Golden("name municipality", "k", (
         ("2025いばらきまつり", "水戸市", "いばらき祭"), ("いばらきまつり", "水戸市", "いばらき祭"), ("日立さくらまつり", "日立市", "さくら祭"), ("さくらまつり", "日立市", "さくら祭"),
         ("素鵞熊野神社（潮来祇園祭禮）", "潮来市", "祇園祭禮"), ("○潮来祇園祭禮", "潮来市", "祇園祭禮"), ("第3回土浦花火大会", "土浦市", "花火大会"),
@@ -100,7 +100,7 @@ GOLDENS: dict[str, Golden] = {
     ), lambda r: {"romaji": kana.romanize_udf(r)}),
     "stated_readings": Golden("name context", "reading", (
         ("潮(うしお)祭", "", None), ("撞舞（つくまい）", "", "つくまい"), ("からかさ万灯（フォトギャラリー）", "", None), ("ささら", "", "ささら"), ("撞舞", "龍ケ崎の撞舞（つくまい）です", "つくまい"), ("撞舞", "撞舞です（つくまい）", None),
-    ), lambda n, c: {"reading": kana.reading_udf(n, c)}),
+    ), lambda n, c: {"reading": kana.stated_reading(n, c)}),
     "event_readings": Golden("reading name", "bare", (
         ("ししていむけいぶんかざいねぎしのうたい", "市指定無形文化財 根岸の謡", "ねぎしのうたい"), ("けんしていむけいみんぞくぶんかざいつなび", "県指定無形民俗文化財 綱火", "つなび"), ("ししまい", "獅子舞", "ししまい"),
     ), lambda r, n: {"bare": apply.event_reading(r, n)}),
@@ -133,7 +133,7 @@ GOLDENS: dict[str, Golden] = {
         ("毎年7月第4土曜日に開催。2026年8月1日更新", "毎年7月"), ("8月15日と16日", "8月15日"), ("春季例祭", "春季"), ("2026年9月4日、第3日曜日", "第3日曜日"), ("", ""),
     ), lambda t: {"date_text": P.best_date(F.transform(F.regexp_extract_all(t, F.lit(H.DATE_ON_PAGE), F.lit(0)), K.squeeze_space))}),
     "page_venues": Golden("text name", "venue", (("日立市の神峰公園で開催", "さくらまつり", "日立市の神峰公園"), ("八坂神社例大祭は八坂神社で", "八坂神社例大祭", "八坂神社例大祭は八坂神社"), ("鹿島神宮、神峰公園", "鹿島神宮例祭", "神峰公園"), ("会場未定", "祭", "")), lambda t, n: {"venue": P.first_venue(t, n)}),
-    "name_contexts": Golden("flat name", "context", (("前" * 200 + "綱火" + "後" * 200, "綱火", "前" * 160 + "綱火" + "後" * 160), ("綱火と撞舞", "撞舞", "綱火と撞舞"), ("綱火", "撞舞", "")), lambda f, n: {"context": clean.context_udf(f, n)}),
+    "name_contexts": Golden("flat name", "context", (("前" * 200 + "綱火" + "後" * 200, "綱火", "前" * 160 + "綱火" + "後" * 160), ("綱火と撞舞", "撞舞", "綱火と撞舞"), ("綱火", "撞舞", "")), lambda f, n: {"context": clean.snippet(f, n)}),
     "placed_table_rows": Golden("page", "found left_over", (
         (TABLE_PAGE, "撞舞/龍ケ崎市/撞舞 龍ケ崎市上町", False), ("<table><tr><th>名称</th><th>所在地</th></tr><tr><td>祭</td><td>日立市</td></tr></table>", "", True), ("<p>撞舞</p>", "", True),
     ), lambda p: {"found": _joined(lambda x: ["/".join(r) for r in H.placed_rows(x, ["龍ケ崎市", "日立市"])[0]])(p), "left_over": F.contains(clean.arrow(lambda x: H.placed_rows(x, ["龍ケ崎市", "日立市"])[1])(p), F.lit("<table")) | ~F.contains(p, F.lit("<table"))}),
