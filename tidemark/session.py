@@ -107,6 +107,16 @@ def staged(df, name: str, rows: int | None = None, rows_a_file: int = 250_000):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs.
+
+    Executors keep a shuffle's files until the driver's collector finds that no plan refers to it, which a driver with
+    much free memory may not look for in hours. An operator of many jobs, each of which ends in a staged table, calls
+    this between them, so that its disk is that of its largest steps and not of all together.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def clean_staging(spark: SparkSession) -> None:
     """Delete every staged table of this session's shared folder. Results that still read one must be written first."""
     delete(spark, f"{shared_root(spark)}/tidemark")
