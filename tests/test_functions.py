@@ -1,4 +1,6 @@
+import html
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -187,3 +189,31 @@ def test_unwrap_never_drops_a_lone_bracket(name):
 
 def test_split_listed():
     assert clean.split_listed("撞舞（つくまい）", "撞?") == ("撞舞", "つくまい") and clean.split_listed("綱火", "撞舞") is None
+
+
+PATTERNS = (
+    ("title", r"<title[^>]*>(.*?)</title>"), *((f"h{n}", rf"<h{n}[^>]*>(.*?)</h{n}>") for n in (1, 2, 3, 4)), ("anchor", r"<a\b[^>]*>(.*?)</a>"), ("table", r"<t[dh]\b[^>]*>(.*?)</t[dh]>"),
+    ("feed_item", r"<(?:item|entry)\b.*?<title[^>]*>(.*?)</title>"), ("list_item", r"<li\b[^>]*>(.*?)</li>"),
+)
+LINK = r"""<a\b[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
+MARKUP = (
+    "<title> </title> <TITLE\tx> <h1> </h1> <h2\ta='1'> </h2> <a> <a\thref='x'> <a\tname=q\thref=\"y\nz\"\t> </a> </A> <article> <td> </td> <th> </th> <tdx> <li> </li> <LI> <item> </item> <entry\tx> <items> t u\t&amp;\tv < >\t "
+    "<b> </b> <a\ttitle='<h1>'> <h1 <li\tclass=\"<li>\"> </li\t> <a\thref\t=\t'k'\t <titles>"
+).split(" ")
+
+
+def test_page_tokens_against_patterns():
+    """Well-formed or not: what one pass over the tags reads is what a pattern for each kind of element finds."""
+    rnd = random.Random(2)
+    squeeze = lambda x: " ".join(x.split())
+    bare = lambda x: squeeze(html.unescape(re.sub("<[^>]+>", " ", x)))
+    for _ in range(8000):
+        page = "".join(rnd.choice(MARKUP) for _ in range(rnd.randint(1, 14)))
+        want = []
+        for rank, (origin, pattern) in enumerate(PATTERNS):
+            found = re.findall(pattern, page, re.I | re.S)
+            found = found[:1] if origin == "title" else [x for x in found if len(x) < 200 and "<li" not in x] if origin == "list_item" else found
+            want += [(rank, i, origin, bare(x)) for i, x in enumerate(found)]
+        tokens = H.PageTokens(page)
+        assert [c for c in tokens.candidates(True) if c[2] != "quoted"] == want
+        assert list(tokens.links()) == [(i, href.strip(), squeeze(re.sub("<[^>]+>", " ", label))) for i, (href, label) in enumerate(re.findall(LINK, page, re.I | re.S))]

@@ -1,11 +1,12 @@
 """HTML to rows: candidate strings, links, tables with a place column, designations.
 
-Positions are regular-expression arrays exploded with their ordinal, which stays JVM-side; what needs entity
-decoding, URL joining or nested state is an Arrow function over whole columns.
+Strings and links at telling positions come from one pass over a page's tags (PageTokens), in tasks over batches of pages;
+entity decoding and URL joining are functions over whole columns, and what can be said in built-in functions is.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 import urllib.parse
@@ -21,15 +22,18 @@ from tidemark.functions.keys import squeeze_space
 from tidemark.functions.rulepack import Pack, Strip, Sub
 from tidemark.session import staged
 
-#: (origin, pattern of the element, group of its content), in the order in which candidates are taken.
+#: Positions of candidates in the order in which they are taken: origin, tags that open it, tags that close it.
 POSITIONS = (
-    ("title", r"(?is)<title[^>]*>(.*?)</title>"),
-    *((f"h{n}", rf"(?is)<h{n}[^>]*>(.*?)</h{n}>") for n in (1, 2, 3, 4)),
-    ("anchor", r"(?is)<a\b[^>]*>(.*?)</a>"),
-    ("table", r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"),
-    ("feed_item", r"(?is)<(?:item|entry)\b.*?<title[^>]*>(.*?)</title>"),
-    ("list_item", r"(?is)<li\b[^>]*>(.*?)</li>"),
-)
+    ("title", ("title",), ("title",)), *((f"h{n}", (f"h{n}",), (f"h{n}",)) for n in (1, 2, 3, 4)), ("anchor", ("a",), ("a",)), ("table", ("td", "th"), ("td", "th")),
+    ("feed_item", ("item", "entry"), ("title",)), ("list_item", ("li",), ("li",)),
+)
+#: List items of this many characters are texts, not names.
+LONG_ITEM = 200
+_TAG = re.compile(r"<(/?)(title|h[1-4]|a|td|th|li|item|entry)", re.I)
+_WHOLE_TAG = ("a", "td", "th", "li", "item", "entry")  # `<article` is no `<a`; `<title-x` passes for a title
+_HREF = re.compile(r"""href\s*=\s*["']([^"']*)["']""", re.I)
+_QUOTED = re.compile("[「『]([^「」『』\\n]{2,30})[」』]")
+_WORD = re.compile(r"\w")
 
 
 @F.pandas_udf(StringType())
@@ -63,33 +67,97 @@ def raw_text(fragment: Column) -> Column:
     return unescape(plain(fragment))
 
 
-def candidate_strings(pages: DataFrame, id_col: str, html_col: str, decode: bool = True, positions=POSITIONS) -> DataFrame:
-    """(id, rank, ord, origin, text): the strings at telling positions of each page; rank and ord give their order.
+class PageTokens:
+    """A page's telling tags, found in one pass; elements are then read off their positions."""
 
-    List items with 200 characters or more or with a nested item don't count; of titles only the first does.
-    Quoted names of 2 to 30 characters come last.
-    """
-    parts = []
-    for rank, (origin, pattern) in enumerate(positions):
-        found = F.regexp_extract_all(F.col(html_col), F.lit(pattern), F.lit(1))
-        if origin == "title":
-            found = F.slice(found, 1, 1)
-        if origin == "list_item":
-            found = F.filter(found, lambda x: (F.length(x) < 200) & ~F.contains(x, F.lit("<li")))
-        parts.append(F.transform(found, _tagged(rank, origin)))
-    rows = pages.select(id_col, F.explode(F.concat(*parts)).alias("c")).select(id_col, "c.rank", "c.ord", "c.origin", "c.text")
-    text = plain(F.col("text"))
-    rows = rows.withColumn("text", squeeze_space(unescape(text) if decode else text))
-    flat = plain(F.col(html_col))
-    quoted = pages.select(id_col, F.posexplode(F.regexp_extract_all(unescape(flat) if decode else flat, F.lit("[「『]([^「」『』\\n]{2,30})[」』]"), F.lit(1))).alias("ord", "text"))
-    return rows.unionByName(quoted.select(id_col, F.lit(len(positions)).alias("rank"), "ord", F.lit("quoted").alias("origin"), squeeze_space(F.col("text")).alias("text")))
+    def __init__(self, page: str):
+        self.page = page
+        self.opens: dict[str, list[int]] = {}
+        self.closes: dict[str, list[int]] = {}
+        for m in _TAG.finditer(page):
+            name, after = m[2].lower(), page[m.end() : m.end() + 1]
+            if m[1] and after == ">":
+                self.closes.setdefault(name, []).append(m.start())
+            elif not m[1] and not (name in _WHOLE_TAG and _WORD.match(after)):
+                self.opens.setdefault(name, []).append(m.start())
+
+    def _among(self, found: dict[str, list[int]], names: tuple[str, ...]) -> list[int]:
+        return found.get(names[0], []) if len(names) == 1 else sorted(x for n in names for x in found.get(n, []))
+
+    def elements(self, opening: tuple[str, ...], closing: tuple[str, ...]) -> Iterator[tuple[str, str]]:
+        """(tag, content) of elements that don't overlap, each up to the first closing tag; of feed items the title's content."""
+        closes, last = self._among(self.closes, closing), 0
+        for at in self._among(self.opens, opening):
+            if at < last:
+                continue
+            start = at
+            if opening[0] == "item":
+                titles = self.opens.get("title", [])
+                place = bisect.bisect_right(titles, at)
+                if place == len(titles):
+                    return
+                start = titles[place]
+            begin = self.page.find(">", start) + 1
+            place = bisect.bisect_left(closes, begin)
+            if not begin or place == len(closes):
+                continue
+            last = self.page.find(">", closes[place]) + 1
+            yield self.page[at:begin], self.page[begin : closes[place]]
+
+    def candidates(self, decode: bool) -> Iterator[tuple[int, int, str, str]]:
+        """(rank, ord, origin, text); see candidate_strings."""
+        clean = lambda x: " ".join((html.unescape(x) if decode else x).split())
+        for rank, (origin, opening, closing) in enumerate(POSITIONS):
+            found = [content for _, content in self.elements(opening, closing)]
+            if origin == "title":
+                found = found[:1]
+            if origin == "list_item":
+                found = [x for x in found if len(x) < LONG_ITEM and "<li" not in x]
+            for i, x in enumerate(found):
+                yield rank, i, origin, clean(_MARKUP.sub(" ", x))
+        flat = _MARKUP.sub(" ", self.page)
+        for i, m in enumerate(_QUOTED.finditer(html.unescape(flat) if decode else flat)):
+            yield len(POSITIONS), i, "quoted", " ".join(m[1].split())
+
+    def links(self) -> Iterator[tuple[int, str, str]]:
+        """(ord, href, label) of anchors with an address."""
+        closes, last, n = self.closes.get("a", []), 0, 0
+        for at in self.opens.get("a", []):
+            begin = self.page.find(">", at) + 1
+            href = _HREF.search(self.page, at, begin - 1) if begin and at >= last else None
+            place = bisect.bisect_left(closes, begin)
+            if href and place < len(closes):
+                yield n, href[1].strip(), " ".join(_MARKUP.sub(" ", self.page[begin : closes[place]]).split())
+                n, last = n + 1, closes[place] + len("</a>")
+
+
+_MARKUP = re.compile("<[^>]+>")
+
+
+def _rows_of_pages(pages: DataFrame, id_col: str, html_col: str, added: str, read) -> DataFrame:
+    """(id, added) of all pages: read(page) gives the rows of one."""
+    names = [x.split()[0] for x in added.split(", ")]
+    schema = f"{quoted_name(id_col)} {dict(pages.dtypes)[id_col]}, {added}"
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            rows = [(i, *row) for i, page in zip(frame[id_col], frame[html_col], strict=True) for row in read(page or "")]
+            yield pd.DataFrame(rows, columns=[id_col, *names])
+
+    return pages.select(id_col, html_col).mapInPandas(run, schema)
 
-def _tagged(rank: int, origin: str):
-    def tag(x: Column, i: Column) -> Column:
-        return F.struct(F.lit(rank).alias("rank"), i.alias("ord"), F.lit(origin).alias("origin"), x.alias("text"))
 
-    return tag
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def candidate_strings(pages: DataFrame, id_col: str, html_col: str, decode: bool = True) -> DataFrame:
+    """(id, rank, ord, origin, text): the strings at telling positions of each page; rank and ord give their order.
+
+    List items with 200 characters or more or with a nested item don't count; of titles only the first does.
+    Quoted names of 2 to 30 characters come last. A page is gone through once, for its tags; a null page has none.
+    """
+    return _rows_of_pages(pages, id_col, html_col, "rank int, ord int, origin string, text string", lambda page: PageTokens(page).candidates(decode))
 
 
 def first_seen(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -101,11 +169,7 @@ def first_seen(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """(id, ord, href, label): anchors with a link that isn't a script, mail, phone or fragment."""
-    both = F.arrays_zip(
-        F.regexp_extract_all(html_col, F.lit(r'(?is)<a\b[^>]*?href\s*=\s*["\']([^"\']*)["\'][^>]*>(.*?)</a>'), F.lit(1)).alias("href"),
-        F.regexp_extract_all(html_col, F.lit(r'(?is)<a\b[^>]*?href\s*=\s*["\']([^"\']*)["\'][^>]*>(.*?)</a>'), F.lit(2)).alias("label"),
-    )
-    rows = pages.select(id_col, F.posexplode(both).alias("ord", "l")).select(id_col, "ord", F.trim("l.href").alias("href"), squeeze_space(plain(F.col("l.label"))).alias("label"))
+    rows = _rows_of_pages(pages, id_col, html_col, "ord int, href string, label string", lambda page: PageTokens(page).links())
     skipped = F.lit(False)
     for scheme in R.LINK_SKIP_SCHEMES:
         skipped = skipped | F.startswith(F.lower("href"), F.lit(scheme))
