@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import coverage, crawl, ledger, publish, records, resolve
+from tidemark.operators import coverage, crawl, ledger, publish, records, registry, resolve, sites
 from tidemark.sources import pagestore, sinks, tables
 from tidemark.streaming import ledger as stream
 
@@ -269,3 +269,35 @@ def test_novelty_ignores_row_order_and_empty_tables(spark):
     assert one == rows(coverage.novelty(df.repartition(3), "s", "k", known, known.limit(0)))
     assert ("p", 2, 1, 0, 1, 50, 0) in one
     assert records.prefix_targets(df.limit(0), ["s"], "k").count() == 0
+
+
+def test_a_later_run_reads_new_files_only(spark, tmp_path):
+    """The first batch's file is spoilt once it was counted: a run that opened it would count its lines."""
+    log, state = tmp_path / "log", str(tmp_path / "state")
+    line = lambda day, kind, host, size: f"2026-01-{day:02d}T00:00:00\t{kind}\thttp://{host}/x\t200\t{size}\n"
+    (log / "d1").mkdir(parents=True)
+    (log / "d1" / "1.tsv").write_text("ts\tkind\turl\n" + line(1, "fetch", "A.jp", 10) + line(1, "ailed>", "b.jp", "x"))
+    first = ledger.update_counts(spark, str(log), state)
+    assert first.agg(F.sum("n")).first()[0] == 2
+    (log / "d1" / "1.tsv").write_text(line(9, "fetch", "spoilt.jp", 10) * 50)
+    (log / "d2").mkdir()
+    (log / "d2" / "1.tsv").write_text(line(2, "fetch", "a.jp", 5) + line(2, "robots", "b.jp", 1) + "\n")
+    counts = ledger.update_counts(spark, str(log), state)
+    assert rows(ledger.hosts_of_counts(counts).select("host", "first", "last", "fetch", "robots", "fail", "bytes")) == [("a.jp", "2026-01-01", "2026-01-02", 2, 0, 0, 15), ("b.jp", "2026-01-01", "2026-01-02", 0, 1, 1, 1)]
+    assert rows(ledger.days_of_counts(counts).select("day", "fetch", "robots", "other")) == [("2026-01-01", 1, 0, 1), ("2026-01-02", 1, 1, 0)]
+    scanned = spark.read.option("recursiveFileLookup", "true").text(str(log)).filter(F.col("_metadata.file_path") > counts.agg(F.max("through")).first()[0])
+    assert scanned.count() == 0
+
+
+def test_wards_and_links_in_a_hot_prefecture(spark):
+    """Every prefecture's own cities and labels; one prefecture has most of the rows."""
+    sheet = [(1, ["c", "p", "n"])]
+    for pref in ("A県", "B県"):
+        sheet += [(len(sheet) + 1, [f"{pref}{i}", pref, name]) for i, name in enumerate(["四日市市", "四日市市場町", "四日市市北区", "市原市", "市原市北区", "大津市南区"])]
+    df = spark.createDataFrame(sheet, "ordinal int, cells array<string>")
+    got = [(r["prefecture"], r["city"], r["ward"]) for r in registry.wards(df).orderBy("code").collect()]
+    assert got == [(p, c, w) for p in ("A県", "B県") for c, w in (("四日市市", "場町"), ("四日市市", "北区"), ("市原市", "北区"))]
+    towns = spark.createDataFrame([("A県", "日立市"), ("A県", "津市"), ("B県", "日立市")], "prefecture string, municipality string")
+    links = spark.createDataFrame([("A県", i, label, f"http://h{i}/x") for i, label in enumerate(["日立の市役所", "津の海", "津市公式", "日立市 津市", "other"] * 20)], "prefecture string, rank int, label string, url string")
+    found = sites.linked_candidates(towns, links)
+    assert {(r["prefecture"], r["municipality"], r["n"]) for r in found.groupBy("prefecture", "municipality").agg(F.count("*").alias("n")).collect()} == {("A県", "日立市", 40), ("A県", "津市", 40)}

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import rules as R
+
 
 def vocabulary(df: DataFrame, scope: str, terms: Column, category: str, example: str, ord_col: str, covered: Column) -> DataFrame:
     """(scope, term): how many rows give the term, whether the given words cover it, its categories and first example."""
@@ -15,6 +17,32 @@ def vocabulary(df: DataFrame, scope: str, terms: Column, category: str, example:
     return out.withColumn("covered", F.when(covered, "yes").otherwise("no"))
 
 
+def named_rows(national: DataFrame, registries: list[DataFrame]) -> DataFrame:
+    """(prefecture, name, category, subcategory, ord) of all registries, in their order.
+
+    national: (prefecture, name, category, subcategory, ord). registries: (prefecture, name, kind, ord); a kind is their
+    category. ord: the registry's place in the list, then the row's in it.
+    """
+    at = lambda i: F.struct(F.lit(i).alias("registry"), F.col("ord").cast("long").alias("ord")).alias("ord")
+    rows = national.select("prefecture", "name", "category", F.coalesce("subcategory", F.lit("")).alias("subcategory"), at(0))
+    for i, registry in enumerate(registries, 1):
+        rows = rows.unionByName(registry.select("prefecture", "name", F.col("kind").alias("category"), F.lit("").alias("subcategory"), at(i)))
+    return rows
+
+
+def regional_vocabulary(national: DataFrame, registries: list[DataFrame], places: DataFrame, terms: Column, covered: Column, skip: str = R.SKIP_SUBCATEGORY) -> DataFrame:
+    """(prefecture, term, covered, source_count, categories, example): the words of designated names, ready to be looked for on pages.
+
+    national, registries: see named_rows; places: (place). terms: the terms of `name`, an array; covered: whether the known
+    words cover `term`. Rows without prefecture or name, and of subcategories that `skip` finds, give no terms; terms that
+    are or hold a place are left out. Blank categories don't count; the example is the first name by registry and row.
+    """
+    rows = named_rows(national, registries).filter((F.coalesce("prefecture", F.lit("")) != "") & (F.coalesce("name", F.lit("")) != "") & ~F.col("subcategory").rlike(skip))
+    rows = rows.withColumn("category", F.nullif("category", F.lit("")))
+    out = vocabulary(rows, "prefecture", terms, "category", "name", "ord", covered)
+    return without_places(out, "term", places, "place")
+
+
 def without_places(terms: DataFrame, term: str, places: DataFrame, place: str, least: int = 3) -> DataFrame:
     """Terms that are no place and hold no place name of `least` characters or more.
 

@@ -62,13 +62,14 @@ def municipalities(sheet: DataFrame) -> DataFrame:
 def wards(sheet: DataFrame) -> DataFrame:
     """(code, prefecture, city, ward) of a city table: a row belongs to the first city above it whose name begins it.
 
-    Cities offer themselves by prefecture, and a ward takes the earliest of those above whose name it begins with.
+    A ward offers what its name has up to each 市 to an equality join with the prefecture's cities, and takes the earliest above it.
     """
     cells = sheet.filter("ordinal > 0").select("ordinal", *[F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(("code", "pref", "name"))])
     rows = cells.select("ordinal", "code", *[F.regexp_replace(c, "[ァ-ヶー]+$", "").alias(c) for c in ("pref", "name")]).filter("code <> '' and name <> ''")
     city = rows.filter(F.col("name").endswith("市")).select(F.col("pref"), F.col("ordinal").alias("__o"), F.col("name").alias("city"))
     below = rows.filter(~F.col("name").endswith("市"))
-    hits = below.join(city, "pref").filter((F.col("__o") < F.col("ordinal")) & F.startswith("name", "city"))
+    offers = below.withColumn("__i", F.explode(F.sequence(F.lit(1), F.length("name")))).withColumn("city", F.substring("name", F.lit(1), F.col("__i"))).filter(F.col("city").endswith("市"))
+    hits = offers.join(city, ["pref", "city"]).filter(F.col("__o") < F.col("ordinal"))
     one = hits.groupBy("ordinal", "code", "pref", "name").agg(F.min_by("city", "__o").alias("city"))
     return one.select("code", F.col("pref").alias("prefecture"), "city", F.substring(F.col("name"), F.length("city") + 1, F.length("name")).alias("ward"))
 

@@ -46,32 +46,39 @@ def _offers(texts: DataFrame, keys: list[str], text: str, sizes: list[int]) -> D
     return texts.select(*keys, F.explode(F.flatten(F.array(*[_grams(F.col(text), n) for n in sizes]))).alias("__g"))
 
 
+def containing(df: DataFrame, key: list[str], text: str, forms: DataFrame, form: str, scope: list[str] | None = None) -> DataFrame:
+    """(key, forms' columns): a row for each text and each form of its scope that it contains.
+
+    key: columns that tell df's texts apart. forms: (scope, form, ...), any number; null and empty forms are in nothing.
+    Forms come to texts by an equality join on an anchor, the n-gram of the form that the fewest texts have, and what an anchor
+    brings together is compared in full. Each text travels once for that; no text or form is multiplied by the other side.
+    """
+    by = scope or []
+    forms = staged(forms.filter(F.col(form) != ""), "forms")
+    sizes = sorted(r["n"] for r in forms.select(F.least(F.length(form), F.lit(ANCHOR)).alias("n")).distinct().collect())  # at most ANCHOR numbers
+    own = [c for c in by if c not in key]
+    rest = [c for c in forms.columns if c not in by]
+    texts = df.filter(F.col(text).isNotNull()).select(*key, *own, text).dropDuplicates(key)
+    if not sizes:
+        return texts.limit(0).join(forms.select(*rest), F.lit(False)).select(*key, *rest)
+    index = staged(_anchored(texts, forms, by, text, form, sizes), "form-anchors")
+    pairs = _offers(texts, [*key, *own], text, sizes).join(index.withColumnRenamed("__anchor", "__g"), [*by, "__g"]).select(*key, *rest)
+    return pairs.join(texts.select(*key, text), key).filter(F.contains(F.col(text), F.col(form))).select(*key, *rest)
+
+
 def contained_names(df: DataFrame, key: list[str], text: str, names: DataFrame, name: str, wide: str, scope: list[str] | None = None) -> DataFrame:
     """df with n_names and assigned: the one name of the row's scope that the text contains; `wide` where none or several do.
 
     key: columns that tell df's texts apart. names: (scope, name), any number; null and empty names count as none, and a
     name that is listed twice is one. Names of more than two characters are tried without their last character if no
-    name is the only one.
-
-    Names come to texts by an equality join on an anchor, the n-gram of the name (or its stem) that the fewest texts have.
-    What an anchor brings together is compared in full. Each text travels once for that; no text or name is multiplied by the
-    other side. A null text contains nothing.
+    name is the only one. A null text contains nothing.
     """
     by = scope or []
     listed = names.select(*by, F.col(name).alias("__name")).filter(F.col("__name") != "").distinct()
     whole = listed.select(*by, "__name", F.col("__name").alias("__form"), F.lit(True).alias("__whole"))
     bare = listed.filter(F.length("__name") > 2).select(*by, "__name", F.expr("substring(__name, 1, length(__name) - 1)").alias("__form"), F.lit(False).alias("__whole"))
-    forms = staged(whole.unionByName(bare), "name-forms")
-    sizes = sorted(r["n"] for r in forms.select(F.least(F.length("__form"), F.lit(ANCHOR)).alias("n")).distinct().collect())  # at most ANCHOR numbers
-    if not sizes:
-        return df.withColumn("n_names", F.lit(0).cast("long")).withColumn("assigned", F.lit(wide))
-    own = [c for c in by if c not in key]
-    texts = df.filter(F.col(text).isNotNull()).select(*key, *own, text).dropDuplicates(key)
-    index = staged(_anchored(texts, forms, by, text, "__form", sizes), "name-anchors")
-    pairs = _offers(texts, [*key, *own], text, sizes).join(index.withColumnRenamed("__anchor", "__g"), [*by, "__g"]).select(*key, "__name", "__form", "__whole")
-    hits = pairs.join(texts.select(*key, text), key).filter(F.contains(F.col(text), F.col("__form")))
     is_whole = F.col("__whole")
-    found = hits.groupBy(*key).agg(
+    found = containing(df, key, text, whole.unionByName(bare), "__form", scope).groupBy(*key).agg(
         F.count_if(is_whole).alias("n_names"), F.min(F.when(is_whole, F.col("__name"))).alias("__one"), F.count_if(~is_whole).alias("__n_bare"), F.min(F.when(~is_whole, F.col("__name"))).alias("__bare"),
     )
     out = df.join(found, key, "left").withColumn("n_names", F.coalesce("n_names", F.lit(0)))
@@ -206,13 +213,16 @@ def loose_matches(left: DataFrame, right: DataFrame, scope: list[str], text: str
 def scoped_url(df: DataFrame, scopes: DataFrame, url: str, keys: list[str], label: str, path: str) -> DataFrame:
     """df with the one label whose scope path begins the url's path (one leading segment may come before); null if none or several.
 
-    scopes: (keys, __host, label, path). The join is on keys and host; the path is a residual test within a host.
+    scopes: (keys, host, label, path). An address offers the beginnings of its path, of the lengths that scope paths have,
+    to one equality join on keys, host and path, so a host with many addresses and many scopes multiplies nothing.
     """
     rows = df.withColumn("__host", F.lower(F.try_parse_url(F.col(url), F.lit("AUTHORITY")))).withColumn("__path", F.try_parse_url(F.col(url), F.lit("PATH")))
     s = scopes.select(*keys, F.col("host").alias("__host"), F.col(label).alias("__label"), F.col(path).alias("__scope"))
-    after = F.regexp_extract("__path", "^/[^/]+(/.*)$", 1)
-    inside = F.startswith("__path", "__scope") | F.startswith(after, F.col("__scope"))
-    hits = rows.select(url, *keys, "__host", "__path").distinct().join(s, [*keys, "__host"]).filter(inside)
+    lengths = sorted(r["n"] for r in s.filter("__scope is not null").select(F.length("__scope").alias("n")).distinct().collect())  # as many as there are lengths
+    after = F.nullif(F.regexp_extract("__path", "^/[^/]+(/.*)$", 1), F.lit(""))
+    starts = [F.when(F.length(whole) >= n, F.substring(whole, 1, n)) for n in lengths for whole in (F.col("__path"), after)]
+    offers = rows.select(url, *keys, "__host", "__path").distinct().select(url, *keys, "__host", F.explode(F.array_distinct(F.array_compact(F.array(*starts)))).alias("__scope") if starts else F.lit(None).cast("string").alias("__scope"))
+    hits = offers.join(s, [*keys, "__host", "__scope"])
     one = hits.groupBy(*keys, url).agg(F.countDistinct("__label").alias("n_scopes"), F.min("__label").alias("__l"))
     out = df.join(one, [*keys, url], "left")
     return out.withColumn(label, F.when(F.col("n_scopes") == 1, F.col("__l"))).withColumn("n_scopes", F.coalesce("n_scopes", F.lit(0)).cast("long")).drop("__l")

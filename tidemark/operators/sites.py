@@ -7,10 +7,12 @@ import re
 import urllib.parse
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules as R
+from tidemark.operators import resolve
 from tidemark.operators.registry import candidate_sites, first_verified, names_place, spellings
 
 # What links to tourist boards look like ----------------------------------------------------------
@@ -95,12 +97,13 @@ def link_index(pages: dict[str, str], url: str, most: int = 6) -> list[tuple[str
 def linked_candidates(municipalities: DataFrame, links: DataFrame) -> DataFrame:
     """(municipality, url, rank): links (prefecture, rank, label, url) whose label has the municipality's name, or its stem of two characters or more.
 
-    The links of a prefecture are few and meet its municipalities by prefecture only.
+    A stem lies in its name, so it alone decides where it is long enough. Labels and names meet by their rarest n-grams.
     """
     stem = F.regexp_replace("municipality", R.MUNICIPAL_SUFFIX, "")
-    named = F.contains("label", F.col("municipality")) | ((F.length(stem) >= 2) & F.contains("label", stem))
+    forms = municipalities.select("prefecture", "municipality", F.when(F.length(stem) >= 2, stem).otherwise(F.col("municipality")).alias("form"))
+    named = resolve.containing(links, ["prefecture", "rank", "url"], "label", forms, "form", ["prefecture"])
     root = F.concat(F.try_parse_url("url", F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url("url", F.lit("AUTHORITY")), F.lit("/"))
-    return municipalities.join(F.broadcast(links), "prefecture").filter(named).select("prefecture", "municipality", root.alias("url"), "rank")
+    return named.select("prefecture", "municipality", root.alias("url"), "rank")
 
 
 def resolve_sites(municipalities: DataFrame, links: DataFrame, stored: DataFrame) -> DataFrame:
@@ -109,9 +112,9 @@ def resolve_sites(municipalities: DataFrame, links: DataFrame, stored: DataFrame
     Candidates by naming rule come first, links of the prefecture's lists after them. stored: (url, text).
     """
 
-    @F.udf("array<string>")
-    def guesses(romaji, kind, pref):
-        return candidate_sites(romaji or "", kind or "", pref or "")
+    @F.pandas_udf("array<string>")
+    def guesses(romaji: pd.Series, kind: pd.Series, pref: pd.Series) -> pd.Series:
+        return pd.Series([candidate_sites(r or "", k or "", p or "") for r, k, p in zip(romaji, kind, pref, strict=True)], dtype=object)
 
     by_rule = municipalities.select("prefecture", "municipality", F.posexplode(guesses("muni_romaji", "type", "pref_romaji")).alias("rank", "url"))
     by_link = linked_candidates(municipalities.select("prefecture", "municipality"), links).withColumn("rank", F.col("rank") + 1_000_000)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
 from tidemark.functions import pages as H
+from tidemark.functions import predicates as P
 from tidemark.functions import rules as R
 from tidemark.operators import apply, coverage, crawl, intake, ledger, publish, records, registry, resolve, sites
 from tidemark.plans.queries import EVENT_KINDS, ledger_events, table
@@ -592,6 +593,51 @@ def gazetteer_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl.gazetteer(members, upper.unionByName(lower), roots, follow="^(?!.*BUILDING)")
 
 
+def _ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts after three runs over a growing folder of the ledger's lines, the last of which finds nothing new."""
+    log, state = staging_path(spark, "ledger-log"), staging_path(spark, "ledger-counts")
+    e = table(spark, sf_dir, "events")
+    url = F.concat(F.lit("http://U"), F.col("user_id").cast("string"), F.lit("/"), F.col("event_id").cast("string"))
+    line = F.concat_ws("\t", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "event_type", url, F.lit("200"), F.when(F.col("event_id") % 4 != 0, F.col("event_id").cast("string")).otherwise("-"))
+    for batch in (1, 2):
+        e.filter(F.col("event_id") % 5 > 1 if batch == 1 else F.col("event_id") % 5 <= 1).select(line.alias("value")).write.text(f"{log}/batch-{batch:05d}")
+        ledger.update_counts(spark, log, state)
+    return ledger.update_counts(spark, log, state)
+
+
+_LEDGER_LINES = "WITH l AS (SELECT 'u' || user_id AS host, strftime(ts, '%Y-%m-%d') AS day, event_type AS kind, CASE WHEN event_id % 4 <> 0 THEN event_id ELSE 0 END AS bytes FROM events) "
+
+
+@oracle(_LEDGER_LINES + "SELECT host, min(day) AS first, max(day) AS last, count(*) FILTER (kind = 'view') AS n_view, count(*) FILTER (kind = 'click') AS n_click, count(*) FILTER (kind NOT IN ('view', 'click')) AS n_error, sum(bytes)::BIGINT AS bytes FROM l GROUP BY host")
+def ledger_hosts_in_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ledger.hosts_of_counts(_ledger_runs(spark, sf_dir), ("view", "click", "error"), "error")
+    return out.select("host", "first", "last", *[F.col(k).alias(f"n_{k}") for k in ("view", "click", "error")], "bytes")
+
+
+@oracle(_LEDGER_LINES + "SELECT day, count(*) FILTER (kind = 'view') AS n_view, count(*) FILTER (kind = 'click') AS n_click, count(*) FILTER (kind NOT IN ('view', 'click')) AS n_other FROM l GROUP BY day")
+def ledger_days_in_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ledger.days_of_counts(_ledger_runs(spark, sf_dir), ("view", "click"))
+    return out.select("day", *[F.col(k).alias(f"n_{k}") for k in ("view", "click", "other")])
+
+
+@oracle("""WITH r AS (SELECT p_brand AS prefecture, p_name || '、' || p_type AS name, p_type AS category, CASE WHEN p_size % 9 = 0 THEN '有形文化財' ELSE '' END AS sub, 0 AS reg, p_partkey AS ord FROM part WHERE p_size % 2 = 0
+  UNION ALL SELECT p_brand, p_name, CASE WHEN p_size % 4 = 1 THEN '' ELSE 'kind' END, '', 1, p_partkey FROM part WHERE p_size % 2 = 1 UNION ALL SELECT n_name, 'old ' || n_name || '祭', 'n', '', 2, n_nationkey FROM nation),
+t AS (SELECT prefecture, name, category, reg, ord, generate_subscripts(w, 1) AS pos, unnest(w) AS term FROM (SELECT *, regexp_split_to_array(name, '[、 ]') AS w FROM r WHERE NOT regexp_matches(sub, '有形文化財')))
+SELECT prefecture, term, CASE WHEN regexp_matches(term, 'gear|rod|祭') THEN 'yes' ELSE 'no' END AS covered, count(*) AS source_count, coalesce(string_agg(DISTINCT nullif(category, ''), '|' ORDER BY nullif(category, '')), '') AS categories,
+  arg_min(name, reg * 100000000000 + ord * 100 + pos) AS example
+FROM t WHERE length(term) >= 2 AND term NOT IN ('old', 'new') AND term NOT LIKE '%anvil%' AND term NOT LIKE '%PRO%' GROUP BY prefecture, term""")
+def vocabulary_of_registries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three registries in a row; rows of a tangible kind give no terms, blank kinds no category."""
+    part = table(spark, sf_dir, "part")
+    brand, size = F.col("p_brand").alias("prefecture"), F.col("p_size")
+    national = part.filter(size % 2 == 0).select(brand, F.concat_ws("、", "p_name", "p_type").alias("name"), F.col("p_type").alias("category"), F.when(size % 9 == 0, "有形文化財").otherwise("").alias("subcategory"), F.col("p_partkey").alias("ord"))
+    local = part.filter(size % 2 == 1).select(brand, F.col("p_name").alias("name"), F.when(size % 4 == 1, "").otherwise("kind").alias("kind"), F.col("p_partkey").alias("ord"))
+    judged = table(spark, sf_dir, "nation").select(F.col("n_name").alias("prefecture"), F.concat(F.lit("old "), "n_name", F.lit("祭")).alias("name"), F.lit("n").alias("kind"), F.col("n_nationkey").alias("ord"))
+    places = spark.createDataFrame([("anvil",), ("PRO",), ("a",)], "place string")
+    out = coverage.regional_vocabulary(national, [local, judged], places, P.terms_of(F.col("name"), "[、 ]", ["old", "new"]), F.col("term").rlike("gear|rod|祭"), skip="有形文化財")
+    return out.select("prefecture", "term", "covered", "source_count", F.array_join("categories", "|").alias("categories"), "example")
+
+
 @oracle("""WITH n AS (SELECT n_name, n_nationkey FROM nation WHERE n_regionkey < 2) SELECT 'r' || r_regionkey::VARCHAR AS node, 0::BIGINT AS depth FROM region WHERE r_regionkey < 2 UNION ALL SELECT n_name, 1 FROM n
 UNION ALL SELECT DISTINCT s_name, 2 FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM n WHERE n_nationkey % 2 = 0)""")
 def filtered_category_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,11 +63,16 @@ def ragged_tsv(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter((F.trim("v") != "") & ~F.startswith(F.ltrim("v"), F.lit("#"))).select("file", F.split("v", "\t", -1).alias("cells"))
 
 
+def ledger_cells(lines: DataFrame, *keep: str) -> DataFrame:
+    """The ledger's columns of lines (value, keep...): short rows are padded with empty cells, header lines go."""
+    names = [f.name for f in LEDGER.fields]
+    cells = lines.select(*keep, F.split("value", "\t", -1).alias("c"))
+    return cells.select(*keep, *[F.coalesce(F.try_element_at("c", F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)]).filter(F.col("ts") != "ts")
+
+
 def ledger(spark: SparkSession, path: str) -> DataFrame:
     """The access ledger: short rows are padded with empty cells, malformed ones stay visible."""
-    names = [f.name for f in LEDGER.fields]
-    cells = spark.read.text(path).filter(F.col("value") != "").select(F.split("value", "\t", -1).alias("c"))
-    return cells.select(*[F.coalesce(F.try_element_at("c", F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)]).filter(F.col("ts") != "ts")
+    return ledger_cells(spark.read.text(path).filter(F.col("value") != ""))
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
