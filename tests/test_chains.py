@@ -269,3 +269,30 @@ def test_scratch_tables_go(spark):
     listing = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/tidemark")
     names = [f.getPath().getName() for f in listing.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(listing)]
     assert any(n.startswith("kept-result") for n in names) and not any(n.startswith("passing") for n in names)
+
+
+def test_ward_candidates_against_a_loop(spark):
+    rnd = random.Random(6)
+    tops = {"大阪市": "http://osaka.jp/top/", "堺市": "http://sakai.jp/"}
+    wards = [("a", "P", "大阪市", "北区", "kita"), ("b", "P", "大阪市", "中央区", "chuo"), ("c", "P", "堺市", "北区", "kita"), ("d", "P", "堺市", "堺区", "")]
+    shapes = ("{w}", "{c}{w}", "{w}役所", "{w}ホームページ", "{w}（{w}役所）", "{w}（北神区役所）", "{w}(x)", "{w}案内")
+    links = [(c, i, rnd.choice(shapes).format(w=rnd.choice(["北区", "中央区", "堺区"]), c=c), rnd.choice(["http://osaka.jp", "http://sakai.jp", "http://x.jp"]) + rnd.choice(["/kita/", "/a/b/c/p.html", "/a/chuo/", "/q.html", "/a/b/"])) for c in tops for i in range(60)]
+    for keep in (120, 8, 3, 0):
+        some = rnd.sample(links, keep)
+        got = {}
+        frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+        out = sites.ward_candidates(
+            frame(wards, "code string, prefecture string, city string, ward string, romaji string"), frame([("P", c, t) for c, t in tops.items()], "prefecture string, city string, top string"),
+            frame([("P", c, i, label, u) for c, i, label, u in some], "prefecture string, city string, ord long, label string, url string"),
+        )
+        for r in out.orderBy("rank").collect():
+            got.setdefault(r["code"], []).append(r["url"])
+        for code, _, city, ward, romaji in wards:
+            top = tops[city]
+            depth = lambda u: registry.scope_of(u).split("/", 3)[3].strip("/").count("/") + bool(registry.scope_of(u).split("/", 3)[3].strip("/"))
+            mine = [u for c, _, label, u in sorted(some, key=lambda x: x[1]) if c == city and registry.is_ward_label(label, city, ward) and u.split("/")[2] == top.split("/")[2]]
+            mine.sort(key=lambda u: (not (romaji and romaji in u), depth(u)))
+            base = "/".join(top.split("/")[:3])
+            guesses = [f"{base}/{romaji}/", f"{base}/{romaji}ku/"] if romaji else []
+            want = guesses + mine if mine and depth(mine[0]) >= 3 else mine + guesses
+            assert got.get(code, []) == list(dict.fromkeys(want)), (code, keep)

@@ -293,7 +293,7 @@ def test_wards_and_links_in_a_hot_prefecture(spark):
     """Every prefecture's own cities and labels; one prefecture has most of the rows."""
     sheet = [(1, ["c", "p", "n"])]
     for pref in ("A県", "B県"):
-        sheet += [(len(sheet) + 1, [f"{pref}{i}", pref, name]) for i, name in enumerate(["四日市市", "四日市市場町", "四日市市北区", "市原市", "市原市北区", "大津市南区"])]
+        sheet += [(len(sheet) + i + 1, [f"{pref}{i}", pref, name]) for i, name in enumerate(["四日市市", "四日市市場町", "四日市市北区", "市原市", "市原市北区", "大津市南区"])]
     df = spark.createDataFrame(sheet, "ordinal int, cells array<string>")
     got = [(r["prefecture"], r["city"], r["ward"]) for r in registry.wards(df).orderBy("code").collect()]
     assert got == [(p, c, w) for p in ("A県", "B県") for c, w in (("四日市市", "場町"), ("四日市市", "北区"), ("市原市", "北区"))]

@@ -8,7 +8,7 @@ import urllib.parse
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules as R
@@ -124,7 +124,97 @@ def resolve_sites(municipalities: DataFrame, links: DataFrame, stored: DataFrame
 
 
 def names_ward(text: Column, city: Column, ward: Column) -> Column:
-    """Whether a page names the ward with its city, or the ward's office."""
+    """Whether a page names the ward behind its city, with up to two signs between them, or the ward's office."""
     plain = F.regexp_replace(text, "<[^>]+>", " ")
-    between = F.transform(F.array(*[F.lit(x) for x in ("", " ", "/", "／", "・", ":", "：", "|", "｜", "-")]), lambda sign: F.contains(plain, F.concat(city, sign, ward)))
-    return F.exists(between, lambda x: x) | F.contains(plain, F.concat(ward, F.lit("役所")))
+    both = F.concat(F.lit(r"(?U)\Q"), city, F.lit(r"\E[\s／/・:：|｜-]{0,2}\Q"), ward, F.lit(r"\E"))
+    return F.rlike(plain, both) | F.contains(plain, F.concat(ward, F.lit("役所")))
+
+
+# Where prefectures and their boards of education have their sites, and wards their lists -------------
+PREFECTURE_HOSTS = ("www.pref.{}.jp", "www.pref.{}.lg.jp", "pref.{}.jp", "www.metro.{}.lg.jp")
+EDUCATION_HOSTS = ("kyoiku.pref.{}.jp", "www.edu.pref.{}.jp", "www.pref.{}.ed.jp", "edu.pref.{}.jp", "www.kyoiku.metro.{}.lg.jp")
+WARD_ENDS = ("役所", "ホームページ")
+WARD_INDEX = "区役所|各区|区の(?:ホームページ|情報)|区のページ"
+
+
+def resolve_prefectures(prefectures: DataFrame, stored: DataFrame) -> DataFrame:
+    """(prefecture, official_url, education_url, resolved): of each kind the first address by naming rule whose stored page names the prefecture.
+
+    prefectures: (prefecture, romaji); stored: (url, text). resolved tells of the official site.
+    """
+
+    def tries(kind: str, hosts: tuple[str, ...]) -> Column:
+        urls = [F.concat(F.lit("https://" + h.split("{}")[0]), F.col("romaji"), F.lit(h.split("{}")[1] + "/")) for h in hosts]
+        return F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("rank"), u.alias("url")) for i, u in enumerate(urls)])
+
+    every = F.concat(tries("official", PREFECTURE_HOSTS), tries("education", EDUCATION_HOSTS))
+    candidates = prefectures.filter(F.coalesce("romaji", F.lit("")) != "").select("prefecture", F.inline(every))
+    seen = candidates.join(stored, "url", "left").withColumn("ok", F.coalesce(names_place(F.col("text"), F.col("prefecture")), F.lit(False)))
+    best = first_verified(seen, ["prefecture", "kind"], "url", "rank", F.col("ok"))
+    of = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("url"))), F.lit(""))
+    found = best.groupBy("prefecture").agg(of("official").alias("official_url"), of("education").alias("education_url"))
+    out = prefectures.select("prefecture").distinct().join(found, "prefecture", "left").fillna("", ["official_url", "education_url"])
+    return out.withColumn("resolved", F.when(F.col("official_url") != "", "yes").otherwise("no"))
+
+
+def scope(url: Column) -> Column:
+    """The directory of a page as a column; see registry.scope_of."""
+    path = F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
+    return F.concat(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url(url, F.lit("AUTHORITY")), F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "[^/]*$", "")).otherwise("/"))
+
+
+def _depth(url: Column) -> Column:
+    """Directories of a page's scope."""
+    return F.length(F.regexp_replace(F.rtrim(F.try_parse_url(scope(url), F.lit("PATH")), F.lit("/")), "[^/]", ""))
+
+
+def city_links(cities: DataFrame, links: DataFrame, index_label: str = WARD_INDEX, most: int = 3) -> DataFrame:
+    """(prefecture, city, ord, label, url) of a city's first page, then of the first `most` pages that it links to by an index's label.
+
+    cities: (prefecture, city, top); links: (page, ord, label, url) of stored pages.
+    """
+    first = cities.join(links, F.col("top") == F.col("page")).select("prefecture", "city", F.col("ord").cast("long").alias("ord"), "label", "url")
+    rank = F.row_number().over(Window.partitionBy("prefecture", "city").orderBy("ord"))
+    lists = first.filter(F.col("label").rlike(index_label)).withColumn("k", rank).filter(F.col("k") <= most).select("prefecture", "city", "k", F.col("url").alias("list"))
+    second = lists.join(links, F.col("list") == F.col("page")).select("prefecture", "city", (F.col("k") * 1_000_000_000 + F.col("ord")).cast("long").alias("ord"), "label", "url")
+    return first.unionByName(second)
+
+
+def ward_candidates(wards: DataFrame, cities: DataFrame, links: DataFrame) -> DataFrame:
+    """(code, url, rank): a ward's links by label on its city's host, those with its romanisation first, then the shallow ones; and two guesses.
+
+    wards: (code, prefecture, city, ward, romaji); cities: (prefecture, city, top); links: city_links. Guesses come first
+    only where the best link lies three directories deep. A label offers the ward names that it can stand for to an equality
+    join, so a city's links never meet all of its wards.
+    """
+    place = ["prefecture", "city"]
+    bare = lambda c: F.when(F.startswith(c, F.col("city")), F.substring(c, F.length("city") + 1, F.length(c))).otherwise(c)
+    label = bare(F.col("label"))
+    head = F.regexp_replace(label, "(?s)[（(].*$", "")
+    names = F.array_distinct(F.array(head, *[F.regexp_replace(head, f"{end}$", "") for end in WARD_ENDS]))
+    inner = F.transform(F.regexp_extract_all(label, F.lit("[（(]([^）)]*)[）)]"), F.lit(1)), bare)
+    offers = links.join(cities, place).filter(F.try_parse_url("url", F.lit("AUTHORITY")) == F.try_parse_url("top", F.lit("AUTHORITY")))
+    offers = offers.select(*place, "ord", "url", inner.alias("inner"), F.explode(names).alias("ward"))
+    by_label = wards.join(offers, [*place, "ward"]).filter(F.forall("inner", lambda x: (x == F.col("ward")) | (x == F.concat("ward", F.lit("役所")))))
+    known = (F.col("romaji") != "") & F.contains("url", F.col("romaji"))
+    linked = by_label.select("code", "url", F.struct((~known).alias("a"), _depth(F.col("url")).alias("b"), F.col("ord").alias("c")).alias("order"))
+    linked = linked.groupBy("code", "url").agg(F.min("order").alias("order"))
+    best = linked.groupBy("code").agg(F.min_by(_depth(F.col("url")), "order").alias("best"))
+    base = F.concat(F.try_parse_url("top", F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url("top", F.lit("AUTHORITY")), F.lit("/"), "romaji")
+    guessed = wards.join(cities, place).filter((F.coalesce("top", F.lit("")) != "") & (F.coalesce("romaji", F.lit("")) != "")).select("code", F.posexplode(F.array(F.concat(base, F.lit("/")), F.concat(base, F.lit("ku/")))).alias("pos", "url"))
+    guessed = guessed.join(best, "code", "left").select("code", "url", F.struct(F.when(F.col("best") >= 3, 0).otherwise(2).alias("group"), F.lit(False).alias("a"), F.lit(0).alias("b"), F.col("pos").cast("long").alias("c")).alias("rank"))
+    ranked = linked.select("code", "url", F.struct(F.lit(1).alias("group"), "order.a", "order.b", "order.c").alias("rank"))
+    return guessed.unionByName(ranked).groupBy("code", "url").agg(F.min("rank").alias("rank"))
+
+
+def resolve_wards(wards: DataFrame, cities: DataFrame, links: DataFrame, stored: DataFrame) -> DataFrame:
+    """(code, prefecture, city, ward, official_url, scope, resolved): each ward's first candidate whose stored page names it.
+
+    A page whose scope is that of the city's first page is none: nothing would tell the ward from its city. Inputs as in
+    ward_candidates; stored: (url, text).
+    """
+    tries = ward_candidates(wards, cities, links).join(wards.join(cities, ["prefecture", "city"], "left"), "code").join(stored, "url", "left")
+    ok = F.coalesce(names_ward(F.col("text"), F.col("city"), F.col("ward")) & (scope(F.col("url")) != scope(F.col("top"))), F.lit(False))
+    found = first_verified(tries.withColumn("ok", ok), ["code"], "url", "rank", F.col("ok"))
+    out = wards.join(found, "code", "left").fillna({"url": "", "resolved": "no"})
+    return out.select("code", "prefecture", "city", "ward", F.col("url").alias("official_url"), F.when(F.col("url") != "", scope(F.col("url"))).otherwise("").alias("scope"), "resolved")

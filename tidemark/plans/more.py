@@ -638,6 +638,38 @@ def vocabulary_of_registries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("prefecture", "term", "covered", "source_count", F.array_join("categories", "|").alias("categories"), "example")
 
 
+@oracle("""SELECT n_name AS prefecture, CASE WHEN n_nationkey % 4 = 0 THEN '' WHEN n_nationkey % 4 = 1 THEN 'https://pref.n' || n_nationkey || '.jp/' ELSE 'https://www.pref.n' || n_nationkey || '.jp/' END AS official_url,
+  CASE WHEN n_nationkey % 3 = 0 THEN 'https://edu.pref.n' || n_nationkey || '.jp/' ELSE '' END AS education_url, CASE WHEN n_nationkey % 4 = 0 THEN 'no' ELSE 'yes' END AS resolved FROM nation""")
+def resolved_prefectures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as prefectures: some sites name another one, some aren't stored."""
+    k = F.col("n_nationkey")
+    romaji = F.concat(F.lit("n"), k.cast("string"))
+    n = table(spark, sf_dir, "nation").select("n_name", k, romaji.alias("romaji"))
+    url = lambda head, tail: F.concat(F.lit("https://" + head), "romaji", F.lit(tail))
+    page = lambda u, good: n.select(u.alias("url"), F.when(good, F.concat(F.lit("<b>"), "n_name", F.lit("</b>"))).otherwise("elsewhere").alias("text"))
+    stored = page(url("www.pref.", ".jp/"), k % 4 > 1).unionByName(page(url("pref.", ".jp/"), k % 4 > 0)).unionByName(page(url("edu.pref.", ".jp/"), k % 3 == 0))
+    return sites.resolve_prefectures(n.select(F.col("n_name").alias("prefecture"), "romaji"), stored)
+
+
+@oracle("""SELECT s_suppkey::VARCHAR AS code, s_name AS ward, CASE WHEN s_suppkey % 6 = 0 THEN 'http://c' || s_nationkey || '/w' || s_suppkey || '/index.html' WHEN s_suppkey % 5 = 0 THEN 'http://c' || s_nationkey || '/r' || s_suppkey || 'ku/' ELSE '' END AS official_url,
+  CASE WHEN s_suppkey % 6 = 0 THEN 'http://c' || s_nationkey || '/w' || s_suppkey || '/' WHEN s_suppkey % 5 = 0 THEN 'http://c' || s_nationkey || '/r' || s_suppkey || 'ku/' ELSE '' END AS scope, CASE WHEN s_suppkey % 6 = 0 OR s_suppkey % 5 = 0 THEN 'yes' ELSE 'no' END AS resolved FROM supplier""")
+def resolved_wards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as wards of their nation: linked from its first page, from an index page, or guessed; some pages name no ward."""
+    k = F.col("s_suppkey")
+    text = lambda c: F.col(c).cast("string")
+    top = F.concat(F.lit("http://c"), text("s_nationkey"), F.lit("/"))
+    s = table(spark, sf_dir, "supplier").select(k, "s_name", "s_nationkey", top.alias("top"))
+    wards = s.select(text("s_suppkey").alias("code"), F.lit("p").alias("prefecture"), F.concat(F.lit("C"), text("s_nationkey")).alias("city"), F.col("s_name").alias("ward"), F.concat(F.lit("r"), text("s_suppkey")).alias("romaji"))
+    cities = s.select(F.lit("p").alias("prefecture"), F.concat(F.lit("C"), text("s_nationkey")).alias("city"), "top").distinct()
+    page, deep = F.concat("top", F.lit("w"), text("s_suppkey"), F.lit("/index.html")), F.concat("top", F.lit("list"))
+    linked = s.filter(k % 3 == 0).select(F.when(k % 2 == 0, deep).otherwise(F.col("top")).alias("page"), k.alias("ord"), F.concat("s_name", F.when(k % 4 == 0, "役所").otherwise("")).alias("label"), page.alias("url"))
+    index = cities.select(F.col("top").alias("page"), F.lit(0).alias("ord"), F.lit("各区").alias("label"), F.concat("top", F.lit("list")).alias("url"))
+    stored = s.filter(k % 6 == 0).select(page.alias("url"), F.concat(F.lit("C"), text("s_nationkey"), F.lit("・ "), "s_name").alias("text"))
+    stored = stored.unionByName(s.filter(k % 5 == 0).select(F.concat("top", F.lit("r"), text("s_suppkey"), F.lit("ku/")).alias("url"), F.concat("s_name", F.lit("役所")).alias("text"))).unionByName(s.select(page.alias("url"), F.lit("nothing").alias("text")).filter(k % 6 == 3))
+    out = sites.resolve_wards(wards, cities, sites.city_links(cities, linked.unionByName(index)), stored)
+    return out.select("code", "ward", "official_url", "scope", "resolved")
+
+
 @oracle("""WITH n AS (SELECT n_name, n_nationkey FROM nation WHERE n_regionkey < 2) SELECT 'r' || r_regionkey::VARCHAR AS node, 0::BIGINT AS depth FROM region WHERE r_regionkey < 2 UNION ALL SELECT n_name, 1 FROM n
 UNION ALL SELECT DISTINCT s_name, 2 FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM n WHERE n_nationkey % 2 = 0)""")
 def filtered_category_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
