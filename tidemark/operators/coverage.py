@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules as R
+from tidemark.session import staged
 
 
 def vocabulary(df: DataFrame, scope: str, terms: Column, category: str, example: str, ord_col: str, covered: Column) -> DataFrame:
@@ -116,15 +117,16 @@ def evaluation(matched: DataFrame, output: DataFrame, scope: str, key: str, urls
     """
     hit = F.sum(F.when(F.col("matched") == "same", 1).otherwise(0)).cast("long")
     per = matched.groupBy(scope).agg(hit.alias("hits"), F.count("*").alias("total"))
-    reached = output.select(scope).distinct()
+    known = matched.select(scope, key).distinct().withColumn("__known", F.lit(True))
+    # The output is gone through once: what is asked of it is counted for each municipality.
+    counted = output.join(known, [scope, key], "left").groupBy(scope).agg(
+        F.count_if(F.col("__known").isNull()).alias("new"), F.count_if(F.size(urls) == 0).alias("no_url"), F.count_if(F.col(slug) == "PENDING").alias("pending"), F.lit(True).alias("reached")
+    )
+    both = staged(per.join(counted, scope, "full"), "evaluation")
     row = lambda df, part, name, hits, total: df.select(F.lit(part).alias("part"), name.cast("string").alias("name"), hits.alias("hits"), total.alias("total"))
-    none, count = F.lit(None).cast("string"), F.count("*")
-    known = matched.select(scope, key).distinct()
-    fresh = output.join(known, [scope, key], "left_anti")
-    parts = [
-        row(per, "scope", F.col(scope), F.col("hits"), F.col("total")), row(per.filter("hits = 0"), "zero_hit", F.col(scope), F.col("hits"), F.col("total")),
-        row(per.join(reached, scope, "left_anti"), "unreached", F.col(scope), F.col("hits"), F.col("total")),
-        row(fresh.agg(count.alias("n")), "new", none, F.col("n"), F.col("n")), row(output.filter(F.size(urls) == 0).agg(count.alias("n")), "no_url", none, F.col("n"), F.col("n")),
-        row(output.filter(F.col(slug) == "PENDING").agg(count.alias("n")), "pending", none, F.col("n"), F.col("n")),
-    ]
+    asked = both.filter("total is not null")
+    parts = [row(asked, "scope", F.col(scope), F.col("hits"), F.col("total")), row(asked.filter("hits = 0"), "zero_hit", F.col(scope), F.col("hits"), F.col("total"))]
+    parts.append(row(asked.filter("reached is null"), "unreached", F.col(scope), F.col("hits"), F.col("total")))
+    sums = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("new", "no_url", "pending")])
+    parts += [row(sums, c, F.lit(None), F.col(c), F.col(c)) for c in ("new", "no_url", "pending")]
     return reduce(lambda a, b: a.unionByName(b), parts)
