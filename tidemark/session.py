@@ -9,7 +9,7 @@ import zipfile
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 _OWN_SHARED: dict[str, str] = {}
@@ -93,20 +93,27 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def staged(df, name: str, rows: int | None = None, rows_a_file: int = 250_000):
+def staged(df, name: str, rows: int | None = None, rows_a_file: int = 250_000, codec: str = "snappy"):
     """Write df as a table in the shared folder and read it back: cuts the lineage and survives executors.
 
     rows: about how many rows df has, where that is known; its last stage then runs in so few tasks that a file gets
     rows_a_file of them. A small table written by every shuffle partition would be as many files, each with its commit.
+    codec: zstd where texts are staged, which it holds in two thirds of the bytes.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // rows_a_file)))
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Deletes the staged table that df was read from; nothing may read it any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete(df.sparkSession, folder)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished jobs.
 
