@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textwork as T
 from tidemark.llm.components import components
-from tidemark.session import ship, staged
+from tidemark.session import free_shuffles, ship, staged, unstage
 
 #: Bits of a set's parity sketch, with which pairs are ruled out before their sets are fetched.
 PARITY_BITS = 1024
@@ -352,7 +352,7 @@ class JaccardClasses:
     def texts(self, nodes: DataFrame) -> DataFrame:
         """(node, text) of every node."""
         found = self.source.join(nodes.withColumnRenamed("lead", "id"), "id").select("node", "d", "text")
-        rows = staged(found.mapInArrow(_node_texts, "node long, text binary"), "node-texts")
+        rows = staged(found.mapInArrow(_node_texts, "node long, text binary"), "node-texts", codec="zstd")
         if rows.count() == nodes.count():
             return rows
         return staged(rows.dropDuplicates(["node"]), "node-texts")  # rows were repeated, id and words
@@ -405,15 +405,18 @@ class JaccardClasses:
         return cells.mapInArrow(lambda it: _cell_pairs(it, num, den), "a long, b long").distinct()
 
     def linked(self, texts: DataFrame) -> DataFrame:
-        """(rep, c): the nodes that meet others, and the smallest node of the class of each."""
+        """(rep, c): the nodes that meet others, and the smallest node of the class of each. The staged texts are used up."""
         live = self.live(texts)
+        free_shuffles(self.spark)  # every signature travelled
         # How often a set meets others over all its buckets: the centre of a group of copies meets most of them.
         n_live = live.count()
         met = staged(live.groupBy("sig").agg(F.count("*").alias("met")), "met", n_live)
         nodes = staged(live.join(met, "sig").groupBy("rep").agg(F.sum("met").alias("pop")), "live-nodes", n_live)
         n_nodes = nodes.count()
         live = staged(live.join(nodes, "rep"), "live-pop", n_live)
-        texts = staged(texts.join(nodes.select(F.col("rep").alias("node")), "node", "left_semi"), "live-texts")
+        every, texts = texts, staged(texts.join(nodes.select(F.col("rep").alias("node")), "node", "left_semi"), "live-texts", codec="zstd")
+        unstage(every)
+        free_shuffles(self.spark)
         links = tried = None
         comp = nodes.select("rep", F.col("rep").alias("c"))
         for round_no in range(3):
@@ -439,13 +442,16 @@ class JaccardClasses:
             links = found if links is None else links.unionByName(found)
             tried = pairs if tried is None else tried.unionByName(pairs)
             comp = staged(nodes.select("rep").join(components(links).withColumnRenamed("v", "rep"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "components", n_nodes)
+            free_shuffles(self.spark)
         return comp
 
     def classes(self) -> tuple[DataFrame, DataFrame]:
         """(members, classes): classes is (d, component, lead), the smallest id that a sequence of words leads to and its own."""
         members = self.members()
         nodes = self.nodes(members)
-        comp = self.linked(self.texts(nodes)).withColumnRenamed("rep", "node")
+        texts = self.texts(nodes)
+        free_shuffles(self.spark)
+        comp = self.linked(texts).withColumnRenamed("rep", "node")
         n_nodes = nodes.count()
         placed = nodes.join(comp, "node", "left").select("d", "lead", F.coalesce("c", "node").alias("c"))
         least = staged(placed.groupBy("c").agg(F.min("lead").alias("component")), "least", n_nodes)
