@@ -11,7 +11,7 @@ two suffixes share; it is taken from earlier matches:
 - else words are compared, but only behind the farthest place that any match has reached.
 
 So every word is matched once; no suffix array, no hash and no comparison of more than two words at a time is used.
-Word numbers only stand for words (equal words, equal numbers) and give the order.
+Word numbers only stand for words (Arrow's dictionary encoding gives equal words equal numbers) and give the order.
 
 Text in which nothing repeats is left out first: two neighbouring words of a run of three periods stand at least
 twice in it, so a run lies between pairs of words that their stretch holds once. What remains is cut there
