@@ -185,6 +185,33 @@ def designations_of_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.first_designations(rows, ["host", "url"], ["ord"]).select("host", "url", "designation", "kind", "name")
 
 
+@oracle("""WITH s AS (SELECT *, 'n' || s_nationkey AS url FROM supplier), b AS (SELECT n_name, sha1('b/' || n_nationkey) || '.body' AS file FROM nation)
+SELECT sha1('l/' || url) || '.body' AS file, 'html_list' AS kind, s_name || '|' || s_suppkey || '|||' AS cells FROM s
+UNION ALL SELECT file, 'workbook', unnest(['コード', n_name || '|7']) FROM b UNION ALL SELECT sha1('c/' || s_suppkey) || '.body', 'cp932', unnest(['名称|所在' || chr(10) || '地', '撞舞|' || s_name]) FROM s""")
+def cells_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks, lists and code page 932 tables as files of a store, each read back by its format."""
+    pagestore.register(spark)
+    root = staging_path(spark, "cells")
+
+    @F.pandas_udf("binary")
+    def book(names: pd.Series) -> pd.Series:
+        return pd.Series(_workbook(names))
+
+    @F.pandas_udf("binary")
+    def cp932(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: t.encode("cp932"))
+
+    s, text = table(spark, sf_dir, "supplier"), lambda c: F.col(c).cast("string")
+    row = F.concat(F.lit('<tr data-id="m'), text("s_suppkey"), F.lit('"><td>'), "s_name", F.lit("</td><td><b>"), text("s_suppkey"), F.lit("</b></td></tr><tr><td>no</td></tr>"))
+    lists = s.groupBy("s_nationkey").agg(F.encode(F.array_join(F.array_sort(F.collect_list(row)), ""), "UTF-8").alias("content")).select(F.lit("html_list").alias("host"), F.concat(F.lit("l/n"), text("s_nationkey")).alias("url"), "content")
+    books = table(spark, sf_dir, "nation").select(F.lit("workbook").alias("host"), F.concat(F.lit("b/"), text("n_nationkey")).alias("url"), book("n_name").alias("content"))
+    tables_ = s.select(F.lit("cp932").alias("host"), F.concat(F.lit("c/"), text("s_suppkey")).alias("url"), cp932(F.concat(F.lit('名称,"所在\n地"\n撞舞,'), "s_name", F.lit("\n"))).alias("content"))
+    files = lists.unionByName(books).unionByName(tables_).withColumns({"content_type": F.lit("x"), "status": F.lit(200)})
+    files.write.format("stored_pages").mode("append").save(root)
+    read = lambda kind: spark.read.format("cell_files").options(kind=kind, ending=".body").load(f"{root}/{kind}").select("file", F.lit(kind).alias("kind"), F.array_join("cells", "|").alias("cells"))
+    return read("html_list").unionByName(read("workbook")).unionByName(read("cp932"))
+
+
 @oracle("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)")
 def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))

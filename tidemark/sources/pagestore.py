@@ -191,7 +191,7 @@ class File(InputPartition):
 
 
 class CellFiles(DataSource):
-    """(file, ordinal, cells) of files that Spark has no reader for: a task a file. Options: path (a folder or a file), kind (of PARSERS)."""
+    """(file, ordinal, cells) of files that Spark has no reader for: a task a file. Options: path (a folder or a file), kind (of PARSERS), ending (of the names that count)."""
 
     @classmethod
     def name(cls) -> str:
@@ -203,14 +203,14 @@ class CellFiles(DataSource):
     def reader(self, schema) -> DataSourceReader:
         if self.options.get("kind") not in PARSERS:
             raise ValueError(f"kind must be one of {', '.join(PARSERS)}")
-        return CellReader(self.options["path"], self.options["kind"])
+        return CellReader(self.options["path"], self.options["kind"], self.options.get("ending", ""))
 
 
 class CellReader(DataSourceReader):
     """A filter on the file's name is pushed down: other files are not opened."""
 
-    def __init__(self, root: str, kind: str):
-        self.root, self.kind = root, kind
+    def __init__(self, root: str, kind: str, ending: str = ""):
+        self.root, self.kind, self.ending = root, kind, ending
         self.files: set[str] | None = None
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -224,7 +224,7 @@ class CellReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         where, root = _opened(self.root)
         one = where.get_file_info(root)
-        found = [one] if one.type == fs.FileType.File else [i for i in _children(where, root) if i.type == fs.FileType.File and i.base_name[0] not in "._"]
+        found = [one] if one.type == fs.FileType.File else [i for i in _children(where, root) if i.type == fs.FileType.File and i.base_name[0] not in "._" and i.base_name.endswith(self.ending)]
         return [File(i.path) for i in sorted(found, key=lambda i: i.path) if self.files is None or i.base_name in self.files] or [File("")]
 
     def read(self, partition: File) -> Iterator[tuple]:
