@@ -368,7 +368,7 @@ def test_oracles(name, spark, sf_dir, duck):
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def stage_rows():
