@@ -59,6 +59,8 @@ def containing(df: DataFrame, key: list[str], text: str, forms: DataFrame, form:
     own = [c for c in by if c not in key]
     rest = [c for c in forms.columns if c not in by]
     texts = df.filter(F.col(text).isNotNull()).select(*key, *own, text).dropDuplicates(key)
+    # Dealt out by their number, not by the bytes that they have before they are taken apart.
+    texts = texts.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
     if not sizes:
         return texts.limit(0).join(forms.select(*rest), F.lit(False)).select(*key, *rest)
     index = staged(_anchored(texts, forms, by, text, form, sizes), "form-anchors")
