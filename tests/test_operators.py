@@ -64,6 +64,24 @@ def test_containment_multiplies_nothing(spark):
     assert {r["n_names"]: r["count"] for r in got} == {1: 2_000, 2: 1_000}
 
 
+@pytest.mark.parametrize("most", [2_000_000, 40])
+def test_containment_counts_where_texts_lie(spark, monkeypatch, most):
+    """A text with most of a long list of names: none of its substrings travels, also where the names come in parts."""
+    monkeypatch.setattr(resolve, "PART_FORMS", most)
+    texts = [(i, "x" if i % 2 else None, "".join(chr(97 + (i * j) % 7) for j in range(60)) + "𠮷") for i in range(40)] + [(7, "x", "".join(chr(97 + (7 * j) % 7) for j in range(60)) + "𠮷")]
+    names = [(s, t[k : k + n]) for _, s, t in texts for k in range(0, 50, 9) for n in (4, 9, 20)] + [("x", "a𠮷"), ("x", "f𠮷b"), ("y", "abc")]
+    df, listed = spark.createDataFrame(texts, "i int, s string, t string"), spark.createDataFrame(names, "s string, n string")
+    out = resolve.contained_names(df, ["i"], "t", listed.filter("length(n) <= 9"), "n", "-", ["s"])
+    assert "Generate" not in out._jdf.queryExecution().toString()
+    for found, longest in ((out, 9), (resolve.contained_names(df, ["i"], "t", listed, "n", "-", ["s"]), 99)):
+        want = []
+        for i, s, t in texts:
+            own = sorted({n for at, n in names if at == s and s is not None and len(n) <= longest})
+            whole, bare = [n for n in own if n in t], [n for n in own if len(n) > 2 and n[:-1] in t]
+            want.append((i, len(whole), whole[0] if len(whole) == 1 else bare[0] if len(bare) == 1 else "-"))
+        assert rows(found.select("i", "n_names", "assigned")) == sorted(want, key=repr)
+
+
 def test_numbered_is_a_rank(spark):
     df = spark.createDataFrame([(i * 7919 % 1000, i) for i in range(1000)], "k int, i int")
     got = [(r["k"], int(r["id"])) for r in records.numbered(df, ["k"]).collect()]

@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +79,16 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * _tables(len(prefix))[1][starts])
 
 
+def code_points(texts: list[str]) -> np.ndarray:
+    """The code points of all texts, one after the other."""
+    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+
+
+def window_hash(prefix: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every n numbers in a row, of the numbers whose prefix_hash it is; not mixed."""
+    return (prefix[n:] - prefix[:-n]) * _tables(len(prefix))[1][: len(prefix) - n]
+
+
 def join_texts(texts: list[bytes], separator: bytes = b" ") -> tuple[np.ndarray, np.ndarray]:
     """One buffer of all texts, each followed by the separator, and the start of each text in it."""
     lengths = np.fromiter((len(t) + len(separator) for t in texts), np.int64, len(texts))
@@ -116,7 +125,9 @@ def word_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
         if not len(left):
             break
         out[left] = mix(out[left] ^ (eight[starts[left] + j] & _KEEP[np.minimum(sizes[left] - j, 8)]))
-    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+    if len(long := np.flatnonzero(sizes > LONG_WORD)):
+        import xxhash  # here, since tables without long words are hashed where it is not installed
+    for i in long.tolist():
         out[i] = xxhash.xxh3_64_intdigest(padded[starts[i] : ends[i]], seed=0x5BD1E995)
     return out
 
