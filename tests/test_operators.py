@@ -219,6 +219,21 @@ def test_cells_of_files(spark, tmp_path):
         spark.read.format("cell_files").option("kind", "pdf").load(str(tmp_path)).count()
 
 
+def test_cell_files_share_tasks(spark, tmp_path, monkeypatch):
+    pagestore.register(spark)
+    for i in range(300):
+        (tmp_path / f"{i:03d}.csv").write_bytes(f"a{i}\nb{i},c\n".encode("cp932"))
+    read = spark.read.format("cell_files").option("kind", "cp932").load(str(tmp_path))
+    assert read.rdd.getNumPartitions() == 1
+    assert rows(read) == rows(spark.createDataFrame([r for i in range(300) for r in ((f"{i:03d}.csv", 0, [f"a{i}"]), (f"{i:03d}.csv", 1, [f"b{i}", "c"]))], read.schema))
+    reader = pagestore.CellReader(str(tmp_path), "cp932")
+    for sizes, most in (((10, 1_000), 2), ((1 << 20, 7), 7)):
+        monkeypatch.setattr(pagestore, "TASK_BYTES", sizes[0])
+        monkeypatch.setattr(pagestore, "TASK_FILES", sizes[1])
+        pieces = [p.names for p in reader.partitions()]
+        assert [n for p in pieces for n in p] == [f"{i:03d}.csv" for i in range(300)] and max(map(len, pieces)) <= most
+
+
 def test_two_writers_of_one_version(spark, tmp_path):
     path = str(tmp_path / "t")
     df = lambda n: spark.range(n).withColumn("x", F.lit("v"))

@@ -207,6 +207,8 @@ def cells_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = table(spark, sf_dir, "nation").select(F.lit("workbook").alias("host"), F.concat(F.lit("b/"), text("n_nationkey")).alias("url"), book("n_name").alias("content"))
     tables_ = s.select(F.lit("cp932").alias("host"), F.concat(F.lit("c/"), text("s_suppkey")).alias("url"), cp932(F.concat(F.lit('名称,"所在\n地"\n撞舞,'), "s_name", F.lit("\n"))).alias("content"))
     files = lists.unionByName(books).unionByName(tables_).withColumns({"content_type": F.lit("x"), "status": F.lit(200)})
+    # Dealt out by their number: each is two files to write, however few bytes the table has that they come from.
+    files = files.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "host", "url")
     files.write.format("stored_pages").mode("append").save(root)
     read = lambda kind: spark.read.format("cell_files").options(kind=kind, ending=".body").load(f"{root}/{kind}").select("file", F.lit(kind).alias("kind"), F.array_join("cells", "|").alias("cells"))
     return read("html_list").unionByName(read("workbook")).unionByName(read("cp932"))

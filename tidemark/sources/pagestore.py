@@ -185,13 +185,19 @@ class PageWriter(DataSourceArrowWriter):
 PARSERS = {"workbook": sheet_cells, "cp932": cp932_cells, "html_list": lambda b: list_cells(b.decode("utf-8", "replace"))}
 
 
+#: Files of a task end at about so many bytes or so many files, whichever comes first.
+TASK_BYTES, TASK_FILES = 32 << 20, 1_000
+
+
 @dataclass
-class File(InputPartition):
-    path: str
+class Files(InputPartition):
+    """Names of files in the source's folder, or none of the file that the source is."""
+
+    names: list[str]
 
 
 class CellFiles(DataSource):
-    """(file, ordinal, cells) of files that Spark has no reader for: a task a file. Options: path (a folder or a file), kind (of PARSERS), ending (of the names that count)."""
+    """(file, ordinal, cells) of files that Spark has no reader for: a task takes as many as TASK_BYTES and TASK_FILES allow. Options: path (a folder or a file), kind (of PARSERS), ending (of the names that count)."""
 
     @classmethod
     def name(cls) -> str:
@@ -225,17 +231,24 @@ class CellReader(DataSourceReader):
         where, root = _opened(self.root)
         one = where.get_file_info(root)
         found = [one] if one.type == fs.FileType.File else [i for i in _children(where, root) if i.type == fs.FileType.File and i.base_name[0] not in "._" and i.base_name.endswith(self.ending)]
-        return [File(i.path) for i in sorted(found, key=lambda i: i.path) if self.files is None or i.base_name in self.files] or [File("")]
-
-    def read(self, partition: File) -> Iterator[tuple]:
-        if not partition.path:
-            return
-        where, _ = _opened(self.root)
-        with where.open_input_file(partition.path) as f:
-            content = f.read()
-        name = partition.path.rsplit("/", 1)[-1]
-        for i, cells in enumerate(PARSERS[self.kind](content)):
-            yield name, i, cells
+        pieces, size = [Files([])], 0
+        for i in sorted(found, key=lambda i: i.path):
+            if self.files is not None and i.base_name not in self.files:
+                continue
+            if pieces[-1].names and (size + i.size > TASK_BYTES or len(pieces[-1].names) >= TASK_FILES):
+                pieces.append(Files([]))
+                size = 0
+            pieces[-1].names.append("" if i is one else i.base_name)
+            size += i.size
+        return pieces
+
+    def read(self, partition: Files) -> Iterator[tuple]:
+        where, root = _opened(self.root)
+        for name in partition.names:
+            with where.open_input_file(f"{root}/{name}" if name else root) as f:
+                content = f.read()
+            for i, cells in enumerate(PARSERS[self.kind](content)):
+                yield name or root.rsplit("/", 1)[-1], i, cells
 
 
 def register(spark: SparkSession) -> None:
