@@ -472,3 +472,22 @@ def test_encoders_equal_the_library_on_random_strings(library):
         ids = encode(library, text)
         assert found.tolist() == ids and other.tolist() == ids, repr(text)
         assert trie.decode(ids).decode() == library.decode(ids, skip_special_tokens=False)
+
+
+def test_signatures_travel_in_parts(spark, monkeypatch):
+    """The buckets that are met are the same in any number of parts, and a part carries about its share of the signatures."""
+    import pyarrow as pa
+
+    from tidemark.llm import setjoin as S
+
+    base = [f"w{i}" for i in range(60)]
+    texts = spark.createDataFrame([(i, " ".join([*base, f"x{i}"]).encode()) for i in range(30)], "node long, text binary")
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    got = {}
+    for parts in (1, 2, 4):
+        monkeypatch.setattr(S, "SIGNATURE_PARTS", parts)
+        got[parts] = sorted(map(tuple, S.JaccardClasses(df, "doc_id", "text", 4, 85, 100).live(texts).collect()))
+    assert got[1] and got[1] == got[2] == got[4]
+    batch = pa.RecordBatch.from_pydict({"node": [r["node"] for r in texts.collect()], "text": [r["text"] for r in texts.collect()]})
+    sent = [sum(b.num_rows for b in S._signature_rows(iter([batch]), 4, 85, 100, part, 2)) for part in (0, 1)]
+    assert sum(sent) == sum(b.num_rows for b in S._signature_rows(iter([batch]), 4, 85, 100)) and max(sent) < 0.75 * sum(sent)

@@ -41,6 +41,8 @@ ASKS, FOUND = 1, 2
 COMPARED_ROWS, LINK_ROWS = 20_000_000, 4_000
 #: Pairs that may be broadcast (16 bytes each).
 BROADCAST_PAIRS = 500_000
+#: Parts in which signatures travel, one after the other (a power of two): each is made from the texts again, and only one is on disk.
+SIGNATURE_PARTS = 2
 #: Rows of each side of a cell in which components of a bucket are compared, about (160 bytes each).
 CELL_ROWS = 8_192
 
@@ -209,13 +211,15 @@ def _node_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.filter(pa.array(good, pa.bool_()))
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Signatures of every text; code is the size of its set times four plus its role."""
+def _signature_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, part: int = 0, parts: int = 1) -> Iterator[pa.RecordBatch]:
+    """Signatures, those of one part of all, of every text; code is the size of its set times four plus its role."""
     for batch in batches:
         texts, nodes = T.as_bytes(batch.column("text")), batch.column("node").to_numpy()
         for a, b in T.chunked([len(t) + 1 for t in texts]):
             sets = Sets(texts[a:b], k)
             for sig, owner, role in signatures(sets, np.ones(b - a, bool), num, den):
+                mine = sig & np.uint64(parts - 1) == np.uint64(part)
+                sig, owner, role = sig[mine], owner[mine], role[mine]
                 code = (sets.sizes[owner] * 4 + role).astype(np.int32)
                 for i in range(0, len(sig), 100_000):
                     j = slice(i, i + 100_000)
@@ -358,12 +362,23 @@ class JaccardClasses:
         return staged(rows.dropDuplicates(["node"]), "node-texts")  # rows were repeated, id and words
 
     def live(self, texts: DataFrame) -> DataFrame:
-        """(sig, rep, n, role) of the buckets in which different nodes meet."""
-        k, num, den = self.k, self.num, self.den
-        rows = texts.mapInArrow(lambda it: _signature_rows(it, k, num, den), ROW)
+        """(sig, rep, n, role) of the buckets in which different nodes meet.
+
+        Nearly all signatures are met by no other text and are dropped where they arrive, so they are the largest of all
+        shuffles and leave little behind: they travel in SIGNATURE_PARTS parts by their last bits, a bucket in one of them.
+        """
+        rows = self._live_part(texts, 0)
+        for part in range(1, SIGNATURE_PARTS):
+            free_shuffles(self.spark)
+            rows = rows.unionByName(self._live_part(texts, part))
+        return rows
+
+    def _live_part(self, texts: DataFrame, part: int) -> DataFrame:
+        k, num, den, parts = self.k, self.num, self.den, SIGNATURE_PARTS
+        rows = texts.mapInArrow(lambda it: _signature_rows(it, k, num, den, part, parts), ROW)
         met = rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(_live_rows, ROW)
         role, n = F.col("code").bitwiseAND(3), F.shiftright("code", 2)
-        return staged(met.groupBy("sig", F.col("node").alias("rep")).agg(F.bit_or(role).cast("int").alias("role"), F.max(n).cast("long").alias("n")), "live", 4 * texts.count())
+        return staged(met.groupBy("sig", F.col("node").alias("rep")).agg(F.bit_or(role).cast("int").alias("role"), F.max(n).cast("long").alias("n")), "live", 4 * texts.count() // parts)
 
     def similar(self, pairs: DataFrame, texts: DataFrame, n_pairs: int) -> DataFrame:
         """The pairs that link. n_pairs: their number; BROADCAST_PAIRS at most go to the texts instead of meeting them in a shuffle."""
