@@ -491,3 +491,39 @@ def test_signatures_travel_in_parts(spark, monkeypatch):
     batch = pa.RecordBatch.from_pydict({"node": [r["node"] for r in texts.collect()], "text": [r["text"] for r in texts.collect()]})
     sent = [sum(b.num_rows for b in S._signature_rows(iter([batch]), 4, 85, 100, part, 2)) for part in (0, 1)]
     assert sum(sent) == sum(b.num_rows for b in S._signature_rows(iter([batch]), 4, 85, 100)) and max(sent) < 0.75 * sum(sent)
+
+
+def test_shuffle_files_of_the_last_job_are_given_back(spark):
+    import time
+    from pathlib import Path
+
+    from tidemark.session import free_shuffles, staged
+
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    held = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    free_shuffles(spark)
+    time.sleep(2)
+    before = held()
+    rows = spark.range(100_000).mapInArrow(lambda it: it, "id long").repartition("id").sortWithinPartitions("id").mapInArrow(lambda it: it, "id long")
+    staged(rows.groupBy("id").count(), "shuffled")
+    assert (own := held() - before)
+    free_shuffles(spark)
+    for _ in range(20):
+        if not own & held():
+            break
+        time.sleep(0.25)
+    assert not own & held()
+
+
+def test_texts_travel_in_parts(spark, monkeypatch):
+    from tidemark.llm import setjoin as S
+
+    df = spark.createDataFrame([(i, f"a b c d {i % 40}") for i in range(60)] + [(None, "a b c d"), (60, None), (3, "a b c d 3")], "doc_id long, text string")
+    got = {}
+    for parts in (1, 2, 3):
+        monkeypatch.setattr(S, "TEXT_PARTS", parts)
+        steps = S.JaccardClasses(df, "doc_id", "text", 4, 85, 100)
+        nodes = steps.nodes(steps.members())
+        got[parts] = sorted(bytes(r["text"]) for r in steps.texts(nodes).collect())
+        assert steps._texts_part(nodes, 0).count() < 40 or parts == 1
+    assert len(got[1]) == 40 and got[1] == got[2] == got[3]

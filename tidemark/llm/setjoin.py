@@ -43,6 +43,8 @@ COMPARED_ROWS, LINK_ROWS = 20_000_000, 4_000
 BROADCAST_PAIRS = 500_000
 #: Parts in which signatures travel, one after the other (a power of two): each is made from the texts again, and only one is on disk.
 SIGNATURE_PARTS = 2
+#: Parts in which texts travel to their nodes, one after the other: the table is read once for each.
+TEXT_PARTS = 2
 #: Rows of each side of a cell in which components of a bucket are compared, about (160 bytes each).
 CELL_ROWS = 8_192
 
@@ -354,12 +356,21 @@ class JaccardClasses:
         return staged(rows.withColumn("node", F.monotonically_increasing_id()), "nodes", members.count())
 
     def texts(self, nodes: DataFrame) -> DataFrame:
-        """(node, text) of every node."""
-        found = self.source.join(nodes.withColumnRenamed("lead", "id"), "id").select("node", "d", "text")
-        rows = staged(found.mapInArrow(_node_texts, "node long, text binary"), "node-texts", codec="zstd")
+        """(node, text) of every node. Texts travel in TEXT_PARTS parts by their ids, of which one is on disk beside what was written."""
+        rows = self._texts_part(nodes, 0)
+        for part in range(1, TEXT_PARTS):
+            free_shuffles(self.spark)
+            rows = rows.unionByName(self._texts_part(nodes, part))
         if rows.count() == nodes.count():
             return rows
-        return staged(rows.dropDuplicates(["node"]), "node-texts")  # rows were repeated, id and words
+        once = staged(rows.dropDuplicates(["node"]), "node-texts", codec="zstd")  # rows were repeated, id and words
+        unstage(rows)
+        return once
+
+    def _texts_part(self, nodes: DataFrame, part: int) -> DataFrame:
+        mine = lambda df: df.filter(F.pmod(F.xxhash64("id"), F.lit(TEXT_PARTS)) == part)
+        found = mine(self.source).join(mine(nodes.withColumnRenamed("lead", "id")), "id").select("node", "d", "text")
+        return staged(found.mapInArrow(_node_texts, "node long, text binary"), "node-texts", codec="zstd")
 
     def live(self, texts: DataFrame) -> DataFrame:
         """(sig, rep, n, role) of the buckets in which different nodes meet.
@@ -435,7 +446,7 @@ class JaccardClasses:
         links = tried = None
         comp = nodes.select("rep", F.col("rep").alias("c"))
         for round_no in range(3):
-            rows = live.join(comp, "rep")
+            rows = live.join(comp, "rep") if round_no else live.withColumn("c", F.col("rep"))
             lead = F.max(F.struct("pop", "c", "rep", "n")).alias("lead")
             several = rows.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).filter("lo <> hi").select("sig", "lead")
             several = staged(several, "several", n_live)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from contextlib import contextmanager
 from pathlib import Path
 
+from py4j.clientserver import DEFAULT_WORKER_SLEEP_TIME
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
@@ -119,8 +122,13 @@ def free_shuffles(spark: SparkSession) -> None:
 
     Executors keep a shuffle's files until the driver's collector finds that no plan refers to it, which a driver with
     much free memory may not look for in hours. An operator of many jobs, each of which ends in a staged table, calls
-    this between them, so that its disk is that of its largest steps and not of all together.
+    this between them, so that its disk is that of its largest steps and not of all together. The last query's plan is
+    still held when the call comes: by Python objects that refer to each other, by py4j, which tells the driver's JVM in
+    rounds of a second what Python has let go of, and by the driver's threads until another query runs.
     """
+    gc.collect()
+    time.sleep(1.25 * DEFAULT_WORKER_SLEEP_TIME)
+    spark.range(1).count()
     spark.sparkContext._jvm.System.gc()
 
 
