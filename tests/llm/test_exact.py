@@ -527,3 +527,14 @@ def test_texts_travel_in_parts(spark, monkeypatch):
         got[parts] = sorted(bytes(r["text"]) for r in steps.texts(nodes).collect())
         assert steps._texts_part(nodes, 0).count() < 40 or parts == 1
     assert len(got[1]) == 40 and got[1] == got[2] == got[3]
+
+
+def test_pieces_are_the_strings_that_were_cut(monkeypatch):
+    from tidemark.llm import pretokens as P
+
+    cut = {"x": ["one two"[:3], "two", "one"], "": [], "y": ["three", "two"]}
+    monkeypatch.setattr(P, "pieces", cut.get)
+    got = P.Pieces(["x", "", "y"])
+    assert got.distinct == ["one", "two", "three"] and got.index.tolist() == [0, 1, 0, 2, 1] and got.offsets.tolist() == [0, 3, 3, 5]
+    assert all(any(d is s for s in cut["x"] + cut["y"]) for d in got.distinct)
+    assert P.Pieces([""]).distinct == [] and P.Pieces([]).index.tolist() == []

@@ -86,9 +86,11 @@ class Pieces:
         split = [pieces(t) for t in texts]
         self.offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(np.fromiter(map(len, split), np.int64, len(split)), out=self.offsets[1:])
-        coded = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
-        self.distinct: list[str] = coded.dictionary.to_pylist()
-        self.index = coded.indices.to_numpy().astype(np.int64)
+        every = list(chain.from_iterable(split))
+        self.index = pa.array(every, pa.large_string()).dictionary_encode().indices.to_numpy().astype(np.int64)
+        # Numbers are given as pieces come up; the strings that are there already serve, which Arrow would make anew.
+        fresh = np.flatnonzero(np.diff(np.maximum.accumulate(self.index), prepend=-1))
+        self.distinct: list[str] = [every[i] for i in fresh.tolist()]
 
     def spread(self, packed: list[bytes], width: np.dtype) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids begin and end), from the ids of each distinct piece."""
