@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import keys as K
 from tidemark.functions import rules as R
 from tidemark.functions.clean import display_name
-from tidemark.functions.kana import romanize_udf
+from tidemark.functions.kana import romanized
 from tidemark.operators import records, resolve
 from tidemark.session import ship, staged
 
@@ -186,7 +186,7 @@ def apply_verdicts(
     merged = _merged(named, cap)
     canonical = (F.col("s4_verdict") == "keep") & (F.col("s4_alias_of") == "")
     with_romaji = merged.join(romaji.select("prefecture", "municipality", "pref_romaji", "muni_romaji"), ["prefecture", "municipality"], "left")
-    made = K.stable_id(F.col("pref_romaji"), F.col("muni_romaji"), K.dedup_key(F.col("name")), romanize_udf("__said"))
+    made = K.stable_id(F.col("pref_romaji"), F.col("muni_romaji"), K.dedup_key(F.col("name")), romanized(F.col("__said")))
     wanted = F.when(F.col("slug") != "PENDING", F.col("slug")).when(made.rlike(SLUG), made).otherwise("PENDING")
     slugged = with_romaji.withColumn("slug", F.when(canonical, wanted).otherwise(""))
     owned = records.own_ids(slugged.withColumn("__want", F.when(~F.col("slug").isin("", "PENDING"), F.col("slug"))), "__want", "id")

@@ -97,7 +97,7 @@ GOLDENS: dict[str, Golden] = {
     ), lambda t: {"hiragana": K.hiragana(t), "wide": kana.widen_udf(t), "only_kana": K.is_kana(t)}),
     "romanised": Golden("reading", "romaji", (
         ("ひたちおおた", "hitachiota"), ("りゅうがさき", "ryugasaki"), ("れいたいさい", "reitaisai"), ("しんぶ", "shimbu"), ("にっこう", "nikko"), ("まっちゃ", "matcha"), ("ホコタ", "hokota"), ("しょうぶ", "shobu"), ("ラーメン", "ramen"), ("鉾田", None), ("", None), ("abc", None),
-    ), lambda r: {"romaji": kana.romanize_udf(r)}),
+    ), lambda r: {"romaji": kana.romanized(r)}),
     "stated_readings": Golden("name context", "reading", (
         ("潮(うしお)祭", "", None), ("撞舞（つくまい）", "", "つくまい"), ("からかさ万灯（フォトギャラリー）", "", None), ("ささら", "", "ささら"), ("撞舞", "龍ケ崎の撞舞（つくまい）です", "つくまい"), ("撞舞", "撞舞です（つくまい）", None),
     ), lambda n, c: {"reading": kana.stated_reading(n, c)}),
