@@ -538,3 +538,28 @@ def test_pieces_are_the_strings_that_were_cut(monkeypatch):
     assert got.distinct == ["one", "two", "three"] and got.index.tolist() == [0, 1, 0, 2, 1] and got.offsets.tolist() == [0, 3, 3, 5]
     assert all(any(d is s for s in cut["x"] + cut["y"]) for d in got.distinct)
     assert P.Pieces([""]).distinct == [] and P.Pieces([]).index.tolist() == []
+
+
+def test_latin_texts_are_cut_together(library, monkeypatch):
+    """No Python call for a piece of Latin letters: words of all texts are cut by array steps and asked for many in a call."""
+    cached = LibraryEncoder(VOCAB)
+    monkeypatch.setattr(cached.split, "words", lambda piece: pytest.fail(f"{piece!r} is cut by itself"))
+    monkeypatch.setattr(cached, "_word", lambda word: pytest.fail(f"{word!r} is asked for by itself"), raising=False)
+    every = ["Don't I'LL we've 'S x's 'street ''s '' 're 'r", "", "ÀÉÎ schöheit, laes\u00a0ó\x85llll Œuvre", "<|endofText|> <a|b>", "1 22 x3y\x00\x1c\x7f", "'", "a's's'"]
+    for _ in range(2):
+        for text, found in zip(every, cached.encode(every), strict=True):
+            assert found.tolist() == encode(library, text), repr(text)
+    assert cached.encode([]) == [] and cached.encode([""])[0].tolist() == []
+
+
+def test_texts_cut_together_equal_the_library(library):
+    import random
+
+    rnd = random.Random(4)
+    bits = ["'", "'s", "'RE", "ll", "ve", "<|endoftext|>", "<|startoftext|>", "<|", "İ", "Ⱥ", "ɐ", "É", "ß", "\u00a0", "\x85", "\u3000", "²", "½", "ª", "7", " ", " ", "\n", "日本", "e\u0301", "\u0308", "K", "ǅ", "ŉ", "-", "x", "😀", "\x1c", "ʰ", "\u00ad"]
+    every = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    for most in (5, 250_000):
+        cached = LibraryEncoder(VOCAB, most=most)
+        for _ in range(2):
+            for text, found in zip(every, cached.encode(every), strict=True):
+                assert found.tolist() == encode(library, text), repr(text)

@@ -102,9 +102,9 @@ def write_ids(
         for batch in batches:
             docs = batch.column("doc")
             at = np.searchsorted(borders.value, docs.fill_null(-(2**63)).to_numpy(), side="right")
-            texts, ids = [t or "" for t in batch.column("text").to_pylist()], []
+            texts, ids = T.as_bytes(batch.column("text")), []
             for a, b in T.chunked([len(t) for t in texts], 2 * T.CHUNK_BYTES):
-                ids += [x.astype(f"<u{width}").tobytes() + end for x in own.encode(texts[a:b])]
+                ids += [x.astype(f"<u{width}").tobytes() + end for x in own.encode_utf8(texts[a:b])]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), docs, pa.array(ids, pa.binary())], ["shard", "doc", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
