@@ -247,12 +247,13 @@ class LibraryEncoder:
     """Texts to packed ids with the tokenizers library, which encodes each distinct word once while cached.
 
     The library's own encode() cuts and normalises every text anew, at several times the cost that this allows. Here
-    texts are cut into words together, and the library's BPE model is asked for many words in a call; pieces beyond Latin
-    letters go through its encode() one by one. Tests compare the ids with encode()'s on texts of every sort.
+    texts are cut into words together, and the library's BPE model is asked for many words in a call. Pieces beyond Latin
+    letters are normalised and split by the library, many in a call too; those with a special token or with a space that is
+    not ASCII go through encode(). Tests compare the ids with encode()'s on texts of every sort.
     """
 
-    #: Words of one call of the library.
-    CALL = 1_000
+    #: Words, and pieces, of one call of the library.
+    CALL, PIECES = 1_000, 500
 
     def __init__(self, path: str, most: int = 250_000):
         self.split = Pretokenizer(path)
@@ -264,23 +265,60 @@ class LibraryEncoder:
         #: The tokens that end a word.
         end = getattr(library.model, "end_of_word_suffix", None)
         self.last = np.array([bool(end and (library.id_to_token(i) or "").endswith(end)) for i in range(len(self.packed))])
-        self.cache = Recent(None, most)
+        self.words, self.cache = Recent(None, most), Recent(None, most)
 
     def _word(self, word: str) -> bytes:
         return b"".join([self.packed[t.id] for t in self.split.library.model.tokenize(word)])
 
-    def _piece(self, piece: str) -> bytes:
-        return self.split.pack(self.split.library.encode(piece, add_special_tokens=False).ids)
-
-    def _together(self, words: list[bytes]) -> list[bytes]:
-        """The packed ids of each word."""
-        chars = _CHARS[np.frombuffer(b" ".join(words), np.uint8)].tobytes().decode("utf-16-le")
+    def _together(self, chars: str) -> list[bytes]:
+        """The packed ids of each word (byte-level characters) of one or more, between which are spaces."""
         ids = np.array(self.bare.encode_batch_fast([chars], add_special_tokens=False)[0].ids, self.split.width)
         ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(words):  # another kind of file, whose ids don't tell where a word ends
+        if len(ends) != chars.count(" ") + 1:  # another kind of file, whose ids don't tell where a word ends
             return [self._word(w) for w in chars.split(" ")]
         return cut(ids.tobytes(), [0, *(ends * self.split.width.itemsize).tolist()])
 
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        return self._together(_CHARS[np.frombuffer(b" ".join(words), np.uint8)].tobytes().decode("utf-16-le"))
+
+    def _odd(self, marked: list[bytes]) -> list[bytes]:
+        """The packed ids of each piece that LatinWords left to the library."""
+        every = [x[1:].decode() for x in marked]
+        alone = [any(s in x for s in self.split.special) or len(pieces(x)) != 1 for x in every]
+        some = self._split_together([x for x, a in zip(every, alone, strict=True) if not a])
+        if some is None:
+            return [self._alone(x) for x in every]
+        left = iter(some)
+        return [self._alone(x) if a else next(left) for x, a in zip(every, alone, strict=True)]
+
+    def _alone(self, piece: str) -> bytes:
+        return self.split.pack(self.split.library.encode(piece, add_special_tokens=False).ids)
+
+    def _split_together(self, some: list[str]) -> list[bytes] | None:
+        """The packed ids of each piece; None where the normaliser makes or takes away spaces."""
+        library, held = self.split.library, self.words
+        normal = library.normalizer.normalize_str(" ".join(some)) if library.normalizer else " ".join(some)
+        gaps = np.flatnonzero(T.code_points([normal]) == 32)
+        if len(gaps) != max(len(some) - 1, 0):
+            return None
+        found = library.pre_tokenizer.pre_tokenize_str(normal)
+        if len(held) > held.most:
+            held.age()
+        new = []
+        for w in {w for w, _ in found}:
+            if w not in held:  # unknown() goes through all that is held, for few words
+                if (x := held.old.get(w)) is None:
+                    new.append(w)
+                else:
+                    held[w] = x
+        for a in range(0, len(new), self.CALL):
+            held.update(zip(new[a : a + self.CALL], self._together(" ".join(new[a : a + self.CALL])), strict=True))
+        packed = [held[w] for w, _ in found]
+        owner = np.searchsorted(gaps, np.array([a for _, (a, _) in found], np.int64))
+        ends = np.zeros(len(some) + 1, np.int64)
+        np.add.at(ends, owner + 1, np.fromiter(map(len, packed), np.int64, len(packed)))
+        return cut(b"".join(packed), np.cumsum(ends).tolist())
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         return self.encode_utf8([t.encode() for t in texts])
@@ -290,19 +328,20 @@ class LibraryEncoder:
         if len(cache) > cache.most:
             cache.age()
         packed = [*map(cache.get, found.distinct)]
-        plain = []
+        plain, odd = [], []
         for i in [i for i, x in enumerate(packed) if x is None]:
             key = found.distinct[i]
-            if (x := cache.old.get(key)) is None and key[0] == MARK:
-                x = self._piece(key[1:].decode())
-            if x is None:
-                plain.append(i)
-            else:
+            if (x := cache.old.get(key)) is not None:
                 packed[i] = cache[key] = x
-        for a in range(0, len(plain), self.CALL):
-            some = plain[a : a + self.CALL]
-            for i, x in zip(some, self._together([found.distinct[i] for i in some]), strict=True):
-                packed[i] = cache[found.distinct[i]] = x
+            elif key[0] == MARK:
+                odd.append(i)
+            else:
+                plain.append(i)
+        for missing, most, ask in (plain, self.CALL, self._plain), (odd, self.PIECES, self._odd):
+            for a in range(0, len(missing), most):
+                some = missing[a : a + most]
+                for i, x in zip(some, ask([found.distinct[i] for i in some]), strict=True):
+                    packed[i] = cache[found.distinct[i]] = x
         flat = binaries(packed).take(found.index)
         _, ends, data = flat.buffers()
         ids = np.frombuffer(data or b"", self.split.width)
